@@ -18,30 +18,33 @@ def _trips():
     return F.count(F.lit(1)).alias("trips")
 
 
-def q1_hotspots(fact: DataFrame) -> DataFrame:
+def hotspots(fact: DataFrame) -> DataFrame:
     """Trips per hour, borough and zone name; zones sharing a name are merged."""
-    keys = ["pickup_hour", "pu_borough", "pu_zone"]
-    return (
-        fact.groupBy(*keys)
-        .agg(_trips())
-        .orderBy("pickup_hour", F.desc("trips"), "pu_borough", "pu_zone")
-    )
+    return fact.groupBy("pickup_hour", "pu_borough", "pu_zone").agg(_trips())
 
 
-def q2_revenue_by_borough(fact: DataFrame) -> DataFrame:
+def q1_hotspots(fact: DataFrame) -> DataFrame:
+    """All hotspots by hour, busiest first."""
+    return hotspots(fact).orderBy("pickup_hour", F.desc("trips"), "pu_borough", "pu_zone")
+
+
+def revenue_by_borough(fact: DataFrame) -> DataFrame:
     """Trips, revenue, mean fare and mean tip percentage by borough and payment."""
-    return (
-        fact.groupBy("pu_borough", payment_label(F.col("payment_type")).alias("payment_method"))
-        .agg(
-            _trips(),
-            rounded_sum(F.col("total_amount")).alias("revenue_usd"),
-            rounded_mean(F.col("fare_amount")).alias("avg_fare"),
-            rounded_mean(F.col("tip_pct")).alias("avg_tip_pct"),
-        )
-        .orderBy(F.desc("revenue_usd"), "pu_borough", "payment_method")
+    return fact.groupBy(
+        "pu_borough", payment_label(F.col("payment_type")).alias("payment_method")
+    ).agg(
+        _trips(),
+        rounded_sum(F.col("total_amount")).alias("revenue_usd"),
+        rounded_mean(F.col("fare_amount")).alias("avg_fare"),
+        rounded_mean(F.col("tip_pct")).alias("avg_tip_pct"),
     )
 
 
+def q2_revenue_by_borough(fact: DataFrame) -> DataFrame:
+    """Revenue groups, greatest revenue first."""
+    return revenue_by_borough(fact).orderBy(F.desc("revenue_usd"), "pu_borough", "payment_method")
+
+
 def q3_congestion(fact: DataFrame, min_trips: int = 20, top: int | None = 500) -> DataFrame:
     """Duration, distance and minutes per mile of the heaviest zone pairs by hour.
 
@@ -66,7 +69,7 @@ def q3_congestion(fact: DataFrame, min_trips: int = 20, top: int | None = 500) -
     return pairs if top is None else pairs.limit(top)
 
 
-def q4_airports(
+def airport_destinations(
     fact: DataFrame, zones: DataFrame, airports: Mapping[int, str] = AIRPORTS
 ) -> DataFrame:
     """Destinations of airport pickups; trips to a zone without a row are left out."""
@@ -97,7 +100,15 @@ def q4_airports(
             "avg_tip_pct",
             "avg_duration_min",
         )
-        .orderBy("airport", F.desc("trips"), "destination_zone", "destination_borough")
+    )
+
+
+def q4_airports(
+    fact: DataFrame, zones: DataFrame, airports: Mapping[int, str] = AIRPORTS
+) -> DataFrame:
+    """Airport destinations by airport, busiest first."""
+    return airport_destinations(fact, zones, airports).orderBy(
+        "airport", F.desc("trips"), "destination_zone", "destination_borough"
     )
 
 
@@ -107,20 +118,17 @@ def payment_share(fact: DataFrame, *keys: str) -> DataFrame:
     A trip with a null code counts as a trip but belongs to no share.
     """
     code = F.col("payment_type")
-    return (
-        fact.groupBy(*keys)
-        .agg(
-            percent_of_rows(code == 1).alias("pct_card"),
-            percent_of_rows(code == 2).alias("pct_cash"),
-            percent_of_rows(~code.isin(1, 2)).alias("pct_other"),
-            _trips(),
-        )
-        .orderBy(F.desc("trips"), *keys)
+    return fact.groupBy(*keys).agg(
+        percent_of_rows(code == 1).alias("pct_card"),
+        percent_of_rows(code == 2).alias("pct_cash"),
+        percent_of_rows(~code.isin(1, 2)).alias("pct_other"),
+        _trips(),
     )
 
 
 def q5_payment_share(fact: DataFrame) -> DataFrame:
-    return payment_share(fact, "pu_borough")
+    """Payment shares by pickup borough, most trips first."""
+    return payment_share(fact, "pu_borough").orderBy(F.desc("trips"), "pu_borough")
 
 
 def busiest_zone_hours(fact: DataFrame, top: int = 10) -> DataFrame:

@@ -44,29 +44,38 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_trips(_raw(spark, sf_dir))
 
 
+def _derived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact columns without zone names, for answers keyed by zone id only: they
+    need no join with the dimension."""
+    return enrich.derive(_clean(spark, sf_dir))
+
+
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.fact_trips(_clean(spark, sf_dir), orderbook.zones(spark, sf_dir))
 
 
 def _q1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return questions.q1_hotspots(_fact(spark, sf_dir))
+    """Unsorted: only the finished result pays for a global sort."""
+    return questions.hotspots(_fact(spark, sf_dir))
 
 
 def _q2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return questions.q2_revenue_by_borough(_fact(spark, sf_dir))
+    return questions.revenue_by_borough(_fact(spark, sf_dir))
 
 
 def _q3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return questions.q3_congestion(_fact(spark, sf_dir), min_trips=MIN_TRIPS)
+    return questions.q3_congestion(_derived(spark, sf_dir), min_trips=MIN_TRIPS)
 
 
 def _q4(spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = orderbook.zones(spark, sf_dir)
-    return questions.q4_airports(_fact(spark, sf_dir), zones, orderbook.AIRPORT_ZONES)
+    return questions.airport_destinations(
+        _derived(spark, sf_dir), zones, orderbook.AIRPORT_ZONES
+    )
 
 
 def _q5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return questions.q5_payment_share(_fact(spark, sf_dir))
+    return questions.payment_share(_fact(spark, sf_dir), "pu_borough")
 
 
 # Sources, cleaning, enrichment ----------------------------------------------
@@ -167,7 +176,7 @@ def word_count(spark, sf_dir):
 
 @query
 def q1_hotspots(spark, sf_dir):
-    return _q1(spark, sf_dir)
+    return questions.q1_hotspots(_fact(spark, sf_dir))
 
 
 @query
@@ -177,7 +186,7 @@ def q1_preview_hour(spark, sf_dir):
 
 @query
 def q2_revenue_by_borough(spark, sf_dir):
-    return _q2(spark, sf_dir)
+    return questions.q2_revenue_by_borough(_fact(spark, sf_dir))
 
 
 @query
@@ -187,7 +196,8 @@ def q3_congestion(spark, sf_dir):
 
 @query
 def q4_airports(spark, sf_dir):
-    return _q4(spark, sf_dir)
+    zones = orderbook.zones(spark, sf_dir)
+    return questions.q4_airports(_derived(spark, sf_dir), zones, orderbook.AIRPORT_ZONES)
 
 
 @query
@@ -197,7 +207,7 @@ def q4_preview_airport(spark, sf_dir):
 
 @query
 def q5_payment_share(spark, sf_dir):
-    return _q5(spark, sf_dir)
+    return questions.q5_payment_share(_fact(spark, sf_dir))
 
 
 @query
@@ -276,12 +286,12 @@ def kv_scan_limit(spark, sf_dir):
 
 @query
 def kv_zone_hour_stats(spark, sf_dir):
-    return serving.zone_hour_stats(_fact(spark, sf_dir)).select("row_key", "stats.*")
+    return serving.zone_hour_stats(_derived(spark, sf_dir)).select("row_key", "stats.*")
 
 
 @query
 def kv_top_dropoffs(spark, sf_dir):
-    return serving.top_dropoffs(_fact(spark, sf_dir)).select("row_key", "top_do.*")
+    return serving.top_dropoffs(_derived(spark, sf_dir)).select("row_key", "top_do.*")
 
 
 # Extensions ----------------------------------------------------------------------
@@ -305,7 +315,7 @@ def out_of_month(spark, sf_dir):
 
 @query
 def demand_by_dow(spark, sf_dir):
-    return extensions.demand_by_dow(_fact(spark, sf_dir))
+    return extensions.demand_by_dow(_derived(spark, sf_dir))
 
 
 @query
@@ -315,7 +325,8 @@ def revenue_by_distance(spark, sf_dir):
 
 @query
 def stream_hourly_counts(spark, sf_dir):
-    events = hourly.read_feed(spark, f"{sf_dir}/events.parquet")
+    path = orderbook.table_path(sf_dir, "events")
+    events = hourly.read_feed(spark, path, orderbook.TABLE_SCHEMAS["events"])
     counted = hourly.run_hourly_counts(events, "ts", ["event_type"], hourly.new_folder(spark))
     return counted.withColumn("hour_start", F.col("hour_start").cast("string"))
 

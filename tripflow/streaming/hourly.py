@@ -12,7 +12,7 @@ from tripflow.functions.wallclock import from_wall_seconds, wall_seconds
 from tripflow.session import shared_folder
 
 
-def read_feed(spark: SparkSession, path: str) -> DataFrame:
+def read_feed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A Parquet table as a stream, whether it is one file or a folder of files.
 
     The path is written as a glob that matches only itself, because the file
@@ -20,7 +20,6 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
     per trigger all present files form one micro-batch, so the watermark
     cannot overtake rows that are merely listed late.
     """
-    schema = spark.read.parquet(path).schema
     return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
