@@ -7,53 +7,51 @@ whole cents. Summing DECIMALs is exact but builds one BigDecimal per value
 above 2^20 and the 20 bits below. Both stay in whole-stage code generation and
 combine map-side; decimals appear once per group. Neither half can overflow
 before 8e12 rows in one group.
+
+Every helper takes and returns SQL text for ``F.expr`` and ``selectExpr``: one
+parsed text replaces dozens of driver round trips for nested Column objects.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-_DIGITS = 8
-_LOW_BITS = 20
-# A BIGINT of 1e-8 units holds magnitudes up to 9.2e10. Larger values and NaN
-# are treated as missing rather than failing the whole job.
-_LARGEST = 9.0e10
-
 
-def _units(value: Column) -> Column:
-    scaled = F.rint(value * F.lit(float(10**_DIGITS))).cast("bigint")
-    return F.when(F.abs(value) < F.lit(_LARGEST), scaled)
+def _units(value: str) -> str:
+    # A BIGINT of 1e-8 units holds magnitudes up to 9.2e10. Larger values and
+    # NaN are treated as missing rather than failing the whole job.
+    return f"CASE WHEN abs({value}) < 9.0E10D THEN CAST(rint(({value}) * 1.0E8D) AS BIGINT) END"
 
 
-def exact_sum(value: Column) -> Column:
-    """DECIMAL(38,8) sum of a DOUBLE column; null for a group without values."""
+def exact_sum(value: str) -> str:
+    """DECIMAL(38,8) sum of a DOUBLE; null for a group without values."""
     units = _units(value)
-    high = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(20,0)")
-    low = F.sum(units.bitwiseAND(F.lit(2**_LOW_BITS - 1).cast("bigint"))).cast("decimal(20,0)")
-    total = high * F.lit(2**_LOW_BITS).cast("decimal(7,0)") + low
-    return (total * F.lit("0.00000001").cast("decimal(8,8)")).cast("decimal(38,8)")
+    high = f"CAST(sum(shiftright({units}, 20)) AS DECIMAL(20,0)) * CAST(1048576 AS DECIMAL(7,0))"
+    low = f"CAST(sum(({units}) & 1048575L) AS DECIMAL(20,0))"
+    return f"CAST(({high} + {low}) * CAST('0.00000001' AS DECIMAL(8,8)) AS DECIMAL(38,8))"
 
 
-def exact_mean(value: Column) -> Column:
+def exact_mean(value: str) -> str:
     """Mean of the present values as DOUBLE; null for a group without values."""
-    return F.try_divide(exact_sum(value).cast("double"), F.count(_units(value)).cast("double"))
+    return f"try_divide(CAST({exact_sum(value)} AS DOUBLE), CAST(count({_units(value)}) AS DOUBLE))"
 
 
-def round_half_up(value: Column, places: int) -> Column:
+def round_half_up(value: str, places: int = 2) -> str:
     """Round through DECIMAL, so 1.005 gives 1.01 rather than its binary neighbour."""
-    return F.round(value.cast("decimal(28,8)"), places).cast("double")
+    return f"CAST(round(CAST({value} AS DECIMAL(28,8)), {places}) AS DOUBLE)"
 
 
-def rounded_sum(value: Column, places: int = 2) -> Column:
-    return F.round(exact_sum(value), places).cast("double")
+def rounded_sum(value: str, places: int = 2) -> str:
+    return f"CAST(round({exact_sum(value)}, {places}) AS DOUBLE)"
 
 
-def rounded_mean(value: Column, places: int = 2) -> Column:
+def rounded_mean(value: str, places: int = 2) -> str:
     return round_half_up(exact_mean(value), places)
 
 
-def percent_of_rows(condition: Column, places: int = 2) -> Column:
+def percent(part: str, whole: str) -> str:
+    """``part`` in percent of ``whole`` to two places; null for a whole of zero."""
+    return round_half_up(f"try_divide(CAST({part} AS DOUBLE) * 100.0D, CAST({whole} AS DOUBLE))")
+
+
+def percent_of_rows(condition: str) -> str:
     """Share of the group's rows for which ``condition`` is TRUE, in percent."""
-    hits = F.count_if(condition).cast("double")
-    return round_half_up(hits * F.lit(100.0) / F.count(F.lit(1)).cast("double"), places)
+    return percent(f"count_if({condition})", "count(1)")

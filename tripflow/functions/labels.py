@@ -1,12 +1,9 @@
-"""Code tables and label expressions."""
+"""Code tables and label expressions as SQL text."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Payment codes with a label of their own.
 PAYMENT_LABELS: dict[int, str] = {1: "Card", 2: "Cash", 3: "NoCharge", 4: "Dispute"}
 OTHER_PAYMENT = "Other"
@@ -21,19 +18,23 @@ UNKNOWN_PLACE = "Unknown"
 UNKNOWN_RATE_CODE = 99
 
 
-def lookup(code: Column, table: Mapping) -> Column:
+def literal(value: int | str) -> str:
+    if isinstance(value, int):
+        return str(value)
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def lookup(code: str, table: Mapping) -> str:
     """Label of ``code`` in a small literal table, null where absent."""
-    (first, label), *rest = table.items()
-    chosen = F.when(code == F.lit(first), F.lit(label))
-    for key, label in rest:
-        chosen = chosen.when(code == F.lit(key), F.lit(label))
-    return chosen
+    pairs = " ".join(f"WHEN {literal(key)} THEN {literal(label)}" for key, label in table.items())
+    return f"CASE {code} {pairs} END"
 
 
-def payment_label(code: Column) -> Column:
+def payment_label(code: str) -> str:
     """Label of a payment code; unknown and null codes are both 'Other'."""
-    return F.coalesce(lookup(code, PAYMENT_LABELS), F.lit(OTHER_PAYMENT))
+    return f"coalesce({lookup(code, PAYMENT_LABELS)}, {literal(OTHER_PAYMENT)})"
 
 
-def known_place(name: Column) -> Column:
-    return F.coalesce(name, F.lit(UNKNOWN_PLACE))
+def known_place(name: str) -> str:
+    return f"coalesce({name}, {literal(UNKNOWN_PLACE)})"

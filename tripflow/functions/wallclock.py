@@ -3,47 +3,39 @@
 Everything stays TIMESTAMP_NTZ; ``date_trunc``, ``date_format`` and
 ``timestampdiff`` are avoided because they convert to an instant first and so
 bend around daylight-saving changes when a session is not pinned to UTC.
+Every helper takes and returns SQL text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
-_SECOND_CHARS = 19  # length of 'yyyy-MM-dd HH:mm:ss'
 
-
-def epoch() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-
-def parse_wall_clock(text: Column) -> Column:
+def parse_wall_clock(text: str) -> str:
     """TIMESTAMP_NTZ from the first 19 characters; bad or short text gives null."""
-    whole = F.length(text) >= _SECOND_CHARS
-    return F.when(whole, F.substring(text, 1, _SECOND_CHARS).try_cast("timestamp_ntz"))
+    return f"CASE WHEN length({text}) >= 19 THEN try_cast(substring({text}, 1, 19) AS TIMESTAMP_NTZ) END"
 
 
-def format_wall_clock(moment: Column) -> Column:
+def format_wall_clock(moment: str) -> str:
     """Text ``yyyy-MM-dd HH:mm:ss.SSSSSS`` with all six fraction digits."""
-    text = moment.cast("string")
-    fraction = F.rpad(F.substring(text, _SECOND_CHARS + 2, 6), 6, "0")
-    return F.concat(F.substring(text, 1, _SECOND_CHARS), F.lit("."), fraction)
+    text = f"CAST({moment} AS STRING)"
+    return f"concat(substring({text}, 1, 19), '.', rpad(substring({text}, 21, 6), 6, '0'))"
 
 
-def wall_seconds(moment: Column) -> Column:
+def wall_seconds(moment: str) -> str:
     """Whole seconds since 1970-01-01 on the wall clock, as BIGINT."""
-    return (moment - epoch()).cast("bigint")
+    return f"CAST(({moment} - {EPOCH}) AS BIGINT)"
 
 
-def from_wall_seconds(seconds: Column) -> Column:
-    return F.timestamp_add("SECOND", seconds, epoch())
+def from_wall_seconds(seconds: str) -> str:
+    return f"timestampadd(SECOND, {seconds}, {EPOCH})"
 
 
-def minutes_between(start: Column, end: Column) -> Column:
+def minutes_between(start: str, end: str) -> str:
     """Minutes from ``start`` to ``end``, both cut to whole seconds; may be negative."""
-    return (wall_seconds(end) - wall_seconds(start)).cast("double") / F.lit(60.0)
+    return f"CAST({wall_seconds(end)} - {wall_seconds(start)} AS DOUBLE) / 60.0D"
 
 
-def hour_text(text: Column) -> Column:
+def hour_text(text: str) -> str:
     """The two-character hour of a text time, as it stands."""
-    return F.substring(text, 12, 2)
+    return f"substring({text}, 12, 2)"

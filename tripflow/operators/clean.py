@@ -2,40 +2,34 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tripflow.functions.exact import round_half_up
-from tripflow.functions.wallclock import hour_text
+from tripflow.functions.exact import percent
 from tripflow.functions.labels import UNKNOWN_RATE_CODE
+from tripflow.functions.naming import named
+from tripflow.functions.wallclock import hour_text
 
+# What a trip must satisfy, with strict and inclusive bounds as
+# written. A rule with a null operand is not satisfied.
+CLEAN_RULES: dict[str, str] = {
+    "vendor_present": "vendor_id IS NOT NULL",
+    "pickup_zone_present": "pu_loc_id IS NOT NULL",
+    "dropoff_zone_present": "do_loc_id IS NOT NULL",
+    "passengers_1_to_6": "passenger_count >= 1.0D AND passenger_count <= 6.0D",
+    "distance_0_to_100": "trip_distance > 0.0D AND trip_distance < 100.0D",
+    "fare_0_to_500": "fare_amount > 0.0D AND fare_amount < 500.0D",
+    "total_positive": "total_amount > 0.0D",
+}
 
-def clean_rules() -> dict[str, Column]:
-    """Rule name -> predicate a trip must satisfy. Null operands fail a rule."""
-    # The bounds below, strict or inclusive as written.
-    passengers = F.col("passenger_count")
-    distance = F.col("trip_distance")
-    fare = F.col("fare_amount")
-    return {
-        "vendor_present": F.col("vendor_id").isNotNull(),
-        "pickup_zone_present": F.col("pu_loc_id").isNotNull(),
-        "dropoff_zone_present": F.col("do_loc_id").isNotNull(),
-        "passengers_1_to_6": (passengers >= 1.0) & (passengers <= 6.0),
-        "distance_0_to_100": (distance > 0.0) & (distance < 100.0),
-        "fare_0_to_500": (fare > 0.0) & (fare < 500.0),
-        "total_positive": F.col("total_amount") > 0.0,
-    }
-
+PASSES_ALL = " AND ".join(f"({rule})" for rule in CLEAN_RULES.values())
 
-def passes_all() -> Column:
-    return reduce(lambda left, right: left & right, clean_rules().values())
+KEPT_PCT = percent("clean_rows", "raw_rows")
 
 
 def clean_trips(raw: DataFrame) -> DataFrame:
     """Trips that satisfy every rule; the columns stay as they are."""
-    return raw.filter(passes_all())
+    return raw.filter(PASSES_ALL)
 
 
 def clean_trips_counted(raw: DataFrame) -> tuple[DataFrame, Observation, Observation]:
@@ -50,48 +44,38 @@ def clean_trips_counted(raw: DataFrame) -> tuple[DataFrame, Observation, Observa
     return kept, before, after
 
 
-def _kept_pct(kept: Column, total: Column) -> Column:
-    share = F.try_divide(kept.cast("double") * F.lit(100.0), total.cast("double"))
-    return round_half_up(share, 2)
-
-
 def quality_counts(raw: DataFrame) -> DataFrame:
     """One row: raw rows, clean rows and the percentage kept."""
-    vendor = F.col("vendor_id")
     counts = raw.agg(
-        F.count(vendor).alias("raw_rows"),
-        F.count(F.when(passes_all(), vendor)).alias("clean_rows"),
+        *named(
+            raw_rows="count(vendor_id)",
+            clean_rows=f"count(CASE WHEN {PASSES_ALL} THEN vendor_id END)",
+        )
     )
-    return counts.withColumn("kept_pct", _kept_pct(F.col("clean_rows"), F.col("raw_rows")))
+    return counts.selectExpr("*", f"{KEPT_PCT} AS kept_pct")
 
 
 def quality_by_rule(raw: DataFrame) -> DataFrame:
     """Rows failing each rule, all rules counted in one pass (extension)."""
-    rules = clean_rules()
-    failing = raw.agg(
-        *(
-            F.count_if(~F.coalesce(rule, F.lit(False))).alias(name)
-            for name, rule in rules.items()
-        )
-    )
-    return failing.unpivot([], list(rules), "rule", "failing_rows")
+    failing = {name: f"count_if(({rule}) IS NOT TRUE)" for name, rule in CLEAN_RULES.items()}
+    return raw.agg(*named(**failing)).unpivot([], list(CLEAN_RULES), "rule", "failing_rows")
 
 
 def flag_unknown_rate(trips: DataFrame) -> DataFrame:
     """Trips with a boolean ``unknown_rate`` column; no trip is dropped (extension)."""
-    flag = F.coalesce(F.col("rate_code") == F.lit(UNKNOWN_RATE_CODE), F.lit(False))
-    return trips.withColumn("unknown_rate", flag)
+    return trips.selectExpr("*", f"(rate_code = {UNKNOWN_RATE_CODE}) IS TRUE AS unknown_rate")
 
 
-def countable(pickup_dt: Column, pu_loc_id: Column) -> Column:
-    """TRUE where a text row can be counted by zone and hour, never null."""
-    long_enough = F.length(pickup_dt) >= 13
-    numeric_hour = hour_text(pickup_dt).try_cast("int").isNotNull()
-    numeric_zone = pu_loc_id.cast("string").try_cast("int").isNotNull()
-    return F.coalesce(long_enough & numeric_hour & numeric_zone, F.lit(False))
+# TRUE where a text row can be counted by zone and hour, never null.
+COUNTABLE = (
+    "(length(pickup_dt) >= 13"
+    f" AND try_cast({hour_text('pickup_dt')} AS INT) IS NOT NULL"
+    " AND try_cast(CAST(pu_loc_id AS STRING) AS INT) IS NOT NULL) IS TRUE"
+)
 
 
 def row_quality(trips: DataFrame) -> DataFrame:
     """One row: how many rows the zone-hour count takes and how many it skips."""
-    good = countable(F.col("pickup_dt"), F.col("pu_loc_id"))
-    return trips.agg(F.count_if(good).alias("rows_ok"), F.count_if(~good).alias("rows_bad"))
+    return trips.agg(
+        *named(rows_ok=f"count_if({COUNTABLE})", rows_bad=f"count_if(NOT ({COUNTABLE}))")
+    )

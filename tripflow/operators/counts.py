@@ -8,8 +8,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripflow.functions.labels import literal
+from tripflow.functions.naming import TRIPS, named
 from tripflow.functions.wallclock import hour_text
-from tripflow.operators.clean import countable
+from tripflow.operators.clean import COUNTABLE
 
 
 def trips_per_zone_hour(trips: DataFrame) -> DataFrame:
@@ -18,10 +20,10 @@ def trips_per_zone_hour(trips: DataFrame) -> DataFrame:
     Rows that cannot be counted are skipped; ``row_quality`` reports them.
     """
     return (
-        trips.filter(countable(F.col("pickup_dt"), F.col("pu_loc_id")))
-        .groupBy("pu_loc_id", hour_text(F.col("pickup_dt")).alias("hour"))
-        .agg(F.count(F.lit(1)).alias("trips"))
-        .withColumn("pu_loc_id", F.col("pu_loc_id").cast("string"))
+        trips.filter(COUNTABLE)
+        .groupBy("pu_loc_id", *named(hour=hour_text("pickup_dt")))
+        .agg(*named(**TRIPS))
+        .selectExpr("CAST(pu_loc_id AS STRING) AS pu_loc_id", "hour", "trips")
     )
 
 
@@ -32,9 +34,7 @@ def top_zone_hours(zone_hours: DataFrame, top: int = 20) -> DataFrame:
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per named frame: its name and number of rows."""
     counted = [
-        frame.agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("table_name"), "n_rows"
-        )
+        frame.agg(*named(n_rows="count(1)")).selectExpr(f"{literal(name)} AS table_name", "n_rows")
         for name, frame in tables.items()
     ]
     return reduce(DataFrame.unionByName, counted)
@@ -46,12 +46,11 @@ def zone_preview(zones: DataFrame, rows: int = 5) -> DataFrame:
 
 def fact_preview(fact: DataFrame, rows: int = 5) -> DataFrame:
     shown = ["vendor_id", "pickup_dt", "pu_zone", "fare_amount", "tip_amount", "total_amount"]
-    return fact.select(*shown).orderBy("pickup_dt", *(c for c in shown if c != "pickup_dt")).limit(rows)
+    order = sorted(shown, key=lambda name: name != "pickup_dt")
+    return fact.select(*shown).orderBy(*order).limit(rows)
 
 
 def word_count(documents: DataFrame, column: str = "text") -> DataFrame:
     """Occurrences of every whitespace-separated token, over the whole texts."""
     words = documents.select(F.explode(F.split(F.col(column), r"[ \t\n\r\f]+")).alias("word"))
-    return (
-        words.filter(F.col("word") != "").groupBy("word").agg(F.count(F.lit(1)).alias("occurrences"))
-    )
+    return words.filter("word <> ''").groupBy("word").agg(*named(occurrences="count(1)"))

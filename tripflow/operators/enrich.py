@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.functions.labels import known_place
-from tripflow.functions.wallclock import (
-    format_wall_clock,
-    minutes_between,
-    parse_wall_clock,
-)
+from tripflow.functions.wallclock import format_wall_clock, minutes_between, parse_wall_clock
 from tripflow.schema import FACT_COLUMNS
 
 
@@ -18,20 +14,21 @@ def _is_text(df: DataFrame, name: str) -> bool:
     return df.schema[name].dataType.typeName() == "string"
 
 
-def moment(df: DataFrame, name: str) -> Column:
+def moment(df: DataFrame, name: str) -> str:
     """Time column ``name`` as TIMESTAMP_NTZ, parsed only if it is text."""
-    return parse_wall_clock(F.col(name)) if _is_text(df, name) else F.col(name)
+    return parse_wall_clock(name) if _is_text(df, name) else name
 
 
-def time_text(df: DataFrame, name: str) -> Column:
+def time_text(df: DataFrame, name: str) -> str:
     """Time column ``name`` as text, formatted only if it is typed."""
-    return F.col(name) if _is_text(df, name) else format_wall_clock(F.col(name))
+    return name if _is_text(df, name) else format_wall_clock(name)
 
 
 def with_text_times(trips: DataFrame) -> DataFrame:
     """The delimited-text layout: both times as text, same columns and order."""
-    return trips.withColumns(
-        {name: time_text(trips, name) for name in ("pickup_dt", "dropoff_dt")}
+    times = ("pickup_dt", "dropoff_dt")
+    return trips.selectExpr(
+        *(f"{time_text(trips, c)} AS {c}" if c in times else c for c in trips.columns)
     )
 
 
@@ -39,16 +36,15 @@ def derive(trips: DataFrame) -> DataFrame:
     """Time parts, duration in minutes and tip percentage: 17 columns."""
     pickup = moment(trips, "pickup_dt")
     dropoff = moment(trips, "dropoff_dt")
-    fare, tip = F.col("fare_amount"), F.col("tip_amount")
-    return trips.select(
+    return trips.selectExpr(
         "vendor_id",
-        time_text(trips, "pickup_dt").alias("pickup_dt"),
-        time_text(trips, "dropoff_dt").alias("dropoff_dt"),
-        F.hour(pickup).alias("pickup_hour"),
-        F.dayofmonth(pickup).alias("pickup_day"),
-        F.month(pickup).alias("pickup_month"),
-        F.year(pickup).alias("pickup_year"),
-        minutes_between(pickup, dropoff).alias("duration_min"),
+        f"{time_text(trips, 'pickup_dt')} AS pickup_dt",
+        f"{time_text(trips, 'dropoff_dt')} AS dropoff_dt",
+        f"hour({pickup}) AS pickup_hour",
+        f"day({pickup}) AS pickup_day",
+        f"month({pickup}) AS pickup_month",
+        f"year({pickup}) AS pickup_year",
+        f"{minutes_between(pickup, dropoff)} AS duration_min",
         "passenger_count",
         "trip_distance",
         "pu_loc_id",
@@ -57,17 +53,14 @@ def derive(trips: DataFrame) -> DataFrame:
         "fare_amount",
         "tip_amount",
         "total_amount",
-        F.when(fare > 0, tip * F.lit(100.0) / fare).otherwise(F.lit(0.0)).alias("tip_pct"),
+        "CASE WHEN fare_amount > 0 THEN tip_amount * 100.0D / fare_amount ELSE 0.0D END AS tip_pct",
     )
 
 
 def zone_dimension(zone_text: DataFrame) -> DataFrame:
     """Typed zone dimension from text rows; only rows with a digit-only key stay."""
-    return zone_text.filter(F.col("location_id").rlike("^[0-9]+$")).select(
-        F.col("location_id").try_cast("int").alias("location_id"),
-        "borough",
-        "zone",
-        "service_zone",
+    return zone_text.filter("location_id RLIKE '^[0-9]+$'").selectExpr(
+        "try_cast(location_id AS INT) AS location_id", "borough", "zone", "service_zone"
     )
 
 
@@ -78,19 +71,15 @@ def attach_pickup_zone(derived: DataFrame, zones: DataFrame) -> DataFrame:
     is below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise runs a
     shuffled join whose hot zones adaptive execution splits.
     """
-    places = zones.select(
-        F.col("location_id").alias("zone_key"),
-        F.col("borough").alias("zone_borough"),
-        F.col("zone").alias("zone_name"),
+    places = zones.selectExpr(
+        "location_id AS zone_key", "borough AS zone_borough", "zone AS zone_name"
     )
-    joined = derived.join(places, F.col("pu_loc_id") == F.col("zone_key"), "left")
-    named = joined.withColumns(
-        {
-            "pu_borough": known_place(F.col("zone_borough")),
-            "pu_zone": known_place(F.col("zone_name")),
-        }
-    )
-    return named.select(*FACT_COLUMNS)
+    named = {
+        "pu_borough": f"{known_place('zone_borough')} AS pu_borough",
+        "pu_zone": f"{known_place('zone_name')} AS pu_zone",
+    }
+    joined = derived.join(places, F.expr("pu_loc_id = zone_key"), "left")
+    return joined.selectExpr(*(named.get(name, name) for name in FACT_COLUMNS))
 
 
 def fact_trips(clean: DataFrame, zones: DataFrame) -> DataFrame:

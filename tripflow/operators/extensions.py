@@ -3,20 +3,20 @@ core job list. Kept apart so that the core stays what it is."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripflow.functions.exact import round_half_up, rounded_mean, rounded_sum
+from tripflow.functions.exact import percent, rounded_mean, rounded_sum
+from tripflow.functions.naming import TRIPS, named
 from tripflow.operators.enrich import moment
 from tripflow.operators.questions import payment_share
 
-DISTANCE_EDGES = (1.0, 2.0, 5.0, 10.0, 20.0)
+DISTANCE_EDGES = (1, 2, 5, 10, 20)
 
 
-def _in_file_month(trips: DataFrame) -> Column:
+def _in_file_month(trips: DataFrame) -> str:
     pickup = moment(trips, "pickup_dt")
-    same = (F.year(pickup) == F.col("year")) & (F.month(pickup) == F.col("month"))
-    return F.coalesce(same, F.lit(False))
+    return f"(year({pickup}) = year AND month({pickup}) = month) IS TRUE"
 
 
 def drop_out_of_month(landed: DataFrame) -> DataFrame:
@@ -26,40 +26,36 @@ def drop_out_of_month(landed: DataFrame) -> DataFrame:
 
 def out_of_month(landed: DataFrame) -> DataFrame:
     """Per file month: its trips and how many were picked up in another month."""
-    return landed.groupBy("year", "month").agg(
-        F.count(F.lit(1)).alias("trips"),
-        F.count_if(~_in_file_month(landed)).alias("out_of_month"),
-    )
+    strays = f"count_if(NOT ({_in_file_month(landed)}))"
+    return landed.groupBy("year", "month").agg(*named(**TRIPS, out_of_month=strays))
 
 
 def demand_by_dow(fact: DataFrame) -> DataFrame:
     """Trips per day of week (1 = Sunday) and hour."""
-    day = F.dayofweek(F.make_date("pickup_year", "pickup_month", "pickup_day"))
-    return fact.groupBy(day.alias("day_of_week"), "pickup_hour").agg(
-        F.count(F.lit(1)).alias("trips")
-    )
+    day = "dayofweek(make_date(pickup_year, pickup_month, pickup_day))"
+    return fact.groupBy(*named(day_of_week=day), "pickup_hour").agg(*named(**TRIPS))
 
 
-def distance_bucket(distance: Column, edges=DISTANCE_EDGES) -> Column:
+def distance_bucket(distance: str, edges: tuple[int, ...] = DISTANCE_EDGES) -> str:
     """Label of the half-open distance range, such as ``02-05``; the last is open."""
-    low = 0
-    label = None
-    for edge in edges:
-        text = F.lit(f"{low:02.0f}-{edge:02.0f}")
-        label = F.when(distance < edge, text) if label is None else label.when(distance < edge, text)
-        low = edge
-    return label.when(distance >= low, F.lit(f"{low:02.0f}+"))
+    lows = (0, *edges[:-1])
+    closed = " ".join(
+        f"WHEN {distance} < {high} THEN '{low:02d}-{high:02d}'" for low, high in zip(lows, edges)
+    )
+    return f"CASE {closed} WHEN {distance} >= {edges[-1]} THEN '{edges[-1]:02d}+' END"
 
 
 def revenue_by_distance(fact: DataFrame) -> DataFrame:
     """Fares and tips by pickup zone and distance range."""
-    bucket = distance_bucket(F.col("trip_distance")).alias("distance_mi")
-    return fact.groupBy("pu_borough", "pu_zone", bucket).agg(
-        F.count(F.lit(1)).alias("trips"),
-        rounded_sum(F.col("total_amount")).alias("revenue_usd"),
-        rounded_mean(F.col("fare_amount")).alias("avg_fare"),
-        rounded_mean(F.col("tip_amount")).alias("avg_tip"),
-        rounded_mean(F.col("tip_pct")).alias("avg_tip_pct"),
+    bucket = named(distance_mi=distance_bucket("trip_distance"))
+    return fact.groupBy("pu_borough", "pu_zone", *bucket).agg(
+        *named(
+            **TRIPS,
+            revenue_usd=rounded_sum("total_amount"),
+            avg_fare=rounded_mean("fare_amount"),
+            avg_tip=rounded_mean("tip_amount"),
+            avg_tip_pct=rounded_mean("tip_pct"),
+        )
     )
 
 
@@ -70,19 +66,16 @@ def payment_share_by_zone(fact: DataFrame) -> DataFrame:
 def monthly_trend(fact: DataFrame) -> DataFrame:
     """Trips and revenue by borough and month with the change since the month before.
 
-    ``prev_trips`` is that of the borough's previous month with trips.
+    ``prev_trips`` is that of the borough's previous month with trips. The
+    window runs over one row per borough and month.
     """
     months = fact.groupBy("pu_borough", "pickup_year", "pickup_month").agg(
-        F.count(F.lit(1)).alias("trips"),
-        rounded_sum(F.col("total_amount")).alias("revenue_usd"),
+        *named(**TRIPS, revenue_usd=rounded_sum("total_amount"))
     )
     line = Window.partitionBy("pu_borough").orderBy("pickup_year", "pickup_month")
-    previous = F.lag("trips").over(line)
-    change = (F.col("trips") - F.col("prev_trips")).cast("double") * F.lit(100.0)
-    return months.withColumn("prev_trips", previous).withColumn(
-        "trips_change_pct",
-        round_half_up(F.try_divide(change, F.col("prev_trips").cast("double")), 2),
-    )
+    compared = months.withColumn("prev_trips", F.lag("trips").over(line))
+    change = percent("(trips - prev_trips)", "prev_trips")
+    return compared.selectExpr("*", f"{change} AS trips_change_pct")
 
 
 def duplicate_report(trips: DataFrame) -> DataFrame:
@@ -91,11 +84,12 @@ def duplicate_report(trips: DataFrame) -> DataFrame:
     Copies are counted by a grouping on all columns, which combines map-side,
     so a group of copies of any size costs one row per task in the shuffle.
     """
-    groups = trips.groupBy(*trips.columns).agg(F.count(F.lit(1)).alias("copies"))
-    copies = F.col("copies")
+    groups = trips.groupBy(*trips.columns).agg(*named(copies="count(1)"))
     return groups.agg(
-        F.sum("copies").alias("trips"),
-        F.count(F.lit(1)).alias("distinct_trips"),
-        F.count_if(copies > 1).alias("duplicated_trips"),
-        F.coalesce(F.sum(F.when(copies > 1, copies - 1)), F.lit(0).cast("bigint")).alias("surplus_rows"),
+        *named(
+            trips="sum(copies)",
+            distinct_trips="count(1)",
+            duplicated_trips="count_if(copies > 1)",
+            surplus_rows="sum(copies - 1)",
+        )
     )

@@ -1,7 +1,8 @@
 """The five business questions over the fact table, and the busiest zone-hours.
 
-Every ordered result carries a total order, so a limit always returns the
-same rows.
+``q1`` to ``q5`` are finished results in a total order, so a limit always
+returns the same rows. The functions they sort are public too: a report or
+serving table built on top of them does not pay for a global sort.
 """
 
 from __future__ import annotations
@@ -13,14 +14,12 @@ from pyspark.sql import functions as F
 
 from tripflow.functions.exact import percent_of_rows, rounded_mean, rounded_sum
 from tripflow.functions.labels import AIRPORTS, lookup, payment_label
-
-def _trips():
-    return F.count(F.lit(1)).alias("trips")
+from tripflow.functions.naming import TRIPS, named
 
 
 def hotspots(fact: DataFrame) -> DataFrame:
     """Trips per hour, borough and zone name; zones sharing a name are merged."""
-    return fact.groupBy("pickup_hour", "pu_borough", "pu_zone").agg(_trips())
+    return fact.groupBy("pickup_hour", "pu_borough", "pu_zone").agg(*named(**TRIPS))
 
 
 def q1_hotspots(fact: DataFrame) -> DataFrame:
@@ -30,13 +29,13 @@ def q1_hotspots(fact: DataFrame) -> DataFrame:
 
 def revenue_by_borough(fact: DataFrame) -> DataFrame:
     """Trips, revenue, mean fare and mean tip percentage by borough and payment."""
-    return fact.groupBy(
-        "pu_borough", payment_label(F.col("payment_type")).alias("payment_method")
-    ).agg(
-        _trips(),
-        rounded_sum(F.col("total_amount")).alias("revenue_usd"),
-        rounded_mean(F.col("fare_amount")).alias("avg_fare"),
-        rounded_mean(F.col("tip_pct")).alias("avg_tip_pct"),
+    return fact.groupBy("pu_borough", *named(payment_method=payment_label("payment_type"))).agg(
+        *named(
+            **TRIPS,
+            revenue_usd=rounded_sum("total_amount"),
+            avg_fare=rounded_mean("fare_amount"),
+            avg_tip_pct=rounded_mean("tip_pct"),
+        )
     )
 
 
@@ -51,19 +50,18 @@ def q3_congestion(fact: DataFrame, min_trips: int = 20, top: int | None = 500) -
     ``min_per_mile`` is the mean of the trips' own ratios. ``top=None`` keeps
     every pair with at least ``min_trips`` trips.
     """
-    moving = fact.filter(
-        (F.col("trip_distance") > 0.1) & F.col("duration_min").between(1.0, 120.0)
-    )
-    pace = F.try_divide(F.col("duration_min"), F.col("trip_distance"))
     pairs = (
-        moving.groupBy("pickup_hour", "pu_loc_id", "do_loc_id")
+        fact.filter("trip_distance > 0.1D AND duration_min BETWEEN 1 AND 120")
+        .groupBy("pickup_hour", "pu_loc_id", "do_loc_id")
         .agg(
-            _trips(),
-            rounded_mean(F.col("duration_min")).alias("avg_duration_min"),
-            rounded_mean(F.col("trip_distance")).alias("avg_distance_mi"),
-            rounded_mean(pace).alias("min_per_mile"),
+            *named(
+                **TRIPS,
+                avg_duration_min=rounded_mean("duration_min"),
+                avg_distance_mi=rounded_mean("trip_distance"),
+                min_per_mile=rounded_mean("try_divide(duration_min, trip_distance)"),
+            )
         )
-        .filter(F.col("trips") >= min_trips)
+        .filter(f"trips >= {int(min_trips)}")
         .orderBy(F.desc("trips"), "pickup_hour", "pu_loc_id", "do_loc_id")
     )
     return pairs if top is None else pairs.limit(top)
@@ -73,32 +71,26 @@ def airport_destinations(
     fact: DataFrame, zones: DataFrame, airports: Mapping[int, str] = AIRPORTS
 ) -> DataFrame:
     """Destinations of airport pickups; trips to a zone without a row are left out."""
-    places = zones.select(
-        F.col("location_id").alias("zone_key"),
-        F.col("zone").alias("destination_zone"),
-        F.col("borough").alias("destination_borough"),
+    places = zones.selectExpr(
+        "location_id AS zone_key", "zone AS destination_zone", "borough AS destination_borough"
     )
+    measures = {
+        "avg_distance_mi": rounded_mean("trip_distance"),
+        "avg_fare": rounded_mean("fare_amount"),
+        "avg_tip_pct": rounded_mean("tip_pct"),
+        "avg_duration_min": rounded_mean("duration_min", 1),
+    }
     return (
         fact.filter(F.col("pu_loc_id").isin(list(airports)))
-        .join(places, F.col("do_loc_id") == F.col("zone_key"), "inner")
+        .join(places, F.expr("do_loc_id = zone_key"), "inner")
         .groupBy("pu_loc_id", "destination_zone", "destination_borough")
-        .agg(
-            _trips(),
-            rounded_mean(F.col("trip_distance")).alias("avg_distance_mi"),
-            rounded_mean(F.col("fare_amount")).alias("avg_fare"),
-            rounded_mean(F.col("tip_pct")).alias("avg_tip_pct"),
-            rounded_mean(F.col("duration_min"), 1).alias("avg_duration_min"),
-        )
-        .withColumn("airport", lookup(F.col("pu_loc_id"), airports))
-        .select(
-            "airport",
+        .agg(*named(**TRIPS, **measures))
+        .selectExpr(
+            f"{lookup('pu_loc_id', airports)} AS airport",
             "destination_zone",
             "destination_borough",
             "trips",
-            "avg_distance_mi",
-            "avg_fare",
-            "avg_tip_pct",
-            "avg_duration_min",
+            *measures,
         )
     )
 
@@ -117,12 +109,13 @@ def payment_share(fact: DataFrame, *keys: str) -> DataFrame:
 
     A trip with a null code counts as a trip but belongs to no share.
     """
-    code = F.col("payment_type")
     return fact.groupBy(*keys).agg(
-        percent_of_rows(code == 1).alias("pct_card"),
-        percent_of_rows(code == 2).alias("pct_cash"),
-        percent_of_rows(~code.isin(1, 2)).alias("pct_other"),
-        _trips(),
+        *named(
+            pct_card=percent_of_rows("payment_type = 1"),
+            pct_cash=percent_of_rows("payment_type = 2"),
+            pct_other=percent_of_rows("payment_type NOT IN (1, 2)"),
+            **TRIPS,
+        )
     )
 
 
@@ -135,7 +128,7 @@ def busiest_zone_hours(fact: DataFrame, top: int = 10) -> DataFrame:
     """The zone and hour pairs with most trips."""
     return (
         fact.groupBy("pickup_hour", "pu_zone")
-        .agg(_trips())
+        .agg(*named(**TRIPS))
         .orderBy(F.desc("trips"), "pickup_hour", "pu_zone")
         .limit(top)
     )

@@ -5,14 +5,25 @@ The inputs are result tables of the five questions, already aggregated.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripflow.functions.exact import exact_mean, exact_sum, round_half_up, rounded_mean, rounded_sum
-from tripflow.functions.labels import SHARE_LABELS, lookup
+from tripflow.functions.exact import (
+    exact_mean,
+    exact_sum,
+    round_half_up,
+    rounded_mean,
+    rounded_sum,
+)
+from tripflow.functions.labels import OTHER_PAYMENT, PAYMENT_LABELS, SHARE_LABELS, lookup
+from tripflow.functions.naming import named
 
 
-def top_per_group(df: DataFrame, group: list[str], order: list[Column], top: int) -> DataFrame:
+def top_per_group(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], top: int
+) -> DataFrame:
     """The first ``top`` rows of each group with their ``rank``.
 
     Spark cuts each group to ``top`` rows before the shuffle
@@ -22,76 +33,78 @@ def top_per_group(df: DataFrame, group: list[str], order: list[Column], top: int
     return df.withColumn("rank", place).filter(F.col("rank") <= top)
 
 
-def kpi_summary(q2: DataFrame) -> DataFrame:
+def kpi_summary(revenue: DataFrame) -> DataFrame:
     """Headline figures over the revenue table.
 
     ``avg_fare`` and ``avg_tip_pct`` are unweighted means over the groups;
     the ``weighted_`` columns weigh each group by its trips.
     """
-    trips = F.col("trips").cast("double")
-
-    def weighted(name: str) -> Column:
-        total = exact_sum(F.col(name) * trips).cast("double")
-        return round_half_up(F.try_divide(total, F.sum("trips").cast("double")), 2)
-
-    revenue = exact_sum(F.col("revenue_usd")).cast("double")
-    return q2.agg(
-        F.sum("trips").alias("total_trips"),
-        rounded_sum(F.col("revenue_usd")).alias("revenue_usd"),
-        round_half_up(revenue / F.lit(1e6), 2).alias("revenue_musd"),
-        rounded_mean(F.col("avg_fare")).alias("avg_fare"),
-        rounded_mean(F.col("avg_tip_pct")).alias("avg_tip_pct"),
-        weighted("avg_fare").alias("weighted_avg_fare"),
-        weighted("avg_tip_pct").alias("weighted_avg_tip_pct"),
+
+    def weighted(name: str) -> str:
+        total = exact_sum(f"{name} * trips")
+        return round_half_up(f"try_divide(CAST({total} AS DOUBLE), CAST(sum(trips) AS DOUBLE))")
+
+    return revenue.agg(
+        *named(
+            total_trips="sum(trips)",
+            revenue_usd=rounded_sum("revenue_usd"),
+            revenue_musd=round_half_up(f"CAST({exact_sum('revenue_usd')} AS DOUBLE) / 1.0E6D"),
+            avg_fare=rounded_mean("avg_fare"),
+            avg_tip_pct=rounded_mean("avg_tip_pct"),
+            weighted_avg_fare=weighted("avg_fare"),
+            weighted_avg_tip_pct=weighted("avg_tip_pct"),
+        )
     )
 
 
-def hotspots_top_per_hour(q1: DataFrame, top: int = 10) -> DataFrame:
+def hotspots_top_per_hour(hotspots: DataFrame, top: int = 10) -> DataFrame:
     """The busiest zones of every hour at once."""
     order = [F.desc("trips"), F.asc("pu_borough"), F.asc("pu_zone")]
-    return top_per_group(q1, ["pickup_hour"], order, top)
+    return top_per_group(hotspots, ["pickup_hour"], order, top)
 
 
-def hotspots_at(q1: DataFrame, hour: int = 18, top: int = 10) -> DataFrame:
+def hotspots_at(hotspots: DataFrame, hour: int = 18, top: int = 10) -> DataFrame:
     """The busiest zones of one hour, busiest first."""
-    chosen = q1.filter(F.col("pickup_hour") == hour)
+    chosen = hotspots.filter(F.col("pickup_hour") == hour)
     return chosen.orderBy(F.desc("trips"), "pu_borough", "pu_zone").limit(top)
 
 
-def revenue_pivot(q2: DataFrame) -> DataFrame:
+def revenue_pivot(revenue: DataFrame) -> DataFrame:
     """Revenue with one column per payment method."""
-    methods = ["Card", "Cash", "NoCharge", "Dispute", "Other"]
-    return q2.groupBy("pu_borough").pivot("payment_method", methods).agg(F.first("revenue_usd"))
+    methods = [*PAYMENT_LABELS.values(), OTHER_PAYMENT]
+    grouped = revenue.groupBy("pu_borough").pivot("payment_method", methods)
+    return grouped.agg(F.max("revenue_usd"))
 
 
-def congestion_by_hour(q3: DataFrame) -> DataFrame:
+def congestion_by_hour(congestion: DataFrame) -> DataFrame:
     """Unweighted mean of minutes per mile over the heavy pairs of each hour."""
-    return (
-        q3.groupBy("pickup_hour")
-        .agg(exact_mean(F.col("min_per_mile")).alias("min_per_mile"))
-        .orderBy("pickup_hour")
-    )
+    means = congestion.groupBy("pickup_hour").agg(*named(min_per_mile=exact_mean("min_per_mile")))
+    return means.orderBy("pickup_hour")
 
 
-def slowest_pairs(q3: DataFrame, top: int = 15) -> DataFrame:
+def slowest_pairs(congestion: DataFrame, top: int = 15) -> DataFrame:
     order = [F.desc("min_per_mile"), "pickup_hour", "pu_loc_id", "do_loc_id"]
-    return q3.orderBy(*order).limit(top)
+    return congestion.orderBy(*order).limit(top)
 
 
-def airport_top_destinations(q4: DataFrame, top: int = 15, charted: int = 10) -> DataFrame:
+def airport_top_destinations(
+    destinations: DataFrame, top: int = 15, charted: int = 10
+) -> DataFrame:
     """The busiest destinations of every airport; ``charted`` marks the first ten."""
     order = [F.desc("trips"), F.asc("destination_zone"), F.asc("destination_borough")]
-    ranked = top_per_group(q4, ["airport"], order, top)
+    ranked = top_per_group(destinations, ["airport"], order, top)
     return ranked.withColumn("charted", F.col("rank") <= charted)
 
 
-def destinations_from(q4: DataFrame, airport: str, top: int = 10) -> DataFrame:
+def destinations_from(destinations: DataFrame, airport: str, top: int = 10) -> DataFrame:
     """The busiest destinations of one airport, busiest first."""
-    chosen = q4.filter(F.col("airport") == airport)
+    chosen = destinations.filter(F.col("airport") == airport)
     return chosen.orderBy(F.desc("trips"), "destination_zone", "destination_borough").limit(top)
 
 
-def payment_share_long(q5: DataFrame) -> DataFrame:
+def payment_share_long(shares: DataFrame) -> DataFrame:
     """The share table with one row per borough and method."""
-    tall = q5.unpivot(["pu_borough", "trips"], list(SHARE_LABELS), "method", "pct")
-    return tall.withColumn("method", lookup(F.col("method"), SHARE_LABELS))
+    tall = shares.unpivot(["pu_borough", "trips"], list(SHARE_LABELS), "method", "pct")
+    return tall.selectExpr(
+        "pu_borough", "trips", f"{lookup('method', SHARE_LABELS)} AS method", "pct"
+    )

@@ -4,34 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.functions.exact import rounded_mean
+from tripflow.functions.naming import TRIPS, named
 from tripflow.operators.reports import top_per_group
 
 
-def last_write_wins(puts: DataFrame, sequence: Sequence[Column]) -> DataFrame:
+def last_write_wins(puts: DataFrame, sequence: Sequence[str]) -> DataFrame:
     """One row per ``row_key``: the put that comes last by ``sequence``.
 
-    Written as a max over (sequence, row), which combines map-side, so a key
-    written millions of times sends one row per task through the shuffle.
-    ``sequence`` must order the puts of a key totally.
+    ``sequence`` lists SQL expressions compared in turn; puts equal in all of
+    them are decided by their cells, so the result is always the same. Written
+    as a max over (sequence, cells), which combines map-side: a key written
+    millions of times sends one row per task through the shuffle.
     """
-    cells = [name for name in puts.columns if name != "row_key"]
-    order = [column.alias(f"_seq{i}") for i, column in enumerate(sequence)]
-    latest = (
-        puts.filter(F.col("row_key").isNotNull())
-        .groupBy("row_key")
-        .agg(F.max(F.struct(*order, F.struct(*cells).alias("cells"))).alias("last"))
-    )
-    return latest.select("row_key", *(F.col(f"last.cells.{c}").alias(c) for c in cells))
+    families = [name for name in puts.columns if name != "row_key"]
+    entry = f"struct({', '.join([*sequence, *families])})"
+    last = puts.filter("row_key IS NOT NULL").groupBy("row_key").agg(*named(last=f"max({entry})"))
+    return last.select("row_key", *(F.col(f"last.{name}").alias(name) for name in families))
 
 
 def upsert(table: DataFrame, puts: DataFrame) -> DataFrame:
     """``table`` after ``puts``: a put replaces the stored row of its key."""
     stacked = table.withColumn("_load", F.lit(0)).unionByName(puts.withColumn("_load", F.lit(1)))
-    return last_write_wins(stacked, [F.col("_load")]).drop("_load")
+    return last_write_wins(stacked, ["_load AS load"]).drop("_load")
 
 
 def zone_lookup(zones: DataFrame) -> DataFrame:
@@ -40,9 +38,11 @@ def zone_lookup(zones: DataFrame) -> DataFrame:
     Should an id come twice, the row with the greatest cells is kept; a load
     with an order of its own goes through ``last_write_wins``.
     """
-    cells = F.struct("borough", F.col("zone").alias("zone_name"), "service_zone")
-    puts = zones.select(F.col("location_id").cast("string").alias("row_key"), cells.alias("info"))
-    return last_write_wins(puts, [F.lit(0)])
+    puts = zones.selectExpr(
+        "CAST(location_id AS STRING) AS row_key",
+        "struct(borough, zone AS zone_name, service_zone) AS info",
+    )
+    return last_write_wins(puts, [])
 
 
 def get(table: DataFrame, *keys: str) -> DataFrame:
@@ -61,58 +61,47 @@ def scan_first(table: DataFrame, rows: int = 5) -> DataFrame:
     return table.orderBy("row_key").limit(rows)
 
 
-def _two_digits(hour: Column) -> Column:
-    return F.lpad(hour.cast("string"), 2, "0")
+_HH = "lpad(CAST(pickup_hour AS STRING), 2, '0')"
+_ZONE_HOUR_KEY = f"concat_ws('_', CAST(pu_loc_id AS STRING), {_HH}) AS row_key"
 
 
-def trip_by_zone(q1: DataFrame) -> DataFrame:
+def trip_by_zone(hotspots: DataFrame) -> DataFrame:
     """Zone-hour counts keyed ``<zone with _>_<HH>``, all cells as text.
 
-    Several rows of ``q1`` may share a key. They are loaded in result order
-    (trips descending, then borough and zone), so the last one is kept.
+    Several hotspots may share a key. They are loaded in result order (trips
+    descending, then borough and zone), so the last of them is kept.
     """
-    key = F.concat_ws("_", F.translate("pu_zone", " ", "_"), _two_digits(F.col("pickup_hour")))
-    stats = F.struct(
-        F.col("trips").cast("string").alias("trips"),
-        F.col("pu_borough").alias("borough"),
-        F.col("pu_zone").alias("zone"),
+    puts = hotspots.selectExpr(
+        f"concat_ws('_', translate(pu_zone, ' ', '_'), {_HH}) AS row_key",
+        "struct(CAST(trips AS STRING) AS trips, pu_borough AS borough, pu_zone AS zone) AS stats",
+    )
+    return last_write_wins(
+        puts, ["-CAST(stats.trips AS BIGINT) AS fewest", "stats.borough", "stats.zone"]
     )
-    puts = q1.select(key.alias("row_key"), stats.alias("stats"))
-    trips = F.col("stats.trips").cast("bigint")
-    return last_write_wins(puts, [-trips, F.col("stats.borough"), F.col("stats.zone")])
-
-
-def _zone_hour_key() -> Column:
-    return F.concat_ws("_", F.col("pu_loc_id").cast("string"), _two_digits(F.col("pickup_hour")))
 
 
 def zone_hour_stats(fact: DataFrame) -> DataFrame:
     """Zone-hour metrics keyed ``<zone id>_<HH>``."""
-    groups = fact.groupBy("pu_loc_id", "pickup_hour").agg(
-        F.count(F.lit(1)).alias("trips"),
-        rounded_mean(F.col("fare_amount")).alias("avg_fare"),
-        rounded_mean(F.col("tip_pct")).alias("avg_tip_pct"),
-        rounded_mean(F.col("duration_min")).alias("avg_duration_min"),
-    )
-    stats = F.struct("trips", "avg_fare", "avg_tip_pct", "avg_duration_min")
-    return groups.select(_zone_hour_key().alias("row_key"), stats.alias("stats"))
+    measures = {
+        "avg_fare": rounded_mean("fare_amount"),
+        "avg_tip_pct": rounded_mean("tip_pct"),
+        "avg_duration_min": rounded_mean("duration_min"),
+    }
+    groups = fact.groupBy("pu_loc_id", "pickup_hour").agg(*named(**TRIPS, **measures))
+    return groups.selectExpr(_ZONE_HOUR_KEY, f"struct(trips, {', '.join(measures)}) AS stats")
 
 
 def top_dropoffs(fact: DataFrame, top: int = 5) -> DataFrame:
     """The ``top`` drop-off zones of every zone-hour as a JSON list, best first."""
-    pairs = fact.groupBy("pu_loc_id", "pickup_hour", "do_loc_id").agg(
-        F.count(F.lit(1)).alias("trips")
-    )
+    pairs = fact.groupBy("pu_loc_id", "pickup_hour", "do_loc_id").agg(*named(**TRIPS))
     order = [F.desc("trips"), F.asc("do_loc_id")]
     ranked = top_per_group(pairs, ["pu_loc_id", "pickup_hour"], order, top)
-    entries = F.sort_array(F.collect_list(F.struct("rank", "do_loc_id", "trips")))
-    lists = ranked.groupBy("pu_loc_id", "pickup_hour").agg(entries.alias("entries"))
-    return lists.select(
-        _zone_hour_key().alias("row_key"),
-        F.struct(F.to_json("entries").alias("zones")).alias("top_do"),
+    lists = ranked.groupBy("pu_loc_id", "pickup_hour").agg(
+        *named(entries="sort_array(collect_list(struct(rank, do_loc_id, trips)))")
     )
+    return lists.selectExpr(_ZONE_HOUR_KEY, "struct(to_json(entries) AS zones) AS top_do")
 
 
-def trip_by_zone_declared(fact: DataFrame, top: int = 5) -> DataFrame:
+def zone_hour_profile(fact: DataFrame, top: int = 5) -> DataFrame:
     """Both families of the zone-hour table side by side."""
     return zone_hour_stats(fact).join(top_dropoffs(fact, top), "row_key", "left")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.functions.naming import TRIPS, named
 from tripflow.operators import counts, enrich, extensions, questions, reports, serving
 from tripflow.operators import clean as cleaning
 from tripflow.sources import orderbook
@@ -88,12 +89,8 @@ def ingest_contract(spark, sf_dir):
 
 @query
 def raw_scan_by_month(spark, sf_dir):
-    pickup = F.col("pickup_dt")
-    return (
-        _raw(spark, sf_dir)
-        .groupBy(F.year(pickup).alias("year"), F.month(pickup).alias("month"))
-        .agg(F.count(F.lit(1)).alias("trips"))
-    )
+    months = named(year="year(pickup_dt)", month="month(pickup_dt)")
+    return _raw(spark, sf_dir).groupBy(*months).agg(*named(**TRIPS))
 
 
 @query
@@ -305,7 +302,7 @@ def quality_by_rule(spark, sf_dir):
 @query
 def rate_flag(spark, sf_dir):
     flagged = cleaning.flag_unknown_rate(_clean(spark, sf_dir))
-    return flagged.groupBy("rate_code", "unknown_rate").agg(F.count(F.lit(1)).alias("trips"))
+    return flagged.groupBy("rate_code", "unknown_rate").agg(*named(**TRIPS))
 
 
 @query

@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripflow.functions.labels import AIRPORTS
 from tripflow.operators import counts, questions, serving
-from tripflow.operators.clean import _kept_pct, clean_trips_counted
+from tripflow.operators.clean import KEPT_PCT, clean_trips_counted
 from tripflow.operators.enrich import fact_trips, with_text_times
 from tripflow.sinks import tables
 from tripflow.sources import files
@@ -25,10 +24,8 @@ def run_clean(
     kept, before, after = clean_trips_counted(raw)
     tables.store(kept, f"{root}/clean/trips", mode)
     counted = {"raw_rows": before.get["rows"], "clean_rows": after.get["rows"]}
-    report = spark.createDataFrame([counted], "raw_rows bigint, clean_rows bigint").withColumn(
-        "kept_pct", _kept_pct(F.col("clean_rows"), F.col("raw_rows"))
-    )
-    tables.store(report, f"{root}/clean/quality_report", "append")
+    report = spark.createDataFrame([counted], "raw_rows bigint, clean_rows bigint")
+    tables.store(report.selectExpr("*", f"{KEPT_PCT} AS kept_pct"), f"{root}/clean/quality_report", "append")
     return counted
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The columns of a monthly source file in contract order, the
@@ -163,7 +162,7 @@ def conform(df: DataFrame, origin: str = "source", keep: tuple[str, ...] = ()) -
     missing = [name for name in SOURCE_COLUMNS if name not in present]
     if missing:
         raise ContractError(f"{origin}: missing expected column(s): {', '.join(missing)}")
-    return df.select(
-        *(F.col(f"`{source}`").cast(kind).alias(name) for source, name, kind in SOURCE_CONTRACT),
+    return df.selectExpr(
+        *(f"CAST(`{source}` AS {kind}) AS {name}" for source, name, kind in SOURCE_CONTRACT),
         *keep,
     )

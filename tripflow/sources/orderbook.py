@@ -9,12 +9,12 @@ refunds, and drop-offs before the pickup.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.functions.wallclock import from_wall_seconds, wall_seconds
 from tripflow.operators.enrich import zone_dimension
-from tripflow.schema import SOURCE_COLUMNS, conform
+from tripflow.schema import conform
 
 # Zones that play the airports in this data.
 AIRPORT_ZONES: dict[int, str] = {1: "EWR", 13: "JFK", 21: "LGA"}
@@ -45,10 +45,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(table_path(sf_dir, name))
 
 
-def _zone_id(nation: Column, missing: Column) -> Column:
-    return F.when(missing, F.lit(MISSING_ZONE)).otherwise(nation)
-
-
 def source_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order book in the layout of a source file, one column too many
     included, plus ``file_date``: the day the row's file is about."""
@@ -63,56 +59,45 @@ def source_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     # spills, adaptive execution splits a hot order, and neither side is ever
     # broadcast on the strength of a small compressed file. Customers and
     # suppliers are left to Spark's broadcast threshold and runtime sizes.
-    placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).drop(
-        "o_custkey", "c_custkey"
-    )
-    rows = lines.join(placed.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).join(
-        suppliers, F.col("l_suppkey") == F.col("s_suppkey")
+    placed = orders.join(customers, F.expr("o_custkey = c_custkey"))
+    rows = lines.join(placed.hint("merge"), F.expr("l_orderkey = o_orderkey")).join(
+        suppliers, F.expr("l_suppkey = s_suppkey")
     )
 
-    part, line = F.col("l_partkey"), F.col("l_linenumber")
-    day = wall_seconds(F.col("o_orderdate"))
-    pickup = day + (F.col("l_orderkey") * 37 + line * 101) % 1440 * 60
-    dropoff = pickup + (part * 13 + F.col("l_suppkey") * 7) % 9000 - 300
-    price = F.col("l_extendedprice") / F.lit(200)
-    refund = (F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.09)
-    written_off = (F.col("l_returnflag") == "A") & (F.col("l_discount") == 0)
-    priority = F.col("o_orderpriority")
-
+    day = wall_seconds("o_orderdate")
+    pickup = f"{day} + (l_orderkey * 37 + l_linenumber * 101) % 1440 * 60"
+    dropoff = f"{pickup} + (l_partkey * 13 + l_suppkey * 7) % 9000 - 300"
     values = {
-        "VendorID": F.when(part % 193 != 0, line),
+        "VendorID": "CASE WHEN l_partkey % 193 <> 0 THEN l_linenumber END",
         "tpep_pickup_datetime": from_wall_seconds(pickup),
         "tpep_dropoff_datetime": from_wall_seconds(dropoff),
-        "passenger_count": F.when(
-            (part + line) % 11 != 0, (F.col("l_orderkey") + line) % 8
-        ).cast("bigint"),
-        "trip_distance": (F.col("l_quantity") - 1) * F.lit(2.1),
-        "RatecodeID": F.when(part % 71 == 0, F.lit(99)).otherwise(line % 6 + 1).cast("bigint"),
-        "store_and_fwd_flag": F.lit("N"),
-        "PULocationID": F.when(
-            part % 97 != 0, _zone_id(F.col("c_nationkey"), part % 89 == 0)
-        ),
-        "DOLocationID": _zone_id(F.col("s_nationkey"), part % 83 == 0),
-        "payment_type": F.when(
-            part % 101 != 0, F.substring(priority, 1, 1).try_cast("bigint")
-        ),
-        "fare_amount": F.when(refund, F.lit(-1)).otherwise(F.lit(1)) * F.col("l_extendedprice") / F.lit(200),
-        "extra": F.lit(0.0),
-        "mta_tax": F.lit(0.5),
-        "tip_amount": F.when(priority == "1-URGENT", price * F.col("l_tax")).otherwise(F.lit(0.0)),
-        "tolls_amount": F.lit(0.0),
-        "improvement_surcharge": F.lit(1.0),
-        "total_amount": price * (F.lit(1) + F.col("l_tax"))
-        - F.when(written_off, F.lit(1000)).otherwise(F.lit(0)),
-        "congestion_surcharge": F.lit(2.5),
-        "Airport_fee": F.lit(None).cast("double"),
+        "passenger_count": "CASE WHEN (l_partkey + l_linenumber) % 11 <> 0"
+        " THEN (l_orderkey + l_linenumber) % 8 END",
+        "trip_distance": "(l_quantity - 1) * 2.1D",
+        "RatecodeID": "CAST(CASE WHEN l_partkey % 71 = 0 THEN 99 ELSE l_linenumber % 6 + 1 END AS BIGINT)",
+        "store_and_fwd_flag": "'N'",
+        "PULocationID": f"CASE WHEN l_partkey % 97 = 0 THEN NULL"
+        f" WHEN l_partkey % 89 = 0 THEN {MISSING_ZONE} ELSE c_nationkey END",
+        "DOLocationID": f"CASE WHEN l_partkey % 83 = 0 THEN {MISSING_ZONE} ELSE s_nationkey END",
+        "payment_type": "CASE WHEN l_partkey % 101 <> 0"
+        " THEN try_cast(substring(o_orderpriority, 1, 1) AS BIGINT) END",
+        "fare_amount": "CASE WHEN l_returnflag = 'R' AND l_discount >= 0.09D THEN -1 ELSE 1 END"
+        " * l_extendedprice / 200",
+        "extra": "0.0D",
+        "mta_tax": "0.5D",
+        "tip_amount": "CASE WHEN o_orderpriority = '1-URGENT'"
+        " THEN l_extendedprice / 200 * l_tax ELSE 0.0D END",
+        "tolls_amount": "0.0D",
+        "improvement_surcharge": "1.0D",
+        "total_amount": "l_extendedprice / 200 * (1 + l_tax)"
+        " - CASE WHEN l_returnflag = 'A' AND l_discount = 0 THEN 1000 ELSE 0 END",
+        "congestion_surcharge": "2.5D",
+        "Airport_fee": "CAST(NULL AS DOUBLE)",
+        # Past the contract: a fee newer files carry, and the day of the file.
+        "cbd_congestion_fee": "0.75D",
+        "file_date": from_wall_seconds(f"{day} + CASE WHEN l_partkey % 53 = 0 THEN 2678400 ELSE 0 END"),
     }
-    file_seconds = day + F.when(part % 53 == 0, F.lit(31 * 86400)).otherwise(F.lit(0))
-    return rows.select(
-        *(values[name].alias(name) for name in SOURCE_COLUMNS),
-        F.lit(0.75).alias("cbd_congestion_fee"),
-        from_wall_seconds(file_seconds).alias("file_date"),
-    )
+    return rows.selectExpr(*(f"{text} AS {name}" for name, text in values.items()))
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,19 +107,19 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trips with ``year`` and ``month`` of the file they came in."""
-    months = {"year": F.year("file_date"), "month": F.month("file_date")}
-    source = source_trips(spark, sf_dir).withColumns(months)
-    return conform(source, "order book", keep=tuple(months))
+    source = source_trips(spark, sf_dir)
+    months = ("year(file_date) AS year", "month(file_date) AS month")
+    return conform(source, "order book", keep=months)
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone dimension: nations as zones, regions as boroughs."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    text = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_nationkey").cast("string").alias("location_id"),
-        F.col("r_name").alias("borough"),
-        F.col("n_name").alias("zone"),
-        F.col("r_name").alias("service_zone"),
+    text = nation.join(region, F.expr("n_regionkey = r_regionkey")).selectExpr(
+        "CAST(n_nationkey AS STRING) AS location_id",
+        "r_name AS borough",
+        "n_name AS zone",
+        "r_name AS service_zone",
     )
     return zone_dimension(text)

@@ -32,13 +32,13 @@ def hourly_counts(
     epoch and turned back after the window, whatever the session time zone.
     Works on streams and, for comparison, on batch frames.
     """
-    instant = F.timestamp_seconds(wall_seconds(F.col(time)))
+    instant = F.expr(f"timestamp_seconds({wall_seconds(time)})")
     timed = events.withColumn("_instant", instant).withWatermark("_instant", lateness)
     counted = timed.groupBy(F.window("_instant", "1 hour"), *keys).agg(
         F.count(F.lit(1)).alias("n_events")
     )
-    start = from_wall_seconds(F.unix_seconds(F.col("window.start")))
-    return counted.select(start.alias("hour_start"), *keys, "n_events")
+    start = from_wall_seconds("unix_seconds(window.start)")
+    return counted.selectExpr(f"{start} AS hour_start", *keys, "n_events")
 
 
 def run_hourly_counts(
