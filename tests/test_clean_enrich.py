@@ -1,0 +1,157 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tests.rows import plan, raw, tuples, zones
+from tripflow.operators import clean, enrich
+from tripflow.schema import FACT_SCHEMA
+from tripflow.sinks import tables as sinks
+
+FAILING = [
+    ({"vendor_id": None}, "vendor_present"),
+    ({"pu_loc_id": None}, "pickup_zone_present"),
+    ({"do_loc_id": None}, "dropoff_zone_present"),
+    ({"passenger_count": None}, "passengers_1_to_6"),
+    ({"passenger_count": 0.0}, "passengers_1_to_6"),
+    ({"passenger_count": 7.0}, "passengers_1_to_6"),
+    ({"trip_distance": 0.0}, "distance_0_to_100"),
+    ({"trip_distance": 100.0}, "distance_0_to_100"),
+    ({"fare_amount": 0.0}, "fare_0_to_500"),
+    ({"fare_amount": -5.0}, "fare_0_to_500"),
+    ({"fare_amount": 500.0}, "fare_0_to_500"),
+    ({"total_amount": 0.0}, "total_positive"),
+    ({"total_amount": None}, "total_positive"),
+]
+
+PASSING = [
+    {"passenger_count": 1.0},
+    {"passenger_count": 6.0},
+    {"trip_distance": 0.01},
+    {"trip_distance": 99.99},
+    {"fare_amount": 0.01},
+    {"fare_amount": 499.99},
+    {"total_amount": 0.01},
+    {"payment_type": None},
+    {"dropoff_dt": "2026-01-01 00:50:00.000000"},  # before the pickup
+    {"rate_code": 99.0},
+]
+
+
+@pytest.mark.parametrize("change, rule", FAILING)
+def test_each_rule_drops_its_row_and_is_blamed(spark, change, rule):
+    trips = raw(spark, change)
+    assert clean.clean_trips(trips).count() == 0
+    blamed = {r.rule: r.failing_rows for r in clean.quality_by_rule(trips).collect()}
+    assert {name for name, n in blamed.items() if n} == {rule}
+
+
+def test_rows_on_the_bounds_stay(spark):
+    assert clean.clean_trips(raw(spark, *PASSING)).count() == len(PASSING)
+
+
+def test_cleaning_twice_changes_nothing(spark):
+    trips = raw(spark, *PASSING, *(change for change, _ in FAILING))
+    once = clean.clean_trips(trips)
+    assert sorted(map(str, tuples(clean.clean_trips(once)))) == sorted(map(str, tuples(once)))
+
+
+def test_counts_skip_rows_without_vendor(spark):
+    trips = raw(spark, {}, {}, {"vendor_id": None}, {"fare_amount": -1.0})
+    assert tuples(clean.quality_counts(trips)) == [(3, 2, 66.67)]
+
+
+def test_counts_of_nothing(spark):
+    assert tuples(clean.quality_counts(raw(spark).limit(0))) == [(0, 0, None)]
+
+
+def test_counts_observed_while_writing(spark, tmp_path):
+    trips = raw(spark, {}, {}, {"vendor_id": None}, {"fare_amount": -1.0})
+    kept, before, after = clean.clean_trips_counted(trips)
+    sinks.store(kept, str(tmp_path / "clean"))
+    assert (before.get["rows"], after.get["rows"]) == (3, 2)
+    assert spark.read.parquet(str(tmp_path / "clean")).count() == 2
+
+
+def test_unknown_rate_is_flagged_not_dropped(spark):
+    trips = raw(spark, {"rate_code": 99.0}, {"rate_code": 1.0}, {"rate_code": None})
+    assert [r.unknown_rate for r in clean.flag_unknown_rate(trips).collect()] == [True, False, False]
+
+
+def test_row_quality(spark):
+    trips = raw(
+        spark,
+        {},
+        {"pickup_dt": "2026-01-01 0"},       # shorter than 13 characters
+        {"pickup_dt": "2026-01-01 x1:00:00"},  # no hour
+        {"pickup_dt": None},
+        {"pu_loc_id": None},
+    )
+    assert tuples(clean.row_quality(trips)) == [(1, 4)]
+
+
+def test_derived_columns(spark):
+    row = enrich.derive(raw(spark, {})).collect()[0]
+    assert (row.pickup_hour, row.pickup_day, row.pickup_month, row.pickup_year) == (0, 1, 1, 2026)
+    assert row.duration_min == 5.55
+    assert round(row.tip_pct, 4) == 50.8333
+    assert len(row) == 17
+
+
+def test_duration_of_second_known_trip(spark):
+    change = {"pickup_dt": "2026-01-01 00:34:04.000000", "dropoff_dt": "2026-01-01 00:39:47.000000"}
+    assert round(enrich.derive(raw(spark, change)).collect()[0].duration_min, 2) == 5.72
+
+
+def test_duration_may_be_negative_and_fraction_is_cut(spark):
+    change = {"pickup_dt": "2026-01-01 00:01:00.999999", "dropoff_dt": "2026-01-01 00:00:00.000000"}
+    assert enrich.derive(raw(spark, change)).collect()[0].duration_min == -1.0
+
+
+def test_zero_fare_has_zero_tip_percentage(spark):
+    assert enrich.derive(raw(spark, {"fare_amount": 0.0})).collect()[0].tip_pct == 0.0
+
+
+def test_bad_time_text_gives_nulls_not_an_error(spark):
+    row = enrich.derive(raw(spark, {"pickup_dt": "yesterday"})).collect()[0]
+    assert row.pickup_hour is None and row.duration_min is None
+    assert row.pickup_dt == "yesterday"
+
+
+def test_typed_and_text_times_derive_the_same(spark):
+    text = raw(spark, {}, {"pickup_dt": "2026-03-08 02:30:00.123456"})
+    typed = text.withColumns(
+        {c: F.expr(f"CAST({c} AS TIMESTAMP_NTZ)") for c in ("pickup_dt", "dropoff_dt")}
+    )
+    assert tuples(enrich.derive(typed)) == tuples(enrich.derive(text))
+    assert tuples(enrich.with_text_times(typed)) == tuples(text)
+
+
+def test_fact_schema_and_unknown_zone(spark):
+    clean_rows = raw(spark, {"pu_loc_id": 132}, {"pu_loc_id": 999}, {"pu_loc_id": 264}, {"pu_loc_id": 265})
+    fact = enrich.fact_trips(clean_rows, zones(spark))
+    assert [(f.name, f.dataType) for f in fact.schema] == [
+        (f.name, f.dataType) for f in FACT_SCHEMA
+    ]
+    got = {r.pu_loc_id: (r.pu_borough, r.pu_zone) for r in fact.collect()}
+    assert got == {
+        132: ("Queens", "JFK Airport"),
+        999: ("Unknown", "Unknown"),
+        264: ("Unknown", "N/A"),
+        265: ("N/A", "Outside of NYC"),
+    }
+
+
+def test_zone_keys_must_be_digits(spark):
+    text = spark.createDataFrame(
+        [("LocationID", "Borough", "Zone", "x"), ("7", "Queens", "Astoria", "Boro Zone"), ("7a", "", "", "")],
+        "location_id string, borough string, zone string, service_zone string",
+    )
+    assert tuples(enrich.zone_dimension(text)) == [(7, "Queens", "Astoria", "Boro Zone")]
+
+
+def test_small_dimension_is_broadcast_and_a_large_one_is_not(spark, conf):
+    trips = raw(spark, {}).repartition(2)
+    dimension = zones(spark).limit(5)
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    assert "BroadcastHashJoin" not in plan(enrich.fact_trips(trips, dimension))
+    conf(spark__sql__autoBroadcastJoinThreshold="10485760")
+    assert "BroadcastHashJoin" in plan(enrich.fact_trips(trips, dimension))

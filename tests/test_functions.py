@@ -1,0 +1,109 @@
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from tests.rows import tuples
+from tripflow.functions import exact, labels, wallclock
+from tripflow.functions.naming import named
+
+MONEY = st.decimals(min_value=-9999, max_value=9999, places=2, allow_nan=False)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(values=st.lists(st.one_of(st.none(), MONEY), min_size=1, max_size=40))
+def test_sum_and_mean_are_exact(spark, values):
+    frame = spark.createDataFrame(
+        [(None if v is None else float(v),) for v in values], "x double"
+    ).repartition(3)
+    total, mean = frame.agg(
+        *named(total=exact.exact_sum("x"), mean=exact.exact_mean("x"))
+    ).collect()[0]
+    present = [v for v in values if v is not None]
+    if not present:
+        assert total is None and mean is None
+    else:
+        assert total == sum(present)
+        assert mean == pytest.approx(float(sum(present) / len(present)), abs=1e-9)
+
+
+def test_sum_of_many_equal_cents_has_no_drift(spark):
+    frame = spark.range(0, 1_000_000, 1, 4).selectExpr("0.1D AS x")
+    assert frame.agg(*named(t=exact.exact_sum("x"))).collect()[0][0] == Decimal("100000")
+
+
+def test_values_that_are_not_numbers_are_missing(spark):
+    rows = [(1.5,), (float("nan"),), (float("inf"),), (None,)]
+    frame = spark.createDataFrame(rows, "x double")
+    got = frame.agg(*named(t=exact.exact_sum("x"), m=exact.exact_mean("x"))).collect()[0]
+    assert (float(got.t), got.m) == (1.5, 1.5)
+
+
+@pytest.mark.parametrize("value", ["1.005", "2.675", "0.125", "-1.005", "50.8333333"])
+def test_rounding_is_half_up_on_the_decimal(spark, value):
+    got = spark.range(1).selectExpr(exact.round_half_up(f"{value}D")).collect()[0][0]
+    assert got == float(Decimal(value).quantize(Decimal("0.01"), ROUND_HALF_UP))
+
+
+def test_percent_of_rows_ignores_null_conditions_but_counts_the_rows(spark):
+    frame = spark.createDataFrame([(1,), (2,), (None,)], "code int")
+    got = frame.agg(
+        *named(
+            one=exact.percent_of_rows("code = 1"),
+            other=exact.percent_of_rows("code NOT IN (1, 2)"),
+        )
+    )
+    assert tuples(got) == [(33.33, 0.0)]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_times_do_not_bend_at_the_clock_change(spark, conf, zone):
+    conf(spark__sql__session__timeZone=zone)
+    frame = spark.createDataFrame(
+        [("2026-03-08 01:59:00.900000", "2026-03-08 03:01:00.100000")], "a string, b string"
+    ).selectExpr(
+        f"{wallclock.parse_wall_clock('a')} AS a", f"{wallclock.parse_wall_clock('b')} AS b"
+    )
+    got = frame.selectExpr(
+        wallclock.minutes_between("a", "b"),
+        wallclock.format_wall_clock("a"),
+        "hour(b)",
+        f"CAST({wallclock.from_wall_seconds(wallclock.wall_seconds('b'))} AS STRING)",
+    )
+    assert tuples(got) == [(62.0, "2026-03-08 01:59:00.000000", 3, "2026-03-08 03:01:00")]
+
+
+def test_an_hour_that_the_zone_skips_survives(spark, conf):
+    conf(spark__sql__session__timeZone="America/New_York")
+    got = spark.range(1).selectExpr(
+        f"hour({wallclock.parse_wall_clock(chr(39) + '2026-03-08 02:30:00' + chr(39))})"
+    )
+    assert tuples(got) == [(2,)]
+
+
+@pytest.mark.parametrize("text", ["garbage", "2026-01-01", "2026-13-01 00:00:00", "", None])
+def test_bad_times_become_null(spark, text):
+    frame = spark.createDataFrame([(text,)], "t string")
+    assert tuples(frame.selectExpr(wallclock.parse_wall_clock("t"))) == [(None,)]
+
+
+def test_fraction_digits_are_kept_in_text(spark):
+    frame = spark.sql("SELECT TIMESTAMP_NTZ'2026-01-01 00:00:00.0304' AS t")
+    assert tuples(frame.selectExpr(wallclock.format_wall_clock("t"))) == [
+        ("2026-01-01 00:00:00.030400",)
+    ]
+
+
+def test_payment_labels(spark):
+    codes = [(1,), (2,), (3,), (4,), (5,), (0,), (None,)]
+    frame = spark.createDataFrame(codes, "code int").selectExpr(labels.payment_label("code"))
+    assert [r[0] for r in frame.collect()] == [
+        "Card", "Cash", "NoCharge", "Dispute", "Other", "Other", "Other",
+    ]
+
+
+def test_literals_are_escaped(spark):
+    tricky = "O'Hare \\ x"
+    frame = spark.createDataFrame([(1,)], "code int")
+    assert tuples(frame.selectExpr(labels.lookup("code", {1: tricky}))) == [(tricky,)]
