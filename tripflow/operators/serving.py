@@ -21,15 +21,16 @@ def last_write_wins(puts: DataFrame, sequence: Sequence[str]) -> DataFrame:
     millions of times sends one row per task through the shuffle.
     """
     families = [name for name in puts.columns if name != "row_key"]
-    entry = f"struct({', '.join([*sequence, *families])})"
-    last = puts.filter("row_key IS NOT NULL").groupBy("row_key").agg(*named(last=f"max({entry})"))
-    return last.select("row_key", *(F.col(f"last.{name}").alias(name) for name in families))
+    entry = f"struct({', '.join(sequence) or '0'}) AS seq, struct({', '.join(families)}) AS cells"
+    puts = puts.filter("row_key IS NOT NULL")
+    last = puts.groupBy("row_key").agg(*named(last=f"max(struct({entry}))"))
+    return last.select("row_key", "last.cells.*")
 
 
 def upsert(table: DataFrame, puts: DataFrame) -> DataFrame:
     """``table`` after ``puts``: a put replaces the stored row of its key."""
     stacked = table.withColumn("_load", F.lit(0)).unionByName(puts.withColumn("_load", F.lit(1)))
-    return last_write_wins(stacked, ["_load AS load"]).drop("_load")
+    return last_write_wins(stacked, ["_load"]).drop("_load")
 
 
 def zone_lookup(zones: DataFrame) -> DataFrame:
@@ -76,7 +77,7 @@ def trip_by_zone(hotspots: DataFrame) -> DataFrame:
         "struct(CAST(trips AS STRING) AS trips, pu_borough AS borough, pu_zone AS zone) AS stats",
     )
     return last_write_wins(
-        puts, ["-CAST(stats.trips AS BIGINT) AS fewest", "stats.borough", "stats.zone"]
+        puts, ["-CAST(stats.trips AS BIGINT)", "stats.borough", "stats.zone"]
     )
 
 
