@@ -110,7 +110,7 @@ _RAW_OUT = f"""
     passenger_count, trip_distance, rate_code, 'N' AS store_fwd, pu_loc_id, do_loc_id, payment_type,
     fare_amount, CAST(0 AS DOUBLE) AS extra, CAST(0.5 AS DOUBLE) AS mta_tax, tip_amount,
     CAST(0 AS DOUBLE) AS tolls_amount, CAST(1 AS DOUBLE) AS improvement_surcharge, total_amount,
-    CAST(2.5 AS DOUBLE) AS congestion_surcharge, CAST(NULL AS DOUBLE) AS airport_fee"""
+    CAST(2.5 AS DOUBLE) AS congestion_surcharge, CAST(0 AS DOUBLE) AS airport_fee"""
 
 _DERIVED_OUT = """
     pickup_hour, pickup_day, pickup_month, pickup_year, duration_min, passenger_count,

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     # Trip times are wall-clock values kept as TIMESTAMP_NTZ; pinning the zone
@@ -52,6 +53,22 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="tripflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return tempfile.mkdtemp(prefix="tripflow-")
+
+
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A fresh folder for one run's state under the shared folder."""
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def written_once(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    For a frame that several branches of one query consume: it is computed
+    once, its lineage ends at files every executor can read, and a lost
+    executor costs a re-read instead of a re-computation.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

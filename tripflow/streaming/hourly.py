@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.functions.wallclock import from_wall_seconds, wall_seconds
-from tripflow.session import shared_folder
 
 
 def read_feed(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -78,7 +76,3 @@ def latest_counts(spark: SparkSession, folder: str, keys: Sequence[str]) -> Data
         F.max_by("n_events", "epoch").alias("n_events")
     )
 
-
-def new_folder(spark: SparkSession) -> str:
-    """A fresh folder for one stream's checkpoint and counts."""
-    return f"{shared_folder(spark)}/hourly-{uuid.uuid4().hex}"
