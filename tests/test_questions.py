@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.rows import fact, plan, tuples, zones
-from tripflow.operators import counts, extensions, questions
+from tripflow.operators import clean, counts, extensions, questions
 
 
 def test_hotspots_merge_zones_of_one_name(spark):
@@ -108,6 +108,17 @@ def test_zone_hours_count_text_rows(spark):
     assert tuples(counts.top_zone_hours(zone_hours, 1)) == [("132", "07", 2)]
 
 
+def test_zone_hours_from_typed_times_are_the_same(spark):
+    text = spark.createDataFrame(
+        [("2026-03-08 02:30:00.000000", 1), ("2026-03-08 12:00:00.000000", 1), (None, 1), ("2026-03-08 02:31:00.000000", None)],
+        "pickup_dt string, pu_loc_id int",
+    )
+    typed = text.withColumn("pickup_dt", F.expr("CAST(pickup_dt AS TIMESTAMP_NTZ)"))
+    assert sorted(tuples(counts.trips_per_zone_hour(typed))) == [("1", "02", 1), ("1", "12", 1)]
+    assert sorted(tuples(counts.trips_per_zone_hour(text))) == [("1", "02", 1), ("1", "12", 1)]
+    assert tuples(clean.row_quality(typed)) == tuples(clean.row_quality(text)) == [(2, 2)]
+
+
 def test_zone_hours_by_name_equal_hotspots(spark, tables):
     from tripflow.plans import catalog
     from tripflow.sources import orderbook

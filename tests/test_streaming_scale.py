@@ -5,7 +5,7 @@ import pytest
 from tests.rows import FACT, plan, tuples, zones
 from tripflow import session
 from tripflow.operators import enrich, questions
-from tripflow.plans import catalog
+from tripflow.plans import catalog, oracle
 from tripflow.schema import FACT_SCHEMA
 from tripflow.sources import orderbook
 from tripflow.streaming import hourly
@@ -121,6 +121,44 @@ def test_a_hot_zone_is_split_when_the_dimension_is_large(spark, conf):
     assert "skew=true" in result._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_hot_order_customer_and_supplier_are_split(spark, conf, tables, tmp_path):
+    """One order owns a third of the lines, one customer and one supplier likewise."""
+    duckdb = pytest.importorskip("duckdb")
+    hot = str(tmp_path)
+    read = lambda name: spark.read.parquet(f"{tables}/{name}.parquet")
+    lines = read("lineitem").crossJoin(spark.range(8).withColumnRenamed("id", "copy"))
+    third = "(l_partkey + l_linenumber + copy) % 3 = 0"
+    lines.selectExpr(
+        f"CASE WHEN {third} THEN 7 ELSE l_orderkey END AS l_orderkey",
+        "l_partkey",
+        f"CASE WHEN {third} THEN 3 ELSE l_suppkey END AS l_suppkey",
+        *(c for c in lines.columns[3:] if c != "copy"),
+    ).repartition(8).write.parquet(f"{hot}/lineitem.parquet")
+    read("orders").selectExpr(
+        "o_orderkey", "CASE WHEN o_orderkey % 3 = 0 THEN 5 ELSE o_custkey END AS o_custkey",
+        "o_orderdate", "o_orderpriority",
+    ).repartition(8).write.parquet(f"{hot}/orders.parquet")
+    for name in ("customer", "supplier", "nation", "region"):
+        read(name).write.parquet(f"{hot}/{name}.parquet")
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__shuffle__partitions="16",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="4k",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="2k",
+    )
+    result = catalog.queries()["q1_hotspots"](spark, hot)
+    got = sorted(tuples(result))
+    executed = result._jdf.queryExecution().executedPlan().toString()
+    assert executed.count("skew=true") >= 2
+
+    con = duckdb.connect()
+    for name in ("lineitem", "orders", "customer", "supplier", "nation", "region"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{hot}/{name}.parquet/*.parquet'")
+    assert got == sorted(con.execute(oracle.oracle_sql()["q1_hotspots"]).fetchall())
+
+
 def test_a_hot_group_combines_before_the_shuffle(spark):
     hot = spark.range(0, 30000, 1, 8).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 'Queens' ELSE concat('b', id % 7) END AS pu_borough",

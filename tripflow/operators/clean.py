@@ -9,6 +9,7 @@ from tripflow.functions.exact import percent
 from tripflow.functions.labels import UNKNOWN_RATE_CODE
 from tripflow.functions.naming import named
 from tripflow.functions.wallclock import hour_text
+from tripflow.schema import is_text
 
 # What a trip must satisfy, with strict and inclusive bounds as
 # written. A rule with a null operand is not satisfied.
@@ -66,16 +67,16 @@ def flag_unknown_rate(trips: DataFrame) -> DataFrame:
     return trips.selectExpr("*", f"(rate_code = {UNKNOWN_RATE_CODE}) IS TRUE AS unknown_rate")
 
 
-# TRUE where a text row can be counted by zone and hour, never null.
-COUNTABLE = (
-    "(length(pickup_dt) >= 13"
-    f" AND try_cast({hour_text('pickup_dt')} AS INT) IS NOT NULL"
-    " AND try_cast(CAST(pu_loc_id AS STRING) AS INT) IS NOT NULL) IS TRUE"
-)
+def countable(trips: DataFrame) -> str:
+    """TRUE where a row can be counted by zone and hour, never null."""
+    zone = "try_cast(CAST(pu_loc_id AS STRING) AS INT) IS NOT NULL"
+    if not is_text(trips, "pickup_dt"):
+        return f"(pickup_dt IS NOT NULL AND {zone})"
+    hour = f"try_cast({hour_text('pickup_dt')} AS INT) IS NOT NULL"
+    return f"(length(pickup_dt) >= 13 AND {hour} AND {zone}) IS TRUE"
 
 
 def row_quality(trips: DataFrame) -> DataFrame:
     """One row: how many rows the zone-hour count takes and how many it skips."""
-    return trips.agg(
-        *named(rows_ok=f"count_if({COUNTABLE})", rows_bad=f"count_if(NOT ({COUNTABLE}))")
-    )
+    good = countable(trips)
+    return trips.agg(*named(rows_ok=f"count_if({good})", rows_bad=f"count_if(NOT ({good}))"))

@@ -11,17 +11,21 @@ from pyspark.sql import functions as F
 from tripflow.functions.labels import literal
 from tripflow.functions.naming import TRIPS, named
 from tripflow.functions.wallclock import hour_text
-from tripflow.operators.clean import COUNTABLE
+from tripflow.operators.clean import countable
+from tripflow.schema import is_text
 
 
 def trips_per_zone_hour(trips: DataFrame) -> DataFrame:
-    """Trips per pickup zone id and hour, both as text, from the text layout.
+    """Trips per pickup zone id and two-digit hour, both as text.
 
+    The hour is cut out of a text time as it stands, or taken from a typed one.
     Rows that cannot be counted are skipped; ``row_quality`` reports them.
     """
+    text = is_text(trips, "pickup_dt")
+    hour = hour_text("pickup_dt") if text else "lpad(CAST(hour(pickup_dt) AS STRING), 2, '0')"
     return (
-        trips.filter(COUNTABLE)
-        .groupBy("pu_loc_id", *named(hour=hour_text("pickup_dt")))
+        trips.filter(countable(trips))
+        .groupBy("pu_loc_id", *named(hour=hour))
         .agg(*named(**TRIPS))
         .selectExpr("CAST(pu_loc_id AS STRING) AS pu_loc_id", "hour", "trips")
     )

@@ -7,21 +7,17 @@ from pyspark.sql import functions as F
 
 from tripflow.functions.labels import known_place
 from tripflow.functions.wallclock import format_wall_clock, minutes_between, parse_wall_clock
-from tripflow.schema import FACT_COLUMNS
-
-
-def _is_text(df: DataFrame, name: str) -> bool:
-    return df.schema[name].dataType.typeName() == "string"
+from tripflow.schema import FACT_COLUMNS, is_text
 
 
 def moment(df: DataFrame, name: str) -> str:
     """Time column ``name`` as TIMESTAMP_NTZ, parsed only if it is text."""
-    return parse_wall_clock(name) if _is_text(df, name) else name
+    return parse_wall_clock(name) if is_text(df, name) else name
 
 
 def time_text(df: DataFrame, name: str) -> str:
     """Time column ``name`` as text, formatted only if it is typed."""
-    return name if _is_text(df, name) else format_wall_clock(name)
+    return name if is_text(df, name) else format_wall_clock(name)
 
 
 def with_text_times(trips: DataFrame) -> DataFrame:

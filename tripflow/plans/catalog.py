@@ -335,7 +335,7 @@ def revenue_by_distance(spark, sf_dir):
 @query
 def stream_hourly_counts(spark, sf_dir):
     path = orderbook.table_path(sf_dir, "events")
-    events = hourly.read_feed(spark, path, orderbook.TABLE_SCHEMAS["events"])
+    events = hourly.read_feed(spark, path, orderbook.table_schema(spark, sf_dir, "events"))
     folder = new_folder(spark, "hourly")
     counted = hourly.run_hourly_counts(events, "ts", ["event_type"], folder)
     return counted.withColumn("hour_start", F.col("hour_start").cast("string"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tripflow.functions.labels import AIRPORTS
 from tripflow.operators import counts, questions, serving
 from tripflow.operators.clean import KEPT_PCT, clean_trips_counted
-from tripflow.operators.enrich import fact_trips, with_text_times
+from tripflow.operators.enrich import fact_trips
 from tripflow.sinks import tables
 from tripflow.sources import files
 
@@ -80,7 +80,7 @@ def run_month(
         stored = spark.table(f"{schema}.{name}")
         tables.export_text(stored, f"{root}/results/{name}", one_file=True)
 
-    clean = with_text_times(files.read_trips(spark, f"{root}/clean/trips"))
+    clean = files.read_trips(spark, f"{root}/clean/trips")
     tables.store(
         counts.trips_per_zone_hour(clean), f"{root}/results/trips_per_zone_hour", "overwrite"
     )

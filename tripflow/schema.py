@@ -147,6 +147,10 @@ RESULT_SCHEMAS: dict[str, T.StructType] = {
 }
 
 
+def is_text(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, T.StringType)
+
+
 class ContractError(ValueError):
     """A source file lacks columns the engine needs."""
 

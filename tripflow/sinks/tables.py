@@ -2,44 +2,48 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow.schema import conform
 
-_MONTH_IN_NAME = r"(\d{4})-(\d{2})"
+_MONTH_IN_NAME = re.compile(r"(\d{4})-(0[1-9]|1[0-2])(?=\.|$)")
 
 
 def _quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
 
+def file_month(path: str) -> tuple[str, str]:
+    """Year and month in a name such as ``trips_2026-01.parquet``."""
+    found = _MONTH_IN_NAME.search(path.rstrip("/").rsplit("/", 1)[-1])
+    if not found:
+        raise ValueError(f"{path}: no YYYY-MM in the file name")
+    return found.group(1), found.group(2)
+
+
 def land_months(spark: SparkSession, paths: Iterable[str], root: str) -> None:
     """Land source files under ``root/year=YYYY/month=MM``.
 
-    The month is that of the file's name, whatever the rows say. Only the
-    months being landed are replaced, so a month can be landed again. All
-    files go through one job; each scan task reads one file and so writes one
-    partition, and nothing is shuffled.
+    The month is the one in the name of the given file or folder, whatever the
+    rows say. Only the months being landed are replaced, so a month can be
+    landed again. All months go through one job; each scan task reads one
+    month and so writes one partition, and nothing is shuffled.
     """
-    file_name = F.col("_metadata.file_name")
-    months = {
-        "year": F.regexp_extract(file_name, _MONTH_IN_NAME, 1),
-        "month": F.regexp_extract(file_name, _MONTH_IN_NAME, 2),
-    }
-    landed = [
-        conform(spark.read.parquet(path).withColumns(months), path, keep=tuple(months))
-        for path in paths
-    ]
+    landed = []
+    for path in paths:
+        year, month = file_month(path)
+        months = (f"'{year}' AS year", f"'{month}' AS month")
+        landed.append(conform(spark.read.parquet(path), path, keep=months))
     (
         reduce(DataFrame.unionByName, landed)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*months)
+        .partitionBy("year", "month")
         .parquet(root)
     )
 

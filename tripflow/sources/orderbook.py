@@ -9,8 +9,11 @@ refunds, and drop-offs before the pickup.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripflow.functions.wallclock import from_wall_seconds, wall_seconds
 from tripflow.operators.enrich import zone_dimension
@@ -22,18 +25,31 @@ AIRPORT_ZONES: dict[int, str] = {1: "EWR", 13: "JFK", 21: "LGA"}
 MISSING_ZONE = 99
 
 
-# The columns this engine reads. Declared, so that opening a table reads no
-# footer and starts no schema inference job.
-TABLE_SCHEMAS: dict[str, str] = {
-    "region": "r_regionkey int, r_name string",
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
-    "customer": "c_custkey bigint, c_nationkey int",
-    "supplier": "s_suppkey bigint, s_nationkey int",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_orderpriority string",
-    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
-    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string",
-    "events": "ts timestamp_ntz, event_type string",
-    "documents": "text string",
+# The columns this engine reads and the types it computes with.
+TABLE_COLUMNS: dict[str, dict[str, str]] = {
+    "region": {"r_regionkey": "int", "r_name": "string"},
+    "nation": {"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"},
+    "customer": {"c_custkey": "bigint", "c_nationkey": "int"},
+    "supplier": {"s_suppkey": "bigint", "s_nationkey": "int"},
+    "orders": {
+        "o_orderkey": "bigint",
+        "o_custkey": "bigint",
+        "o_orderdate": "timestamp_ntz",
+        "o_orderpriority": "string",
+    },
+    "lineitem": {
+        "l_orderkey": "bigint",
+        "l_partkey": "bigint",
+        "l_suppkey": "bigint",
+        "l_linenumber": "int",
+        "l_quantity": "double",
+        "l_extendedprice": "double",
+        "l_discount": "double",
+        "l_tax": "double",
+        "l_returnflag": "string",
+    },
+    "events": {"ts": "timestamp_ntz", "event_type": "string"},
+    "documents": {"text": "string"},
 }
 
 
@@ -41,8 +57,23 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir}/{name}.parquet"
 
 
+@lru_cache(maxsize=256)
+def _footer_schema(application: str, path: str) -> T.StructType:
+    return SparkSession.active().read.parquet(path).schema
+
+
+def table_schema(spark: SparkSession, sf_dir: str, name: str) -> T.StructType:
+    """The needed columns as the files store them. A table's footer is read
+    once per application, not in every query."""
+    stored = _footer_schema(spark.sparkContext.applicationId, table_path(sf_dir, name))
+    return T.StructType([stored[column] for column in TABLE_COLUMNS[name]])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(table_path(sf_dir, name))
+    rows = spark.read.schema(table_schema(spark, sf_dir, name)).parquet(table_path(sf_dir, name))
+    return rows.selectExpr(
+        *(f"CAST({column} AS {kind}) AS {column}" for column, kind in TABLE_COLUMNS[name].items())
+    )
 
 
 def source_trips(spark: SparkSession, sf_dir: str) -> DataFrame:

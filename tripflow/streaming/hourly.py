@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripflow.functions.wallclock import from_wall_seconds, wall_seconds
 
 
-def read_feed(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_feed(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """A Parquet table as a stream, whether it is one file or a folder of files.
 
     The path is written as a glob that matches only itself, because the file
