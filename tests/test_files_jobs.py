@@ -110,12 +110,22 @@ def test_trip_text_is_tolerant(spark, tmp_path):
 
 
 def test_zone_file(spark, zone_file):
-    assert sorted(tuples(files.read_zones(spark, zone_file))) == [
+    complete = [
         (1, "EWR", "Newark Airport", "EWR"),
         (7, "Queens", "Astoria, upper", "Boro Zone"),
         (132, "Queens", "JFK Airport", "Airports"),
         (265, "N/A", "Outside of NYC", "N/A"),
     ]
+    assert sorted(tuples(files.read_zones(spark, zone_file, complete_only=True))) == complete
+    padded = tuples(files.read_zones(spark, zone_file).filter("location_id = 9"))
+    assert padded == [(9, "short", None, None)]
+    assert files.read_zones(spark, zone_file).count() == 5
+
+
+def test_source_values_that_do_not_fit_become_null(spark, tmp_path):
+    path = source_file(spark, str(tmp_path / "m"))
+    odd = spark.read.parquet(path).withColumn("payment_type", F.lit(9_999_999_999))
+    assert conform(odd).collect()[0].payment_type is None
 
 
 def test_missing_result_raises(spark, tmp_path):
@@ -186,11 +196,12 @@ def test_managed_external_and_partition_lifecycle(spark, tmp_path):
     assert spark.read.parquet(path).count() == 1
 
     dated = raw(spark, {"vendor_id": 2024}, {"vendor_id": 2026}).selectExpr(
-        "*", "CAST(vendor_id AS STRING) AS year", "'01' AS month"
+        "*", "CAST(vendor_id AS STRING) AS year", "explode(array('01', '02')) AS month"
     )
     sinks.save_table(dated.coalesce(1), "life.landed", "parquet", ("year", "month"))
-    sinks.drop_partition(spark, "life.landed", year="2024", month="01")
-    sinks.drop_partition(spark, "life.landed", year="2024", month="01")
+    assert sinks.drop_partitions(spark, "life.landed", year="2024") == 2
+    assert sinks.drop_partitions(spark, "life.landed", year="2024") == 0
+    assert sinks.drop_partitions(spark, "life.landed", year="2026", month="01") == 1
     assert [r.year for r in spark.table("life.landed").select("year").distinct().collect()] == ["2026"]
 
 
@@ -218,13 +229,14 @@ def test_month_from_files_to_exports(spark, tmp_path, zone_file):
     assert tuples(spark.read.parquet(f"{root}/clean/quality_report")) == [(4, 3, 75.0)]
 
     stored = spark.table("monthly.fact_trips")
-    assert stored.count() == 3 and spark.table("monthly.dim_zone").count() == 4
+    assert stored.count() == 3 and spark.table("monthly.dim_zone").count() == 5
     for name in ("q1_hotspots", "q2_revenue_by_borough", "q3_congestion", "q4_airports", "q5_payment_share"):
         table = spark.table(f"monthly.{name}")
         exported = files.read_result(spark, name, f"{root}/results/{name}")
         assert sorted(tuples(exported), key=str) == sorted(tuples(table), key=str), name
         if name != "q4_airports":
             assert table.agg(F.sum("trips")).collect()[0][0] == 3
+    assert spark.read.parquet(f"{root}/serving/zone_lookup").count() == 4
     keys = [r.row_key for r in spark.read.parquet(f"{root}/serving/trip_by_zone").collect()]
     assert sorted(keys) == ["JFK_Airport_00", "Unknown_00"]
 

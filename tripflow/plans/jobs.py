@@ -85,7 +85,7 @@ def run_month(
         counts.trips_per_zone_hour(clean), f"{root}/results/trips_per_zone_hour", "overwrite"
     )
     keyed = {
-        "zone_lookup": serving.zone_lookup(zones),
+        "zone_lookup": serving.zone_lookup(files.read_zones(spark, zone_path, complete_only=True)),
         "trip_by_zone": serving.trip_by_zone(spark.table(f"{schema}.q1_hotspots")),
     }
     for name, frame in keyed.items():

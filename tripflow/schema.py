@@ -160,13 +160,13 @@ def conform(df: DataFrame, origin: str = "source", keep: tuple[str, ...] = ()) -
 
     Missing columns stop the job and are all named; further columns are
     dropped unless named in ``keep``; the contract columns come out renamed,
-    typed and in order.
+    typed and in order. A value that does not fit its type becomes null.
     """
     present = set(df.columns)
     missing = [name for name in SOURCE_COLUMNS if name not in present]
     if missing:
         raise ContractError(f"{origin}: missing expected column(s): {', '.join(missing)}")
     return df.selectExpr(
-        *(f"CAST(`{source}` AS {kind}) AS {name}" for source, name, kind in SOURCE_CONTRACT),
+        *(f"try_cast(`{source}` AS {kind}) AS {name}" for source, name, kind in SOURCE_CONTRACT),
         *keep,
     )

@@ -75,10 +75,19 @@ def register_external(spark: SparkSession, name: str, path: str, schema: T.Struc
     )
 
 
-def drop_partition(spark: SparkSession, name: str, **values: str) -> None:
-    """Remove one partition, e.g. ``drop_partition(spark, "trips", year="2024", month="01")``."""
-    spec = ", ".join(f"{column}='{value}'" for column, value in values.items())
-    spark.sql(f"ALTER TABLE {_quoted(name)} DROP IF EXISTS PARTITION ({spec})")
+def drop_partitions(spark: SparkSession, name: str, **values: str) -> int:
+    """Remove the partitions with these values; returns how many there were.
+
+    ``drop_partitions(spark, "raw.trips", year="2024")`` removes the whole
+    year, with its files when the table is managed.
+    """
+    given = ", ".join(f"{column} = '{value}'" for column, value in values.items())
+    found = spark.sql(f"SHOW PARTITIONS {_quoted(name)} PARTITION ({given})").collect()
+    for row in found:
+        parts = (part.split("=", 1) for part in row.partition.split("/"))
+        spec = ", ".join(f"{column} = '{value}'" for column, value in parts)
+        spark.sql(f"ALTER TABLE {_quoted(name)} DROP IF EXISTS PARTITION ({spec})")
+    return len(found)
 
 
 def export_text(df: DataFrame, path: str, one_file: bool = False) -> None:

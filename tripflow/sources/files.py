@@ -19,7 +19,10 @@ from tripflow.schema import (
 )
 
 _ZONE_TEXT = T.StructType(
-    [T.StructField(name, T.StringType()) for name in ("location_id", "borough", "zone", "service_zone")]
+    [
+        T.StructField(name, T.StringType())
+        for name in ("location_id", "borough", "zone", "service_zone", "malformed")
+    ]
 )
 
 
@@ -72,16 +75,23 @@ def read_trips(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_zones(spark: SparkSession, path: str) -> DataFrame:
+def read_zones(spark: SparkSession, path: str, complete_only: bool = False) -> DataFrame:
     """Zone dimension from its CSV file with header and quoted fields.
 
-    Rows with fewer than four fields and rows without a numeric key are left
-    out; the text ``N/A`` is data and stays.
+    Rows without a numeric key are left out and the text ``N/A`` stays, because
+    it is data. A row with fewer than four fields is padded with nulls, or left
+    out with ``complete_only``, as the serving load wants it.
     """
     text = (
-        spark.read.schema(_ZONE_TEXT).option("header", True).option("mode", "PERMISSIVE").csv(path)
+        spark.read.schema(_ZONE_TEXT)
+        .option("header", True)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "malformed")
+        .csv(path)
     )
-    return zone_dimension(text.filter(F.col("service_zone").isNotNull()))
+    if complete_only:
+        text = text.filter("malformed IS NULL OR service_zone IS NOT NULL")
+    return zone_dimension(text)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:

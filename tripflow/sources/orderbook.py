@@ -9,8 +9,6 @@ refunds, and drop-offs before the pickup.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,16 +55,17 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir}/{name}.parquet"
 
 
-@lru_cache(maxsize=256)
-def _footer_schema(application: str, path: str) -> T.StructType:
-    return SparkSession.active().read.parquet(path).schema
+_FOOTERS: dict[tuple[str, str], T.StructType] = {}
 
 
 def table_schema(spark: SparkSession, sf_dir: str, name: str) -> T.StructType:
     """The needed columns as the files store them. A table's footer is read
     once per application, not in every query."""
-    stored = _footer_schema(spark.sparkContext.applicationId, table_path(sf_dir, name))
-    return T.StructType([stored[column] for column in TABLE_COLUMNS[name]])
+    path = table_path(sf_dir, name)
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _FOOTERS:
+        _FOOTERS[key] = spark.read.parquet(path).schema
+    return T.StructType([_FOOTERS[key][column] for column in TABLE_COLUMNS[name]])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
