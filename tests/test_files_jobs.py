@@ -109,6 +109,21 @@ def test_trip_text_is_tolerant(spark, tmp_path):
     assert tuples(counts.trips_per_zone_hour(lines)) == [("239", "00", 3)]
 
 
+def test_known_text_lines(spark, tmp_path):
+    # Three lines of a January file; the second and third carry
+    # no passenger.
+    lines = [
+        '2,2026-01-01 00:54:04.000000,2026-01-01 00:59:37.000000,1,0.97,1,"N",239,238,1,7.2,1,0.5,3.66,0,1,15.86,2.5,0',
+        '1,2026-01-01 00:34:04.000000,2026-01-01 00:39:47.000000,0,0.9,1,"N",163,162,2,7.9,4.25,0.5,0,0,1,13.65,2.5,0',
+        '1,2026-01-01 00:57:06.000000,2026-01-01 01:05:59.000000,0,1.4,1,"N",43,237,1,10.7,4.25,0.5,2.5,0,1,18.95,2.5,0',
+    ]
+    (tmp_path / "trips.csv").write_text("\n".join(lines) + "\n")
+    trips = files.read_trips_text(spark, str(tmp_path / "trips.csv"))
+    assert tuples(clean.quality_counts(trips)) == [(3, 1, 33.33)]
+    derived = enrich.derive(trips).selectExpr("round(duration_min, 2)", "round(tip_pct, 2)")
+    assert tuples(derived) == [(5.55, 50.83), (5.72, 0.0), (8.88, 23.36)]
+
+
 def test_zone_file(spark, zone_file):
     complete = [
         (1, "EWR", "Newark Airport", "EWR"),

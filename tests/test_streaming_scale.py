@@ -42,6 +42,26 @@ def test_stream_continues_from_its_checkpoint(spark, tmp_path):
     assert as_text(batch) == as_text(second)
 
 
+def test_an_empty_feed_has_an_empty_result(spark, tmp_path):
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    stream = spark.readStream.schema(FEED).parquet(str(feed))
+    counted = hourly.run_hourly_counts(stream, "ts", ["event_type"], str(tmp_path / "state"))
+    assert as_text(counted) == []
+
+
+def test_trips_as_a_stream_equal_the_batch_count(spark, tables, tmp_path):
+    feed = str(tmp_path / "trips")
+    orderbook.raw_trips(spark, tables).repartition(3).write.parquet(feed)
+    batch = spark.read.parquet(feed)
+    stream = spark.readStream.schema(batch.schema).parquet(feed)
+    keys = ["pu_loc_id"]
+    streamed = hourly.run_hourly_counts(stream, "pickup_dt", keys, str(tmp_path / "state"))
+    expected = hourly.hourly_counts(batch, "pickup_dt", keys)
+    assert streamed.exceptAll(expected).count() == 0 == expected.exceptAll(streamed).count()
+    assert streamed.agg({"n_events": "sum"}).collect()[0][0] == 6000
+
+
 def test_rows_behind_the_watermark_are_late(spark, tmp_path):
     feed, folder = str(tmp_path / "feed"), str(tmp_path / "state")
     stream = lambda: hourly.read_feed(spark, feed, FEED)

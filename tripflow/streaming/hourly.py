@@ -55,13 +55,16 @@ def run_hourly_counts(
     same folder continues from the checkpoint.
     """
     spark = events.sparkSession
+    counted = hourly_counts(events, time, keys, lateness)
+    # A feed without any event yet still has a (empty) result to read.
+    nothing = spark.createDataFrame([], counted.schema)
+    nothing.write.mode("ignore").parquet(f"{folder}/counts/epoch=-1")
 
     def write_epoch(changed: DataFrame, epoch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{folder}/counts/epoch={epoch}")
 
     query = (
-        hourly_counts(events, time, keys, lateness)
-        .writeStream.outputMode("update")
+        counted.writeStream.outputMode("update")
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True)
         .foreachBatch(write_epoch)
@@ -76,4 +79,3 @@ def latest_counts(spark: SparkSession, folder: str, keys: Sequence[str]) -> Data
     return written.groupBy("hour_start", *keys).agg(
         F.max_by("n_events", "epoch").alias("n_events")
     )
-
