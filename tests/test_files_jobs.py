@@ -258,3 +258,25 @@ def test_month_from_files_to_exports(spark, tmp_path, zone_file):
     # Running the month again gives the same tables.
     assert jobs.run_month(spark, [source], zone_file, root, schema="monthly", min_trips=1) == counted
     assert spark.table("monthly.q1_hotspots").count() == 2
+
+
+def test_command_line_and_dashboard(spark, tmp_path, zone_file, capsys):
+    from tripflow.__main__ import main
+    from tripflow.plans.dashboard import dashboard
+
+    late = {"pickup_dt": "2026-01-01 18:10:00.000000", "dropoff_dt": "2026-01-01 18:30:00.000000"}
+    rows = [{}, {**late, "pu_loc_id": 132, "do_loc_id": 7}, {**late, "pu_loc_id": 1, "do_loc_id": 7}]
+    source = source_file(spark, str(tmp_path / "trips_2026-01.parquet"), rows=rows)
+    root = str(tmp_path / "out")
+    main(["month", "--zones", zone_file, "--root", root, "--schema", "cli", "--min-trips", "1", source])
+    assert "kept 3 of 3 trips" in capsys.readouterr().out
+
+    panels = dashboard(spark, root)
+    assert panels["headline"].collect()[0].total_trips == 3
+    assert [r.pu_zone for r in panels["hotspots"].collect()] == ["Newark Airport", "JFK Airport"]
+    assert [r.destination_zone for r in panels["destinations"].collect()] == ["Astoria, upper"]
+    assert tuples(panels["congestion"]) == [(0, 5.72), (18, 20.62)]
+    assert panels["slowest_pairs"].count() == 3
+    assert panels["payment_share"].count() == 9
+    main(["dashboard", "--root", root, "--hour", "0"])
+    assert "Unknown" in capsys.readouterr().out

@@ -19,7 +19,6 @@ _DEFAULTS = {
     # Split them even where a later grouping would have reused the partitioning.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.sources.default": "parquet",
     # Streaming state lives on disk, not in the executor heap.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming"
