@@ -72,6 +72,16 @@ def test_rows_behind_the_watermark_are_late(spark, tmp_path):
     assert as_text(late) == [("2026-01-01 09:00:00", "a", 1), ("2026-01-01 10:00:00", "a", 1)]
 
 
+@pytest.mark.parametrize(
+    "size, cores, scan_mib, shuffles",
+    [(10**9, 8, 128, 16), (10**12, 400, 128, 2000), (10**14, 8000, 128, 46567), (10**14, 500, 1024, 46567)],
+)
+def test_partitions_grow_with_the_input(size, cores, scan_mib, shuffles):
+    options = session.sizing(size, cores)
+    assert int(options["spark.sql.files.maxPartitionBytes"]) // 2**20 == scan_mib
+    assert int(options["spark.sql.shuffle.partitions"]) == shuffles
+
+
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert session.new_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))

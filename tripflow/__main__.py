@@ -24,6 +24,8 @@ def _arguments(given: list[str] | None) -> argparse.Namespace:
     month.add_argument("--root", required=True, help="output folder")
     month.add_argument("--schema", default="trip_analytics")
     month.add_argument("--min-trips", type=int, default=20)
+    month.add_argument("--input-gb", type=float, help="size of the sources, to size partitions")
+    month.add_argument("--cores", type=int, default=8, help="cores of the cluster")
     shown = commands.add_parser("dashboard", help="show the report frames")
     shown.add_argument("--root", required=True, help="output folder of the month command")
     shown.add_argument("--hour", type=int, default=18, choices=range(24), metavar="0-23")
@@ -33,13 +35,15 @@ def _arguments(given: list[str] | None) -> argparse.Namespace:
 
 def main(given: list[str] | None = None) -> None:
     args = _arguments(given)
-    spark = build_session()
     if args.command == "month":
+        size = None if args.input_gb is None else int(args.input_gb * 1e9)
+        spark = build_session(input_bytes=size, cores=args.cores)
         counted = run_month(
             spark, args.sources, args.zones, args.root, args.schema, min_trips=args.min_trips
         )
         print(f"kept {counted['clean_rows']} of {counted['raw_rows']} trips")
     else:
+        spark = build_session()
         for panel, frame in dashboard(spark, args.root, args.hour, args.airport).items():
             print(panel)
             frame.show(50, truncate=False)

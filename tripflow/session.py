@@ -27,18 +27,47 @@ _DEFAULTS = {
 }
 
 
+_MIB = 1024 * 1024
+
+
+def sizing(input_bytes: int, cores: int) -> dict[str, str]:
+    """Partition options for a job over ``input_bytes`` of files on ``cores``.
+
+    Scan tasks read 128 MiB, or up to 1 GiB once that would mean more than a
+    hundred tasks per core. Shuffle partitions hold 256 MiB of input, or up to
+    2 GiB once that would mean more than five per core: more partitions would
+    cost the driver more in block bookkeeping than a sort that spills costs
+    an executor. Spark's own 200 would mean 500 GB each for 100 TB. Adaptive
+    execution merges partitions that turn out small.
+    """
+    scan = max(128 * _MIB, min(1024 * _MIB, input_bytes // (100 * cores)))
+    fine, coarse = (-(-input_bytes // (size * _MIB)) for size in (256, 2048))
+    shuffle = max(2 * cores, coarse, min(fine, 5 * cores))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(scan),
+        "spark.sql.shuffle.partitions": str(shuffle),
+    }
+
+
 def build_session(
-    app: str = "tripflow", master: str | None = None, **conf: str
+    app: str = "tripflow",
+    master: str | None = None,
+    input_bytes: int | None = None,
+    cores: int = 8,
+    **conf: str,
 ) -> SparkSession:
     """A session with the engine's defaults; ``conf`` overrides any of them.
 
-    Dots in option names are given as double underscores
+    ``input_bytes`` and ``cores`` size the partitions, see ``sizing``. Dots in
+    option names are given as double underscores
     (``spark__sql__shuffle__partitions="8"``).
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     options = dict(_DEFAULTS)
+    if input_bytes is not None:
+        options.update(sizing(input_bytes, cores))
     options.update({key.replace("__", "."): str(val) for key, val in conf.items()})
     for key, val in options.items():
         builder = builder.config(key, val)
