@@ -251,8 +251,8 @@ def test_month_from_files_to_exports(spark, tmp_path, zone_file):
         assert sorted(tuples(exported), key=str) == sorted(tuples(table), key=str), name
         if name != "q4_airports":
             assert table.agg(F.sum("trips")).collect()[0][0] == 3
-    assert spark.read.parquet(f"{root}/serving/zone_lookup").count() == 4
-    keys = [r.row_key for r in spark.read.parquet(f"{root}/serving/trip_by_zone").collect()]
+    assert spark.table("monthly.zone_lookup").count() == 4
+    keys = [r.row_key for r in spark.table("monthly.trip_by_zone").collect()]
     assert sorted(keys) == ["JFK_Airport_00", "Unknown_00"]
 
     # Running the month again gives the same tables.
@@ -260,6 +260,16 @@ def test_month_from_files_to_exports(spark, tmp_path, zone_file):
     assert spark.table("monthly.q1_hotspots").count() == 2
 
 
+def test_stored_keyed_table_is_upserted(spark):
+    sinks.create_schema(spark, "keyed")
+    first = spark.createDataFrame([("a", ("x",)), ("b", ("y",))], "row_key string, info struct<v string>")
+    again = spark.createDataFrame([("b", ("a",)), ("c", ("z",))], "row_key string, info struct<v string>")
+    jobs.upsert_table(spark, "keyed.t", first)
+    jobs.upsert_table(spark, "keyed.t", again)
+    got = spark.table("keyed.t").select("row_key", "info.v")
+    assert sorted(tuples(got)) == [("a", "x"), ("b", "a"), ("c", "z")]
+
+
 def test_command_line_and_dashboard(spark, tmp_path, zone_file, capsys):
     from tripflow.__main__ import main
     from tripflow.plans.dashboard import dashboard

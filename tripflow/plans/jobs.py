@@ -10,6 +10,7 @@ from tripflow.functions.labels import AIRPORTS
 from tripflow.operators import counts, questions, serving
 from tripflow.operators.clean import KEPT_PCT, clean_trips_counted
 from tripflow.operators.enrich import fact_trips
+from tripflow.session import written_once
 from tripflow.sinks import tables
 from tripflow.sources import files
 
@@ -52,6 +53,19 @@ def answers(
     }
 
 
+def upsert_table(spark: SparkSession, name: str, puts: DataFrame) -> None:
+    """Put keyed rows into a stored table: new keys are added, known ones replaced.
+
+    The merged rows are written aside first, since a table cannot be read
+    while it is being replaced. Stored sorted by key, so that a point read
+    skips the row groups of other keys.
+    """
+    merged = puts
+    if spark.catalog.tableExists(name):
+        merged = written_once(serving.upsert(spark.table(name), puts), "upsert")
+    tables.save_table(merged.sort("row_key"), name, "parquet")
+
+
 def run_month(
     spark: SparkSession,
     source_paths: Iterable[str],
@@ -84,11 +98,8 @@ def run_month(
     tables.store(
         counts.trips_per_zone_hour(clean), f"{root}/results/trips_per_zone_hour", "overwrite"
     )
-    keyed = {
-        "zone_lookup": serving.zone_lookup(files.read_zones(spark, zone_path, complete_only=True)),
-        "trip_by_zone": serving.trip_by_zone(spark.table(f"{schema}.q1_hotspots")),
-    }
-    for name, frame in keyed.items():
-        # Sorted by key, so a point read skips the row groups of other keys.
-        tables.store(frame.sort("row_key"), f"{root}/serving/{name}", "overwrite")
+    complete = files.read_zones(spark, zone_path, complete_only=True)
+    upsert_table(spark, f"{schema}.zone_lookup", serving.zone_lookup(complete))
+    hotspots = spark.table(f"{schema}.q1_hotspots")
+    upsert_table(spark, f"{schema}.trip_by_zone", serving.trip_by_zone(hotspots))
     return counted
