@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.rows import plan, raw, tuples, zones
-from tripflow.operators import clean, enrich
+from tripflow.operators import clean, enrich, joins
 from tripflow.schema import FACT_SCHEMA
 from tripflow.sinks import tables as sinks
 
@@ -148,10 +148,24 @@ def test_zone_keys_must_be_digits(spark):
     assert tuples(enrich.zone_dimension(text)) == [(7, "Queens", "Astoria", "Boro Zone")]
 
 
-def test_small_dimension_is_broadcast_and_a_large_one_is_not(spark, conf):
-    trips = raw(spark, {}).repartition(2)
-    dimension = zones(spark).limit(5)
+@pytest.mark.parametrize("bound", ["MAX_ROWS", "MAX_CHARACTERS"])
+def test_only_a_small_dimension_is_broadcast(spark, conf, monkeypatch, bound):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    assert "BroadcastHashJoin" not in plan(enrich.fact_trips(trips, dimension))
-    conf(spark__sql__autoBroadcastJoinThreshold="10485760")
-    assert "BroadcastHashJoin" in plan(enrich.fact_trips(trips, dimension))
+    trips = raw(spark, {}, {"pu_loc_id": 132}, {"pu_loc_id": 999})
+    small = enrich.fact_trips(trips, zones(spark))
+    assert "BroadcastHashJoin" in plan(small)
+    monkeypatch.setattr(joins, bound, 3)
+    large = enrich.fact_trips(trips, zones(spark))
+    assert "Broadcast" not in plan(large)
+    assert sorted(tuples(large)) == sorted(tuples(small))
+
+
+def test_a_dimension_is_measured_once(spark, monkeypatch, tables):
+    from tripflow.sources import orderbook
+
+    assert joins.is_small(orderbook.zones(spark, tables))
+    checked = len(joins._CHECKED)
+    assert joins.is_small(orderbook.zones(spark, tables))
+    assert len(joins._CHECKED) == checked
+    monkeypatch.setattr(joins, "MAX_ROWS", 24)
+    assert not joins.is_small(orderbook.zones(spark, tables))

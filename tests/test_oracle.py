@@ -5,6 +5,7 @@ import pytest
 duckdb = pytest.importorskip("duckdb")
 
 from tools.check_queries import compare, connect  # noqa: E402
+from tripflow.operators import joins  # noqa: E402
 from tripflow.plans import catalog, oracle  # noqa: E402
 
 
@@ -24,7 +25,8 @@ def test_query_agrees(spark, con, tables, name):
 
 
 @pytest.mark.parametrize("name", ["clean_trips", "q1_hotspots", "q4_airports", "kv_top_dropoffs"])
-def test_query_agrees_without_broadcast(spark, con, tables, conf, name):
+def test_query_agrees_without_broadcast(spark, con, tables, conf, monkeypatch, name):
+    monkeypatch.setattr(joins, "MAX_ROWS", 0)
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     good, note = compare(spark, con, name, tables)
     assert good, note

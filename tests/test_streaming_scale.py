@@ -4,7 +4,7 @@ import pytest
 
 from tests.rows import FACT, plan, tuples, zones
 from tripflow import session
-from tripflow.operators import enrich, questions
+from tripflow.operators import enrich, joins, questions
 from tripflow.plans import catalog, oracle
 from tripflow.schema import FACT_SCHEMA
 from tripflow.sources import orderbook
@@ -126,8 +126,9 @@ def test_order_lines_never_travel_by_broadcast(spark, tables):
     assert "SortMergeJoin" in text
 
 
-def test_a_hot_zone_is_split_when_the_dimension_is_large(spark, conf):
+def test_a_hot_zone_is_split_when_the_dimension_is_large(spark, conf, monkeypatch):
     """A third of the trips start in one zone; the shuffled join must split it."""
+    monkeypatch.setattr(joins, "MAX_ROWS", 0)
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__autoBroadcastJoinThreshold="-1",

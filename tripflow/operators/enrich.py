@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripflow.functions.labels import known_place
 from tripflow.functions.wallclock import format_wall_clock, minutes_between, parse_wall_clock
+from tripflow.operators.joins import broadcast_if_small
 from tripflow.schema import FACT_COLUMNS, is_text
 
 
@@ -63,9 +64,8 @@ def zone_dimension(zone_text: DataFrame) -> DataFrame:
 def attach_pickup_zone(derived: DataFrame, zones: DataFrame) -> DataFrame:
     """Left join on the pickup zone; trips without a zone row become 'Unknown'.
 
-    No broadcast hint: Spark broadcasts the dimension while its size estimate
-    is below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise runs a
-    shuffled join whose hot zones adaptive execution splits.
+    The dimension is broadcast after a check of its size, so the trips are not
+    shuffled; see ``joins`` for a dimension that is too large.
     """
     places = zones.selectExpr(
         "location_id AS zone_key", "borough AS zone_borough", "zone AS zone_name"
@@ -74,7 +74,7 @@ def attach_pickup_zone(derived: DataFrame, zones: DataFrame) -> DataFrame:
         "pu_borough": f"{known_place('zone_borough')} AS pu_borough",
         "pu_zone": f"{known_place('zone_name')} AS pu_zone",
     }
-    joined = derived.join(places, F.expr("pu_loc_id = zone_key"), "left")
+    joined = derived.join(broadcast_if_small(places), F.expr("pu_loc_id = zone_key"), "left")
     return joined.selectExpr(*(named.get(name, name) for name in FACT_COLUMNS))
 
 

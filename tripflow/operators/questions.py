@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tripflow.functions.exact import percent_of_rows, rounded_mean, rounded_sum
 from tripflow.functions.labels import AIRPORTS, lookup, payment_label
 from tripflow.functions.naming import TRIPS, named
+from tripflow.operators.joins import broadcast_if_small
 
 
 def hotspots(fact: DataFrame) -> DataFrame:
@@ -82,7 +83,7 @@ def airport_destinations(
     }
     return (
         fact.filter(F.col("pu_loc_id").isin(list(airports)))
-        .join(places, F.expr("do_loc_id = zone_key"), "inner")
+        .join(broadcast_if_small(places), F.expr("do_loc_id = zone_key"), "inner")
         .groupBy("pu_loc_id", "destination_zone", "destination_borough")
         .agg(*named(**TRIPS, **measures))
         .selectExpr(
