@@ -241,7 +241,8 @@ def test_month_from_files_to_exports(spark, tmp_path, zone_file):
     root = str(tmp_path / "house")
     counted = jobs.run_month(spark, [source], zone_file, root, schema="monthly", min_trips=1)
     assert counted == {"raw_rows": 4, "clean_rows": 3}
-    assert tuples(spark.read.parquet(f"{root}/clean/quality_report")) == [(4, 3, 75.0)]
+    report = spark.read.parquet(f"{root}/clean/quality_report")
+    assert tuples(report) == [("2026", "01", 4, 3, 75.0)]
 
     stored = spark.table("monthly.fact_trips")
     assert stored.count() == 3 and spark.table("monthly.dim_zone").count() == 5
@@ -259,6 +260,30 @@ def test_month_from_files_to_exports(spark, tmp_path, zone_file):
     assert jobs.run_month(spark, [source], zone_file, root, schema="monthly", min_trips=1) == counted
     assert spark.table("monthly.q1_hotspots").count() == 2
 
+    # The next month is added; the first is not touched.
+    def january():
+        return sorted(os.listdir(f"{root}/clean/trips_enriched/year=2026/month=01"))
+
+    before = january()
+    later = source_file(spark, str(tmp_path / "trips_2026-02.parquet"), rows=[{}, {}])
+    added = jobs.run_month(spark, [later], zone_file, root, schema="monthly", min_trips=1)
+    assert added == {"raw_rows": 2, "clean_rows": 2} and january() == before
+    per_month = spark.table("monthly.fact_trips").groupBy("year", "month").count()
+    assert sorted(tuples(per_month)) == [(2026, 1, 3), (2026, 2, 2)]
+    assert spark.table("monthly.q2_revenue_by_borough").agg(F.sum("trips")).collect()[0][0] == 5
+
+    # A month whose rows all fail leaves nothing of its former load behind.
+    os.makedirs(tmp_path / "again")
+    failing = source_file(spark, str(tmp_path / "again" / "trips_2026-02.parquet"), rows=[{"fare_amount": 0.0}])
+    jobs.run_month(spark, [failing], zone_file, root, schema="monthly", min_trips=1)
+    assert spark.table("monthly.fact_trips").count() == 3
+
+
+def test_two_files_of_one_month_are_landed_together(spark, tmp_path):
+    paths = [source_file(spark, str(tmp_path / f"{k}_2026-03.parquet")) for k in ("a", "b")]
+    assert sinks.land_months(spark, paths, str(tmp_path / "raw")) == [("2026", "03")]
+    assert spark.read.parquet(str(tmp_path / "raw")).count() == 2
+
 
 def test_stored_keyed_table_is_upserted(spark):
     sinks.create_schema(spark, "keyed")

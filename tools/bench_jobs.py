@@ -47,8 +47,9 @@ def main() -> None:
     step("prepare_text", lambda: many.drop("copy").write.csv(f"{root}/raw_text"))
 
     raw = files.read_trips_text(spark, f"{root}/raw_text")
-    counted = step("clean", lambda: jobs.run_clean(spark, raw, root))
-    step("enrich", lambda: jobs.run_enrich(spark, zones, root))
+    counted = step("clean", lambda: jobs.run_clean(spark, raw, f"{root}/clean/trips"))
+    clean = files.read_trips(spark, f"{root}/clean/trips")
+    step("enrich", lambda: jobs.run_enrich(spark, clean, zones, f"{root}/clean/trips_enriched"))
     fact = files.read_fact(spark, f"{root}/clean/trips_enriched")
     step("count_fact", fact.count)
     for name, result in jobs.answers(fact, zones, orderbook.AIRPORT_ZONES).items():
@@ -56,7 +57,6 @@ def main() -> None:
     for name in jobs.answers(fact, zones):
         stored = spark.read.parquet(f"{root}/results/{name}")
         step(f"export_{name}", lambda r=stored, n=name: tables.export_text(r, f"{root}/export/{n}", True))
-    clean = files.read_trips(spark, f"{root}/clean/trips")
     step("trips_per_zone_hour", lambda: tables.store(counts.trips_per_zone_hour(clean), f"{root}/zone_hour"))
     print(json.dumps({"rows": counted, "seconds": seconds, "work_dir": root}))
     spark.stop()

@@ -10,31 +10,39 @@ from tripflow.functions.labels import AIRPORTS
 from tripflow.operators import counts, questions, serving
 from tripflow.operators.clean import KEPT_PCT, clean_trips_counted
 from tripflow.operators.enrich import fact_trips
+from tripflow.schema import FACT_SCHEMA
 from tripflow.session import written_once
 from tripflow.sinks import tables
+from tripflow.sinks.tables import Month
 from tripflow.sources import files
 
 
 def run_clean(
-    spark: SparkSession, raw: DataFrame, root: str, mode: str = "errorifexists"
+    spark: SparkSession, raw: DataFrame, path: str, mode: str = "errorifexists"
 ) -> dict[str, int]:
-    """Store the clean trips and append their counts to the quality report.
+    """Store the clean trips and return their counts.
 
     One pass over the raw data: the counts are observed while writing.
     """
     kept, before, after = clean_trips_counted(raw)
-    tables.store(kept, f"{root}/clean/trips", mode)
-    counted = {"raw_rows": before.get["rows"], "clean_rows": after.get["rows"]}
-    report = spark.createDataFrame([counted], "raw_rows bigint, clean_rows bigint")
-    tables.store(report.selectExpr("*", f"{KEPT_PCT} AS kept_pct"), f"{root}/clean/quality_report", "append")
-    return counted
+    tables.store(kept, path, mode)
+    return {"raw_rows": before.get["rows"], "clean_rows": after.get["rows"]}
+
+
+def report_counts(spark: SparkSession, month: Month, counted: dict[str, int], path: str) -> None:
+    """Append one load of one month to the quality report."""
+    row = spark.createDataFrame(
+        [(*month, counted["raw_rows"], counted["clean_rows"])],
+        "year string, month string, raw_rows bigint, clean_rows bigint",
+    )
+    tables.store(row.selectExpr("*", f"{KEPT_PCT} AS kept_pct"), path, "append")
 
 
 def run_enrich(
-    spark: SparkSession, zones: DataFrame, root: str, mode: str = "errorifexists"
+    spark: SparkSession, clean: DataFrame, zones: DataFrame, path: str, mode: str = "errorifexists"
 ) -> None:
-    clean = files.read_trips(spark, f"{root}/clean/trips")
-    tables.store(fact_trips(clean, zones), f"{root}/clean/trips_enriched", mode)
+    """Store the fact of some clean trips."""
+    tables.store(fact_trips(clean, zones), path, mode)
 
 
 def answers(
@@ -75,19 +83,30 @@ def run_month(
     airports: Mapping[int, str] = AIRPORTS,
     min_trips: int = 20,
 ) -> dict[str, int]:
-    """Everything from source files to exports under ``root``; returns the counts."""
-    tables.land_months(spark, source_paths, f"{root}/raw/trips")
-    raw = files.read_trips(spark, f"{root}/raw/trips").drop("year", "month")
-    counted = run_clean(spark, raw, root, mode="overwrite")
+    """Everything from source files to exports under ``root``; returns the counts.
 
+    Only the months given are landed, cleaned and enriched, each in its own
+    folder; months loaded earlier stay as they are. The answers are taken
+    over all months.
+    """
     zones = files.read_zones(spark, zone_path)
-    run_enrich(spark, zones, root, mode="overwrite")
+    total = {"raw_rows": 0, "clean_rows": 0}
+    for month in tables.land_months(spark, source_paths, f"{root}/raw/trips"):
+        raw_path, clean_path, fact_path = (
+            tables.month_folder(f"{root}/{stage}", month)
+            for stage in ("raw/trips", "clean/trips", "clean/trips_enriched")
+        )
+        counted = run_clean(spark, files.read_trips(spark, raw_path), clean_path, "overwrite")
+        report_counts(spark, month, counted, f"{root}/clean/quality_report")
+        clean = files.read_trips(spark, clean_path)
+        run_enrich(spark, clean, zones, fact_path, "overwrite")
+        total = {name: total[name] + counted[name] for name in total}
 
     tables.create_schema(spark, schema)
     tables.save_table(zones, f"{schema}.dim_zone")
-    fact_path = f"{root}/clean/trips_enriched"
-    fact = files.read_fact(spark, fact_path)
-    tables.register_external(spark, f"{schema}.fact_trips", fact_path, fact.schema)
+    facts = f"{root}/clean/trips_enriched"
+    tables.register_external(spark, f"{schema}.fact_trips", facts, FACT_SCHEMA, by_month=True)
+    fact = spark.table(f"{schema}.fact_trips")
 
     for name, result in answers(fact, spark.table(f"{schema}.dim_zone"), airports, min_trips).items():
         tables.save_table(result, f"{schema}.{name}")
@@ -102,4 +121,4 @@ def run_month(
     upsert_table(spark, f"{schema}.zone_lookup", serving.zone_lookup(complete))
     hotspots = spark.table(f"{schema}.q1_hotspots")
     upsert_table(spark, f"{schema}.trip_by_zone", serving.trip_by_zone(hotspots))
-    return counted
+    return total

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from tripflow.schema import conform
 
+Month = tuple[str, str]
+
 _MONTH_IN_NAME = re.compile(r"(\d{4})-(0[1-9]|1[0-2])(?=\.|$)")
 
 
@@ -18,7 +20,7 @@ def _quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
 
-def file_month(path: str) -> tuple[str, str]:
+def file_month(path: str) -> Month:
     """Year and month in a name such as ``trips_2026-01.parquet``."""
     found = _MONTH_IN_NAME.search(path.rstrip("/").rsplit("/", 1)[-1])
     if not found:
@@ -26,31 +28,31 @@ def file_month(path: str) -> tuple[str, str]:
     return found.group(1), found.group(2)
 
 
-def land_months(spark: SparkSession, paths: Iterable[str], root: str) -> None:
-    """Land source files under ``root/year=YYYY/month=MM``.
+def month_folder(root: str, month: Month) -> str:
+    return f"{root}/year={month[0]}/month={month[1]}"
+
+
+def land_months(spark: SparkSession, paths: Iterable[str], root: str) -> list[Month]:
+    """Land source files under ``root/year=YYYY/month=MM``; returns the months.
 
     The month is the one in the name of the given file or folder, whatever the
-    rows say. Only the months being landed are replaced, so a month can be
-    landed again. All months go through one job; each scan task reads one
-    month and so writes one partition, and nothing is shuffled.
+    rows say. All files are held to the contract before anything is written.
+    Only the months being landed are replaced, even by a file without rows, so
+    a month can be landed again. Nothing is shuffled.
     """
-    landed = []
+    by_month: dict[Month, list[DataFrame]] = {}
     for path in paths:
-        year, month = file_month(path)
-        months = (f"'{year}' AS year", f"'{month}' AS month")
-        landed.append(conform(spark.read.parquet(path), path, keep=months))
-    (
-        reduce(DataFrame.unionByName, landed)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("year", "month")
-        .parquet(root)
-    )
+        source = conform(spark.read.parquet(path), path)
+        by_month.setdefault(file_month(path), []).append(source)
+    for month, sources in by_month.items():
+        together = reduce(DataFrame.unionByName, sources)
+        together.write.mode("overwrite").parquet(month_folder(root, month))
+    return sorted(by_month)
 
 
-def store(df: DataFrame, path: str, mode: str = "errorifexists", by: tuple[str, ...] = ()) -> None:
+def store(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write a stage as Parquet; an existing target is refused by default."""
-    df.write.mode(mode).partitionBy(*by).parquet(path)
+    df.write.mode(mode).parquet(path)
 
 
 def create_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -67,12 +69,24 @@ def save_table(df: DataFrame, name: str, fmt: str = "orc", by: tuple[str, ...] =
     df.write.format(fmt).mode("overwrite").partitionBy(*by).saveAsTable(name)
 
 
-def register_external(spark: SparkSession, name: str, path: str, schema: T.StructType) -> None:
-    """Table over files already in place; dropping it leaves them there."""
+def register_external(
+    spark: SparkSession, name: str, path: str, schema: T.StructType, by_month: bool = False
+) -> None:
+    """Table over files already in place; dropping it leaves them there.
+
+    ``by_month`` is for files in month folders: ``year`` and ``month`` become
+    partition columns after those of ``schema``.
+    """
     drop_table(spark, name)
+    columns = schema.toDDL()
+    layout = ""
+    if by_month:
+        columns, layout = f"{columns}, year INT, month INT", "PARTITIONED BY (year, month)"
     spark.sql(
-        f"CREATE TABLE {_quoted(name)} ({schema.toDDL()}) USING parquet LOCATION '{path}'"
+        f"CREATE TABLE {_quoted(name)} ({columns}) USING parquet {layout} LOCATION '{path}'"
     )
+    if by_month:
+        spark.sql(f"MSCK REPAIR TABLE {_quoted(name)}")
 
 
 def drop_partitions(spark: SparkSession, name: str, **values: str) -> int:

@@ -69,10 +69,12 @@ def table_schema(spark: SparkSession, sf_dir: str, name: str) -> T.StructType:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    rows = spark.read.schema(table_schema(spark, sf_dir, name)).parquet(table_path(sf_dir, name))
-    return rows.selectExpr(
-        *(f"CAST({column} AS {kind}) AS {column}" for column, kind in TABLE_COLUMNS[name].items())
-    )
+    schema = table_schema(spark, sf_dir, name)
+    rows = spark.read.schema(schema).parquet(table_path(sf_dir, name))
+    wanted = TABLE_COLUMNS[name]
+    if all(field.dataType.simpleString() == wanted[field.name] for field in schema):
+        return rows
+    return rows.selectExpr(*(f"CAST({column} AS {kind}) AS {column}" for column, kind in wanted.items()))
 
 
 def source_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
