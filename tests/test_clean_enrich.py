@@ -167,5 +167,15 @@ def test_a_dimension_is_measured_once(spark, monkeypatch, tables):
     checked = len(joins._CHECKED)
     assert joins.is_small(orderbook.zones(spark, tables))
     assert len(joins._CHECKED) == checked
+    assert joins.is_small(zones(spark)) and len(joins._CHECKED) == checked + 1
     monkeypatch.setattr(joins, "MAX_ROWS", 24)
     assert not joins.is_small(orderbook.zones(spark, tables))
+
+
+def test_a_rewritten_dimension_is_measured_again(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(joins, "MAX_ROWS", 7)
+    path = str(tmp_path / "zones")
+    zones(spark).write.parquet(path)
+    assert joins.is_small(spark.read.parquet(path))
+    zones(spark).unionByName(zones(spark)).write.mode("overwrite").parquet(path)
+    assert not joins.is_small(spark.read.parquet(path))

@@ -15,12 +15,13 @@ _CHECKED: dict[tuple, bool] = {}
 def is_small(dimension: DataFrame) -> bool:
     """Whether a dimension is within both bounds.
 
-    Counts it once per application and plan, reading no more than one row
-    past the bound. Spark's own estimate is no substitute: it takes a join of
+    Counts it once per application, plan and set of files, reading no more
+    than one row past the bound. Spark's own estimate is no substitute: it takes a join of
     two small tables for the product of their file sizes.
     """
     application = dimension.sparkSession.sparkContext.applicationId
-    key = (application, dimension.semanticHash(), MAX_ROWS, MAX_CHARACTERS)
+    content = (dimension.semanticHash(), frozenset(dimension.inputFiles()))
+    key = (application, content, MAX_ROWS, MAX_CHARACTERS)
     if key not in _CHECKED:
         size = dimension.limit(MAX_ROWS + 1).selectExpr("length(to_json(struct(*))) AS characters")
         found = size.selectExpr("count(1) AS n", "coalesce(sum(characters), 0) AS n_characters").first()
