@@ -265,22 +265,27 @@ def payment_share_long(spark, sf_dir):
 # Serving tables -----------------------------------------------------------------
 
 
+def _lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zone lookup as loaded, then updated by every put in turn."""
+    loaded = serving.zone_lookup(orderbook.zones(spark, sf_dir))
+    puts = serving.last_write_wins(orderbook.zone_puts(spark, sf_dir), ["sequence"])
+    return serving.upsert(loaded, puts.drop("sequence"))
+
+
 @query
 def kv_zone_lookup(spark, sf_dir):
-    return serving.zone_lookup(orderbook.zones(spark, sf_dir)).select("row_key", "info.*")
+    return _lookup(spark, sf_dir).select("row_key", "info.*")
 
 
 @query
 def kv_get(spark, sf_dir):
     keys = [str(zone) for zone in orderbook.AIRPORT_ZONES]
-    found = serving.get(serving.zone_lookup(orderbook.zones(spark, sf_dir)), *keys)
-    return found.select("row_key", "info.*")
+    return serving.get(_lookup(spark, sf_dir), *keys).select("row_key", "info.*")
 
 
 @query
 def kv_scan_filter(spark, sf_dir):
-    lookup = serving.zone_lookup(orderbook.zones(spark, sf_dir))
-    return serving.scan_equals(lookup, "info", "borough", "EUROPE")
+    return serving.scan_equals(_lookup(spark, sf_dir), "info", "borough", "EUROPE")
 
 
 @query

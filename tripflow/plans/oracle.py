@@ -180,7 +180,13 @@ _TRIP_BY_ZONE = """
 
 _KEY = "CAST(pu_loc_id AS VARCHAR) || '_' || lpad(CAST(pickup_hour AS VARCHAR), 2, '0')"
 
-_LOOKUP = """SELECT CAST(location_id AS VARCHAR) AS row_key, borough, zone AS zone_name, service_zone FROM zones"""
+_LOOKUP = """
+    SELECT CAST(location_id AS VARCHAR) AS row_key, borough, zone AS zone_name,
+           CASE WHEN c_nationkey IS NULL THEN service_zone ELSE last_segment END AS service_zone
+    FROM zones
+    LEFT JOIN (SELECT c_nationkey, arg_max(c_mktsegment, c_custkey) AS last_segment
+               FROM customer GROUP BY c_nationkey)
+      ON c_nationkey = location_id"""
 
 _FAILS = {
     "vendor_present": "vendor_id IS NOT NULL",

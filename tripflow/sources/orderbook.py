@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tripflow.functions.wallclock import from_wall_seconds, wall_seconds
 from tripflow.operators.enrich import zone_dimension
+from tripflow.operators.joins import broadcast_if_small
 from tripflow.schema import conform
 
 # Zones that play the airports in this data.
@@ -27,7 +28,7 @@ MISSING_ZONE = 99
 TABLE_COLUMNS: dict[str, dict[str, str]] = {
     "region": {"r_regionkey": "int", "r_name": "string"},
     "nation": {"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"},
-    "customer": {"c_custkey": "bigint", "c_nationkey": "int"},
+    "customer": {"c_custkey": "bigint", "c_nationkey": "int", "c_mktsegment": "string"},
     "supplier": {"s_suppkey": "bigint", "s_nationkey": "int"},
     "orders": {
         "o_orderkey": "bigint",
@@ -91,7 +92,7 @@ def source_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     # spills, adaptive execution splits a hot order, and neither side is ever
     # broadcast on the strength of a small compressed file. Customers and
     # suppliers are left to Spark's broadcast threshold and runtime sizes.
-    placed = orders.join(customers, F.expr("o_custkey = c_custkey"))
+    placed = orders.join(customers.drop("c_mktsegment"), F.expr("o_custkey = c_custkey"))
     rows = lines.join(placed.hint("merge"), F.expr("l_orderkey = o_orderkey")).join(
         suppliers, F.expr("l_suppkey = s_suppkey")
     )
@@ -155,3 +156,15 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
         "r_name AS service_zone",
     )
     return zone_dimension(text)
+
+
+def zone_puts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates of the zone lookup in ``sequence``: every customer puts the row
+    of their zone with their market segment as its service zone."""
+    customers = table(spark, sf_dir, "customer")
+    places = broadcast_if_small(zones(spark, sf_dir))
+    return customers.join(places, F.expr("c_nationkey = location_id")).selectExpr(
+        "CAST(location_id AS STRING) AS row_key",
+        "c_custkey AS sequence",
+        "struct(borough, zone AS zone_name, c_mktsegment AS service_zone) AS info",
+    )
