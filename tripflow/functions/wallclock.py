@@ -13,7 +13,8 @@ EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 def parse_wall_clock(text: str) -> str:
     """TIMESTAMP_NTZ from the first 19 characters; bad or short text gives null."""
-    return f"CASE WHEN length({text}) >= 19 THEN try_cast(substring({text}, 1, 19) AS TIMESTAMP_NTZ) END"
+    parsed = f"try_cast(substring({text}, 1, 19) AS TIMESTAMP_NTZ)"
+    return f"CASE WHEN length({text}) >= 19 THEN {parsed} END"
 
 
 def format_wall_clock(moment: str) -> str:

@@ -23,9 +23,9 @@ def is_small(dimension: DataFrame) -> bool:
     content = (dimension.semanticHash(), frozenset(dimension.inputFiles()))
     key = (application, content, MAX_ROWS, MAX_CHARACTERS)
     if key not in _CHECKED:
-        size = dimension.limit(MAX_ROWS + 1).selectExpr("length(to_json(struct(*))) AS characters")
-        found = size.selectExpr("count(1) AS n", "coalesce(sum(characters), 0) AS n_characters").first()
-        _CHECKED[key] = found.n <= MAX_ROWS and found.n_characters <= MAX_CHARACTERS
+        rows = dimension.limit(MAX_ROWS + 1).selectExpr("length(to_json(struct(*))) AS size")
+        found = rows.selectExpr("count(1) AS n", "coalesce(sum(size), 0) AS characters").first()
+        _CHECKED[key] = found.n <= MAX_ROWS and found.characters <= MAX_CHARACTERS
     return _CHECKED[key]
 
 

@@ -27,7 +27,9 @@ def top_per_group(
     """The first ``top`` rows of each group with their ``rank``.
 
     Spark cuts each group to ``top`` rows before the shuffle
-    (WindowGroupLimit), so a hot group does not reach one task whole.
+    (WindowGroupLimit), so a hot group does not reach one task whole. It does
+    so up to ``spark.sql.optimizer.windowGroupLimitThreshold``, by default a
+    thousand rows per group.
     """
     place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
     return df.withColumn("rank", place).filter(F.col("rank") <= top)

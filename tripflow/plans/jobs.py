@@ -108,7 +108,8 @@ def run_month(
     tables.register_external(spark, f"{schema}.fact_trips", facts, FACT_SCHEMA, by_month=True)
     fact = spark.table(f"{schema}.fact_trips")
 
-    for name, result in answers(fact, spark.table(f"{schema}.dim_zone"), airports, min_trips).items():
+    results = answers(fact, spark.table(f"{schema}.dim_zone"), airports, min_trips)
+    for name, result in results.items():
         tables.save_table(result, f"{schema}.{name}")
         stored = spark.table(f"{schema}.{name}")
         tables.export_text(stored, f"{root}/results/{name}", one_file=True)
