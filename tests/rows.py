@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tripflow.schema import FACT_SCHEMA, RAW_TEXT_SCHEMA, ZONE_SCHEMA
 
+# A known trip that passes every rule.
 GOOD = {
     "vendor_id": 2,
     "pickup_dt": "2026-01-01 00:54:04.000000",

@@ -252,6 +252,10 @@ def test_month_from_files_to_exports(spark, tmp_path, zone_file):
         assert sorted(tuples(exported), key=str) == sorted(tuples(table), key=str), name
         if name != "q4_airports":
             assert table.agg(F.sum("trips")).collect()[0][0] == 3
+    zone_hours = files.read_result(
+        spark, "trips_per_zone_hour", f"{root}/results/trips_per_zone_hour", sep="\t"
+    )
+    assert sorted(tuples(zone_hours)) == [("132", "00", 2), ("239", "00", 1)]
     assert spark.table("monthly.zone_lookup").count() == 4
     keys = [r.row_key for r in spark.table("monthly.trip_by_zone").collect()]
     assert sorted(keys) == ["JFK_Airport_00", "Unknown_00"]

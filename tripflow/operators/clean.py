@@ -69,11 +69,13 @@ def flag_unknown_rate(trips: DataFrame) -> DataFrame:
 
 def countable(trips: DataFrame) -> str:
     """TRUE where a row can be counted by zone and hour, never null."""
-    zone = "try_cast(CAST(pu_loc_id AS STRING) AS INT) IS NOT NULL"
-    if not is_text(trips, "pickup_dt"):
-        return f"(pickup_dt IS NOT NULL AND {zone})"
-    hour = f"try_cast({hour_text('pickup_dt')} AS INT) IS NOT NULL"
-    return f"(length(pickup_dt) >= 13 AND {hour} AND {zone}) IS TRUE"
+    zone, hour = "pu_loc_id IS NOT NULL", "pickup_dt IS NOT NULL"
+    if is_text(trips, "pu_loc_id"):
+        zone = "try_cast(pu_loc_id AS INT) IS NOT NULL"
+    if is_text(trips, "pickup_dt"):
+        number = f"try_cast({hour_text('pickup_dt')} AS INT)"
+        hour = f"length(pickup_dt) >= 13 AND {number} IS NOT NULL"
+    return f"({hour} AND {zone}) IS TRUE"
 
 
 def row_quality(trips: DataFrame) -> DataFrame:

@@ -115,9 +115,8 @@ def run_month(
         tables.export_text(stored, f"{root}/results/{name}", one_file=True)
 
     clean = files.read_trips(spark, f"{root}/clean/trips")
-    tables.store(
-        counts.trips_per_zone_hour(clean), f"{root}/results/trips_per_zone_hour", "overwrite"
-    )
+    zone_hours = counts.trips_per_zone_hour(clean)
+    tables.export_text(zone_hours, f"{root}/results/trips_per_zone_hour", sep="\t")
     complete = files.read_zones(spark, zone_path, complete_only=True)
     upsert_table(spark, f"{schema}.zone_lookup", serving.zone_lookup(complete))
     hotspots = spark.table(f"{schema}.q1_hotspots")

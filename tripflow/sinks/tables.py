@@ -104,7 +104,7 @@ def drop_partitions(spark: SparkSession, name: str, **values: str) -> int:
     return len(found)
 
 
-def export_text(df: DataFrame, path: str, one_file: bool = False) -> None:
+def export_text(df: DataFrame, path: str, one_file: bool = False, sep: str = ",") -> None:
     """Delimited export without header, replacing the directory.
 
     ``one_file`` merges the parts for a reader that wants a single file. It is
@@ -114,7 +114,7 @@ def export_text(df: DataFrame, path: str, one_file: bool = False) -> None:
     merged = df.coalesce(1) if one_file else df
     (
         merged.write.mode("overwrite")
-        .option("sep", ",")
+        .option("sep", sep)
         .option("nullValue", "\\N")
         .option("emptyValue", "")
         .csv(path)

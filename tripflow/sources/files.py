@@ -98,11 +98,10 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*FACT_COLUMNS)
 
 
-def read_result(spark: SparkSession, name: str, path: str) -> DataFrame:
+def read_result(spark: SparkSession, name: str, path: str, sep: str = ",") -> DataFrame:
     """An exported result directory with its declared columns.
 
     A missing path raises Spark's AnalysisException.
     """
-    return (
-        spark.read.schema(RESULT_SCHEMAS[name]).option("nullValue", "\\N").csv(path)
-    )
+    reader = spark.read.schema(RESULT_SCHEMAS[name]).option("sep", sep).option("nullValue", "\\N")
+    return reader.csv(path)
