@@ -259,6 +259,10 @@ def test_month_from_files_to_exports(spark, tmp_path, zone_file):
     assert spark.table("monthly.zone_lookup").count() == 4
     keys = [r.row_key for r in spark.table("monthly.trip_by_zone").collect()]
     assert sorted(keys) == ["JFK_Airport_00", "Unknown_00"]
+    profile = {r.row_key: r for r in spark.table("monthly.zone_hour_profile").collect()}
+    assert sorted(profile) == ["132_00", "239_00"]
+    assert profile["132_00"].stats.trips == 2
+    assert profile["132_00"].top_do.zones == '[{"rank":1,"do_loc_id":238,"trips":2}]'
 
     # Running the month again gives the same tables.
     assert jobs.run_month(spark, [source], zone_file, root, schema="monthly", min_trips=1) == counted

@@ -121,4 +121,5 @@ def run_month(
     upsert_table(spark, f"{schema}.zone_lookup", serving.zone_lookup(complete))
     hotspots = spark.table(f"{schema}.q1_hotspots")
     upsert_table(spark, f"{schema}.trip_by_zone", serving.trip_by_zone(hotspots))
+    upsert_table(spark, f"{schema}.zone_hour_profile", serving.zone_hour_profile(fact))
     return total
