@@ -33,6 +33,15 @@ def test_sum_of_many_equal_cents_has_no_drift(spark):
     assert frame.agg(*named(t=exact.exact_sum("x"))).collect()[0][0] == Decimal("100000")
 
 
+def test_sum_past_the_precision_of_a_double(spark):
+    """A hundred trillion dollars and a cent: a sum of doubles loses the cents."""
+    frame = spark.range(0, 2_000_000, 1, 4).selectExpr("50000000.0D + (id % 2) * 0.01D AS x")
+    got = frame.agg(*named(t=exact.exact_sum("x"), d="sum(x)")).collect()[0]
+    assert got.t == Decimal("100000000010000")
+    negative = frame.agg(*named(t=exact.exact_sum("-x"))).collect()[0].t
+    assert negative == -got.t
+
+
 def test_values_that_are_not_numbers_are_missing(spark):
     rows = [(1.5,), (float("nan"),), (float("inf"),), (None,)]
     frame = spark.createDataFrame(rows, "x double")

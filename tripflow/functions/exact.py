@@ -5,8 +5,8 @@ whole cents. Summing DECIMALs is exact but builds one BigDecimal per value
 (about ten times slower than adding doubles). Here every value becomes a
 64-bit count of 1e-8 units, which is added as two plain BIGINT sums: the bits
 above 2^20 and the 20 bits below. Both stay in whole-stage code generation and
-combine map-side; decimals appear once per group. Neither half can overflow
-before 8e12 rows in one group.
+combine map-side; decimals appear once per group. The low half has room for
+8e12 rows in one group, the high half for a group total of 9e16.
 
 Every helper takes and returns SQL text for ``F.expr`` and ``selectExpr``: one
 parsed text replaces dozens of driver round trips for nested Column objects.
