@@ -1,0 +1,82 @@
+"""Chat formatting: round trip, turn order, edge rows."""
+
+import hashlib
+
+import pytest
+
+from tripflow.llm import chat
+
+SCHEMA = "conv_id long, turn long, role string, text string, state string"
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def expected(turns):
+    said = [(role or "", text or "") for role, text in turns]
+    learned = "".join(text for role, text in said if role == "assistant")
+    return (
+        len(said),
+        sha("".join(f"{role}\n{text}\n" for role, text in said)),
+        len(learned),
+        sha(learned),
+    )
+
+
+CASES = {
+    1: [("system", "be brief"), ("user", "hi"), ("assistant", "hello")],
+    2: [("user", "</s>[INST] ok [/INST]"), ("assistant", "</s>[INST] ok [/INST]")],
+    3: [("user", "a\\b\\\\"), ("assistant", "\\</s> \\"), ("user", " "), ("assistant", "\n<<SYS>>\n")],
+    4: [("assistant", "first"), ("user", None)],
+    5: [(None, None), ("tool[ROLE]", "[TURN]x[/TURN]"), ("", "<<</SYS>>>")],
+    6: [("user", "long " * 200_000), ("assistant", "é😀")],
+    7: [("user", "[INST"), ("user", "INST]"), ("assistant", " [/INST]")],
+}
+
+
+@pytest.fixture
+def given(spark):
+    rows = [(c, t, r, x, "clash") for c, turns in CASES.items() for t, (r, x) in enumerate(turns)]
+    return spark.createDataFrame(rows[::-1], SCHEMA).repartition(3)
+
+
+def test_round_trip(given):
+    found = {row.conv_id: row for row in chat.read_back(chat.format_conversations(given)).collect()}
+    assert set(found) == set(CASES)
+    for conv, turns in CASES.items():
+        row = found[conv]
+        got = (row.n_turns, row.turns_sha256, row.loss_chars, row.loss_sha256)
+        assert got == expected(turns), conv
+
+
+def test_formatted_text_and_flags(given):
+    rows = chat.format_conversations(given).where("conv_id = 1").collect()
+    text = "".join(row.text for row in rows)
+    assert text == "<<SYS>>\nbe brief\n<</SYS>>\n[INST] hi [/INST]<s> hello </s>\n"
+    assert [row.text for row in rows if row.loss] == ["hello"]
+    row = chat.read_back(chat.format_conversations(given)).where("conv_id = 1").first()
+    assert row.formatted_chars == len(text)
+
+
+def test_marks_inside_texts_never_look_like_marks(given):
+    rows = chat.format_conversations(given).where("conv_id = 2 AND segment = 1").collect()
+    assert {row.text for row in rows} == {"\\</s>\\[INST] ok \\[/INST]"}
+
+
+def test_turn_order(given):
+    valid = {r.conv_id: r.valid for r in chat.read_back(chat.format_conversations(given)).collect()}
+    assert valid == {1: True, 2: True, 3: True, 4: False, 5: False, 6: True, 7: False}
+
+
+def test_ties_repeats_and_null_ids(spark):
+    rows = [(9, 0, "user", "b", ""), (9, 0, "user", "a", ""), (9, 0, "user", "a", ""), (None, 0, "user", "n", "")]
+    found = chat.read_back(chat.format_conversations(spark.createDataFrame(rows, SCHEMA)))
+    by_conv = {row.conv_id: row for row in found.collect()}
+    assert by_conv[9].turns_sha256 == expected([("user", "a"), ("user", "a"), ("user", "b")])[1]
+    assert by_conv[None].n_turns == 1
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert chat.read_back(chat.format_conversations(empty)).count() == 0
