@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tripflow.llm import chat, quality
+from tripflow.llm import chat, near, quality
 
 QUERIES = {
+    "op1_minhash": near.op1_minhash,
     "op4_quality": quality.op4_quality,
     "op10_chat": chat.op10_chat,
 }
