@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tripflow.llm import chat, near, quality
+from tripflow.llm import chat, language, near, quality, toxicity
 
 QUERIES = {
     "op1_minhash": near.op1_minhash,
+    "op3_langid": language.op3_langid,
     "op4_quality": quality.op4_quality,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op10_chat": chat.op10_chat,
 }
 

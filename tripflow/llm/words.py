@@ -20,14 +20,19 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 class WordHasher:
-    """Holds the tables of powers; one per task."""
+    """Holds the tables of powers; one per task.
 
-    def __init__(self) -> None:
+    ``separators`` are the bytes between words. With ``stems``, ``of`` returns
+    the hashes of the words and of their first bytes, a row per length.
+    """
+
+    def __init__(self, separators: bytes = b" \t\n\x0b\x0c\r", stems: tuple[int, ...] = ()) -> None:
+        self.stems = stems
         values = np.random.default_rng(20_24).integers(1, 1 << 63, 256, dtype=np.uint64)
         values[65:91] = values[97:123]
         self.values = values
         self.space = np.zeros(256, bool)
-        self.space[[9, 10, 11, 12, 13, 32]] = True
+        self.space[list(separators)] = True
         self._grow(1 << 14)
 
     def _grow(self, size: int) -> None:
@@ -47,7 +52,9 @@ class WordHasher:
         starts, ends = edges[::2], edges[1::2]
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(self.values[data] * self.powers[: len(data)], out=sums[1:])
-        return mixed((sums[ends] - sums[starts]) * self.inverses[starts])
+        stops = [ends, *(np.minimum(ends, starts + size) for size in self.stems)]
+        found = [mixed((sums[stop] - sums[starts]) * self.inverses[starts]) for stop in stops]
+        return np.stack(found) if self.stems else found[0]
 
     def of(self, data: np.ndarray) -> np.ndarray:
         """Hashes of the words of one text, in order."""
@@ -66,7 +73,7 @@ class WordHasher:
                     end = end + int(later[0]) + 1 if len(later) else len(data)
             found.append(self._piece(data[start:end]))
             start = end
-        return np.concatenate(found)
+        return np.concatenate(found, axis=-1)
 
     def each(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Word hashes of every text of a column; none for a null."""
