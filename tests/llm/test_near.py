@@ -57,23 +57,16 @@ def test_against_all_pairs(spark, size):
     assert {tuple(row) for row in found.collect()} == brute_near(rows, size)
 
 
-def test_leaders_alone_do_not_decide(spark, monkeypatch):
-    """Without leader rounds all pairs across components are compared."""
-    monkeypatch.setattr(near, "LEADER_ROUNDS", 0)
-    monkeypatch.setattr(near, "near_links", _links_without_leaders)
-    rows = fixture_rows()[:150]
+@pytest.mark.parametrize("rounds, direct", [(0, 10**9), (0, 0), (1, 3)])
+def test_every_way_through_a_posting_list(spark, monkeypatch, rounds, direct):
+    """Without leaders, by shingles only, and with few of both."""
+    monkeypatch.setattr(near, "LEADER_ROUNDS", rounds)
+    monkeypatch.setattr(near, "DIRECT", direct)
+    rows = fixture_rows()
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     assert {tuple(row) for row in near.near_duplicates(frame, 2).collect()} == brute_near(rows, 2)
 
 
-def _links_without_leaders(classes, docs, words, percent):
-    lists = near._postings(classes)
-    pairs = near._remaining_pairs(near._labelled(lists, None))
-    sets = near.shingle_sets(docs, words)
-    pairs = near._candidates(pairs, classes, percent)
-    return components.components(near._confirmed(pairs, sets, percent))
-
-
 def test_rows_without_id_and_repeated_rows(spark):
     rows = [(None, "a b c d e f"), (None, "x y z"), (5, "a b c d e f"), (5, "a b c d e f"), (None, None)]
     found = near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2)

@@ -12,7 +12,9 @@
    others and leaves the list; members that already are in one component with
    each other need no further comparison. After ``LEADER_ROUNDS`` rounds the
    pairs left, those across components, are all compared. A list thus costs its
-   length per round, not its square, when its members are alike.
+   length per round, not its square, when its members are alike. Members of long
+   lists that stay unlike (texts around one common passage) are posted anew
+   under the rarest fifth of their shingles, where the passage seldom counts.
 4. A pair is a candidate if its lengths allow the similarity and its signatures
    agree in ``MATCHES`` coordinates; links are confirmed on the full sets.
 
@@ -43,6 +45,8 @@ from tripflow.llm.work import staged, table
 COORDINATES = 48
 MATCHES = 25
 LEADER_ROUNDS = 2
+#: Pairs that may remain in a posting list before its members are posted by shingle.
+DIRECT = 512
 #: Bits of a posted key that name the coordinate.
 _COORDINATE_BITS = 6
 _BLOCK = 2048
@@ -136,6 +140,23 @@ def _postings(classes: DataFrame) -> DataFrame:
     )
 
 
+def _shingle_postings(sets: DataFrame, percent: int) -> DataFrame:
+    """(key, id) of the prefix of every shingle set: a link shares at least
+    ``percent`` of either set, hence one of the rarest others and one more."""
+    posted = sets.select("id", F.col("n").alias("size"), F.explode("members").alias("key"))
+    counts = staged(posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shingle-counts")
+    shared = posted.join(counts, "key").groupBy("id").agg(
+        F.ceil(F.min("size") * percent / 100).cast("int").alias("least"),
+        F.array_sort(F.collect_list(F.struct("n", "key"))).alias("found"),
+    )
+    prefix = F.expr("slice(found, 1, size(found) - least + 1)")
+    return (
+        shared.where("size(found) >= least")
+        .select("id", F.explode(prefix).alias("entry"))
+        .select("entry.key", "id")
+    )
+
+
 def _candidates(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs (a, b) whose lengths and signatures allow a link."""
     side = classes.select("id", "n_shingles", "keys")
@@ -174,15 +195,24 @@ def _leader_pairs(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pairs, joined.where("id <> leader").select("key", "id")
 
 
-def _remaining_pairs(lists: DataFrame) -> DataFrame:
-    """All pairs across components: members outside a list's largest component
-    with every member of another component."""
+def _open_lists(lists: DataFrame) -> DataFrame:
+    """Members of the lists that hold several components, with the list's
+    largest component and the number of pairs across components at most."""
     sizes = lists.groupBy("key", "component").agg(F.count("*").alias("n"))
     main = sizes.groupBy("key").agg(
-        F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("components")
+        F.max(F.struct("n", "component")).alias("top"),
+        F.sum("n").alias("size"),
+        F.count("*").alias("components"),
+    )
+    main = main.where("components > 1").selectExpr(
+        "key", "top.component AS main", "(size - top.n) * size AS crossing"
     )
-    main = main.where("components > 1").select("key", F.col("top.component").alias("main"))
-    open_lists = staged(lists.join(staged(main, "main"), "key"), "open-lists")
+    return staged(lists.join(staged(main, "main"), "key"), "open-lists")
+
+
+def _remaining_pairs(open_lists: DataFrame) -> DataFrame:
+    """All pairs across components: members outside a list's largest component
+    with every member of another component."""
     few = open_lists.where("component <> main").select(
         "key", F.col("id").alias("a"), F.col("component").alias("ca")
     )
@@ -197,23 +227,48 @@ def _labelled(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
     return named.select("key", "id", F.coalesce("component", "id").alias("component"))
 
 
-def near_links(classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame | None:
+class _Linker:
+    """The links confirmed so far and the components they make."""
+
+    def __init__(self, classes: DataFrame, sets: DataFrame, percent: int) -> None:
+        self.classes, self.sets, self.percent = classes, sets, percent
+        self.links: DataFrame | None = None
+        self.labels: DataFrame | None = None
+
+    def labelled(self, lists: DataFrame) -> DataFrame:
+        return _labelled(lists, self.labels)
+
+    def compare(self, pairs: DataFrame) -> None:
+        likely = _candidates(pairs, self.classes, self.percent)
+        found = staged(_confirmed(likely, self.sets, self.percent), "links")
+        if self.links is None or not found.isEmpty():
+            self.links = found if self.links is None else self.links.union(found)
+            self.labels = components(self.links)
+
+    def merge(self, lists: DataFrame) -> DataFrame:
+        """Leader rounds over the lists; what is left of them, open lists only."""
+        for _ in range(LEADER_ROUNDS):
+            pairs, rest = _leader_pairs(self.labelled(lists))
+            lists = staged(rest, "lists")
+            self.compare(pairs)
+        return _open_lists(self.labelled(lists))
+
+
+def near_links(classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Component labels (id, component) of all linked classes."""
     lists = staged(_postings(classes), "postings")
-    wanted = lists.select("id").distinct()
-    texts = docs.join(staged(wanted, "wanted"), "id", "left_semi")
-    sets = staged(shingle_sets(texts, words), "sets")
-
-    links, labels = None, None
-    for _ in range(LEADER_ROUNDS):
-        pairs, lists = _leader_pairs(_labelled(lists, labels))
-        lists = staged(lists, "lists")
-        found = staged(_confirmed(_candidates(pairs, classes, percent), sets, percent), "links")
-        links = found if links is None else links.union(found)
-        labels = components(links)
-    pairs = _remaining_pairs(_labelled(lists, labels))
-    found = staged(_confirmed(_candidates(pairs, classes, percent), sets, percent), "links")
-    return labels if found.isEmpty() else components(links.union(found))
+    wanted = staged(lists.select("id").distinct(), "wanted")
+    sets = staged(shingle_sets(docs.join(wanted, "id", "left_semi"), words), "sets")
+    linker = _Linker(classes, sets, percent)
+    rest = linker.merge(lists)
+    # Long lists of unlike members come from a passage that makes up most of the
+    # signature of many texts. Their pairs are found through the shingles instead.
+    long = staged(rest.where(f"crossing > {DIRECT}").select("id").distinct(), "long")
+    linker.compare(_remaining_pairs(rest.where(f"crossing <= {DIRECT}")))
+    if not long.isEmpty():
+        by_shingle = _shingle_postings(sets.join(long, "id", "left_semi"), percent)
+        linker.compare(_remaining_pairs(linker.merge(staged(by_shingle, "postings"))))
+    return linker.labels
 
 
 def near_duplicates(
