@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tripflow.llm import chat, language, near, quality, toxicity
+from tripflow.llm import chat, decontam, language, near, quality, toxicity
 
 QUERIES = {
     "op1_minhash": near.op1_minhash,
+    "op2_decontam": decontam.op2_decontam,
     "op3_langid": language.op3_langid,
     "op4_quality": quality.op4_quality,
     "op7_toxicity": toxicity.op7_toxicity,
