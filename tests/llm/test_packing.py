@@ -1,0 +1,148 @@
+"""Tokens against the tokenizer, the knapsack and the packing against plain checks."""
+
+import random
+import zlib
+from collections import defaultdict
+from itertools import product
+
+import numpy as np
+import pytest
+
+from tripflow.llm import packing
+
+tokenizers = pytest.importorskip("tokenizers")
+PATH = packing.vocabulary_path()
+TEXTS = [
+    None,
+    "",
+    " \n\t\x0b\x0c\r ",
+    "Hello, World. It's the end...",
+    "A.B. Ça va, É. é É H̱ ẞ İi Σς x\x1cy\x85z",
+    "<|endoftext|> <|ENDOFTEXT|>. a<|startoftext|>b 10,000 0 00 x0.",
+    "ünïcode! 日本語、テスト。 😀😀 ﬁ ² ½ कि",
+    "word " * 9000,
+    "a" * 3000,
+    "don't WE'LL they'd , . ,, .. a., b.,",
+]
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return tokenizers.Tokenizer.from_file(PATH)
+
+
+def ids_of(tokenizer, text):
+    return tokenizer.encode(text or "", add_special_tokens=False).ids + [packing.END]
+
+
+def test_ids_equal_the_tokenizers(tokenizer, monkeypatch):
+    rng = random.Random(2)
+    alphabet = "abcXYZ .,\n0123'-éÉß̱́日😀<|>\t\x1c "
+    texts = [t or "" for t in TEXTS] + ["".join(rng.choices(alphabet, k=200)) for _ in range(300)]
+    encoder = packing.Encoder(PATH)
+    monkeypatch.setattr(packing, "REMEMBERED", 50)
+    monkeypatch.setattr(packing, "RECENT", 9)
+    for start in range(0, len(texts), 20):
+        part = texts[start : start + 20]
+        for text, found in zip(part, encoder.encode([t.encode() for t in part])):
+            assert np.frombuffer(found, "<u4").tolist() + [packing.END] == ids_of(tokenizer, text), text
+
+
+def check(rows, texts, tokenizer):
+    """Pieces rebuild their documents and fill their sequences without gaps."""
+    docs, sequences = defaultdict(list), defaultdict(list)
+    for row in rows:
+        docs[row.doc_id].append(row)
+        sequences[row.sequence_id].append((row.offset, row.length))
+    for doc_id, text in texts.items():
+        ids = ids_of(tokenizer, text)
+        pieces = sorted(docs[doc_id], key=lambda row: row.piece)
+        assert [p.piece for p in pieces] == list(range(len(pieces)))
+        assert [p.start for p in pieces] == list(range(0, len(ids), packing.CAPACITY))
+        for p in pieces:
+            own = ids[p.start : p.start + packing.CAPACITY]
+            assert p.length == len(own)
+            assert p.ids_crc32 == zlib.crc32(np.array(own, "<u4").tobytes())
+    for placed in sequences.values():
+        at = 0
+        for offset, length in sorted(placed):
+            assert offset == at
+            at += length
+        assert at <= packing.CAPACITY
+    return len(sequences)
+
+
+def test_pack(spark, tokenizer):
+    rng = random.Random(1)
+    texts = dict(enumerate(TEXTS))
+    for k in range(400):
+        texts[100 + k] = " ".join(rng.choices(["one", "two", "three"], k=int(rng.expovariate(1 / 300))))
+    rows = [(k, t, 0) for k, t in texts.items()]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, length int").repartition(4)
+    packed = packing.pack(frame, keep_ids=True).collect()
+    count = check(packed, texts, tokenizer)
+    total = sum(row.length for row in packed)
+    assert count <= -(-total // packing.CAPACITY) + 1
+    some = next(row for row in packed if row.doc_id == 3)
+    assert some.ids == ids_of(tokenizer, TEXTS[3])
+
+
+def test_empty_table_and_repeated_rows(spark, tokenizer):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert packing.pack(empty).count() == 0
+    twice = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, None)], "doc_id long, text string")
+    rows = packing.pack(twice).collect()
+    assert len(rows) == 3 and len({(r.sequence_id, r.offset) for r in rows}) == 3
+
+
+def test_knapsack_is_best():
+    rng = np.random.default_rng(4)
+    for _ in range(30):
+        lengths = np.sort(rng.choice(np.arange(2, 15), 4, replace=False))
+        prices, capacity = rng.random(4), 20
+        config = packing.best_configuration(prices, lengths, capacity)
+        assert sum(lengths[k] * n for k, n in config.items()) <= capacity
+        value = sum(prices[k] * n for k, n in config.items())
+        best = max(
+            float(prices @ np.array(n))
+            for n in product(*(range(capacity // length + 1) for length in lengths))
+            if lengths @ np.array(n) <= capacity
+        )
+        assert value == pytest.approx(best)
+
+
+@pytest.mark.parametrize("rounds", [0, 60])
+def test_plan_places_every_piece_once(monkeypatch, rounds):
+    monkeypatch.setattr(packing, "ROUNDS", rounds)
+    rng = random.Random(rounds)
+    for case in range(12):
+        capacity = 100
+        histogram = {rng.randrange(1, 101): rng.randrange(1, 10 ** rng.randrange(1, 4)) for _ in range(15)}
+        groups = packing.plan_groups(histogram, capacity)
+        plan = packing.plan_of(groups)
+        lengths = np.concatenate([np.full(n, k) for k, n in histogram.items()])
+        numbers = np.concatenate([np.arange(n) for n in histogram.values()])
+        sequences, offsets = packing.look_up(plan, lengths, numbers)
+        held = defaultdict(list)
+        for s, o, n in zip(sequences, offsets, lengths):
+            held[int(s)].append((int(o), int(n)))
+        for placed in held.values():
+            at = 0
+            for offset, length in sorted(placed):
+                assert offset == at
+                at += length
+            assert at <= capacity
+        assert len(held) <= 1.02 * best_fit_decreasing(lengths, capacity) + 2
+
+
+def best_fit_decreasing(lengths, capacity):
+    rooms = [0] * (capacity + 1)
+    count = 0
+    for length in sorted((int(n) for n in lengths), reverse=True):
+        room = next((r for r in range(length, capacity + 1) if rooms[r]), None)
+        if room is None:
+            room, count = capacity, count + 1
+        else:
+            rooms[room] -= 1
+        rooms[room - length] += 1
+    return count

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tripflow.llm import chat, decontam, language, near, quality, toxicity
+from tripflow.llm import chat, decontam, language, near, packing, quality, toxicity
 
 QUERIES = {
     "op1_minhash": near.op1_minhash,
     "op2_decontam": decontam.op2_decontam,
     "op3_langid": language.op3_langid,
     "op4_quality": quality.op4_quality,
+    "op5_packing": packing.op5_packing,
     "op7_toxicity": toxicity.op7_toxicity,
     "op10_chat": chat.op10_chat,
 }
