@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from tripflow.llm import chat, decontam, language, near, packing, quality, toxicity
+from tripflow.llm import (
+    chat,
+    decontam,
+    language,
+    lines,
+    near,
+    packing,
+    quality,
+    sharding,
+    toxicity,
+)
 
 QUERIES = {
     "op1_minhash": near.op1_minhash,
@@ -11,9 +21,12 @@ QUERIES = {
     "op4_quality": quality.op4_quality,
     "op5_packing": packing.op5_packing,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op8_linededup": lines.op8_linededup,
+    "op9_sharding": sharding.op9_sharding,
     "op10_chat": chat.op10_chat,
 }
 
 ORACLES = {
     "op4_quality": quality.ORACLE_SQL,
+    "op8_linededup": lines.ORACLE_SQL,
 }
