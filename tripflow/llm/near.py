@@ -13,8 +13,9 @@
    each other need no further comparison. After ``LEADER_ROUNDS`` rounds the
    pairs left, those across components, are all compared. A list thus costs its
    length per round, not its square, when its members are alike. Members of long
-   lists that stay unlike (texts around one common passage) are posted anew
-   under the rarest fifth of their shingles, where the passage seldom counts.
+   lists that stay unlike (texts around one common passage, copies that have
+   drifted apart) are posted anew under the rarest of their shingles, by bands
+   of set sizes, where what all have in common seldom counts.
 4. A pair is a candidate if its lengths allow the similarity and its signatures
    agree in ``MATCHES`` coordinates; links are confirmed on the full sets.
 
@@ -47,6 +48,8 @@ MATCHES = 25
 LEADER_ROUNDS = 2
 #: Pairs that may remain in a posting list before its members are posted by shingle.
 DIRECT = 512
+#: Sizes of one band of shingle sets differ by this factor at most.
+BAND_RATIO = 1.03
 #: Bits of a posted key that name the coordinate.
 _COORDINATE_BITS = 6
 _BLOCK = 2048
@@ -125,35 +128,67 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, SETS)
 
 
+_ENTRY = ["key", "id", "n", "common", "rest", "short"]
+
+#: How many others hold what a class holds: the centre of a group of copies leads.
+_COMMON = "aggregate(found, 0L, (total, entry) -> total + entry.n)"
+
+
 def _postings(classes: DataFrame) -> DataFrame:
-    """(key, id) of the prefix of every class that can reach ``MATCHES``."""
-    posted = classes.select("id", F.explode("keys").alias("key"))
-    counts = staged(posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key-counts")
+    """The prefix of every class that can reach ``MATCHES``, by key: its id, set
+    size n, centrality, keys from this one on (``rest``), and whether a pair
+    counts in this list whatever the other member (``short``)."""
+    posted = classes.select("id", "n_shingles", F.explode("keys").alias("key"))
+    counts = staged(
+        posted.groupBy("key").agg(F.count("*").alias("holders")).where("holders > 1"), "key-counts"
+    )
     shared = posted.join(counts, "key").groupBy("id").agg(
-        F.array_sort(F.collect_list(F.struct("n", "key"))).alias("found")
+        F.min("n_shingles").alias("n"),
+        F.array_sort(F.collect_list(F.struct(F.col("holders").alias("n"), "key"))).alias("found"),
     )
-    prefix = F.expr(f"slice(found, 1, size(found) - {MATCHES - 1})")
-    return (
-        shared.where(F.size("found") >= MATCHES)
-        .select("id", F.explode(prefix).alias("entry"))
-        .select("entry.key", "id")
+    prefix = f"slice(found, 1, size(found) - {MATCHES - 1})"
+    rows = shared.where(F.size("found") >= MATCHES).selectExpr(
+        "id", "n", "size(found) AS shared", f"{_COMMON} AS common", f"posexplode({prefix})"
     )
+    return rows.selectExpr("col.key", "id", "n", "common", "shared - pos AS rest", "true AS short")
 
 
 def _shingle_postings(sets: DataFrame, percent: int) -> DataFrame:
-    """(key, id) of the prefix of every shingle set: a link shares at least
-    ``percent`` of either set, hence one of the rarest others and one more."""
-    posted = sets.select("id", F.col("n").alias("size"), F.explode("members").alias("key"))
-    counts = staged(posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shingle-counts")
+    """Like ``_postings``, by shingles within bands of set sizes.
+
+    Sets of sizes m <= n with a link share at least ``percent`` / (100 +
+    ``percent``) of m + n. A set is posted in the bands of all sizes it may be
+    linked with from above, each with the prefix that follows from the smallest
+    size of the band, and is ``short`` in its own band for the prefix that
+    follows from its own size.
+    """
+    posted = sets.select("id", "n", F.explode("members").alias("key"))
+    counts = staged(
+        posted.groupBy("key").agg(F.count("*").alias("holders")).where("holders > 1"), "shingle-counts"
+    )
     shared = posted.join(counts, "key").groupBy("id").agg(
-        F.ceil(F.min("size") * percent / 100).cast("int").alias("least"),
-        F.array_sort(F.collect_list(F.struct("n", "key"))).alias("found"),
+        F.min("n").alias("n"),
+        F.array_sort(F.collect_list(F.struct(F.col("holders").alias("n"), "key"))).alias("found"),
+    )
+    share = f"{percent} / {100 + percent}"
+    band = "CAST(floor(ln({}) / ln(%s)) AS INT)" % BAND_RATIO
+    least = f"CAST(ceil({percent} * n / 100) AS INT)"
+    low = f"greatest({least}, CAST(floor(pow({BAND_RATIO}D, band)) AS INT))"
+    banded = shared.selectExpr(
+        "id", "n", "found", f"{_COMMON} AS common", f"{band.format('n')} AS own",
+        f"explode(sequence({band.format(least)}, {band.format('n')})) AS band",
+    )
+    # Rounded down a little, for the division is not exact.
+    needed = f"greatest({least}, CAST(ceil((n + {low}) * {share} - 1e-9) AS INT))"
+    prefix = f"slice(found, 1, greatest(0, size(found) - {needed} + 1))"
+    in_short = f"size(found) - CAST(ceil(2 * n * {share} - 1e-9) AS INT)"
+    rows = banded.selectExpr(
+        "id", "n", "common", "band", "own", "size(found) AS shared", f"{in_short} AS last",
+        f"posexplode({prefix})",
     )
-    prefix = F.expr("slice(found, 1, size(found) - least + 1)")
-    return (
-        shared.where("size(found) >= least")
-        .select("id", F.explode(prefix).alias("entry"))
-        .select("entry.key", "id")
+    return rows.selectExpr(
+        "xxhash64(col.key, band) AS key", "id", "n", "common", "shared - pos AS rest",
+        "band = own AND pos <= last AS short",
     )
 
 
@@ -184,15 +219,17 @@ def _leader_pairs(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs of each list's leader with its members of other components, and the
     lists without their leaders."""
     leaders = lists.groupBy("key").agg(
-        F.max(F.struct("component", "id")).alias("top"), F.min("component").alias("low")
+        F.max(F.struct("common", "id", "component")).alias("top"),
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
     )
-    leaders = leaders.where("top.component <> low").select(
+    leaders = leaders.where("low <> high").select(
         "key", F.col("top.id").alias("leader"), F.col("top.component").alias("own")
     )
     leaders = staged(leaders, "leaders")
     joined = lists.join(leaders, "key")
     pairs = joined.where("component <> own").select(F.col("leader").alias("a"), F.col("id").alias("b"))
-    return pairs, joined.where("id <> leader").select("key", "id")
+    return pairs, joined.where("id <> leader").select(*_ENTRY)
 
 
 def _open_lists(lists: DataFrame) -> DataFrame:
@@ -210,21 +247,29 @@ def _open_lists(lists: DataFrame) -> DataFrame:
     return staged(lists.join(staged(main, "main"), "key"), "open-lists")
 
 
-def _remaining_pairs(open_lists: DataFrame) -> DataFrame:
+def _remaining_pairs(open_lists: DataFrame, percent: int, needed: str) -> DataFrame:
     """All pairs across components: members outside a list's largest component
-    with every member of another component."""
-    few = open_lists.where("component <> main").select(
-        "key", F.col("id").alias("a"), F.col("component").alias("ca")
+    with every member of another component, if their sizes allow a link and the
+    keys that follow this one in both suffice. In the list of the first key two
+    linked members share, they do."""
+    few = open_lists.where("component <> main").selectExpr(
+        "key", "id AS a", "component AS ca", "n AS na", "rest AS ra", "short AS sa"
+    )
+    other = open_lists.selectExpr(
+        "key", "id AS b", "component AS cb", "n AS nb", "rest AS rb", "short AS sb", "main"
+    )
+    across = few.join(other, "key").where(
+        f"(sa OR sb) AND ca <> cb AND (cb = main OR a < b) AND least(ra, rb) >= {needed} "
+        f"AND 100 * least(na, nb) >= {percent} * greatest(na, nb)"
     )
-    other = open_lists.select("key", F.col("id").alias("b"), F.col("component").alias("cb"), "main")
-    return few.join(other, "key").where("ca <> cb AND (cb = main OR a < b)").select("a", "b")
+    return across.select("a", "b")
 
 
 def _labelled(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return lists.withColumn("component", F.col("id"))
     named = lists.join(labels, "id", "left")
-    return named.select("key", "id", F.coalesce("component", "id").alias("component"))
+    return named.withColumn("component", F.coalesce("component", "id"))
 
 
 class _Linker:
@@ -264,10 +309,12 @@ def near_links(classes: DataFrame, docs: DataFrame, words: int, percent: int) ->
     # Long lists of unlike members come from a passage that makes up most of the
     # signature of many texts. Their pairs are found through the shingles instead.
     long = staged(rest.where(f"crossing > {DIRECT}").select("id").distinct(), "long")
-    linker.compare(_remaining_pairs(rest.where(f"crossing <= {DIRECT}")))
+    linker.compare(_remaining_pairs(rest.where(f"crossing <= {DIRECT}"), percent, str(MATCHES)))
     if not long.isEmpty():
         by_shingle = _shingle_postings(sets.join(long, "id", "left_semi"), percent)
-        linker.compare(_remaining_pairs(linker.merge(staged(by_shingle, "postings"))))
+        rest = linker.merge(staged(by_shingle, "shingle-postings"))
+        needed = f"{percent} * (na + nb) / {100 + percent} - 1e-9"
+        linker.compare(_remaining_pairs(rest, percent, needed))
     return linker.labels
 
 
