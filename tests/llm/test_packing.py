@@ -39,13 +39,14 @@ def test_ids_equal_the_tokenizers(tokenizer, monkeypatch):
     rng = random.Random(2)
     alphabet = "abcXYZ .,\n0123'-éÉß̱́日😀<|>\t\x1c "
     texts = [t or "" for t in TEXTS] + ["".join(rng.choices(alphabet, k=200)) for _ in range(300)]
+    monkeypatch.setattr(packing, "SLOTS", 64)
     encoder = packing.Encoder(PATH)
-    monkeypatch.setattr(packing, "REMEMBERED", 50)
-    monkeypatch.setattr(packing, "RECENT", 9)
+    monkeypatch.setattr(packing, "POOL", 300)
+    monkeypatch.setattr(packing, "PIECE", 500)
     for start in range(0, len(texts), 20):
         part = texts[start : start + 20]
         for text, found in zip(part, encoder.encode([t.encode() for t in part])):
-            assert np.frombuffer(found, "<u4").tolist() + [packing.END] == ids_of(tokenizer, text), text
+            assert found.tolist() + [packing.END] == ids_of(tokenizer, text), text
 
 
 def check(rows, texts, tokenizer):

@@ -15,8 +15,8 @@
    sequences and offsets follow; its size depends on ``CAPACITY`` and ``ROUNDS``
    and not on the number of pieces. Each piece looks its place up.
 
-Tokens are cut from the text between white space, which the vocabulary drops
-and never joins across, so a chunk's ids can be remembered.
+The vocabulary drops white space and never joins across it, so the ids of a
+word can be remembered.
 
 Defined results: a null text is empty and still has its end token; repeated
 rows are packed each; an empty table packs to nothing; rows without an id keep
@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripflow.llm.words import text_bytes
+from tripflow.llm.words import WordHasher, text_bytes
 from tripflow.llm.work import staged, table
 
 CAPACITY = 4096
@@ -45,8 +45,10 @@ END = 1
 VOCABULARY = "word_bpe_49k.json"
 #: Multiplicative weights: rounds, how fast prices fall, share of a count taken at once.
 ROUNDS, FALL, STEP = 300, 8.0, 0.25
-#: Chunks a worker remembers, and keeps close at hand.
-REMEMBERED, RECENT = 600_000, 40_000
+#: Words a worker remembers at most, and the ids of words before it starts afresh.
+SLOTS, POOL = 1 << 20, 1 << 24
+#: Bytes encoded at a time.
+PIECE = 1 << 19
 _TOGETHER = 256
 
 PIECES = (
@@ -65,12 +67,17 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes.
+    """Ids of texts, word by word.
 
-    White space separates the vocabulary's words and yields nothing, so the ids
-    of a text are those of its chunks between white space, one after the other.
-    Chunks are remembered; new ones are encoded many at a time, parted by a
-    digit that none of them holds.
+    White space separates the vocabulary's words and yields nothing, and a full
+    stop or comma after a letter at a word's end is a word of its own; so the
+    ids of a text are those of its words, one after the other. Known words are
+    found by their 64-bit hash and length in a table with one place per slot,
+    all words of a group of texts at once; the others are encoded together,
+    parted by a digit that none of them holds.
+
+    Case is folded here except in texts with special tokens or combining marks,
+    where the order of the vocabulary's steps matters: those are encoded whole.
     """
 
     _PART = b" 0 "
@@ -80,66 +87,121 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        # The latest of them once more: few enough for the processor's cache.
-        self.recent: dict[bytes, bytes] = {}
+        self.hasher = WordHasher()
+        letters = b"abcdefghijklmnopqrstuvwxyz"
+        self.is_letter, self.is_stop = np.zeros(256, bool), np.zeros(256, bool)
+        self.is_letter[list(letters)], self.is_stop[list(b".,")] = True, True
         (self.part,) = self._ids([self._PART.decode()])[0]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hashes = np.zeros(SLOTS, np.uint64)
+        self.sizes, self.starts, self.counts = (np.zeros(SLOTS, np.int32) for _ in range(3))
+        self.pool, self.used = np.empty(POOL, np.uint32), 0
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(encoding.ids, "<u4") for encoding in found]
-
-    def _learn(self, chunks: set[bytes]) -> None:
-        known = self.known
-        # A word and the full stop or comma after it are encoded apart anyway.
-        ended = [c for c in chunks if c[-1] in b".," and c[:-1].isalpha()]
-        chunks = chunks.difference(ended)
-        chunks.update(part for c in ended for part in (c[:-1], c[-1:]) if part not in known)
-        simple = [c for c in chunks if b"0" not in c]
-        rest = [c for c in chunks if b"0" in c]
+        return [np.array(encoding.ids, np.uint32) for encoding in found]
+
+    def _encoded(self, words: list[bytes]) -> list[np.ndarray]:
+        found: list[np.ndarray | None] = [None] * len(words)
+        simple = [k for k, word in enumerate(words) if b"0" not in word]
         for start in range(0, len(simple), 500):
             group = simple[start : start + 500]
-            (ids,) = self._ids([(self._PART.join(group) + self._PART).decode()])
-            ends = (np.flatnonzero(ids == self.part) * 4).tolist()
-            if len(ends) != len(group):
-                rest += group
+            joined = self._PART.join([words[k] for k in group]) + self._PART
+            (ids,) = self._ids([joined.decode()])
+            ends = np.flatnonzero(ids == self.part).tolist()
+            if len(ends) == len(group):
+                first = 0
+                for k, end in zip(group, ends):
+                    found[k] = ids[first:end]
+                    first = end + 1
+        rest = [k for k, ids in enumerate(found) if ids is None]
+        for k, ids in zip(rest, self._ids([words[k].decode() for k in rest])):
+            found[k] = ids
+        return found
+
+    def _words(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last places of the words in lower-cased bytes."""
+        outside = np.ones(len(data) + 2, bool)
+        outside[1:-1] = self.hasher.space[data]
+        inside = ~outside[1:-1]
+        stop = np.zeros(len(data) + 1, bool)
+        stop[1:-1] = self.is_stop[data[1:]] & outside[3:] & self.is_letter[data[:-1]]
+        starts = np.flatnonzero(inside & (outside[:-2] | stop[:-1]))
+        ends = np.flatnonzero(inside & (outside[2:] | stop[1:])) + 1
+        return starts, ends
+
+    def _group(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first place of every word, first of its ids, ids) of a lower-cased text."""
+        if self.used > POOL:
+            self._forget()
+        data = np.frombuffer(text, np.uint8)
+        starts, ends = self._words(data)
+        hashes, sizes = self.hasher.spans(data, starts, ends), ends - starts
+        slots = (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+        first, count = self.starts[slots].astype(np.int64), self.counts[slots].astype(np.int64)
+        missing = np.flatnonzero((self.hashes[slots] != hashes) | (self.sizes[slots] != sizes))
+        if len(missing):
+            _, places, which = np.unique(hashes[missing], return_index=True, return_inverse=True)
+            new = missing[places]
+            ids = self._encoded([text[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())])
+            new_counts = np.array([len(i) for i in ids])
+            new_starts = self.used + np.cumsum(new_counts) - new_counts
+            total = int(new_counts.sum())
+            if self.used + total > len(self.pool):
+                self.pool = np.concatenate([self.pool[: self.used], np.empty(total + POOL, np.uint32)])
+            self.pool[self.used : self.used + total] = np.concatenate(ids)
+            self.used += total
+            at = slots[new]
+            self.hashes[at], self.sizes[at] = hashes[new], sizes[new]
+            self.starts[at], self.counts[at] = new_starts, new_counts
+            first[missing], count[missing] = new_starts[which], new_counts[which]
+        upto = np.cumsum(count)
+        places = np.repeat(first - upto + count, count) + np.arange(upto[-1] if len(upto) else 0)
+        return starts, upto - count, self.pool[places]
+
+    def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        """Ids (unsigned 32-bit) of every text."""
+        done: list[list[np.ndarray]] = [[] for _ in texts]
+        together: list[tuple[int, bytes]] = []
+        size = 0
+
+        def finish() -> None:
+            places = np.cumsum([0, *(len(part) + 1 for _, part in together)])
+            starts, firsts, ids = self._group(b"\n".join([part for _, part in together]))
+            firsts = np.append(firsts, len(ids))
+            cuts = firsts[np.searchsorted(starts, places)]
+            for (text, _), a, b in zip(together, cuts[:-1], cuts[1:]):
+                done[text].append(ids[a:b])
+            together.clear()
+
+        for number, text in enumerate(texts):
+            if b"|>" in text or b"\xcc" in text or b"\xcd" in text:
+                done[number] = self._ids([text.decode()])
                 continue
-            raw, first = ids.tobytes(), 0
-            for chunk, end in zip(group, ends):
-                known[chunk] = raw[first:end]
-                first = end + 4
-        for chunk, ids in zip(rest, self._ids([c.decode() for c in rest])):
-            known[chunk] = ids.tobytes()
-        for chunk in ended:
-            known[chunk] = known[chunk[:-1]] + known[chunk[-1:]]
-
-    @staticmethod
-    def _folded(text: bytes) -> bytes:
-        """Lower case where the vocabulary's own folding gives the same: not
-        next to special tokens or combining marks."""
-        special = b"|>" in text or b"\xcc" in text or b"\xcd" in text
-        return text if special else text.lower()
-
-    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        if len(self.recent) > RECENT:
-            self.recent.clear()
-        recent, known = self.recent, self.known
-        rows, missing = [], set()
-        for text in texts:
-            chunks = self._folded(text).split()
-            found = list(map(recent.get, chunks))
-            if None in found:
-                missing.update([c for c, ids in zip(chunks, found) if ids is None])
-            rows.append((chunks, found))
-        self._learn({c for c in missing if c not in known})
-        for chunk in missing:
-            recent[chunk] = known[chunk]
-        for chunks, found in rows:
-            if None in found:
-                found = [recent[c] if ids is None else ids for c, ids in zip(chunks, found)]
-            yield b"".join(found)
+            for part in _parts(text.lower()):
+                together.append((number, part))
+                size += len(part)
+                if size > PIECE:
+                    finish()
+                    size = 0
+        if together:
+            finish()
+        for ids in done:
+            yield np.concatenate(ids) if len(ids) > 1 else ids[0] if ids else np.empty(0, np.uint32)
+
+
+def _parts(text: bytes) -> Iterator[bytes]:
+    """A long text in parts cut between words."""
+    while len(text) > PIECE:
+        cut = text.rfind(b" ", 0, PIECE)
+        cut = text.find(b" ", PIECE) if cut < 0 else cut
+        if cut < 0:
+            break
+        yield text[:cut]
+        text = text[cut:]
+    yield text
 
 
 def worker_encoder(path: str) -> Encoder:
@@ -157,7 +219,6 @@ def token_pieces(
     """One row per piece, written once. ``number`` counts a task's pieces of a
     length; ``ids`` is null unless ``keep_ids``."""
     path = path or vocabulary_path()
-    end = np.array([END], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(path)
@@ -169,13 +230,13 @@ def token_pieces(
                 texts = [data.tobytes() for data in text_bytes(part.column(1))]
                 rows, ids = [], []
                 for doc_id, tokens in zip(part.column(0).to_pylist(), encoder.encode(texts)):
-                    tokens += end
-                    for piece, start in enumerate(range(0, len(tokens) // 4, CAPACITY)):
-                        cut = tokens[4 * start : 4 * (start + CAPACITY)]
-                        length = len(cut) // 4
-                        rows.append((doc_id, piece, start, length, zlib.crc32(cut), task, numbers[length]))
+                    tokens = np.append(tokens, np.uint32(END)).astype("<u4")
+                    for piece, start in enumerate(range(0, len(tokens), CAPACITY)):
+                        cut = tokens[start : start + CAPACITY]
+                        length, crc = len(cut), zlib.crc32(cut.tobytes())
+                        rows.append((doc_id, piece, start, length, crc, task, numbers[length]))
                         numbers[length] += 1
-                        ids.append(np.frombuffer(cut, "<i4") if keep_ids else None)
+                        ids.append(cut.view("<i4") if keep_ids else None)
                 columns = list(zip(*rows))
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()]
                 arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]

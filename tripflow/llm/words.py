@@ -43,15 +43,24 @@ class WordHasher:
 
         self.powers, self.inverses = powers(_BASE), powers(_INVERSE)
 
-    def _piece(self, data: np.ndarray) -> np.ndarray:
+    def _sums(self, data: np.ndarray) -> np.ndarray:
         if len(data) > len(self.powers):
             self._grow(1 << (len(data) - 1).bit_length())
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.values[data] * self.powers[: len(data)], out=sums[1:])
+        return sums
+
+    def spans(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of the bytes from every start to its end."""
+        sums = self._sums(data)
+        return mixed((sums[ends] - sums[starts]) * self.inverses[starts])
+
+    def _piece(self, data: np.ndarray) -> np.ndarray:
         outside = np.ones(len(data) + 2, bool)
         outside[1:-1] = self.space[data]
         edges = np.flatnonzero(outside[1:] != outside[:-1])
         starts, ends = edges[::2], edges[1::2]
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.values[data] * self.powers[: len(data)], out=sums[1:])
+        sums = self._sums(data)
         stops = [ends, *(np.minimum(ends, starts + size) for size in self.stems)]
         found = [mixed((sums[stop] - sums[starts]) * self.inverses[starts]) for stop in stops]
         return np.stack(found) if self.stems else found[0]
