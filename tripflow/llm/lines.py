@@ -16,6 +16,10 @@ results are replaced, all others pass through.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +30,9 @@ MIN_WORDS = 3
 #: log2 of the registers of a sketch; its standard error is about 3 %.
 REGISTERS = 10
 BAND = 0.2
+#: Spread lines (24 bytes each) that are sent to the executors at most; more are joined.
+TABLE = 500_000
+_NO_ID = -(1 << 63)
 SPACES = " \t\r\x0b\x0c"
 
 _HASHES = ["h1", "h2"]
@@ -35,10 +42,6 @@ def _trimmed(line):
     return F.btrim(line, F.lit(SPACES))
 
 
-def _hash(line):
-    return F.xxhash64(_trimmed(line))
-
-
 def line_rows(docs: DataFrame, id: str, text: str, site: str) -> DataFrame:
     """(id, site, h1, h2) of every line long enough to be judged."""
     lines = docs.select(
@@ -80,32 +83,70 @@ def spread_lines(lines: DataFrame, min_sites: int) -> DataFrame:
     return staged(above.select(*_HASHES, "first").union(settled.select(*_HASHES, "first")), "spread")
 
 
+def _kept_lines_by_table(rows: DataFrame, spread: DataFrame, id: str) -> DataFrame:
+    """``_left``: the lines of ``_lines`` that stay, looked up in a table sent to
+    every executor. Texts are not shuffled. For at most ``TABLE`` spread lines."""
+    found = spread.select(*_HASHES, F.coalesce("first", F.lit(_NO_ID)).alias("first")).toPandas()
+    found = found.sort_values("h1")
+    h1, h2, first = (found[c].to_numpy(np.int64) for c in (*_HASHES, "first"))
+
+    @F.arrow_udf("array<boolean>")
+    def goes(columns: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for one, two, ids in columns:
+            ones, twos = one.flatten().to_numpy(), two.flatten().to_numpy()
+            offsets = one.offsets.to_numpy()
+            gone = np.zeros(len(ones), bool)
+            if len(h1):
+                at = np.minimum(np.searchsorted(h1, ones), len(h1) - 1)
+                # A row without an id keeps its lines: it passes for every first.
+                owner = np.repeat(ids.fill_null(_NO_ID).to_numpy(zero_copy_only=False), np.diff(offsets))
+                other = (first[at] != owner) & (owner != _NO_ID)
+                gone = (h1[at] == ones) & (h2[at] == twos) & other
+            yield pa.ListArray.from_arrays(pa.array((offsets - offsets[0]).astype(np.int32)), pa.array(gone))
+
+    hashes = [
+        F.transform("_lines", lambda line: F.xxhash64(_trimmed(line))),
+        F.transform("_lines", lambda line: F.xxhash64(F.lit(1), _trimmed(line))),
+    ]
+    marked = rows.withColumn("_goes", goes(*hashes, F.col(id).cast("long")))
+    return marked.withColumn("_left", F.expr("filter(_lines, (line, k) -> NOT _goes[k])")).drop("_goes")
+
+
+def _kept_lines_by_join(rows: DataFrame, spread: DataFrame, lines: DataFrame, id: str) -> DataFrame:
+    """The same by a join on the id, for spread lines of any number."""
+    gone = (
+        lines.where("id IS NOT NULL")
+        .join(spread, _HASHES)
+        .where("id <> first OR first IS NULL")
+        .groupBy(F.col("id").alias("_id"))
+        .agg(F.collect_set("h1").alias("_gone"))
+    )
+    joined = rows.join(staged(gone, "gone"), rows[id] == F.col("_id"), "left")
+    stays = F.filter("_lines", lambda line: ~F.array_contains(F.col("_gone"), F.xxhash64(_trimmed(line))))
+    left = F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(stays)
+    return joined.withColumn("_left", left).drop("_id", "_gone")
+
+
 def dedup_lines(
     docs: DataFrame, id: str = "doc_id", text: str = "text", site: str = "source",
     min_sites: int = MIN_SITES,
 ) -> DataFrame:
     """``docs`` with boilerplate deleted from ``text``, and n_lines, n_removed."""
     lines = line_rows(docs, id, text, site)
-    gone = (
-        lines.where("id IS NOT NULL")
-        .join(spread_lines(lines, min_sites), _HASHES)
-        .where("id <> first OR first IS NULL")
-        .groupBy("id")
-        .agg(F.collect_set("h1").alias("_gone"))
-    )
-    gone = staged(gone, "gone").withColumnRenamed("id", "_id")
-    rows = docs.drop("n_lines", "n_removed")
-    joined = rows.join(gone, rows[id] == gone["_id"], "left").drop("_id")
+    spread = spread_lines(lines, min_sites)
     every = F.coalesce(F.split(text, "\n"), F.array().cast("array<string>"))
-    stays = F.filter(every, lambda line: ~F.array_contains(F.col("_gone"), _hash(line)))
-    left = F.when(F.col("_gone").isNull(), every).otherwise(stays)
-    joined = joined.withColumns({"_left": left, "n_lines": F.size(every).cast("long")})
-    return joined.withColumns(
+    rows = docs.drop("n_lines", "n_removed").withColumn("_lines", every)
+    if spread.count() <= TABLE:
+        rows = _kept_lines_by_table(rows, spread, id)
+    else:
+        rows = _kept_lines_by_join(rows, spread, lines, id)
+    return rows.withColumns(
         {
-            "n_removed": F.col("n_lines") - F.size("_left"),
+            "n_lines": F.size("_lines").cast("long"),
+            "n_removed": (F.size("_lines") - F.size("_left")).cast("long"),
             text: F.when(F.col(text).isNotNull(), F.array_join("_left", "\n")),
         }
-    ).drop("_left", "_gone")
+    ).drop("_left", "_lines")
 
 
 def op8_linededup(spark, sf_dir: str) -> DataFrame:
