@@ -5,6 +5,7 @@ from __future__ import annotations
 from tripflow.llm import (
     chat,
     decontam,
+    html,
     language,
     lines,
     near,
@@ -20,6 +21,7 @@ QUERIES = {
     "op3_langid": language.op3_langid,
     "op4_quality": quality.op4_quality,
     "op5_packing": packing.op5_packing,
+    "op6_htmltext": html.op6_htmltext,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_linededup": lines.op8_linededup,
     "op9_sharding": sharding.op9_sharding,
