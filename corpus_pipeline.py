@@ -1,10 +1,99 @@
-"""The corpus pipeline: STAGES applied in order to the documents."""
+"""The corpus pipeline: from documents to packed token sequences.
+
+Each stage takes (spark, docs, sf_dir) and returns the documents it keeps, with
+their own columns; the last returns the places of all token pieces. Whatever
+columns the documents have pass through unchanged, except that line dedup
+rewrites ``text`` and, where it is there, ``n_chars``.
+
+Defined results: language ID drops null texts and texts without letters; line
+dedup drops a document only if it deleted lines and left no word; of rows that
+share an id near-dedup keeps one, of rows without an id all; an empty table
+passes through every stage.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from tripflow.llm import decontam, language, lines, near, packing
+from tripflow.llm.work import staged, table
+
+_ROW = "_document"
+
+
+def _beside(docs: DataFrame, *columns: str) -> DataFrame:
+    """The named columns, and the whole document out of reach of their names."""
+    return docs.select(*columns, F.struct(*docs.columns).alias(_ROW))
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents in no language that could be learned from the labels."""
+    model = language.fit(docs)
+    judged = language.predict(_beside(docs, "text"), model)
+    return judged.where(~F.col("rejected")).select(f"{_ROW}.*")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Deletes lines that stand on many sites from all documents but the first."""
+    found = lines.dedup_lines(_beside(docs, "doc_id", "text", "source"))
+    left = F.translate(F.coalesce("text", F.lit("")), " \t\n\x0b\x0c\r", "") != ""
+    found = found.where((F.col("n_removed") == 0) | left)
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    columns = [
+        F.when(F.col("n_removed") > 0, new[c].cast(docs.schema[c].dataType))
+        .otherwise(F.col(_ROW)[c])
+        .alias(c)
+        if c in new
+        else F.col(_ROW)[c].alias(c)
+        for c in docs.columns
+    ]
+    return found.select(*columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near copies: five words, 0.8."""
+    judged = staged(near.near_duplicates(docs, words=5, percent=80), "near")
+    gone = judged.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    again = judged.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    again = staged(again.select("doc_id"), "again")
+    if again.isEmpty():
+        return left
+    order = Window.partitionBy("doc_id").orderBy(*[F.col(c) for c in docs.columns])
+    first = left.join(again, "doc_id", "left_semi").select("*", F.row_number().over(order).alias("_place"))
+    return left.join(again, "doc_id", "left_anti").select(*docs.columns).union(
+        first.where("_place = 1").select(*docs.columns)
+    )
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that contain a benchmark item."""
+    return decontam.without_contained(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of the token pieces of all documents."""
+    return packing.digest(packing.pack(docs, keep_ids=False))
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("pack", pack),
+]
+
+#: Language ID and tokens have no SQL; the stages are tested against plain versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir: str):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents; each result but the last is written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for number, (name, stage) in enumerate(STAGES, 1):
+        docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES):
+            docs = staged(docs, name)
+    return docs

@@ -202,6 +202,26 @@ def contained_items(
     return found if found is not None else docs.sparkSession.createDataFrame([], MATCHES)
 
 
+def without_contained(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that contain no benchmark item, all columns kept."""
+    for items in benchmark_blocks(benchmark):
+        docs = docs.where(~_contains(docs.sparkSession, items)(F.col(text)))
+    return docs
+
+
+def _contains(spark, items: list[tuple[int, np.ndarray]]):
+    sent = spark.sparkContext.broadcast(items)
+
+    @F.arrow_udf("boolean")
+    def contains(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        block, hasher = Block(sent.value), WordHasher()
+        for column in columns:
+            found = [any(True for _ in block.contained(words)) for words in hasher.each(column)]
+            yield pa.array(found, pa.bool_())
+
+    return contains
+
+
 def op2_decontam(spark, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = contained_items(documents, table(spark, sf_dir, "benchmark"))
