@@ -1,0 +1,82 @@
+"""K-d sharding: balance, slots, order of the cuts, edge rows."""
+
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from tripflow.llm import sharding
+
+SCHEMA = "doc_id long, text string, source string, lang string, shard int"
+
+
+def documents(count=3000):
+    rng = random.Random(4)
+    rows = []
+    for number in range(count):
+        text = "copy" * 50 if number % 3 == 0 else "é" * int(rng.expovariate(1 / 200))
+        source = "hot" if rng.random() < 0.4 else f"s{rng.randrange(15)}"
+        rows.append((number, text, source, rng.choice(["en", "de", None]), 7))
+    rows += [(10**6, None, None, None, 7), (10**6 + 1, "", None, "en", 7), (10**6 + 2, "x" * 2000, "", "", 7)]
+    return rows
+
+
+@pytest.mark.parametrize("shards", [16, 5, 1])
+def test_balance_and_slots(spark, shards):
+    rows = documents()
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    placed = sharding.with_slots(sharding.staged(sharding.kd_shards(frame, shards), "t")).collect()
+    texts = {r[0]: r[1] for r in rows}
+    assert sorted(r.doc_id for r in placed) == sorted(texts)
+    total, slots = defaultdict(int), defaultdict(list)
+    for row in placed:
+        data = None if texts[row.doc_id] is None else texts[row.doc_id].encode()
+        assert row["size"] == len(data or b"") + 1
+        assert row.text_crc32 == (None if data is None else zlib.crc32(data))
+        total[row.shard] += row["size"]
+        slots[row.shard].append(row.slot)
+    assert sorted(total) == list(range(shards))
+    assert max(total.values()) - min(total.values()) <= 2 * 2001
+    assert all(sorted(found) == list(range(len(found))) for found in slots.values())
+
+
+def test_same_input_same_shards(spark):
+    rows = documents(500)
+    first = sharding.kd_shards(spark.createDataFrame(rows, SCHEMA)).collect()
+    second = sharding.kd_shards(spark.createDataFrame(rows[::-1], SCHEMA).repartition(7)).collect()
+    assert sorted(r[:4] for r in first if r.text_crc32) == sorted(r[:4] for r in second if r.text_crc32)
+
+
+def test_leaves_are_boxes(spark):
+    """Shards overlap in no more than the ties: two shards part in some dimension."""
+    rows = sharding.coordinates(spark.createDataFrame(documents(), SCHEMA))
+    shards = sharding.kd_shards(spark.createDataFrame(documents(), SCHEMA), 8)
+    boxes = defaultdict(list)
+    for row in rows.join(shards.select("doc_id", "shard"), "doc_id").collect():
+        boxes[row.shard].append([row[d] for d in sharding.DIMENSIONS])
+    spans = {s: [(min(c), max(c)) for c in zip(*points)] for s, points in boxes.items()}
+    for a in spans:
+        for b in spans:
+            if a < b:
+                assert any(x[1] < y[0] or y[1] < x[0] for x, y in zip(spans[a], spans[b]))
+
+
+def test_few_and_repeated_rows(spark):
+    frame = spark.createDataFrame([(1, "a", "s", "en", 0)] * 3 + [(None, "b", "s", "en", 0)], SCHEMA)
+    placed = sharding.with_slots(sharding.kd_shards(frame, 16)).collect()
+    assert len(placed) == 4 and {r.shard for r in placed} <= set(range(16))
+    by_shard = defaultdict(list)
+    for row in placed:
+        by_shard[row.shard].append(row.slot)
+    assert all(sorted(found) == list(range(len(found))) for found in by_shard.values())
+
+
+def test_empty_table(spark):
+    assert sharding.with_slots(sharding.kd_shards(spark.createDataFrame([], SCHEMA))).count() == 0
+
+
+def test_no_python_in_the_plan(spark):
+    frame = spark.createDataFrame(documents(50), SCHEMA)
+    plan = sharding.with_slots(sharding.kd_shards(frame))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
