@@ -42,11 +42,36 @@ def test_sum_past_the_precision_of_a_double(spark):
     assert negative == -got.t
 
 
-def test_values_that_are_not_numbers_are_missing(spark):
-    rows = [(1.5,), (float("nan"),), (float("inf"),), (None,)]
-    frame = spark.createDataFrame(rows, "x double")
+@pytest.mark.parametrize(
+    "values",
+    [
+        [25.0, 1.0e11],
+        [0.01] * 3 + [123456789012.25, -9.5e10, 9.0e10],
+        [1.5, float("nan"), None],
+        [1.5, float("inf")],
+        [float("inf"), float("-inf")],
+        [1.0e20, 1.0],
+        [None, None],
+    ],
+)
+def test_no_value_is_left_out(spark, values):
+    duckdb = pytest.importorskip("duckdb")
+    frame = spark.createDataFrame([(v,) for v in values], "x double")
+    got = frame.agg(*named(t=exact.rounded_sum("x"), m=exact.rounded_mean("x"))).collect()[0]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE v (x DOUBLE)")
+    con.executemany("INSERT INTO v VALUES (?)", [(v,) for v in values])
+    want = con.execute("SELECT sum(x), sum(x) / count(x) FROM v").fetchone()
+    for one, other in zip(got, want):
+        assert (one is None) == (other is None)
+        assert one is None or str(one) == str(other) or one == pytest.approx(other, abs=0.005)
+
+
+def test_group_total_far_past_a_trillion(spark):
+    frame = spark.range(0, 1_000_000, 1, 4).selectExpr("1.0E11D + (id % 2) * 0.25D AS x")
     got = frame.agg(*named(t=exact.exact_sum("x"), m=exact.exact_mean("x"))).collect()[0]
-    assert (float(got.t), got.m) == (1.5, 1.5)
+    assert got.t == Decimal("100000000000125000")
+    assert got.m == pytest.approx(100000000000.125, rel=1e-15)
 
 
 @pytest.mark.parametrize("value", ["1.005", "2.675", "0.125", "-1.005", "50.8333333"])

@@ -171,6 +171,37 @@ def test_upsert_replaces_even_with_a_smaller_value(spark):
     assert got == [("a", "a"), ("b", "z"), ("c", None)]
 
 
+def test_a_put_sets_its_cells_and_leaves_the_others(spark):
+    cells = "struct<x:string,y:string>"
+    table = spark.createDataFrame([("a", ("x", "y")), ("b", ("x", None))], f"row_key string, f {cells}")
+    puts = spark.createDataFrame(
+        [("a", 2, ("z", None)), ("a", 1, ("w", "v")), ("b", 1, (None, "n")), ("c", 1, None)],
+        f"row_key string, seq int, f {cells}",
+    )
+    got = serving.upsert(table, puts, ["seq"]).selectExpr("row_key", "f.x", "f.y")
+    assert sorted(tuples(got)) == [("a", "z", "v"), ("b", "x", "n"), ("c", None, None)]
+
+
+def test_families_can_be_put_apart(spark):
+    one = spark.createDataFrame([("a", (1,))], "row_key string, stats struct<n:int>")
+    other = spark.createDataFrame([("a", ("[]",)), ("b", ("[1]",))], "row_key string, top struct<z:string>")
+    stored = serving.upsert(one, other).selectExpr("row_key", "stats.n", "top.z")
+    assert sorted(tuples(stored)) == [("a", 1, "[]"), ("b", None, "[1]")]
+    again = serving.upsert(serving.upsert(other, one), one).selectExpr("row_key", "stats.n", "top.z")
+    assert sorted(tuples(again)) == sorted(tuples(stored))
+
+
+def test_kpis_of_very_large_groups(spark):
+    groups = spark.createDataFrame(
+        [("A", "Card", 10**10, 1.2e11, 12.0, 20.0), ("B", "Cash", 10**6, 2.0e7, 20.0, None)],
+        "pu_borough string, payment_method string, trips long, revenue_usd double, "
+        "avg_fare double, avg_tip_pct double",
+    )
+    row = reports.kpi_summary(groups).first()
+    assert (row.total_trips, row.revenue_usd) == (10**10 + 10**6, 120_020_000_000.0)
+    assert (row.revenue_musd, row.weighted_avg_fare) == (120_020.0, 12.0)
+
+
 def test_trip_by_zone_keys_and_collisions(spark):
     rows = [
         (7, "Queens", "JFK Airport", 12),

@@ -12,7 +12,7 @@ import argparse
 
 from tripflow.plans.dashboard import dashboard
 from tripflow.plans.jobs import run_month
-from tripflow.session import build_session
+from tripflow.session import build_session, listed_bytes, sizing
 
 
 def _arguments(given: list[str] | None) -> argparse.Namespace:
@@ -24,7 +24,8 @@ def _arguments(given: list[str] | None) -> argparse.Namespace:
     month.add_argument("--root", required=True, help="output folder")
     month.add_argument("--schema", default="trip_analytics")
     month.add_argument("--min-trips", type=int, default=20)
-    month.add_argument("--input-gb", type=float, help="size of the sources, to size partitions")
+    month.add_argument("--input-gb", type=float, help="size of the sources; read from the listing by default")
+    month.add_argument("--text", action="store_true", help="sources are headerless delimited text")
     month.add_argument("--cores", type=int, default=8, help="cores of the cluster")
     shown = commands.add_parser("dashboard", help="show the report frames")
     shown.add_argument("--root", required=True, help="output folder of the month command")
@@ -36,10 +37,13 @@ def _arguments(given: list[str] | None) -> argparse.Namespace:
 def main(given: list[str] | None = None) -> None:
     args = _arguments(given)
     if args.command == "month":
-        size = None if args.input_gb is None else int(args.input_gb * 1e9)
-        spark = build_session(input_bytes=size, cores=args.cores)
+        spark = build_session()
+        size = listed_bytes(spark, args.sources) if args.input_gb is None else int(args.input_gb * 1e9)
+        for option, value in sizing(size, args.cores).items():
+            spark.conf.set(option, value)
         counted = run_month(
-            spark, args.sources, args.zones, args.root, args.schema, min_trips=args.min_trips
+            spark, args.sources, args.zones, args.root, args.schema,
+            min_trips=args.min_trips, text=args.text,
         )
         print(f"kept {counted['clean_rows']} of {counted['raw_rows']} trips")
     else:

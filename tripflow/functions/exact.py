@@ -4,9 +4,15 @@ A plain sum of doubles changes with the shuffle order and, past 1e13, loses
 whole cents. Summing DECIMALs is exact but builds one BigDecimal per value
 (about ten times slower than adding doubles). Here every value becomes a
 64-bit count of 1e-8 units, which is added as two plain BIGINT sums: the bits
-above 2^20 and the 20 bits below. Both stay in whole-stage code generation and
-combine map-side; decimals appear once per group. The low half has room for
-8e12 rows in one group, the high half for a group total of 9e16.
+above 2^20 and the 20 bits below. Values of 9e10 and more, whose units do not
+fit, are added as whole numbers (two sums again) and units of the fraction. All
+sums stay in whole-stage code generation and combine map-side; decimals appear
+once per group. The low half has room for 8e12 rows in one group, the high half
+for a group total of 9e16 of the smaller and 9e24 of the larger values; a sum
+past that fails in ANSI mode and is never silently cut.
+
+No value is left out: NaN, the infinities and magnitudes of 1e18 and more, for
+which no exact sum is kept, turn the group's result into that of a plain sum.
 
 Every helper takes and returns SQL text for ``F.expr`` and ``selectExpr``: one
 parsed text replaces dozens of driver round trips for nested Column objects.
@@ -14,33 +20,56 @@ parsed text replaces dozens of driver round trips for nested Column objects.
 
 from __future__ import annotations
 
+_FRACTION = "CAST('0.00000001' AS DECIMAL(8,8))"
+
+
+def _halves(number: str) -> str:
+    """Exact DECIMAL sum of a BIGINT, from the bits above 2^20 and those below."""
+    high = f"CAST(sum(shiftright({number}, 20)) AS DECIMAL(20,0)) * CAST(1048576 AS DECIMAL(7,0))"
+    return f"({high} + CAST(sum(({number}) & 1048575L) AS DECIMAL(20,0)))"
+
 
-def _units(value: str) -> str:
-    # A BIGINT of 1e-8 units holds magnitudes up to 9.2e10. Larger values and
-    # NaN are treated as missing rather than failing the whole job.
-    return f"CASE WHEN abs({value}) < 9.0E10D THEN CAST(rint(({value}) * 1.0E8D) AS BIGINT) END"
+def _plain(value: str) -> str:
+    """Whether the group holds a value without an exact sum. NaN compares as greatest."""
+    return f"count_if(abs({value}) >= 1.0E18D) > 0"
 
 
 def exact_sum(value: str) -> str:
-    """DECIMAL(38,8) sum of a DOUBLE; null for a group without values."""
-    units = _units(value)
-    high = f"CAST(sum(shiftright({units}, 20)) AS DECIMAL(20,0)) * CAST(1048576 AS DECIMAL(7,0))"
-    low = f"CAST(sum(({units}) & 1048575L) AS DECIMAL(20,0))"
-    return f"CAST(({high} + {low}) * CAST('0.00000001' AS DECIMAL(8,8)) AS DECIMAL(38,8))"
+    """DECIMAL(38,8) sum of the DOUBLEs below 1e18; null for a group without any."""
+    small = f"CASE WHEN abs({value}) < 9.0E10D THEN CAST(rint(({value}) * 1.0E8D) AS BIGINT) END"
+    is_large = f"abs({value}) >= 9.0E10D AND abs({value}) < 1.0E18D"
+    whole = f"CASE WHEN {is_large} THEN CAST({value} AS BIGINT) END"
+    rest = f"CASE WHEN {is_large} THEN CAST(rint(({value} - CAST({value} AS BIGINT)) * 1.0E8D) AS BIGINT) END"
+    units = f"CAST({_halves(small)} * {_FRACTION} AS DECIMAL(38,8))"
+    large = (
+        f"(CAST({_halves(whole)} AS DECIMAL(38,8)) + "
+        f"CAST(CAST(sum({rest}) AS DECIMAL(20,0)) * {_FRACTION} AS DECIMAL(38,8)))"
+    )
+    return f"CAST(coalesce({units} + {large}, {units}, {large}) AS DECIMAL(38,8))"
+
+
+def exact_total(value: str) -> str:
+    """The sum as DOUBLE; that of a plain sum if a value has no exact one."""
+    return f"CASE WHEN {_plain(value)} THEN sum({value}) ELSE CAST({exact_sum(value)} AS DOUBLE) END"
 
 
 def exact_mean(value: str) -> str:
     """Mean of the present values as DOUBLE; null for a group without values."""
-    return f"try_divide(CAST({exact_sum(value)} AS DOUBLE), CAST(count({_units(value)}) AS DOUBLE))"
+    return f"try_divide({exact_total(value)}, CAST(count({value}) AS DOUBLE))"
 
 
 def round_half_up(value: str, places: int = 2) -> str:
-    """Round through DECIMAL, so 1.005 gives 1.01 rather than its binary neighbour."""
-    return f"CAST(round(CAST({value} AS DECIMAL(28,8)), {places}) AS DOUBLE)"
+    """Round through DECIMAL, so 1.005 gives 1.01 rather than its binary neighbour.
+
+    Magnitudes of 1e18 and more have no places to round and stay as they are.
+    """
+    decimal = f"CAST(round(try_cast({value} AS DECIMAL(28,8)), {places}) AS DOUBLE)"
+    return f"CASE WHEN abs({value}) < 1.0E18D THEN {decimal} ELSE {value} END"
 
 
 def rounded_sum(value: str, places: int = 2) -> str:
-    return f"CAST(round({exact_sum(value)}, {places}) AS DOUBLE)"
+    exact = f"CAST(round({exact_sum(value)}, {places}) AS DOUBLE)"
+    return f"CASE WHEN {_plain(value)} THEN sum({value}) ELSE {exact} END"
 
 
 def rounded_mean(value: str, places: int = 2) -> str:

@@ -8,10 +8,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.functions.labels import literal
+from tripflow.functions.labels import literal, payment_label
 from tripflow.functions.naming import TRIPS, named
 from tripflow.functions.wallclock import hour_text
 from tripflow.operators.clean import countable
+from tripflow.operators.joins import broadcast_if_small
 from tripflow.schema import is_text
 
 
@@ -44,6 +45,57 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
+def answer_counts(
+    fact: DataFrame, zones: DataFrame, airports: Mapping[int, str], min_trips: int, top: int = 500
+) -> DataFrame:
+    """Rows of the fact, the dimension, the five answers and the zone lookup.
+
+    One scan of the fact makes a rollup by hour, zone pair and payment code,
+    whose size is bounded by zones and hours. Each of its rows stands for a key
+    of every answer, and the answers' rows are the distinct keys.
+    """
+    keys = ["pickup_hour", "pu_loc_id", "do_loc_id", "pu_borough", "pu_zone", "payment_type"]
+    timed = "count_if(trip_distance > 0.1D AND duration_min BETWEEN 1 AND 120)"
+    rollup = fact.groupBy(*keys).agg(*named(**TRIPS, timed=timed))
+    places = zones.selectExpr(
+        "location_id AS zone_key", "zone AS do_zone", "borough AS do_borough", "1 AS known"
+    )
+    rollup = rollup.join(broadcast_if_small(places), F.expr("do_loc_id = zone_key"), "left")
+    of_airport = f"pu_loc_id IN ({', '.join(str(int(k)) for k in airports)}) AND known = 1"
+    answers = {
+        "fact_trips": ([], "trips", "true"),
+        "q1_hotspots": (["pickup_hour", "pu_borough", "pu_zone"], "trips", "true"),
+        "q2_revenue_by_borough": (["pu_borough", payment_label("payment_type")], "trips", "true"),
+        "q3_congestion": (["pickup_hour", "pu_loc_id", "do_loc_id"], "timed", "timed > 0"),
+        "q4_airports": (["pu_loc_id", "do_zone", "do_borough"], "trips", of_airport),
+        "q5_payment_share": (["pu_borough"], "trips", "true"),
+    }
+    entries = ", ".join(
+        f"CASE WHEN {test} THEN struct({literal(name)} AS table_name, "
+        f"to_json(array({', '.join(f'CAST({k} AS STRING)' for k in key)})) AS key, {n} AS n) END"
+        for name, (key, n, test) in answers.items()
+    )
+    keyed = rollup.selectExpr(f"inline(filter(array({entries}), entry -> entry IS NOT NULL))")
+    rows = keyed.groupBy("table_name", "key").agg(*named(n="sum(n)"))
+    counted = rows.groupBy("table_name").agg(
+        *named(n_rows="count(1)", trips="sum(n)", often=f"count_if(n >= {int(min_trips)})")
+    )
+    of_fact = counted.selectExpr(
+        "table_name",
+        "CASE table_name WHEN 'fact_trips' THEN trips "
+        f"WHEN 'q3_congestion' THEN least(often, {int(top)}L) ELSE n_rows END AS n_rows",
+    )
+    of_zones = zones.agg(*named(n_rows="count(1)", keys="count(DISTINCT location_id)")).selectExpr(
+        "inline(array(struct('dim_zone' AS table_name, n_rows), struct('zone_lookup' AS table_name, keys AS n_rows)))"
+    )
+    named_all = fact.sparkSession.range(1).selectExpr(
+        f"explode(array({', '.join(map(literal, answers))})) AS table_name", "0L AS n_rows"
+    )
+    return of_fact.unionByName(of_zones).unionByName(named_all).groupBy("table_name").agg(
+        *named(n_rows="sum(n_rows)")
+    )
+
+
 def zone_preview(zones: DataFrame, rows: int = 5) -> DataFrame:
     return zones.orderBy("location_id").limit(rows)
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tripflow.functions.exact import (
     exact_mean,
-    exact_sum,
+    exact_total,
     round_half_up,
     rounded_mean,
     rounded_sum,
@@ -43,14 +43,14 @@ def kpi_summary(revenue: DataFrame) -> DataFrame:
     """
 
     def weighted(name: str) -> str:
-        total = exact_sum(f"{name} * trips")
-        return round_half_up(f"try_divide(CAST({total} AS DOUBLE), CAST(sum(trips) AS DOUBLE))")
+        total = exact_total(f"{name} * trips")
+        return round_half_up(f"try_divide({total}, CAST(sum(trips) AS DOUBLE))")
 
     return revenue.agg(
         *named(
             total_trips="sum(trips)",
             revenue_usd=rounded_sum("revenue_usd"),
-            revenue_musd=round_half_up(f"CAST({exact_sum('revenue_usd')} AS DOUBLE) / 1.0E6D"),
+            revenue_musd=round_half_up(f"{exact_total('revenue_usd')} / 1.0E6D"),
             avg_fare=rounded_mean("avg_fare"),
             avg_tip_pct=rounded_mean("avg_tip_pct"),
             weighted_avg_fare=weighted("avg_fare"),

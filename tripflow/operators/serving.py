@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripflow.functions.exact import rounded_mean
 from tripflow.functions.naming import TRIPS, named
@@ -27,10 +28,46 @@ def last_write_wins(puts: DataFrame, sequence: Sequence[str]) -> DataFrame:
     return last.select("row_key", "last.cells.*")
 
 
-def upsert(table: DataFrame, puts: DataFrame) -> DataFrame:
-    """``table`` after ``puts``: a put replaces the stored row of its key."""
-    stacked = table.withColumn("_load", F.lit(0)).unionByName(puts.withColumn("_load", F.lit(1)))
-    return last_write_wins(stacked, ["_load"]).drop("_load")
+def merge_cells(puts: DataFrame, sequence: Sequence[str]) -> DataFrame:
+    """One row per ``row_key`` with every cell as last put.
+
+    A put sets the cells it names and leaves the others: a null cell, or a null
+    family, is one the put does not name. Each cell is a max over (sequence,
+    value) of its non-null puts and combines map-side. A column that is no
+    struct is a cell by itself.
+    """
+    columns = [f for f in puts.schema if f.name != "row_key" and f.name not in sequence]
+    cells = {
+        field.name: [part.name for part in field.dataType] if isinstance(field.dataType, T.StructType) else None
+        for field in columns
+    }
+    order = ", ".join(sequence) or "0"
+
+    def last(name: str, path: str) -> str:
+        return f"max(struct({order}, {path} AS _cell)) FILTER (WHERE {path} IS NOT NULL)"
+
+    lasts, packed = {}, []
+    for name, parts in cells.items():
+        if parts is None:
+            lasts[name] = last(name, f"`{name}`")
+            packed.append(f"`{name}`._cell AS `{name}`")
+        else:
+            lasts |= {f"{name}.{part}": last(name, f"`{name}`.`{part}`") for part in parts}
+            built = ", ".join(f"`{name}.{part}`._cell AS `{part}`" for part in parts)
+            packed.append(f"struct({built}) AS `{name}`")
+    merged = puts.filter("row_key IS NOT NULL").groupBy("row_key").agg(*named(**lasts))
+    return merged.selectExpr("row_key", *packed)
+
+
+def upsert(table: DataFrame, puts: DataFrame, sequence: Sequence[str] = ()) -> DataFrame:
+    """``table`` after ``puts`` in their ``sequence``, cell by cell.
+
+    A family may be put alone: those that either side lacks count as null.
+    """
+    columns = [F.lit(None).cast(puts.schema[name].dataType).alias(name) for name in sequence]
+    stored = table.select("*", *columns).withColumn("_load", F.lit(0))
+    stacked = stored.unionByName(puts.withColumn("_load", F.lit(1)), allowMissingColumns=True)
+    return merge_cells(stacked, ["_load", *sequence])
 
 
 def zone_lookup(zones: DataFrame) -> DataFrame:

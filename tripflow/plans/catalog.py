@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tripflow.functions.naming import TRIPS, named
 from tripflow.operators import counts, enrich, extensions, questions, reports, serving
 from tripflow.operators import clean as cleaning
-from tripflow.session import new_folder, written_once
+from tripflow.session import new_folder
 from tripflow.sources import orderbook
 from tripflow.streaming import hourly
 
@@ -18,12 +18,6 @@ from tripflow.streaming import hourly
 # per zone pair and hour.
 MIN_TRIPS = 3
 
-# Fact columns the five questions read.
-ANSWER_COLUMNS = [
-    "pickup_hour", "duration_min", "trip_distance", "pu_loc_id", "pu_borough", "pu_zone",
-    "do_loc_id", "payment_type", "fare_amount", "total_amount", "tip_pct",
-]
-
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
@@ -146,22 +140,8 @@ def mr_row_quality(spark, sf_dir):
 
 @query
 def table_counts(spark, sf_dir):
-    # Six of the tables come from the fact, so it is computed and written once.
-    fact = written_once(_fact(spark, sf_dir).select(*ANSWER_COLUMNS), "fact")
-    zones = orderbook.zones(spark, sf_dir)
-    return counts.table_counts(
-        {
-            "fact_trips": fact,
-            "dim_zone": zones,
-            "q1_hotspots": questions.hotspots(fact),
-            "q2_revenue_by_borough": questions.revenue_by_borough(fact),
-            "q3_congestion": questions.q3_congestion(fact, min_trips=MIN_TRIPS),
-            "q4_airports": questions.airport_destinations(
-                fact, zones, orderbook.AIRPORT_ZONES
-            ),
-            "q5_payment_share": questions.payment_share(fact, "pu_borough"),
-            "zone_lookup": serving.zone_lookup(zones),
-        }
+    return counts.answer_counts(
+        _fact(spark, sf_dir), orderbook.zones(spark, sf_dir), orderbook.AIRPORT_ZONES, MIN_TRIPS
     )
 
 
@@ -268,8 +248,7 @@ def payment_share_long(spark, sf_dir):
 def _lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The zone lookup as loaded, then updated by every put in turn."""
     loaded = serving.zone_lookup(orderbook.zones(spark, sf_dir))
-    puts = serving.last_write_wins(orderbook.zone_puts(spark, sf_dir), ["sequence"])
-    return serving.upsert(loaded, puts.drop("sequence"))
+    return serving.upsert(loaded, orderbook.zone_puts(spark, sf_dir), ["sequence"])
 
 
 @query
@@ -308,6 +287,14 @@ def kv_top_dropoffs(spark, sf_dir):
     return serving.top_dropoffs(_derived(spark, sf_dir)).select("row_key", "top_do.*")
 
 
+@query
+def kv_zone_hour_puts(spark, sf_dir):
+    """The two families of the zone-hour table put one after the other."""
+    fact = _derived(spark, sf_dir)
+    stored = serving.upsert(serving.zone_hour_stats(fact), serving.top_dropoffs(fact))
+    return stored.select("row_key", "stats.*", F.col("top_do.zones").alias("zones"))
+
+
 # Extensions ----------------------------------------------------------------------
 
 

@@ -82,16 +82,18 @@ def run_month(
     schema: str = "trip_analytics",
     airports: Mapping[int, str] = AIRPORTS,
     min_trips: int = 20,
+    text: bool = False,
 ) -> dict[str, int]:
     """Everything from source files to exports under ``root``; returns the counts.
 
     Only the months given are landed, cleaned and enriched, each in its own
     folder; months loaded earlier stay as they are. The answers are taken
-    over all months.
+    over all months. ``text`` is for sources that are headerless delimited text.
     """
+    read = files.read_trips_text if text else files.read_source
     zones = files.read_zones(spark, zone_path)
     total = {"raw_rows": 0, "clean_rows": 0}
-    for month in tables.land_months(spark, source_paths, f"{root}/raw/trips"):
+    for month in tables.land_months(spark, source_paths, f"{root}/raw/trips", read):
         raw_path, clean_path, fact_path = (
             tables.month_folder(f"{root}/{stage}", month)
             for stage in ("raw/trips", "clean/trips", "clean/trips_enriched")

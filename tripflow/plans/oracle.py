@@ -368,6 +368,21 @@ def oracle_sql() -> dict[str, str]:
                 WHERE rn <= 5 GROUP BY pu_loc_id, pickup_hour""",
             pairs="SELECT pu_loc_id, pickup_hour, do_loc_id, COUNT(*) AS trips FROM fact GROUP BY ALL",
         ),
+        "kv_zone_hour_puts": _with(
+            "fact",
+            f"""SELECT * FROM (
+                  SELECT {_KEY} AS row_key, COUNT(*) AS trips, {_rmean('fare_amount')} AS avg_fare,
+                         {_rmean('tip_pct')} AS avg_tip_pct, {_rmean('duration_min')} AS avg_duration_min
+                  FROM fact GROUP BY pu_loc_id, pickup_hour)
+                JOIN (
+                  SELECT {_KEY} AS row_key,
+                         '[' || string_agg('{{"rank":' || rn || ',"do_loc_id":' || do_loc_id
+                                || ',"trips":' || trips || '}}', ',' ORDER BY rn) || ']' AS zones
+                  FROM (SELECT *, row_number() OVER (PARTITION BY pu_loc_id, pickup_hour
+                                                     ORDER BY trips DESC, do_loc_id) AS rn FROM pairs)
+                  WHERE rn <= 5 GROUP BY pu_loc_id, pickup_hour) USING (row_key)""",
+            pairs="SELECT pu_loc_id, pickup_hour, do_loc_id, COUNT(*) AS trips FROM fact GROUP BY ALL",
+        ),
         "quality_by_rule": _with(
             "trips",
             "\nUNION ALL ".join(

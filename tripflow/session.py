@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,9 @@ _DEFAULTS = {
 
 _MIB = 1024 * 1024
 
+#: The temporary folder of each local application, removed with the process.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def sizing(input_bytes: int, cores: int) -> dict[str, str]:
     """Partition options for a job over ``input_bytes`` of files on ``cores``.
@@ -74,6 +79,18 @@ def build_session(
     return builder.getOrCreate()
 
 
+def listed_bytes(spark: SparkSession, paths: Iterable[str]) -> int:
+    """Bytes of the files at ``paths``, globs included, from their listing."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    total = 0
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        system = path.getFileSystem(conf)
+        for status in system.globStatus(path) or ():
+            total += system.getContentSummary(status.getPath()).getLength()
+    return total
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -86,12 +103,33 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    return tempfile.mkdtemp(prefix="tripflow-")
+    application = spark.sparkContext.applicationId
+    if application in _LOCAL_FOLDERS:
+        return _LOCAL_FOLDERS[application]
+    folder = tempfile.TemporaryDirectory(prefix="tripflow-", ignore_cleanup_errors=True)
+    _LOCAL_FOLDERS[application] = folder.name
+    atexit.register(folder.cleanup)
+    return folder.name
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder for one run's state under the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh folder for one run's state under the shared folder.
+
+    It is removed when the application ends: the frames read from it live no
+    longer than that.
+    """
+    name = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path)
+    system.deleteOnExit(path)
+    return name
+
+
+def remove_folder(spark: SparkSession, name: str) -> None:
+    """Removes a folder of this engine's own making."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written_once(df: DataFrame, label: str) -> DataFrame:
@@ -103,5 +141,5 @@ def written_once(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.write.parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tripflow.schema import conform
+from tripflow.functions.labels import literal
+from tripflow.sources.files import read_source
 
 Month = tuple[str, str]
 
@@ -32,18 +33,23 @@ def month_folder(root: str, month: Month) -> str:
     return f"{root}/year={month[0]}/month={month[1]}"
 
 
-def land_months(spark: SparkSession, paths: Iterable[str], root: str) -> list[Month]:
+def land_months(
+    spark: SparkSession,
+    paths: Iterable[str],
+    root: str,
+    read: Callable[[SparkSession, str], DataFrame] = read_source,
+) -> list[Month]:
     """Land source files under ``root/year=YYYY/month=MM``; returns the months.
 
     The month is the one in the name of the given file or folder, whatever the
     rows say. All files are held to the contract before anything is written.
     Only the months being landed are replaced, even by a file without rows, so
-    a month can be landed again. Nothing is shuffled.
+    a month can be landed again. Nothing is shuffled. ``read`` is the reader of
+    one path; ``read_trips_text`` takes headerless text.
     """
     by_month: dict[Month, list[DataFrame]] = {}
     for path in paths:
-        source = conform(spark.read.parquet(path), path)
-        by_month.setdefault(file_month(path), []).append(source)
+        by_month.setdefault(file_month(path), []).append(read(spark, path))
     for month, sources in by_month.items():
         together = reduce(DataFrame.unionByName, sources)
         together.write.mode("overwrite").parquet(month_folder(root, month))
@@ -56,7 +62,7 @@ def store(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def create_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
-    where = f" LOCATION '{location}'" if location else ""
+    where = f" LOCATION {literal(location)}" if location else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_quoted(name)}{where}")
 
 
@@ -83,7 +89,7 @@ def register_external(
     if by_month:
         columns, layout = f"{columns}, year INT, month INT", "PARTITIONED BY (year, month)"
     spark.sql(
-        f"CREATE TABLE {_quoted(name)} ({columns}) USING parquet {layout} LOCATION '{path}'"
+        f"CREATE TABLE {_quoted(name)} ({columns}) USING parquet {layout} LOCATION {literal(path)}"
     )
     if by_month:
         spark.sql(f"MSCK REPAIR TABLE {_quoted(name)}")
@@ -95,11 +101,11 @@ def drop_partitions(spark: SparkSession, name: str, **values: str) -> int:
     ``drop_partitions(spark, "raw.trips", year="2024")`` removes the whole
     year, with its files when the table is managed.
     """
-    given = ", ".join(f"{column} = '{value}'" for column, value in values.items())
+    given = ", ".join(f"`{column}` = {literal(value)}" for column, value in values.items())
     found = spark.sql(f"SHOW PARTITIONS {_quoted(name)} PARTITION ({given})").collect()
     for row in found:
         parts = (part.split("=", 1) for part in row.partition.split("/"))
-        spec = ", ".join(f"{column} = '{value}'" for column, value in parts)
+        spec = ", ".join(f"`{column}` = {literal(value)}" for column, value in parts)
         spark.sql(f"ALTER TABLE {_quoted(name)} DROP IF EXISTS PARTITION ({spec})")
     return len(found)
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,8 @@ from tripflow.schema import (
     conform,
 )
 
+FOOTERS_AT_ONCE = 16
+
 _ZONE_TEXT = T.StructType(
     [
         T.StructField(name, T.StringType())
@@ -26,14 +30,41 @@ _ZONE_TEXT = T.StructType(
 )
 
 
+def read_source(spark: SparkSession, path: str) -> DataFrame:
+    """One source path, every file of it held to the column contract by itself.
+
+    Of a folder or glob Spark takes one footer for the schema of all files; a
+    file without a column would turn into nulls. Here each footer is read, by
+    Spark and several at a time, and files of equal schema are scanned together.
+    """
+    files = sorted(spark.read.parquet(path).inputFiles())
+    if not files:
+        return conform(spark.read.parquet(path), path)
+
+    def schema_of(file: str) -> T.StructType:
+        return spark.read.parquet(file).schema
+
+    with ThreadPool(min(len(files), FOOTERS_AT_ONCE)) as pool:
+        schemas = pool.map(schema_of, files)
+    by_schema: dict[str, list[str]] = {}
+    for file, schema in zip(files, schemas):
+        by_schema.setdefault(schema.json(), []).append(file)
+    # Checked before anything is read: the error names the first deficient file.
+    parts = []
+    for text, alike in by_schema.items():
+        schema = T.StructType.fromJson(json.loads(text))
+        parts.append(conform(spark.read.schema(schema).parquet(*alike), alike[0]))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def read_source_months(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """Monthly source files as one frame.
+    """Monthly source files or folders as one frame.
 
-    Every file is held to the column contract by itself, so one month without
-    a column stops the job instead of turning into nulls, and months whose
+    Every file is held to the column contract by itself, so one file without
+    a column stops the job instead of turning into nulls, and files whose
     types differ (whole or fractional passenger counts) still line up.
     """
-    months = [conform(spark.read.parquet(path), path) for path in paths]
+    months = [read_source(spark, path) for path in paths]
     if not months:
         raise ValueError("no source files given")
     return reduce(DataFrame.unionByName, months)
