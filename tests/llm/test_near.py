@@ -57,7 +57,7 @@ def test_against_all_pairs(spark, size):
     assert {tuple(row) for row in found.collect()} == brute_near(rows, size)
 
 
-@pytest.mark.parametrize("rounds, direct", [(0, 10**9), (0, 0), (1, 3)])
+@pytest.mark.parametrize("rounds, direct", [(0, 10**9), (0, 0), (2, 3)])
 def test_every_way_through_a_posting_list(spark, monkeypatch, rounds, direct):
     """Without leaders, by shingles only, and with few of both."""
     monkeypatch.setattr(near, "LEADER_ROUNDS", rounds)
@@ -113,6 +113,6 @@ def test_word_hashes_depend_on_words_alone(monkeypatch):
 
 
 def test_plan_has_no_cross_join(spark):
-    classes = spark.createDataFrame([], "id long, n_shingles long, keys array<long>")
+    classes = spark.createDataFrame([], near.SIGNATURES)
     plan = near._postings(classes)._jdf.queryExecution().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan

@@ -17,10 +17,13 @@
    drifted apart) are posted anew under the rarest of their shingles, by bands
    of set sizes, where what all have in common seldom counts.
 4. A pair is a candidate if its lengths allow the similarity and its signatures
-   agree in ``MATCHES`` coordinates; links are confirmed on the full sets.
+   agree in ``MATCHES`` coordinates and in ``TEST_MATCHES`` of the one-byte test
+   coordinates; links are confirmed on the full sets, which are made for the
+   texts of candidates only.
 
 A pair at a similarity of exactly 0.8 falls short of 25 of 48 coordinates with
-a probability of 4e-6, one of 0.85 with 1e-8.
+a probability of 3e-6, one of 0.85 with 1e-8; of 172 of the 256 test bytes with
+4e-7.
 
 Defined results: a null or blank text has the empty set, is linked with nothing
 and is its own component; a text of fewer words than a shingle is one shingle;
@@ -45,7 +48,7 @@ from tripflow.llm.work import staged, table
 
 COORDINATES = 48
 MATCHES = 25
-LEADER_ROUNDS = 2
+LEADER_ROUNDS = 1
 #: Pairs that may remain in a posting list before its members are posted by shingle.
 DIRECT = 512
 #: Sizes of one band of shingle sets differ by this factor at most.
@@ -53,43 +56,61 @@ BAND_RATIO = 1.03
 #: Bits of a posted key that name the coordinate.
 _COORDINATE_BITS = 6
 _BLOCK = 2048
+#: Further coordinates, of one byte each, that only test pairs, and how many must agree.
+TEST_COORDINATES, TEST_MATCHES = 256, 172
+#: Bits of the filter that keeps texts out of the shuffle to their pairs.
+FILTER_BITS = 1 << 23
 
-SIGNATURES = "id long, n_shingles long, h1 long, h2 long, keys array<long>"
+SIGNATURES = "id long, n_shingles long, h1 long, h2 long, keys array<long>, test binary"
 SETS = "id long, n long, members array<long>"
 
 
-def _permutations() -> tuple[np.ndarray, np.ndarray]:
-    drawn = np.random.default_rng(7).integers(0, 1 << 63, (2, COORDINATES), dtype=np.uint64)
-    return (drawn[0] << np.uint64(1)) | np.uint64(1), drawn[1]
+def _permutations(count: int, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    drawn = np.random.default_rng(7).integers(0, 1 << 63, (2, count), dtype=np.uint64)
+    return ((drawn[0] << np.uint64(1)) | np.uint64(1)).astype(kind), drawn[1].astype(kind)
 
 
-def signature(members: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
-    """Per coordinate the least permuted member, tagged with the coordinate."""
-    least = np.full(COORDINATES, np.uint64((1 << 64) - 1))
+def _least(members: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
+    """Per permutation the least permuted member."""
+    least = np.full(len(factors), np.iinfo(members.dtype).max, members.dtype)
     for start in range(0, len(members), _BLOCK):
         permuted = np.multiply.outer(factors, members[start : start + _BLOCK])
         permuted += shifts[:, None]
         np.minimum(least, permuted.min(axis=1), out=least)
+    return least
+
+
+def signature(members: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
+    """Per coordinate the least permuted member, tagged with the coordinate."""
+    least = _least(members, factors, shifts)
     # The minimum of many values has leading zero bits: mix before cutting it.
     least *= np.uint64(0x9E3779B97F4A7C15)
     tags = np.arange(COORDINATES, dtype=np.uint64)
     return (least & ~np.uint64((1 << _COORDINATE_BITS) - 1)) | tags
 
 
+def test_signature(members: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> bytes:
+    """One byte of the least permuted member per test coordinate."""
+    least = _least((members >> np.uint64(32)).astype(np.uint32), factors, shifts)
+    return ((least * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8).tobytes()
+
+
 def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """Set size, set digest and signature of every (id, text)."""
+    """Set size, set digest and signatures of every (id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
-        factors, shifts = _permutations()
+        permutations = _permutations(COORDINATES, np.uint64)
+        tests = _permutations(TEST_COORDINATES, np.uint32)
         for batch in batches:
-            sizes, digests, keys, offsets = [], [], [], [0]
+            sizes, digests, keys, offsets, bytes_of = [], [], [], [0], []
             for hashes in hasher.each(batch.column(1)):
                 members = np.unique(shingles(hashes, words))
                 sizes.append(len(members))
                 digests.append(xxhash.xxh3_128_digest(members.tobytes()))
                 if len(members):
-                    keys.append(signature(members, factors, shifts))
+                    keys.append(signature(members, *permutations))
+                bytes_of.append(test_signature(members, *tests) if len(members) else None)
                 offsets.append(offsets[-1] + (COORDINATES if len(members) else 0))
             halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             flat = np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
@@ -100,8 +121,9 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                     pa.array(halves[:, 0].copy()),
                     pa.array(halves[:, 1].copy()),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
+                    pa.array(bytes_of, pa.binary()),
                 ],
-                ["id", "n_shingles", "h1", "h2", "keys"],
+                ["id", "n_shingles", "h1", "h2", "keys", "test"],
             )
 
     return docs.mapInArrow(run, SIGNATURES)
@@ -194,16 +216,59 @@ def _shingle_postings(sets: DataFrame, percent: int) -> DataFrame:
 
 def _candidates(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs (a, b) whose lengths and signatures allow a link."""
-    side = classes.select("id", "n_shingles", "keys")
+    side = classes.select("id", "n_shingles", "keys", "test")
     both = (
         pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
-        .join(side.toDF("a", "na", "ka"), "a")
-        .where("na > 0")
-        .join(side.toDF("b", "nb", "kb"), "b")
+        .join(side.toDF("a", "na", "ka", "ta"), "a")
+        .join(side.toDF("b", "nb", "kb", "tb"), "b")
         .where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
     )
-    return both.where(F.size(F.array_intersect("ka", "kb")) >= MATCHES).select("a", "b")
+
+    @F.arrow_udf("int")
+    def equal_bytes(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for one, other in columns:
+            if not len(one):
+                yield pa.array([], pa.int32())
+                continue
+            rows = [np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(len(c), -1) for c in (one, other)]
+            yield pa.array((rows[0] == rows[1]).sum(axis=1).astype(np.int32))
+
+    alike = both.where(F.size(F.array_intersect("ka", "kb")) >= MATCHES)
+    return alike.where(equal_bytes("ta", "tb") >= TEST_MATCHES).select("a", "b")
+
+
+def _may_hold(ids: DataFrame):
+    """A test of ids that passes all of ``ids`` and few others: one bit per hash.
+
+    Its size is fixed by ``FILTER_BITS``; with very many ids it passes more, never less.
+    """
+    bit = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
+    words = ids.groupBy(F.shiftright(bit, 6).alias("word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(pmod(xxhash64(id), {FILTER_BITS}), 64) AS INT))")).alias("bits")
+    )
+    table = np.zeros(FILTER_BITS // 64, np.int64)
+    for row in words.collect():
+        table[row.word] = row.bits
+    table = table.view(np.uint64)
+
+    @F.arrow_udf("boolean")
+    def held(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            at = column.to_numpy(zero_copy_only=False).astype(np.int64)
+            found = (table[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
+            yield pa.array(found.astype(bool))
+
+    return lambda id: held(F.pmod(F.xxhash64(id), F.lit(FILTER_BITS)))
+
+
+def _sets_of(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """Shingle sets of all ids in (a, b). The filter keeps other texts where they
+    are; the semi-join behind it is exact."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ids = staged(ids, "wanted")
+    texts = docs.where(_may_hold(ids)("id")).join(ids, "id", "left_semi")
+    return staged(shingle_sets(texts, words), "sets")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -275,8 +340,8 @@ def _labelled(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
 class _Linker:
     """The links confirmed so far and the components they make."""
 
-    def __init__(self, classes: DataFrame, sets: DataFrame, percent: int) -> None:
-        self.classes, self.sets, self.percent = classes, sets, percent
+    def __init__(self, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> None:
+        self.classes, self.docs, self.words, self.percent = classes, docs, words, percent
         self.links: DataFrame | None = None
         self.labels: DataFrame | None = None
 
@@ -284,11 +349,13 @@ class _Linker:
         return _labelled(lists, self.labels)
 
     def compare(self, pairs: DataFrame) -> None:
-        likely = _candidates(pairs, self.classes, self.percent)
-        found = staged(_confirmed(likely, self.sets, self.percent), "links")
-        if self.links is None or not found.isEmpty():
-            self.links = found if self.links is None else self.links.union(found)
-            self.labels = components(self.links)
+        likely = staged(_candidates(pairs, self.classes, self.percent), "candidates")
+        if self.links is not None and likely.isEmpty():
+            return
+        sets = _sets_of(likely, self.docs, self.words)
+        found = staged(_confirmed(likely, sets, self.percent), "links")
+        self.links = found if self.links is None else self.links.union(found)
+        self.labels = components(self.links)
 
     def merge(self, lists: DataFrame) -> DataFrame:
         """Leader rounds over the lists; what is left of them, open lists only."""
@@ -301,17 +368,14 @@ class _Linker:
 
 def near_links(classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Component labels (id, component) of all linked classes."""
-    lists = staged(_postings(classes), "postings")
-    wanted = staged(lists.select("id").distinct(), "wanted")
-    sets = staged(shingle_sets(docs.join(wanted, "id", "left_semi"), words), "sets")
-    linker = _Linker(classes, sets, percent)
-    rest = linker.merge(lists)
+    linker = _Linker(classes, docs, words, percent)
+    rest = linker.merge(staged(_postings(classes), "postings"))
+    linker.compare(_remaining_pairs(rest.where(f"crossing <= {DIRECT}"), percent, str(MATCHES)))
     # Long lists of unlike members come from a passage that makes up most of the
     # signature of many texts. Their pairs are found through the shingles instead.
-    long = staged(rest.where(f"crossing > {DIRECT}").select("id").distinct(), "long")
-    linker.compare(_remaining_pairs(rest.where(f"crossing <= {DIRECT}"), percent, str(MATCHES)))
+    long = staged(rest.where(f"crossing > {DIRECT}").select(F.col("id").alias("a"), F.col("id").alias("b")), "long")
     if not long.isEmpty():
-        by_shingle = _shingle_postings(sets.join(long, "id", "left_semi"), percent)
+        by_shingle = _shingle_postings(_sets_of(long, docs, words), percent)
         rest = linker.merge(staged(by_shingle, "shingle-postings"))
         needed = f"{percent} * (na + nb) / {100 + percent} - 1e-9"
         linker.compare(_remaining_pairs(rest, percent, needed))
@@ -332,7 +396,7 @@ def near_duplicates(
     classes = (
         signed.where("n_shingles > 0")
         .groupBy("h1", "h2")
-        .agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"))
+        .agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"), F.first("test").alias("test"))
     )
     classes = staged(classes, "classes")
     labels = near_links(classes.where("id IS NOT NULL"), rows, words, percent)
