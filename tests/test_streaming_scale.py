@@ -40,6 +40,52 @@ def test_stream_continues_from_its_checkpoint(spark, tmp_path):
     ]
     batch = hourly.hourly_counts(spark.read.schema(FEED).parquet(feed), "ts", ["event_type"])
     assert as_text(batch) == as_text(second)
+    # Two runs leave one result: earlier epochs are gone.
+    assert len(list((tmp_path / "state" / "counts").glob("epoch=*"))) == 1
+    third = hourly.run_hourly_counts(stream(), "ts", ["event_type"], folder)
+    assert as_text(third) == as_text(second)
+    assert hourly.late_rows(spark, folder) == 0
+
+
+@pytest.mark.parametrize("name", ["feed/", "feed", "feed.parquet"])
+def test_any_path_can_be_a_feed(spark, tmp_path, name):
+    path = f"{tmp_path}/{name}"
+    write_feed(spark, path, ("2026-03-08 01:10:00", "a"))
+    write_feed(spark, f"{tmp_path}/feed_other", ("2026-03-08 01:10:00", "other"))
+    stream = hourly.read_feed(spark, path, FEED)
+    counted = hourly.run_hourly_counts(stream, "ts", ["event_type"], f"{tmp_path}/state")
+    assert as_text(counted) == [("2026-03-08 01:00:00", "a", 1)]
+
+
+def test_staged_folders_go_with_the_application(spark):
+    name = session.new_folder(spark, "passing")
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    assert system.exists(path) and not system.deleteOnExit(path.suffix("-absent"))
+    session.remove_folder(spark, name)
+    assert not system.exists(path)
+
+
+def test_a_size_check_sends_one_row_per_task(spark):
+    text = plan(joins.size_of(zones(spark)))
+    assert "Limit" not in text and text.count("SinglePartition") == 1
+    assert "partial_count" in text
+
+
+def test_a_file_rewritten_in_place_is_measured_again(spark, tmp_path, monkeypatch):
+    import shutil
+
+    monkeypatch.setattr(joins, "MAX_ROWS", 10)
+    for name, rows in (("small", 3), ("large", 400)):
+        spark.range(rows).coalesce(1).write.parquet(str(tmp_path / name))
+    target = tmp_path / "dimension"
+    target.mkdir()
+    (small,), (large,) = (list((tmp_path / name).glob("*.parquet")) for name in ("small", "large"))
+    shutil.copyfile(small, target / "part.parquet")
+    assert joins.is_small(spark.read.parquet(str(target)))
+    shutil.copyfile(large, target / "part.parquet")
+    spark.catalog.refreshByPath(str(target))
+    assert not joins.is_small(spark.read.parquet(str(target)))
 
 
 def test_an_empty_feed_has_an_empty_result(spark, tmp_path):
@@ -70,6 +116,7 @@ def test_rows_behind_the_watermark_are_late(spark, tmp_path):
     write_feed(spark, feed, ("2026-01-01 03:00:00", "a"), ("2026-01-01 09:30:00", "a"))
     late = hourly.run_hourly_counts(stream(), "ts", ["event_type"], folder, lateness="1 hour")
     assert as_text(late) == [("2026-01-01 09:00:00", "a", 1), ("2026-01-01 10:00:00", "a", 1)]
+    assert hourly.late_rows(spark, folder) == 1
 
 
 @pytest.mark.parametrize(

@@ -132,6 +132,13 @@ def remove_folder(spark: SparkSession, name: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def child_folders(spark: SparkSession, name: str) -> list[str]:
+    """Names of the folders in a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return [status.getPath().getName() for status in found if status.isDirectory()]
+
+
 def written_once(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow.functions.wallclock import from_wall_seconds, wall_seconds
+from tripflow.session import child_folders, remove_folder
 
 
 def read_feed(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -19,6 +20,7 @@ def read_feed(spark: SparkSession, path: str, schema: T.StructType | str) -> Dat
     per trigger all present files form one micro-batch, so the watermark
     cannot overtake rows that are merely listed late.
     """
+    path = path.rstrip("/")
     return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
@@ -52,7 +54,8 @@ def run_hourly_counts(
     Update mode: each micro-batch writes the counts it changed to its own
     ``epoch=N`` directory, replacing it if the batch is retried, and a reader
     takes the newest epoch of each hour and key. Calling it again with the
-    same folder continues from the checkpoint.
+    same folder continues from the checkpoint. Rows later than the watermark
+    are dropped and counted, see ``late_rows``.
     """
     spark = events.sparkSession
     counted = hourly_counts(events, time, keys, lateness)
@@ -71,11 +74,43 @@ def run_hourly_counts(
         .start()
     )
     query.awaitTermination()
-    return latest_counts(spark, folder, keys)
+    late = sum(
+        state["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for state in progress["stateOperators"]
+    )
+    spark.createDataFrame([(late,)], "rows long").write.mode("append").parquet(f"{folder}/late")
+    return compacted(spark, folder, keys)
+
 
+def late_rows(spark: SparkSession, folder: str) -> int:
+    """Rows that all runs on this folder dropped as later than the watermark."""
+    return spark.read.parquet(f"{folder}/late").agg(F.sum("rows")).first()[0]
 
-def latest_counts(spark: SparkSession, folder: str, keys: Sequence[str]) -> DataFrame:
-    written = spark.read.parquet(f"{folder}/counts")
+
+def latest_counts(written: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Of every hour and key the count of its newest epoch."""
     return written.groupBy("hour_start", *keys).agg(
         F.max_by("n_events", "epoch").alias("n_events")
     )
+
+
+def compacted(spark: SparkSession, folder: str, keys: Sequence[str]) -> DataFrame:
+    """The counts so far, kept with the last epoch; earlier epochs are removed.
+
+    A folder so holds about one row per hour and key, however long the stream
+    has run. A run that is cut short between adding and removing leaves both,
+    which read the same.
+    """
+    root = f"{folder}/counts"
+    written = spark.read.parquet(root)
+    last = written.agg(F.max("epoch")).first()[0]
+    if last is None:  # no event yet
+        return latest_counts(written, keys)
+    earlier = [name for name in child_folders(spark, root) if name != f"epoch={last}"]
+    if earlier:
+        # Added to the last epoch, where a count that is there already is equal.
+        latest_counts(written, keys).write.mode("append").parquet(f"{root}/epoch={last}")
+        for name in earlier:
+            remove_folder(spark, f"{root}/{name}")
+    return latest_counts(spark.read.schema(written.schema).parquet(root), keys)
