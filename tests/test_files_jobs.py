@@ -1,4 +1,6 @@
 import os
+import shutil
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -88,6 +90,39 @@ def test_one_bad_month_stops_the_job(spark, tmp_path):
         files.read_source_months(spark, [good, bad])
 
 
+def folder_of(spark, tmp_path, **kinds):
+    """One folder with a file per kind; returns its path."""
+    folder = tmp_path / "trips_2026-01"
+    folder.mkdir()
+    for name, options in kinds.items():
+        drop = options.pop("drop", None)
+        path = source_file(spark, str(tmp_path / name), **options)
+        if drop:
+            short = f"{path}-short"
+            spark.read.parquet(path).drop(drop).coalesce(1).write.parquet(short)
+            path = short
+        (file,) = Path(path).glob("*.parquet")
+        shutil.copyfile(file, folder / f"{name}.parquet")
+    return str(folder)
+
+
+def test_every_file_of_a_folder_is_held_to_the_contract(spark, tmp_path):
+    path = folder_of(spark, tmp_path, a={}, b={"drop": "fare_amount"})
+    with pytest.raises(ContractError, match=r"b\.parquet.*fare_amount"):
+        files.read_source_months(spark, [path])
+    with pytest.raises(ContractError, match=r"b\.parquet.*fare_amount"):
+        sinks.land_months(spark, [path], str(tmp_path / "raw"))
+    assert not (tmp_path / "raw").exists()
+
+
+def test_files_of_one_folder_with_different_types_line_up(spark, tmp_path):
+    path = folder_of(spark, tmp_path, a={}, b={"passengers": "double"}, c={"extra": False})
+    rows = files.read_source_months(spark, [path])
+    assert rows.columns == RAW_COLUMNS
+    assert rows.where("passenger_count IS NULL OR fare_amount IS NULL").count() == 0
+    assert rows.count() == 3
+
+
 def test_trip_text_is_tolerant(spark, tmp_path):
     line = '2,2026-01-01 00:54:04.000000,2026-01-01 00:59:37.000000,1,0.97,1,"N",239,238,1,7.2,1,0.5,3.66,0,1,15.86,2.5,0'
     folder = tmp_path / "year=2026" / "month=01"
@@ -287,6 +322,19 @@ def test_month_from_files_to_exports(spark, tmp_path, zone_file):
     assert spark.table("monthly.fact_trips").count() == 3
 
 
+def test_a_month_of_headerless_text_gives_the_same_fact(spark, tmp_path, zone_file):
+    rows = [{}, {"pu_loc_id": 132}, {"fare_amount": -1.0}]
+    parquet = source_file(spark, str(tmp_path / "trips_2026-01.parquet"), rows=rows)
+    text = str(tmp_path / "trips_2026-01.csv")
+    wall = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+    files.read_source(spark, parquet).write.options(**wall).csv(text)
+    for name, path, is_text in (("p", parquet, False), ("t", text, True)):
+        jobs.run_month(spark, [path], zone_file, str(tmp_path / name), f"m_{name}", text=is_text)
+    facts = [files.read_fact(spark, str(tmp_path / n / "clean/trips_enriched")) for n in "pt"]
+    assert sorted(tuples(facts[0]), key=str) == sorted(tuples(facts[1]), key=str)
+    assert facts[0].count() == 2
+
+
 def test_two_files_of_one_month_are_landed_together(spark, tmp_path):
     paths = [source_file(spark, str(tmp_path / f"{k}_2026-03.parquet")) for k in ("a", "b")]
     assert sinks.land_months(spark, paths, str(tmp_path / "raw")) == [("2026", "03")]

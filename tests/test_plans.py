@@ -105,3 +105,16 @@ def test_a_point_get_reaches_the_puts(spark, tables):
     filters = re.findall(r"Condition : ([^\n]*)", text)
     assert any("cast(location_id" in f or "IN (1,13,21)" in f for f in filters)
     assert "partial_max" in text
+
+
+def test_copies_are_counted_by_hash_first(stored):
+    """The first exchange of the duplicate report carries eight bytes a row and a count."""
+    text = plan(extensions.duplicate_report(stored["trips"]))
+    counted = re.findall(r"Exchange\n(?:Input \[\d+\]: \[([^\]]*)\])", text)
+    assert any(re.sub(r"#\d+L?", "", columns) == "_hash, count" for columns in counted)
+
+
+def test_table_counts_scan_the_fact_once(stored):
+    text = plan(counts.answer_counts(stored["fact"], stored["zones"], {1: "EWR"}, 3))
+    scans = re.findall(r"ReadSchema: struct<[^\n]*pickup_hour", text)
+    assert len(scans) == 1
