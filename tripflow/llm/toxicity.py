@@ -33,11 +33,11 @@ from tripflow.llm.work import crc32_mod, table
 
 TOXIC, CLEAN = 2000, 4000
 STEMS = (4, 6)
-EPOCHS = 4
+EPOCHS = 6
 #: Features of fewer learning texts tell nothing of others.
 LEAST_TEXTS = 4
 #: FTRL-proximal: learning rate, its smoothing, L1 and L2.
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 3.0, 1.0
+ALPHA, BETA, L1, L2 = 0.5, 1.0, 7.0, 1.0
 THRESHOLD = 0.3
 _FILTER_BITS = 20
 
