@@ -67,6 +67,14 @@ def test_no_value_is_left_out(spark, values):
         assert one is None or str(one) == str(other) or one == pytest.approx(other, abs=0.005)
 
 
+def test_eight_places_are_kept(spark):
+    frame = spark.createDataFrame([(20.466666666666665,), (1 / 3,), (2.0e11 + 0.25,)], "x double")
+    got = [frame.where(test).agg(*named(t=exact.exact_sum("x"))).first()[0] for test in ("x < 1e3", "true")]
+    assert got == [Decimal("20.80000000"), Decimal("200000000021.05000000")]
+    alone = frame.where("x < 1").agg(*named(t=exact.exact_sum("x"))).first()[0]
+    assert alone == Decimal("0.33333333")
+
+
 def test_group_total_far_past_a_trillion(spark):
     frame = spark.range(0, 1_000_000, 1, 4).selectExpr("1.0E11D + (id % 2) * 0.25D AS x")
     got = frame.agg(*named(t=exact.exact_sum("x"), m=exact.exact_mean("x"))).collect()[0]

@@ -189,3 +189,32 @@ def test_day_of_week(spark):
 def test_duplicates_are_reported_not_removed(spark):
     trips = fact(spark, {}, {}, {}, {"pickup_hour": 1}, {"payment_type": None}, {"payment_type": None})
     assert tuples(extensions.duplicate_report(trips)) == [(6, 3, 2, 3)]
+
+
+def test_the_rollup_gives_the_same_answers(spark, tables):
+    from tripflow.functions.exact import Rolled
+    from tripflow.operators import enrich, serving
+    from tripflow.operators import clean as cleaning
+    from tripflow.plans import jobs
+    from tripflow.sources import orderbook
+
+    places = orderbook.zones(spark, tables)
+    trips = enrich.fact_trips(cleaning.clean_trips(orderbook.raw_trips(spark, tables)), places)
+    # Large, wild and missing values keep their ways through the partial sums.
+    odd = "CASE WHEN pickup_hour = 3 THEN total_amount * 1.0E10D WHEN pickup_hour = 4 THEN NULL " \
+        "WHEN pickup_hour = 5 AND pu_loc_id < 3 THEN DOUBLE('Infinity') ELSE total_amount END"
+    trips = trips.withColumn("total_amount", F.expr(odd))
+    rolled = questions.rollup(trips)
+    airports = orderbook.AIRPORT_ZONES
+    plain = jobs.answers(trips, places, airports, 2)
+    for name, frame in jobs.answers(rolled, places, airports, 2, Rolled).items():
+        want, got = plain[name].collect(), frame.collect()
+        assert len(got) == len(want) > 0, name
+        if name != "q2_revenue_by_borough":
+            assert got == want, name
+        for one, other in zip(sorted(got, key=str), sorted(want, key=str)):
+            for a, b in zip(one, other):
+                assert a == b or a == pytest.approx(b, rel=1e-12), name
+    assert sorted(serving.zone_hour_profile(rolled, of=Rolled).collect()) == sorted(
+        serving.zone_hour_profile(trips).collect()
+    )

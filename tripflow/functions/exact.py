@@ -40,10 +40,11 @@ def exact_sum(value: str) -> str:
     is_large = f"abs({value}) >= 9.0E10D AND abs({value}) < 1.0E18D"
     whole = f"CASE WHEN {is_large} THEN CAST({value} AS BIGINT) END"
     rest = f"CASE WHEN {is_large} THEN CAST(rint(({value} - CAST({value} AS BIGINT)) * 1.0E8D) AS BIGINT) END"
-    units = f"CAST({_halves(small)} * {_FRACTION} AS DECIMAL(38,8))"
+    # Of 37 digits each, so that adding them keeps all eight places.
+    units = f"CAST({_halves(small)} * {_FRACTION} AS DECIMAL(37,8))"
     large = (
-        f"(CAST({_halves(whole)} AS DECIMAL(38,8)) + "
-        f"CAST(CAST(sum({rest}) AS DECIMAL(20,0)) * {_FRACTION} AS DECIMAL(38,8)))"
+        f"CAST(CAST({_halves(whole)} AS DECIMAL(37,8)) + "
+        f"CAST(CAST(sum({rest}) AS DECIMAL(20,0)) * {_FRACTION} AS DECIMAL(37,8)) AS DECIMAL(37,8))"
     )
     return f"CAST(coalesce({units} + {large}, {units}, {large}) AS DECIMAL(38,8))"
 
@@ -84,3 +85,51 @@ def percent(part: str, whole: str) -> str:
 def percent_of_rows(condition: str) -> str:
     """Share of the group's rows for which ``condition`` is TRUE, in percent."""
     return percent(f"count_if({condition})", "count(1)")
+
+
+# Sums that are finished later ---------------------------------------------------
+
+
+def partial_sums(value: str, name: str) -> dict[str, str]:
+    """Columns from which ``Rolled`` finishes the sum and mean of ``value``."""
+    return {
+        f"{name}_sum": exact_sum(value),
+        f"{name}_plain": f"CASE WHEN {_plain(value)} THEN sum({value}) END",
+        f"{name}_n": f"count({value})",
+    }
+
+
+class Rows:
+    """Measures of groups of single rows."""
+
+    trips = "count(1)"
+    rounded_sum = staticmethod(rounded_sum)
+    rounded_mean = staticmethod(rounded_mean)
+    percent_of_rows = staticmethod(percent_of_rows)
+
+
+class Rolled:
+    """The same measures of groups of rollup rows with ``trips`` and partial sums.
+
+    Partial sums are exact, so the results are those of ``Rows``.
+    """
+
+    trips = "sum(trips)"
+
+    @staticmethod
+    def _total(name: str) -> str:
+        exact = f"CAST(sum(CASE WHEN {name}_plain IS NULL THEN {name}_sum END) AS DOUBLE)"
+        return f"coalesce(sum({name}_plain) + coalesce({exact}, 0.0D), {exact})"
+
+    @staticmethod
+    def rounded_sum(name: str, places: int = 2) -> str:
+        exact = f"CAST(round(sum({name}_sum), {places}) AS DOUBLE)"
+        return f"CASE WHEN count({name}_plain) > 0 THEN {Rolled._total(name)} ELSE {exact} END"
+
+    @staticmethod
+    def rounded_mean(name: str, places: int = 2) -> str:
+        return round_half_up(f"try_divide({Rolled._total(name)}, CAST(sum({name}_n) AS DOUBLE))", places)
+
+    @staticmethod
+    def percent_of_rows(condition: str) -> str:
+        return percent(f"sum(CASE WHEN {condition} THEN trips ELSE 0L END)", "sum(trips)")

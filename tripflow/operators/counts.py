@@ -13,6 +13,7 @@ from tripflow.functions.naming import TRIPS, named
 from tripflow.functions.wallclock import hour_text
 from tripflow.operators.clean import countable
 from tripflow.operators.joins import broadcast_if_small
+from tripflow.operators.questions import TIMED
 from tripflow.schema import is_text
 
 
@@ -55,8 +56,7 @@ def answer_counts(
     of every answer, and the answers' rows are the distinct keys.
     """
     keys = ["pickup_hour", "pu_loc_id", "do_loc_id", "pu_borough", "pu_zone", "payment_type"]
-    timed = "count_if(trip_distance > 0.1D AND duration_min BETWEEN 1 AND 120)"
-    rollup = fact.groupBy(*keys).agg(*named(**TRIPS, timed=timed))
+    rollup = fact.groupBy(*keys).agg(*named(**TRIPS, timed=f"count_if({TIMED})"))
     places = zones.selectExpr(
         "location_id AS zone_key", "zone AS do_zone", "borough AS do_borough", "1 AS known"
     )

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.functions.exact import rounded_mean
-from tripflow.functions.naming import TRIPS, named
+from tripflow.functions.exact import Rows
+from tripflow.functions.naming import named
 from tripflow.operators.reports import top_per_group
 
 
@@ -118,20 +118,20 @@ def trip_by_zone(hotspots: DataFrame) -> DataFrame:
     )
 
 
-def zone_hour_stats(fact: DataFrame) -> DataFrame:
+def zone_hour_stats(fact: DataFrame, of: type = Rows) -> DataFrame:
     """Zone-hour metrics keyed ``<zone id>_<HH>``."""
     measures = {
-        "avg_fare": rounded_mean("fare_amount"),
-        "avg_tip_pct": rounded_mean("tip_pct"),
-        "avg_duration_min": rounded_mean("duration_min"),
+        "avg_fare": of.rounded_mean("fare_amount"),
+        "avg_tip_pct": of.rounded_mean("tip_pct"),
+        "avg_duration_min": of.rounded_mean("duration_min"),
     }
-    groups = fact.groupBy("pu_loc_id", "pickup_hour").agg(*named(**TRIPS, **measures))
+    groups = fact.groupBy("pu_loc_id", "pickup_hour").agg(*named(trips=of.trips, **measures))
     return groups.selectExpr(_ZONE_HOUR_KEY, f"struct(trips, {', '.join(measures)}) AS stats")
 
 
-def top_dropoffs(fact: DataFrame, top: int = 5) -> DataFrame:
+def top_dropoffs(fact: DataFrame, top: int = 5, of: type = Rows) -> DataFrame:
     """The ``top`` drop-off zones of every zone-hour as a JSON list, best first."""
-    pairs = fact.groupBy("pu_loc_id", "pickup_hour", "do_loc_id").agg(*named(**TRIPS))
+    pairs = fact.groupBy("pu_loc_id", "pickup_hour", "do_loc_id").agg(*named(trips=of.trips))
     order = [F.desc("trips"), F.asc("do_loc_id")]
     ranked = top_per_group(pairs, ["pu_loc_id", "pickup_hour"], order, top)
     lists = ranked.groupBy("pu_loc_id", "pickup_hour").agg(
@@ -140,6 +140,6 @@ def top_dropoffs(fact: DataFrame, top: int = 5) -> DataFrame:
     return lists.selectExpr(_ZONE_HOUR_KEY, "struct(to_json(entries) AS zones) AS top_do")
 
 
-def zone_hour_profile(fact: DataFrame, top: int = 5) -> DataFrame:
+def zone_hour_profile(fact: DataFrame, top: int = 5, of: type = Rows) -> DataFrame:
     """Both families of the zone-hour table side by side."""
-    return zone_hour_stats(fact).join(top_dropoffs(fact, top), "row_key", "left")
+    return zone_hour_stats(fact, of).join(top_dropoffs(fact, top, of), "row_key", "left")

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripflow.functions.exact import Rolled, Rows
 from tripflow.functions.labels import AIRPORTS
 from tripflow.operators import counts, questions, serving
 from tripflow.operators.clean import KEPT_PCT, clean_trips_counted
@@ -50,14 +51,15 @@ def answers(
     zones: DataFrame,
     airports: Mapping[int, str] = AIRPORTS,
     min_trips: int = 20,
+    of: type = Rows,
 ) -> dict[str, DataFrame]:
-    """The five result tables by name."""
+    """The five result tables by name, from the fact or (``of=Rolled``) its rollup."""
     return {
-        "q1_hotspots": questions.q1_hotspots(fact),
-        "q2_revenue_by_borough": questions.q2_revenue_by_borough(fact),
-        "q3_congestion": questions.q3_congestion(fact, min_trips),
-        "q4_airports": questions.q4_airports(fact, zones, airports),
-        "q5_payment_share": questions.q5_payment_share(fact),
+        "q1_hotspots": questions.q1_hotspots(fact, of),
+        "q2_revenue_by_borough": questions.q2_revenue_by_borough(fact, of),
+        "q3_congestion": questions.q3_congestion(fact, min_trips, of=of),
+        "q4_airports": questions.q4_airports(fact, zones, airports, of),
+        "q5_payment_share": questions.q5_payment_share(fact, of),
     }
 
 
@@ -108,9 +110,10 @@ def run_month(
     tables.save_table(zones, f"{schema}.dim_zone")
     facts = f"{root}/clean/trips_enriched"
     tables.register_external(spark, f"{schema}.fact_trips", facts, FACT_SCHEMA, by_month=True)
-    fact = spark.table(f"{schema}.fact_trips")
+    # The fact is scanned once; answers and serving tables come from its rollup.
+    fact = written_once(questions.rollup(spark.table(f"{schema}.fact_trips")), "rollup")
 
-    results = answers(fact, spark.table(f"{schema}.dim_zone"), airports, min_trips)
+    results = answers(fact, spark.table(f"{schema}.dim_zone"), airports, min_trips, Rolled)
     for name, result in results.items():
         tables.save_table(result, f"{schema}.{name}")
         stored = spark.table(f"{schema}.{name}")
@@ -123,5 +126,5 @@ def run_month(
     upsert_table(spark, f"{schema}.zone_lookup", serving.zone_lookup(complete))
     hotspots = spark.table(f"{schema}.q1_hotspots")
     upsert_table(spark, f"{schema}.trip_by_zone", serving.trip_by_zone(hotspots))
-    upsert_table(spark, f"{schema}.zone_hour_profile", serving.zone_hour_profile(fact))
+    upsert_table(spark, f"{schema}.zone_hour_profile", serving.zone_hour_profile(fact, of=Rolled))
     return total
