@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripflow.llm import decontam, language, lines, near, packing
-from tripflow.llm.work import staged, table
+from tripflow.llm.work import bounded_batches, staged, table
 
 _ROW = "_document"
 
@@ -29,6 +29,7 @@ def _beside(docs: DataFrame, *columns: str) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in no language that could be learned from the labels."""
+    bounded_batches(spark)
     model = language.fit(docs)
     judged = language.predict(_beside(docs, "text"), model)
     return judged.where(~F.col("rejected")).select(f"{_ROW}.*")

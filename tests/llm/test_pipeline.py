@@ -109,3 +109,16 @@ def test_empty_documents(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_batches_are_only_lowered(spark, conf):
+    from tripflow.llm.work import bounded_batches
+
+    rows, size = (f"spark__sql__execution__arrow__max{k}PerBatch" for k in ("Records", "Bytes"))
+    conf(**{rows: "50", size: "1048576b"})
+    bounded_batches(spark)
+    assert spark.conf.get(rows.replace("__", ".")) == "50"
+    conf(**{rows: "10000", size: "67108864b"})
+    bounded_batches(spark)
+    assert spark.conf.get(rows.replace("__", ".")) == "1000"
+    assert int(spark.conf.get(size.replace("__", ".")).rstrip("b")) == 16 << 20

@@ -46,7 +46,7 @@ VOCABULARY = "word_bpe_49k.json"
 #: Multiplicative weights: rounds, how fast prices fall, share of a count taken at once.
 ROUNDS, FALL, STEP = 300, 8.0, 0.25
 #: Words a worker remembers at most, and the ids of words before it starts afresh.
-SLOTS, POOL = 1 << 20, 1 << 24
+SLOTS, POOL = 1 << 20, 1 << 23
 #: Bytes encoded at a time.
 PIECE = 1 << 19
 _TOGETHER = 256

@@ -8,16 +8,32 @@ from pyspark.sql import functions as F
 from tripflow.session import written_once
 
 
+#: Rows and bytes that go to a Python worker at a time. Texts are long: Spark's
+#: 10,000 rows would hold the same text several times over in JVM and worker.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to the bounds above; never raises them."""
+    rows, size = (f"spark.sql.execution.arrow.max{kind}PerBatch" for kind in ("Records", "Bytes"))
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
+    if not 0 < int(spark.conf.get(size).rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(size, f"{BATCH_BYTES}b")
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` as Parquet under ``spark.checkpoint.dir``, read back.
 
     Ends the lineage at files all executors can read, so a lost executor costs
     a re-read, and gives the planner true sizes for the joins that follow.
     """
+    bounded_batches(df.sparkSession)
     return written_once(df, label)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
