@@ -218,3 +218,59 @@ def test_the_rollup_gives_the_same_answers(spark, tables):
     assert sorted(serving.zone_hour_profile(rolled, of=Rolled).collect()) == sorted(
         serving.zone_hour_profile(trips).collect()
     )
+
+
+# Sort keys of every ordered result: name -> [(column, descending)].
+ORDERED = {
+    "q1_hotspots": [("pickup_hour", 0), ("trips", 1), ("pu_borough", 0), ("pu_zone", 0)],
+    "q2_revenue_by_borough": [("revenue_usd", 1), ("pu_borough", 0), ("payment_method", 0)],
+    "q3_congestion": [("trips", 1), ("pickup_hour", 0), ("pu_loc_id", 0), ("do_loc_id", 0)],
+    "q4_airports": [("airport", 0), ("trips", 1), ("destination_zone", 0), ("destination_borough", 0)],
+    "q5_payment_share": [("trips", 1), ("pu_borough", 0)],
+    "q1_preview_hour": [("trips", 1), ("pu_borough", 0), ("pu_zone", 0)],
+    "q4_preview_airport": [("trips", 1), ("destination_zone", 0), ("destination_borough", 0)],
+    "busiest_zone_hours": [("trips", 1), ("pickup_hour", 0), ("pu_zone", 0)],
+    "top20_zone_hours": [("trips", 1), ("pu_loc_id", 0), ("hour", 0)],
+    "slowest_pairs": [("min_per_mile", 1), ("pickup_hour", 0), ("pu_loc_id", 0), ("do_loc_id", 0)],
+    "congestion_by_hour": [("pickup_hour", 0)],
+    "dim_preview": [("location_id", 0)],
+    "kv_scan_limit": [("row_key", 0)],
+}
+
+
+def in_order(rows, keys):
+    """Whether rows stand in this order; a null comes before every value."""
+
+    def key(row):
+        parts = []
+        for name, descending in keys:
+            value = row[name]
+            if isinstance(value, str):
+                parts.append((value is not None, value))
+            else:
+                parts.append((value is not None, -value if descending else value))
+        return parts
+
+    return rows == sorted(rows, key=key)
+
+
+@pytest.mark.parametrize("name", list(ORDERED))
+def test_ordered_results_come_in_order(spark, tables, name):
+    from tripflow.plans import catalog
+
+    rows = catalog.queries()[name](spark, tables).collect()
+    assert len(rows) > 1 and in_order(rows, ORDERED[name])
+
+
+def test_exported_answers_keep_their_order(spark, tables, tmp_path):
+    from tripflow.plans import catalog
+    from tripflow.sinks import tables as sinks
+
+    for name in ("q1_hotspots", "q2_revenue_by_borough", "q3_congestion", "q4_airports", "q5_payment_share"):
+        result = catalog.queries()[name](spark, tables)
+        sinks.export_text(result, str(tmp_path / name), one_file=True)
+        (part,) = (tmp_path / name).glob("part-*.csv")
+        lines = part.read_text().splitlines()
+        assert len(lines) == result.count()
+        rows = spark.read.schema(result.schema).option("nullValue", "\\N").csv(str(part)).collect()
+        assert in_order(rows, ORDERED[name])
