@@ -5,11 +5,10 @@ whole cents. Summing DECIMALs is exact but builds one BigDecimal per value
 (about ten times slower than adding doubles). Here every value becomes a
 64-bit count of 1e-8 units, which is added as two plain BIGINT sums: the bits
 above 2^20 and the 20 bits below. Values of 9e10 and more, whose units do not
-fit, are added as whole numbers (two sums again) and units of the fraction. All
-sums stay in whole-stage code generation and combine map-side; decimals appear
-once per group. The low half has room for 8e12 rows in one group, the high half
-for a group total of 9e16 of the smaller and 9e24 of the larger values; a sum
-past that fails in ANSI mode and is never silently cut.
+fit, are added as DECIMALs behind a filter. All sums combine map-side. The low
+half has room for 8e12 rows in one group, the high half for a group total of
+9e16 of the smaller values, the DECIMALs for 1e28 of the larger; a sum past that
+fails in ANSI mode and is never silently cut.
 
 No value is left out: NaN, the infinities and magnitudes of 1e18 and more, for
 which no exact sum is kept, turn the group's result into that of a plain sum.
@@ -20,38 +19,33 @@ parsed text replaces dozens of driver round trips for nested Column objects.
 
 from __future__ import annotations
 
-_FRACTION = "CAST('0.00000001' AS DECIMAL(8,8))"
-
-
-def _halves(number: str) -> str:
-    """Exact DECIMAL sum of a BIGINT, from the bits above 2^20 and those below."""
-    high = f"CAST(sum(shiftright({number}, 20)) AS DECIMAL(20,0)) * CAST(1048576 AS DECIMAL(7,0))"
-    return f"({high} + CAST(sum(({number}) & 1048575L) AS DECIMAL(20,0)))"
-
-
-def _plain(value: str) -> str:
-    """Whether the group holds a value without an exact sum. NaN compares as greatest."""
-    return f"count_if(abs({value}) >= 1.0E18D) > 0"
-
-
 def exact_sum(value: str) -> str:
     """DECIMAL(38,8) sum of the DOUBLEs below 1e18; null for a group without any."""
-    small = f"CASE WHEN abs({value}) < 9.0E10D THEN CAST(rint(({value}) * 1.0E8D) AS BIGINT) END"
-    is_large = f"abs({value}) >= 9.0E10D AND abs({value}) < 1.0E18D"
-    whole = f"CASE WHEN {is_large} THEN CAST({value} AS BIGINT) END"
-    rest = f"CASE WHEN {is_large} THEN CAST(rint(({value} - CAST({value} AS BIGINT)) * 1.0E8D) AS BIGINT) END"
-    # Of 37 digits each, so that adding them keeps all eight places.
-    units = f"CAST({_halves(small)} * {_FRACTION} AS DECIMAL(37,8))"
+    units = f"CASE WHEN abs({value}) < 9.0E10D THEN CAST(rint(({value}) * 1.0E8D) AS BIGINT) END"
+    high = f"CAST(sum(shiftright({units}, 20)) AS DECIMAL(20,0)) * CAST(1048576 AS DECIMAL(7,0))"
+    low = f"CAST(sum(({units}) & 1048575L) AS DECIMAL(20,0))"
+    # The filter keeps the decimal sum out of every row it does not concern.
     large = (
-        f"CAST(CAST({_halves(whole)} AS DECIMAL(37,8)) + "
-        f"CAST(CAST(sum({rest}) AS DECIMAL(20,0)) * {_FRACTION} AS DECIMAL(37,8)) AS DECIMAL(37,8))"
+        f"sum(try_cast({value} AS DECIMAL(26,8))) "
+        f"FILTER (WHERE abs({value}) >= 9.0E10D AND abs({value}) < 1.0E18D)"
     )
-    return f"CAST(coalesce({units} + {large}, {units}, {large}) AS DECIMAL(38,8))"
+    small = f"CAST(({high} + {low}) * CAST('0.00000001' AS DECIMAL(8,8)) AS DECIMAL(37,8))"
+    large = f"CAST({large} AS DECIMAL(37,8))"
+    return f"CAST(coalesce({small} + {large}, {small}, {large}) AS DECIMAL(38,8))"
+
+
+def _wild(value: str) -> str:
+    """Sum of the values without an exact one; null if there is none. NaN compares as greatest."""
+    return f"sum({value}) FILTER (WHERE abs({value}) >= 1.0E18D)"
+
+
+def _joined(exact: str, wild: str) -> str:
+    return f"coalesce({wild} + coalesce(CAST({exact} AS DOUBLE), 0.0D), CAST({exact} AS DOUBLE))"
 
 
 def exact_total(value: str) -> str:
     """The sum as DOUBLE; that of a plain sum if a value has no exact one."""
-    return f"CASE WHEN {_plain(value)} THEN sum({value}) ELSE CAST({exact_sum(value)} AS DOUBLE) END"
+    return _joined(exact_sum(value), _wild(value))
 
 
 def exact_mean(value: str) -> str:
@@ -69,8 +63,12 @@ def round_half_up(value: str, places: int = 2) -> str:
 
 
 def rounded_sum(value: str, places: int = 2) -> str:
-    exact = f"CAST(round({exact_sum(value)}, {places}) AS DOUBLE)"
-    return f"CASE WHEN {_plain(value)} THEN sum({value}) ELSE {exact} END"
+    return _rounded(exact_sum(value), _wild(value), places)
+
+
+def _rounded(exact: str, wild: str, places: int) -> str:
+    finite = f"CAST(round({exact}, {places}) AS DOUBLE)"
+    return f"CASE WHEN {wild} IS NULL THEN {finite} ELSE {_joined(exact, wild)} END"
 
 
 def rounded_mean(value: str, places: int = 2) -> str:
@@ -94,7 +92,7 @@ def partial_sums(value: str, name: str) -> dict[str, str]:
     """Columns from which ``Rolled`` finishes the sum and mean of ``value``."""
     return {
         f"{name}_sum": exact_sum(value),
-        f"{name}_plain": f"CASE WHEN {_plain(value)} THEN sum({value}) END",
+        f"{name}_wild": _wild(value),
         f"{name}_n": f"count({value})",
     }
 
@@ -116,19 +114,14 @@ class Rolled:
 
     trips = "sum(trips)"
 
-    @staticmethod
-    def _total(name: str) -> str:
-        exact = f"CAST(sum(CASE WHEN {name}_plain IS NULL THEN {name}_sum END) AS DOUBLE)"
-        return f"coalesce(sum({name}_plain) + coalesce({exact}, 0.0D), {exact})"
-
     @staticmethod
     def rounded_sum(name: str, places: int = 2) -> str:
-        exact = f"CAST(round(sum({name}_sum), {places}) AS DOUBLE)"
-        return f"CASE WHEN count({name}_plain) > 0 THEN {Rolled._total(name)} ELSE {exact} END"
+        return _rounded(f"sum({name}_sum)", f"sum({name}_wild)", places)
 
     @staticmethod
     def rounded_mean(name: str, places: int = 2) -> str:
-        return round_half_up(f"try_divide({Rolled._total(name)}, CAST(sum({name}_n) AS DOUBLE))", places)
+        total = _joined(f"sum({name}_sum)", f"sum({name}_wild)")
+        return round_half_up(f"try_divide({total}, CAST(sum({name}_n) AS DOUBLE))", places)
 
     @staticmethod
     def percent_of_rows(condition: str) -> str:
