@@ -64,16 +64,22 @@ def answers(
 
 
 def upsert_table(spark: SparkSession, name: str, puts: DataFrame) -> None:
-    """Put keyed rows into a stored table: new keys are added, known ones replaced.
+    """Put keyed rows into a stored table, cell by cell: new keys are added.
 
-    The merged rows are written aside first, since a table cannot be read
-    while it is being replaced. Stored sorted by key, so that a point read
-    skips the row groups of other keys.
+    The next version is written in full beside the stored one and then takes
+    its name, so a load that breaks off loses nothing: a version left behind
+    complete is taken up by the next load. Stored sorted by key, so that a
+    point read skips the row groups of other keys.
     """
-    merged = puts
-    if spark.catalog.tableExists(name):
-        merged = written_once(serving.upsert(spark.table(name), puts), "upsert")
-    tables.save_table(merged.sort("row_key"), name, "parquet")
+    following = f"{name}__next"
+    stored = spark.catalog.tableExists(name)
+    if not stored and spark.catalog.tableExists(following):
+        tables.rename_table(spark, following, name)
+        stored = True
+    merged = serving.upsert(spark.table(name), puts) if stored else puts
+    tables.save_table(merged.sort("row_key"), following, "parquet")
+    tables.drop_table(spark, name)
+    tables.rename_table(spark, following, name)
 
 
 def run_month(

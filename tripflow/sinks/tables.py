@@ -14,6 +14,9 @@ from tripflow.sources.files import read_source
 
 Month = tuple[str, str]
 
+#: Most rows that are written by one task as one file.
+ONE_FILE_ROWS = 10_000_000
+
 _MONTH_IN_NAME = re.compile(r"(\d{4})-(0[1-9]|1[0-2])(?=\.|$)")
 
 
@@ -70,6 +73,10 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {_quoted(name)}")
 
 
+def rename_table(spark: SparkSession, name: str, to: str) -> None:
+    spark.sql(f"ALTER TABLE {_quoted(name)} RENAME TO {_quoted(to)}")
+
+
 def save_table(df: DataFrame, name: str, fmt: str = "orc", by: tuple[str, ...] = ()) -> None:
     """Managed columnar table from a frame, replacing one of that name."""
     df.write.format(fmt).mode("overwrite").partitionBy(*by).saveAsTable(name)
@@ -114,9 +121,11 @@ def export_text(df: DataFrame, path: str, one_file: bool = False, sep: str = ","
     """Delimited export without header, replacing the directory.
 
     ``one_file`` merges the parts for a reader that wants a single file. It is
-    meant for result tables, whose size is bounded by zones, hours and
-    payment methods rather than by trips.
+    meant for stored result tables, whose size is bounded by zones, hours and
+    payment methods rather than by trips; a larger frame is refused.
     """
+    if one_file and (rows := df.count()) > ONE_FILE_ROWS:
+        raise ValueError(f"{rows} rows are too many for one file; the bound is {ONE_FILE_ROWS}")
     merged = df.coalesce(1) if one_file else df
     (
         merged.write.mode("overwrite")
