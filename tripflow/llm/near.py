@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from tripflow.llm.components import components
 from tripflow.llm.words import WordHasher, shingles
-from tripflow.llm.work import staged, table
+from tripflow.llm.work import partitions, staged, table
 
 COORDINATES = 48
 MATCHES = 25
@@ -184,6 +184,8 @@ def _shingle_postings(sets: DataFrame, percent: int) -> DataFrame:
     size of the band, and is ``short`` in its own band for the prefix that
     follows from its own size.
     """
+    # Few small files hold the sets: deal them out before they grow to a row per shingle.
+    sets = sets.repartition(partitions(sets.sparkSession))
     posted = sets.select("id", "n", F.explode("members").alias("key"))
     counts = staged(
         posted.groupBy("key").agg(F.count("*").alias("holders")).where("holders > 1"), "shingle-counts"
@@ -238,7 +240,7 @@ def _candidates(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame
     return alike.where(equal_bytes("ta", "tb") >= TEST_MATCHES).select("a", "b")
 
 
-def _may_hold(ids: DataFrame):
+def may_hold(ids: DataFrame):
     """A test of ids that passes all of ``ids`` and few others: one bit per hash.
 
     Its size is fixed by ``FILTER_BITS``; with very many ids it passes more, never less.
@@ -267,7 +269,7 @@ def _sets_of(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
     are; the semi-join behind it is exact."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     ids = staged(ids, "wanted")
-    texts = docs.where(_may_hold(ids)("id")).join(ids, "id", "left_semi")
+    texts = docs.where(may_hold(ids)("id")).join(ids, "id", "left_semi")
     return staged(shingle_sets(texts, words), "sets")
 
 
