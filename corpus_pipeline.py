@@ -56,7 +56,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies: five words, 0.8."""
     judged = staged(near.near_duplicates(docs, words=5, percent=80), "near")
     gone = judged.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = staged(gone, "gone")
+    # Documents that the filter clears stay where they are; only the others meet the join.
+    doubtful = near.may_hold(gone.toDF("id"))(F.col("doc_id").cast("long"))
+    checked = docs.where(doubtful).join(gone, "doc_id", "left_anti").select(*docs.columns)
+    left = docs.where(~doubtful).union(checked)
     again = judged.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
     again = staged(again.select("doc_id"), "again")
     if again.isEmpty():
