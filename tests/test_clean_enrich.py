@@ -167,7 +167,8 @@ def test_a_dimension_is_measured_once(spark, monkeypatch, tables):
     checked = len(joins._CHECKED)
     assert joins.is_small(orderbook.zones(spark, tables))
     assert len(joins._CHECKED) == checked
-    assert joins.is_small(zones(spark)) and len(joins._CHECKED) == checked + 1
+    # A frame that comes from no file has nothing to tell it unchanged by.
+    assert joins.is_small(zones(spark)) and len(joins._CHECKED) == checked
     monkeypatch.setattr(joins, "MAX_ROWS", 24)
     assert not joins.is_small(orderbook.zones(spark, tables))
 
