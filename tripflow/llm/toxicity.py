@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tripflow.llm.words import WordHasher, mixed, text_bytes
 from tripflow.llm.work import crc32_mod, table
 
-TOXIC, CLEAN = 2000, 4000
+TOXIC, CLEAN = 1500, 3000
 STEMS = (4, 6)
 EPOCHS = 6
 #: Features of fewer learning texts tell nothing of others.
