@@ -70,3 +70,28 @@ def test_empty_table_and_columns(spark):
     found = lines.dedup_lines(spark.createDataFrame([], SCHEMA))
     assert found.count() == 0
     assert found.columns == ["doc_id", "text", "source", "n_lines", "n_removed"]
+
+
+def short_lines():
+    """"Share" and "Read more" on five sites each, "Home page" on four, blank lines on all."""
+    rows = []
+    for k in range(6):
+        said = [f"own line of document {k}", " Share\r", "", "Read more"] + ["Home page"] * (k < 4)
+        rows.append((k, "\n".join(said), f"s{k % 5}", "x"))
+    return rows
+
+
+@pytest.mark.parametrize("table", [lines.TABLE, -1])
+def test_short_lines_are_judged_by_their_sites(spark, monkeypatch, table):
+    monkeypatch.setattr(lines, "TABLE", table)
+    found = {r.doc_id: r for r in lines.dedup_lines(spark.createDataFrame(short_lines(), SCHEMA)).collect()}
+    assert found[0].text == short_lines()[0][1] and found[0].n_removed == 0
+    for k in range(1, 6):
+        own = [f"own line of document {k}", ""] + ["Home page"] * (k < 4)
+        assert found[k].text == "\n".join(own) and found[k].n_removed == 2
+
+
+def test_a_word_minimum_can_be_asked_for(spark):
+    docs = spark.createDataFrame(short_lines(), SCHEMA)
+    removed = lambda least: [r.n_removed for r in lines.dedup_lines(docs, min_words=least).orderBy("doc_id").collect()]
+    assert removed(2) == [0] + [1] * 5 and removed(3) == [0] * 6
