@@ -6,20 +6,22 @@ columns the documents have pass through unchanged, except that line dedup
 rewrites ``text`` and, where it is there, ``n_chars``.
 
 Defined results: language ID drops null texts and texts without letters; line
-dedup drops a document only if it deleted lines and left no word; of rows that
-share an id near-dedup keeps one, of rows without an id all; an empty table
-passes through every stage.
+dedup drops a document only if it deleted lines and left no word; near-dedup
+judges rows, not ids, and keeps of each group of near copies one row, that of the
+smallest id, one without an id only where no other is; an empty table passes
+through every stage.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.llm import decontam, language, lines, near, packing
 from tripflow.llm.work import bounded_batches, staged, table
 
 _ROW = "_document"
+_KEY = "_key"
 
 
 def _beside(docs: DataFrame, *columns: str) -> DataFrame:
@@ -52,24 +54,31 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.select(*columns)
 
 
+def _with_row_keys(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """``docs`` with a key of each row, and whether it is the id. Only where ids
+    are missing or stand on several rows, the rows are written with keys of their own."""
+    ids = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL")
+    if ids.isEmpty():
+        return docs.withColumn(_KEY, F.col("doc_id").cast("long")), True
+    return staged(docs.withColumn(_KEY, F.monotonically_increasing_id()), "keyed"), False
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies: five words, 0.8."""
-    judged = staged(near.near_duplicates(docs, words=5, percent=80), "near")
-    gone = judged.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    keyed, by_id = _with_row_keys(docs)
+    judged = staged(near.near_duplicates(keyed, words=5, percent=80, id=_KEY), "near")
+    if by_id:
+        gone = judged.where(~F.col("kept")).select(_KEY)
+    else:
+        order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*docs.columns).alias("row"), _KEY)
+        placed = judged.join(keyed.select(_KEY, order.alias("order")), _KEY)
+        first = placed.groupBy("component_id").agg(F.min("order")[_KEY].alias(_KEY))
+        gone = judged.select(_KEY).join(first, _KEY, "left_anti")
     gone = staged(gone, "gone")
     # Documents that the filter clears stay where they are; only the others meet the join.
-    doubtful = near.may_hold(gone.toDF("id"))(F.col("doc_id").cast("long"))
-    checked = docs.where(doubtful).join(gone, "doc_id", "left_anti").select(*docs.columns)
-    left = docs.where(~doubtful).union(checked)
-    again = judged.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
-    again = staged(again.select("doc_id"), "again")
-    if again.isEmpty():
-        return left
-    order = Window.partitionBy("doc_id").orderBy(*[F.col(c) for c in docs.columns])
-    first = left.join(again, "doc_id", "left_semi").select("*", F.row_number().over(order).alias("_place"))
-    return left.join(again, "doc_id", "left_anti").select(*docs.columns).union(
-        first.where("_place = 1").select(*docs.columns)
-    )
+    doubtful = near.may_hold(gone.toDF("id"))(F.col(_KEY))
+    checked = keyed.where(doubtful).join(gone, _KEY, "left_anti")
+    return keyed.where(~doubtful).select(*docs.columns).union(checked.select(*docs.columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

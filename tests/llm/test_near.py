@@ -116,3 +116,12 @@ def test_plan_has_no_cross_join(spark):
     classes = spark.createDataFrame([], near.SIGNATURES)
     plan = near._postings(classes)._jdf.queryExecution().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_an_id_has_one_component(spark):
+    """Id 5 bears the text of 3 and that of 9; id 8 a text and a blank one."""
+    rows = [(3, "a b c d e f g"), (5, "a b c d e f g"), (5, "p q r s t u v"), (9, "p q r s t u v"),
+            (2, "h i j k"), (8, "h i j k"), (8, " "), (6, "x y z x")]
+    found = near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {(3, 3), (5, 3), (9, 3), (2, 2), (8, 2), (6, 6)}
+    assert {r.doc_id for r in found if r.kept} == {2, 3, 6}

@@ -101,6 +101,17 @@ def test_repeated_and_missing_ids(spark, tmp_path):
     assert sorted(collected_ids(pipeline.near_dedup(spark, docs, "")), key=str) == [1, None]
 
 
+def test_no_text_is_lost_where_ids_repeat_or_are_missing(spark):
+    """Id 5 bears a copy of 3 and a text copied by 9; three rows without an id: two copies, one text of its own."""
+    one, two, three = "a b c d e f g", "p q r s t u v", "h i j k l m n"
+    said = [(3, one), (5, one), (5, two), (9, two), (None, one), (None, three), (None, three), (7, "x y z"), (7, "w w w")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "", "") for i, t in said], SCHEMA).repartition(3)
+    found = pipeline.near_dedup(spark, docs, "")
+    assert found.columns == docs.columns
+    kept = sorted(((r.doc_id, r.text) for r in found.collect()), key=str)
+    assert kept == sorted([(3, one), (5, two), (None, three), (7, "x y z"), (7, "w w w")], key=str)
+
+
 def collected_ids(df):
     return [row.doc_id for row in df.collect()]
 

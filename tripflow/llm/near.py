@@ -27,9 +27,10 @@ a probability of 3e-6, one of 0.85 with 1e-8; of 172 of the 256 test bytes with
 
 Defined results: a null or blank text has the empty set, is linked with nothing
 and is its own component; a text of fewer words than a shingle is one shingle;
-rows that share an id count as one document; a row without an id is represented
-by an equal text that has one, else by itself (null component, kept); an empty
-table gives no rows; further columns are ignored.
+rows that share an id count as one document, so the classes of their texts are
+linked; a row without an id is represented by an equal text that has one, else
+by itself (null component, kept); an empty table gives no rows; further columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -352,7 +353,7 @@ class _Linker:
 
     def compare(self, pairs: DataFrame) -> None:
         likely = staged(_candidates(pairs, self.classes, self.percent), "candidates")
-        if self.links is not None and likely.isEmpty():
+        if self.labels is not None and likely.isEmpty():
             return
         sets = _sets_of(likely, self.docs, self.words)
         found = staged(_confirmed(likely, sets, self.percent), "links")
@@ -368,9 +369,23 @@ class _Linker:
         return _open_lists(self.labelled(lists))
 
 
-def near_links(classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Component labels (id, component) of all linked classes."""
+def _links_of_ids(members: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """Links (a, b) between an id on several rows and the classes of its texts."""
+    again = members.where("id IS NOT NULL").groupBy("id").count().where("count > 1")
+    again = staged(again.select("id"), "again")
+    if again.isEmpty():
+        return None
+    own = members.join(again, "id", "left_semi").join(classes.select("h1", "h2", F.col("id").alias("class")), ["h1", "h2"])
+    return staged(own.where("id <> class").select(F.col("id").alias("a"), F.col("class").alias("b")).distinct(), "links")
+
+
+def near_links(
+    classes: DataFrame, docs: DataFrame, words: int, percent: int, links: DataFrame | None = None
+) -> DataFrame:
+    """Component labels (id, component) of all linked classes; ``links`` hold from the start."""
     linker = _Linker(classes, docs, words, percent)
+    if links is not None:
+        linker.links, linker.labels = links, components(links)
     rest = linker.merge(staged(_postings(classes), "postings"))
     linker.compare(_remaining_pairs(rest.where(f"crossing <= {DIRECT}"), percent, str(MATCHES)))
     # Long lists of unlike members come from a passage that makes up most of the
@@ -401,8 +416,9 @@ def near_duplicates(
         .agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"), F.first("test").alias("test"))
     )
     classes = staged(classes, "classes")
-    labels = near_links(classes.where("id IS NOT NULL"), rows, words, percent)
     members = signed.select("id", "n_shingles", "h1", "h2")
+    known = classes.where("id IS NOT NULL")
+    labels = near_links(known, rows, words, percent, _links_of_ids(members, known))
     named = members.join(
         classes.select("h1", "h2", F.col("id").alias("class")), ["h1", "h2"], "left"
     )
