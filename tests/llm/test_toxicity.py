@@ -87,3 +87,19 @@ def test_rates_are_per_coordinate():
     labels = np.array([0.0, 1.0] * 50 + [1.0] * 10)
     weights, _ = toxicity.ftrl(texts, labels, 4)
     assert weights[1] > 0 and weights[2] > 0 and weights[3] == 0
+
+
+def test_rare_features_do_not_reach_the_driver(spark, monkeypatch):
+    """Words of one text each are dropped in Spark; the sample keeps its full size."""
+    assert (toxicity.TOXIC, toxicity.CLEAN) == (2000, 4000)
+    seen = []
+    learn = toxicity.ftrl
+    monkeypatch.setattr(toxicity, "ftrl", lambda x, y, n: seen.append((x, n)) or learn(x, y, n))
+    docs = [(k, f"same words here own{k} rare{k}" + " wretched" * (k % 2), "x") for k in range(40)]
+    labels = [(k, k % 2) for k in range(40)]
+    model = toxicity.fit(
+        spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, "doc_id long, toxic int")
+    )
+    texts, size = seen[0]
+    assert len(texts) == 40 and size < 30 and max(len(x) for x in texts) <= size
+    assert len(model.features) <= size and all(x.dtype == np.int32 for x in texts)

@@ -7,7 +7,8 @@ coordinate and, by its L1 term, non-zero weights for a few thousand features
 only; these are all that is sent to the executors.
 
 The model is fitted on a bounded sample: about ``TOXIC`` toxic and ``CLEAN``
-other labelled texts, picked by a hash of the id. Every text is scored whole,
+other labelled texts, picked by a hash of the id. Features of fewer than
+``LEAST_TEXTS`` of them are dropped before they reach the driver. Every text is scored whole,
 in the partition where it is read: no shuffle.
 
 Defined results: a null or empty text has no features and scores the model's
@@ -29,9 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.llm.words import WordHasher, mixed, text_bytes
-from tripflow.llm.work import crc32_mod, table
+from tripflow.llm.work import crc32_mod, staged, table
 
-TOXIC, CLEAN = 1500, 3000
+TOXIC, CLEAN = 2000, 4000
 STEMS = (4, 6)
 EPOCHS = 6
 #: Features of fewer learning texts tell nothing of others.
@@ -40,6 +41,8 @@ LEAST_TEXTS = 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 7.0, 1.0
 THRESHOLD = 0.3
 _FILTER_BITS = 20
+#: Bytes of a learning text's features that give its place in the order of learning.
+_ORDER_BYTES = 256
 
 
 @dataclass(frozen=True)
@@ -107,26 +110,36 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Featurizer()
         for batch in batches:
-            found = [np.unique(hasher.features(d)).tobytes() for d in text_bytes(batch.column(1))]
+            found = [np.unique(hasher.features(d)).view(np.int32) for d in text_bytes(batch.column(1))]
             labels = batch.column(0).cast(pa.int32())
-            yield pa.RecordBatch.from_arrays([labels, pa.array(found, pa.binary())], ["y", "x"])
+            lists = pa.array(found, pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([labels, lists], ["y", "x"])
 
-    sample = rows.mapInArrow(features, "y int, x binary").collect()
-    sample = sorted((int(row.y > 0), bytes(row.x)) for row in sample)
-    labels_of = np.array([y for y, _ in sample], float)
+    learned = staged(rows.mapInArrow(features, "y int, x array<int>"), "learned")
+    often = learned.select(F.explode("x").alias("f")).groupBy("f").agg(F.count("*").alias("n"))
+    often = often.where(F.col("n") >= LEAST_TEXTS).select("f").toPandas()["f"]
+    known_features = np.sort(often.to_numpy(np.int32).view(np.uint32))
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            orders, found = [], []
+            for k in range(batch.num_rows):
+                own = batch.column(1)[k].values.to_numpy().view(np.uint32)
+                orders.append(own.tobytes()[:_ORDER_BYTES])
+                at = np.searchsorted(known_features, own)
+                at = at[at < len(known_features)]
+                found.append(at[known_features[at] == own[: len(at)]].astype(np.int32).tobytes())
+            columns = [batch.column(0), pa.array(orders, pa.binary()), pa.array(found, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["y", "o", "x"])
+
+    sample = learned.mapInArrow(places, "y int, o binary, x binary").collect()
+    sample = sorted((int(row.y > 0), bytes(row.o), bytes(row.x)) for row in sample)
+    labels_of = np.array([y for y, *_ in sample], float)
     if len(set(labels_of)) < 2:
         share = float(labels_of.mean()) if len(sample) else 0.0
         share = min(max(share, 1e-9), 1 - 1e-9)
         return ToxicityModel(np.empty(0, np.uint32), np.empty(0), float(np.log(share / (1 - share))))
-    texts = [np.frombuffer(x, np.uint32) for _, x in sample]
-    known_features, places, counts = np.unique(
-        np.concatenate(texts), return_inverse=True, return_counts=True
-    )
-    often = counts >= LEAST_TEXTS
-    renumbered = np.where(often, np.cumsum(often) - 1, -1)[places]
-    texts = np.split(renumbered, np.cumsum([len(x) for x in texts])[:-1])
-    texts = [x[x >= 0] for x in texts]
-    known_features = known_features[often]
+    texts = [np.frombuffer(x, np.int32) for *_, x in sample]
     weights, bias = ftrl(texts, labels_of, len(known_features))
     used = weights != 0
     return ToxicityModel(known_features[used], weights[used], bias)
