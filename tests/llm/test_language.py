@@ -88,3 +88,13 @@ def test_clusters_of_one_language():
     rows[:20, 0] = rows[20:, 5] = 1
     found = language.spherical_kmeans(rows, 2)
     assert len(found) == 2 and (found @ rows.T).max(axis=0).min() > 0.99
+
+
+def test_all_languages_are_learned(spark, monkeypatch):
+    """Three languages in turns of two give the model of one turn."""
+    frame = spark.createDataFrame(rows_of(np.random.default_rng(4), 90), SCHEMA)
+    whole = language.fit(frame)
+    monkeypatch.setattr(language, "LANGUAGES", 2)
+    turns = language.fit(frame)
+    assert sorted(set(turns.languages)) == sorted(WORDS) and turns.languages == whole.languages
+    assert np.allclose(turns.centroids, whole.centroids) and np.allclose(turns.limits, whole.limits)

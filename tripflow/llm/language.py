@@ -8,9 +8,9 @@ cosine. It is rejected when that cosine is below the centroid's own limit, a
 share of the cosines its learning texts had.
 
 The classifier is fitted on a bounded sample: at most about ``SAMPLE`` texts of
-each of the ``LANGUAGES`` most frequent languages, picked by a hash of the id,
-so the sample, and not the corpus, passes through the driver. Every text is
-predicted whole.
+each language, picked by a hash of the id. The samples of at most ``LANGUAGES``
+languages are on the driver at a time; with more, they come in turns, twice,
+for the frequencies and for the centroids. Every text is predicted whole.
 
 Defined results: a null text and one without letters are ``und``, score 0,
 rejected; without anything to learn from every text is; ties go to the first
@@ -33,6 +33,7 @@ from tripflow.llm.work import crc32_mod, table
 
 UNKNOWN = "und"
 SAMPLE = 300
+#: Languages whose samples are on the driver at a time; all are learned.
 LANGUAGES = 100
 CLUSTERS = 4
 ROUNDS = 12
@@ -99,14 +100,27 @@ def spherical_kmeans(rows: np.ndarray, clusters: int) -> np.ndarray:
     return centroids.astype(np.float32)
 
 
-def _sample_counts(docs: DataFrame, id: str, text: str, lang: str) -> list[tuple[str, bytes]]:
-    """(language, n-gram counts) of the learning sample."""
-    known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(id).isNotNull())
-    sizes = known.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(LANGUAGES).collect()
+def _known(docs: DataFrame, id: str, text: str, lang: str) -> DataFrame:
+    return docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(id).isNotNull())
+
+
+def _language_sizes(docs: DataFrame, id: str, text: str, lang: str) -> list[tuple[str, int]]:
+    """(language, texts) of every language, the most frequent first."""
+    sizes = _known(docs, id, text, lang).groupBy(lang).agg(F.count("*").alias("n")).orderBy(F.desc("n"), lang)
+    return [(row[0], row["n"]) for row in sizes.collect()]
+
+
+def _sample_counts(
+    docs: DataFrame, id: str, text: str, lang: str, turn: int = 0, sizes: list[tuple[str, int]] | None = None
+) -> list[tuple[str, bytes]]:
+    """(language, n-gram counts) of the learning sample of one turn of ``LANGUAGES`` languages."""
+    known = _known(docs, id, text, lang)
+    sizes = _language_sizes(docs, id, text, lang) if sizes is None else sizes
+    sizes = sizes[turn * LANGUAGES : (turn + 1) * LANGUAGES]
     if not sizes:
         return []
     scale = 1 << 30
-    limits = [(F.lit(row[0]), F.lit(min(scale, scale * SAMPLE // row["count"]))) for row in sizes]
+    limits = [(F.lit(name), F.lit(min(scale, scale * SAMPLE // n))) for name, n in sizes]
     limit = F.create_map(*[part for pair in limits for part in pair])[F.col(lang)]
     picked = known.where(F.pmod(F.xxhash64(F.col(id)), F.lit(scale)) < limit)
 
@@ -128,24 +142,36 @@ def _sample_counts(docs: DataFrame, id: str, text: str, lang: str) -> list[tuple
 
 def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> LanguageModel:
     """A model of the languages in ``lang``; only ``text`` and ``lang`` are learned from."""
-    sample = _sample_counts(docs, id, text, lang)
-    if not sample:
+    sizes = _language_sizes(docs, id, text, lang)
+    turns = range(-(-len(sizes) // LANGUAGES))
+    texts, present, sample = 0, np.zeros(BUCKETS, np.int64), []
+    for turn in turns:
+        sample = _sample_counts(docs, id, text, lang, turn, sizes)
+        texts += len(sample)
+        for _, c in sample:
+            present += np.frombuffer(c, np.float32) > 0
+    if not texts:
         empty = np.zeros((0, BUCKETS), np.float32)
         return LanguageModel([], empty, np.ones(BUCKETS, np.float32), np.zeros(0))
-    counts = np.stack([np.frombuffer(c, np.float32) for _, c in sample])
-    names = np.array([name for name, _ in sample])
-    present = (counts > 0).sum(axis=0)
-    weights = (np.log((1 + len(counts)) / (1 + present)) + 1).astype(np.float32)
-    rows = vectors(counts, weights)
-    languages, centroids, limits = [], [], []
-    for name in sorted(set(names)):
-        own = rows[names == name]
-        found = spherical_kmeans(own, CLUSTERS)
-        usual = np.median((own @ found.T).max(axis=1))
-        languages += [str(name)] * len(found)
-        centroids.append(found)
-        limits += [REJECT * float(usual)] * len(found)
-    return LanguageModel(languages, np.concatenate(centroids), weights, np.array(limits))
+    weights = (np.log((1 + texts) / (1 + present)) + 1).astype(np.float32)
+    learned: dict[str, tuple[np.ndarray, float]] = {}
+    for turn in turns:
+        if len(turns) > 1:
+            sample = _sample_counts(docs, id, text, lang, turn, sizes)
+        if not sample:
+            continue
+        rows = vectors(np.stack([np.frombuffer(c, np.float32) for _, c in sample]), weights)
+        names = np.array([name for name, _ in sample])
+        for name in set(names):
+            own = rows[names == name]
+            found = spherical_kmeans(own, CLUSTERS)
+            learned[str(name)] = found, REJECT * float(np.median((own @ found.T).max(axis=1)))
+    languages, limits = [], []
+    for name, (found, limit) in sorted(learned.items()):
+        languages += [name] * len(found)
+        limits += [limit] * len(found)
+    centroids = np.concatenate([learned[name][0] for name in sorted(learned)])
+    return LanguageModel(languages, centroids, weights, np.array(limits))
 
 
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
