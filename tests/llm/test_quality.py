@@ -79,3 +79,17 @@ def test_ablations(judged):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert quality.apply_policy(quality.ledger(empty)).count() == 0
+
+
+def test_ablations_are_registered_over_all_documents(spark, tables):
+    from tripflow.llm.catalog import QUERIES
+
+    folder = tables.replace("sf0.001", "sf0.01")
+    bits = [row.failed_bits for row in QUERIES["op4_quality"](spark, folder).collect()]
+    found = {(r.policy, r.rule): r for r in QUERIES["op4_ablations"](spark, folder).collect()}
+    assert set(found) == {(p, rule) for p, rules in quality.POLICIES.items() for rule in rules}
+    for (policy, rule), row in found.items():
+        mask, bit = quality.bits(quality.POLICIES[policy]), quality.bits((rule,))
+        assert row.n_rows == len(bits) and row.kept == sum(b & mask == 0 for b in bits)
+        assert row.failed == sum(b & bit != 0 for b in bits)
+        assert row.regained == sum(b & mask == bit for b in bits)

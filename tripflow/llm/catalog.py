@@ -20,6 +20,7 @@ QUERIES = {
     "op2_decontam": decontam.op2_decontam,
     "op3_langid": language.op3_langid,
     "op4_quality": quality.op4_quality,
+    "op4_ablations": quality.op4_ablations,
     "op5_packing": packing.op5_packing,
     "op6_htmltext": html.op6_htmltext,
     "op7_toxicity": toxicity.op7_toxicity,

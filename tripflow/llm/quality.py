@@ -162,6 +162,11 @@ def op4_quality(spark, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_ablations(spark, sf_dir: str) -> DataFrame:
+    """The ablations of every policy over all documents."""
+    return ablations(ledger(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def _oracle() -> str:
     rule_bits = " + ".join(
         f"CASE WHEN {rule} THEN {1 << k} ELSE 0 END" for k, rule in enumerate(RULES.values())
