@@ -11,6 +11,7 @@ from tripflow.llm import (
     near,
     packing,
     quality,
+    runs,
     sharding,
     toxicity,
 )
@@ -27,9 +28,11 @@ QUERIES = {
     "op8_linededup": lines.op8_linededup,
     "op9_sharding": sharding.op9_sharding,
     "op10_chat": chat.op10_chat,
+    "op11_runs": runs.op11_runs,
 }
 
 ORACLES = {
     "op4_quality": quality.ORACLE_SQL,
     "op8_linededup": lines.ORACLE_SQL,
+    "op11_runs": runs.ORACLE_SQL,
 }
