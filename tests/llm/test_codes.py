@@ -1,0 +1,144 @@
+"""Vector codes against plain Python and against SQL."""
+
+import hashlib
+import math
+import random
+import struct
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from tripflow.llm import codes
+
+SCHEMA = "vec_id long, embedding array<float>, label int, code string, extra string"
+
+
+def plain(rows, parts=4, entries=256, rounds=4):
+    """{(id, code, error, label error)} and the digest of the codebooks, in plain Python."""
+    kept = [
+        (doc, [max(-codes.LIMIT, min(codes.LIMIT, math.floor(1024 * x))) for x in vector], label)
+        for doc, vector, label, *_ in rows
+        if vector is not None and all(x is not None and math.isfinite(x) for x in vector)
+    ]
+    kept.sort(key=lambda row: (row[0] is None, row[0] or 0, row[1]))
+    kept = [row for row in kept if len(row[1]) == len(kept[0][1])]
+    if not kept:
+        return [], None
+    edges = [len(piece) for piece in np.array_split(np.arange(len(kept[0][1])), parts)]
+    starts = [sum(edges[:k]) for k in range(parts)]
+
+    def cut(vector):
+        return [tuple(vector[start : start + size]) for start, size in zip(starts, edges)]
+
+    pieces = [cut(vector) for _, vector, _ in kept]
+    books = [[piece[k] for piece in pieces[:entries]] for k in range(parts)]
+
+    def best(piece, book):
+        return min((sum((x - y) ** 2 for x, y in zip(piece, entry)), e) for e, entry in enumerate(book))
+
+    for _ in range(rounds):
+        for k in range(parts):
+            members = defaultdict(list)
+            for piece in pieces:
+                members[best(piece[k], books[k])[1]].append(piece[k])
+            for e, own in members.items():
+                books[k][e] = tuple(sum(column) // len(own) for column in zip(*own))
+    found = [[best(piece[k], books[k]) for k in range(parts)] for piece in pieces]
+    errors = [sum(distance for distance, _ in each) for each in found]
+    totals = defaultdict(int)
+    for (_, _, label), error in zip(kept, errors):
+        totals[label] += error
+    listed = ",".join(str(x) for book in books for entry in book for x in entry)
+    out = [
+        (doc, "".join(f"{e:02x}" for _, e in each), error, totals[label])
+        for (doc, _, label), each, error in zip(kept, found, errors)
+    ]
+    return out, hashlib.sha256(listed.encode()).hexdigest()
+
+
+def found_by(spark, rows, **settings):
+    vectors = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    coded, books = codes.compress(vectors, **settings)
+    labelled = codes.with_label_error(coded)
+    assert labelled.columns == ["vec_id", "label", "extra", "code", "error", "label_error"]
+    return labelled.select("vec_id", "code", "error", "label_error").collect(), books
+
+
+def single(x):
+    return struct.unpack("f", struct.pack("f", x))[0]
+
+
+def given(count, width, seed=3, spread=1.0):
+    rng = random.Random(seed)
+    return [
+        (k, [single(rng.gauss(0, spread)) for _ in range(width)], rng.choice([0, 0, 0, 1, None]), "c", "x")
+        for k in range(count)
+    ]
+
+
+@pytest.mark.parametrize(
+    "width, entries, spread", [(16, 256, 1.0), (8, 16, 0.002), (10, 7, 0.1), (4, 1, 1.0), (3, 5, 0.5)]
+)
+def test_against_plain(spark, width, entries, spread):
+    rows = given(180, width, seed=width, spread=spread)
+    rows += rows[-5:]  # repeated rows
+    rows += [(7, rows[20][1], None, "c", "x"), (None, rows[3][1], 4, "c", "x")]  # an id twice, no id
+    rows += [(500, None, 1, "c", "x"), (501, [None] * width, 1, "c", "x"), (502, [float("nan")] * width, 1, "c", "x")]
+    rows += [(503, [float("inf")] * width, 1, "c", "x"), (504, [-float("inf")] * width, 1, "c", "x")]
+    rows += [(-3, [0.25] * width, 9, "c", "x"), (505, [0.5] * (width + 1), 1, "c", "x"), (506, [], 1, "c", "x")]
+    found, books = found_by(spark, rows, entries=entries)
+    expected, digest = plain(rows, entries=entries)
+    assert sorted(map(tuple, found), key=str) == sorted(expected, key=str)
+    assert books.sha256() == digest
+
+
+def test_every_vector_alike(spark):
+    rows = [(k, [0.1, -0.1, 0.3, -0.3], 1, "c", "x") for k in range(50)]
+    found, _ = found_by(spark, rows)
+    assert {(row.code, row.error, row.label_error) for row in found} == {("00000000", 0, 0)}
+
+
+def test_huge_components_are_held_to_the_limit(spark):
+    rows = given(20, 4) + [(90, [1e30, -1e30, 3e38, 0.0], 1, "c", "x"), (91, [-3e38] * 4, 1, "c", "x")]
+    found, books = found_by(spark, rows, entries=4)
+    expected, digest = plain(rows, entries=4)
+    assert sorted(map(tuple, found), key=str) == sorted(expected, key=str) and books.sha256() == digest
+
+
+def test_search_equals_all_distances():
+    rng = np.random.default_rng(4)
+    for spread, width in ((3, 1), (3, 4), (400, 16), (1 << 26, 16), (1 << 26, 64)):
+        entries = rng.integers(-spread, spread + 1, (200, width))
+        rows = rng.integers(-spread, spread + 1, (300, width))
+        rows[:50] = entries[:50]
+        index, distance = codes.nearest(rows, entries)
+        every = ((rows[:, None, :] - entries[None]) ** 2).sum(axis=2)
+        assert (index == every.argmin(axis=1)).all() and (distance == every.min(axis=1)).all()
+
+
+def test_round_trip(spark):
+    rows = given(60, 8)
+    found, books = found_by(spark, rows)
+    # As many entries as vectors: every part is an entry of its own, or equals one.
+    for row in found:
+        original = [math.floor(1024 * x) for x in rows[row.vec_id][1]]
+        assert codes.decoded(row.code, books).tolist() == original and row.error == 0
+
+
+def test_no_rows_and_no_sound_rows(spark):
+    for rows in ([], [(1, None, 1, "c", "x"), (2, [None], 1, "c", "x")]):
+        found, books = found_by(spark, rows)
+        assert found == [] and books.entries == []
+
+
+def test_entries_must_fit_two_digits(spark):
+    with pytest.raises(ValueError, match="256"):
+        codes.compress(spark.createDataFrame(given(3, 4), SCHEMA), entries=257)
+
+
+def test_query_agrees_with_sql(spark, tables):
+    duckdb = pytest.importorskip("duckdb")
+    expected = duckdb.sql(codes.ORACLE_SQL.replace("FROM embeddings", f"FROM '{tables}/embeddings.parquet'"))
+    found = codes.op13_codes(spark, tables)
+    assert sorted(map(tuple, found.select(*expected.columns).collect())) == sorted(expected.fetchall())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tripflow.llm import (
     chat,
+    codes,
     decontam,
     html,
     language,
@@ -29,10 +30,12 @@ QUERIES = {
     "op9_sharding": sharding.op9_sharding,
     "op10_chat": chat.op10_chat,
     "op11_runs": runs.op11_runs,
+    "op13_codes": codes.op13_codes,
 }
 
 ORACLES = {
     "op4_quality": quality.ORACLE_SQL,
     "op8_linededup": lines.ORACLE_SQL,
     "op11_runs": runs.ORACLE_SQL,
+    "op13_codes": codes.ORACLE_SQL,
 }
