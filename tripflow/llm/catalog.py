@@ -14,6 +14,7 @@ from tripflow.llm import (
     quality,
     runs,
     sharding,
+    sigtree,
     toxicity,
 )
 
@@ -30,12 +31,15 @@ QUERIES = {
     "op9_sharding": sharding.op9_sharding,
     "op10_chat": chat.op10_chat,
     "op11_runs": runs.op11_runs,
+    "op12_jaccard": sigtree.op12_jaccard,
     "op13_codes": codes.op13_codes,
 }
 
 ORACLES = {
+    "op1_minhash": near.ORACLE_SQL,
     "op4_quality": quality.ORACLE_SQL,
     "op8_linededup": lines.ORACLE_SQL,
     "op11_runs": runs.ORACLE_SQL,
+    "op12_jaccard": sigtree.ORACLE_SQL,
     "op13_codes": codes.ORACLE_SQL,
 }

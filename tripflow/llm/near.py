@@ -44,6 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.llm.components import components
+from tripflow.llm.links_sql import components_sql
 from tripflow.llm.words import WordHasher, shingles
 from tripflow.llm.work import partitions, staged, table
 
@@ -437,3 +438,6 @@ def near_duplicates(
 def op1_minhash(spark, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(documents, words=2, percent=80)
+
+
+ORACLE_SQL = components_sql(words=2, percent=80, kept=True)
