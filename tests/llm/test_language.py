@@ -1,5 +1,6 @@
 """Language ID: held-out accuracy on the given tables, edge rows."""
 
+import re
 import zlib
 
 import numpy as np
@@ -47,6 +48,63 @@ def test_held_out_accuracy(spark, tables):
     assert found.count() == labels.count()
 
 
+FOREIGN = [
+    "Tämä on tavallinen suomenkielinen lause, jossa kerrotaan kesäisestä illasta järven rannalla ja saunasta.",
+    "To jest zwykłe polskie zdanie o letnim wieczorze nad jeziorem, o starym domu i o ludziach, którzy tam mieszkają.",
+    "Bu, göl kıyısında bir yaz akşamını ve eski bir evi anlatan sıradan bir Türkçe cümledir, içinde insanlar da var.",
+    "Ini adalah kalimat bahasa Indonesia biasa tentang malam musim panas di tepi danau dan rumah tua yang indah.",
+]
+
+
+def test_foreign_sentences_are_rejected_and_own_texts_are_not(spark, tables):
+    for scale in ("sf0.01", "sf0.1"):
+        docs = spark.read.parquet(tables.replace("sf0.001", scale) + "/documents.parquet").select("doc_id", "text", "lang")
+        remainder = language.crc32_mod("doc_id", 3)
+        model = language.fit(docs.where(remainder != 1))
+        assert all(row.rejected for row in predicted(spark, model, FOREIGN).values())
+        held_out = language.predict(docs.where(remainder == 1), model)
+        assert held_out.where("rejected").count() <= 0.005 * held_out.count()
+
+
+def test_limits_rise_with_the_length_and_repetition_adds_no_length():
+    counts = language.gram_counts("house " * 1000, language.letter_table())
+    assert language.length_classes(counts) == language.length_classes(np.minimum(counts, 1))
+    pieces = [{"lang": "en", "class": k, "cosine": c} for k in (3, 9) for c in np.linspace(k / 10, k / 10 + 0.05, 100)]
+    limits = language._limits(pieces, {"en": 0.1, "de": 0.2})
+    assert (limits["de"] == 0.2).all() and (limits["en"][:3] == 0.1).all()
+    low, high = (language.SLACK * (k / 10 + 0.05 * language.QUANTILE) for k in (3, 9))
+    assert np.allclose(limits["en"][3:9], low) and np.allclose(limits["en"][9:], high)
+
+
+def test_predictions_by_a_plain_version(spark, model):
+    """Cosines of dictionaries of n-grams, one text after the other."""
+    def grams(text):
+        kept = "".join(c if c.isalpha() else " " for c in text.lower())
+        padded = f" {re.sub(' +', ' ', kept)} "
+        return [padded[k : k + n] for n in (1, 2, 3) for k in range(len(padded) - n + 1)]
+
+    def bucket(gram):
+        value = ord(gram[0])
+        for c in gram[1:]:
+            value = (value * 0x9E3779B97F4A7C15 + ord(c)) % 2**64
+        return ((value + len(gram)) * 0xD6E8FEB86659FD93 % 2**64) >> 52
+
+    texts = [r[1] for r in rows_of(np.random.default_rng(2), 12)] + ["die house", "la la", *FOREIGN]
+    found = predicted(spark, model, texts)
+    for k, text in enumerate(texts):
+        vector = {}
+        for gram in grams(text):
+            vector[bucket(gram)] = vector.get(bucket(gram), 0) + 1
+        vector = {b: float(np.log1p(n)) * float(model.weights[b]) for b, n in vector.items()}
+        length = sum(x * x for x in vector.values()) ** 0.5
+        cosines = [sum(x / length * float(c[b]) for b, x in vector.items()) for c in model.centroids]
+        best = int(np.argmax(cosines))
+        size = min(language.CLASSES - 1, int(2 * np.log2(len(vector))))
+        assert found[k].lang_pred == model.languages[best]
+        assert abs(found[k].score - cosines[best]) < 1e-5
+        assert found[k].rejected == (cosines[best] < model.limits[best, size])
+
+
 def test_predictions(spark, model):
     rows = rows_of(np.random.default_rng(1), 60)
     found = predicted(spark, model, [r[1] for r in rows])

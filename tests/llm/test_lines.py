@@ -5,6 +5,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tripflow.llm import lines
 
@@ -13,7 +14,7 @@ SCHEMA = "doc_id long, text string, source string, n_lines string"
 
 def plain(rows):
     bare = lambda line: line.strip(lines.SPACES)
-    judged = lambda line: len(re.split(f"[{lines.SPACES}]+", bare(line))) >= lines.MIN_WORDS
+    judged = lambda line: bare(line) != ""
     sites, first = defaultdict(set), {}
     for doc, text, site, _ in rows:
         for line in (text or "").split("\n"):
@@ -59,11 +60,22 @@ def test_against_plain(spark, monkeypatch, table):
     rows = given()
     found = lines.dedup_lines(spark.createDataFrame(rows, SCHEMA).repartition(4))
     got = [(r.doc_id, r.text, r.n_lines, r.n_removed) for r in found.collect()]
-    if table < 0:  # the join takes rows that share an id for one document
-        got, want = set(got), set(plain(rows))
-        assert got == want
+    assert sorted(got, key=str) == plain(rows)
+
+
+@pytest.mark.parametrize("table", [lines.TABLE, -1])
+def test_lines_of_one_first_hash_are_told_apart(spark, monkeypatch, table):
+    """Both ways compare both hashes, also where two spread lines share the first."""
+    monkeypatch.setattr(lines, "TABLE", table)
+    schema = "h1 long, h2 long, first long"
+    own = spark.range(1).select(*[h[0] for h in lines._hashes_of(F.lit("x"))]).first()
+    spread = spark.createDataFrame([(own[0], own[1] - 1, 0), (own[0], own[1], 0), (own[0], own[1] + 1, 2)], schema)
+    docs = spark.createDataFrame([(0, "x", "s", "n"), (1, "x\ny", "s", "n"), (2, "x", "s", "n")], SCHEMA)
+    if table < 0:
+        marked = lines._marked_by_join(docs, spread, lines.line_rows(docs, "doc_id", "text", "source"), "doc_id", "text", "m")
     else:
-        assert sorted(got, key=str) == plain(rows)
+        marked = lines._marked_by_table(docs, spread, "doc_id", "text", "m")
+    assert {r.doc_id: r.m for r in marked.collect()} == {0: [False], 1: [True, False], 2: [True]}
 
 
 def test_empty_table_and_columns(spark):

@@ -4,8 +4,12 @@ A text is a vector of hashed 1- to 3-grams of its letters (other characters
 count as one space), log term frequency times inverse document frequency,
 scaled to length one. Each language is described by ``CLUSTERS`` centroids of
 spherical k-means; a text takes the language of the centroid at the highest
-cosine. It is rejected when that cosine is below the centroid's own limit, a
-share of the cosines its learning texts had.
+cosine. It is rejected when that cosine is below the limit of the language for
+texts of its length (in different n-grams): a low quantile (``QUANTILE``) of the
+cosines that pieces of that length of the learning texts have, times ``SLACK``, and
+never less than ``REJECT`` times their usual cosine. Short texts meet fewer n-grams of
+their language, so one limit for all lengths would reject short texts or accept
+long foreign ones.
 
 The classifier is fitted on a bounded sample: at most about ``SAMPLE`` texts of
 each language, picked by a hash of the id. The samples of at most ``LANGUAGES``
@@ -22,14 +26,14 @@ named like the results are replaced, all others pass through.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.work import crc32_mod, table
+from tripflow.llm.work import crc32_mod, fresh, table
 
 UNKNOWN = "und"
 SAMPLE = 300
@@ -38,8 +42,12 @@ LANGUAGES = 100
 CLUSTERS = 4
 ROUNDS = 12
 BUCKETS = 4096
-#: Share of a learning text's usual cosine under which a text is rejected.
+#: Share of a learning text's usual cosine under which a text of any length is rejected.
 REJECT = 0.15
+#: Quantile of the cosines of pieces of one length, and the share of it that is the limit.
+QUANTILE, SLACK = 0.05, 0.55
+#: Characters of the shortest pieces, and the number of length classes.
+PIECE, CLASSES = 12, 25
 _TOGETHER = 256
 
 RESULT = "struct<lang_pred:string,score:double,rejected:boolean>"
@@ -50,7 +58,7 @@ class LanguageModel:
     languages: list[str]  # of each centroid
     centroids: np.ndarray
     weights: np.ndarray  # inverse document frequency by bucket
-    limits: np.ndarray  # least accepted cosine of each centroid
+    limits: np.ndarray  # least accepted cosine, by centroid and length class
 
 
 def letter_table() -> np.ndarray:
@@ -110,19 +118,29 @@ def _language_sizes(docs: DataFrame, id: str, text: str, lang: str) -> list[tupl
     return [(row[0], row["n"]) for row in sizes.collect()]
 
 
+def length_classes(counts: np.ndarray) -> np.ndarray:
+    """Length class of every row of counts, by its different n-grams: half powers of
+    two. A word said a thousand times tells as little as a word."""
+    return (2 * np.log2(np.maximum(1, (counts > 0).sum(axis=-1)))).astype(np.int64).clip(0, CLASSES - 1)
+
+
+def _picked(docs: DataFrame, id: str, text: str, lang: str, sizes: list[tuple[str, int]]) -> DataFrame:
+    """(lang, text) of the learning sample of the languages in ``sizes``."""
+    scale = 1 << 30
+    limits = [(F.lit(name), F.lit(min(scale, scale * SAMPLE // n))) for name, n in sizes]
+    limit = F.create_map(*[part for pair in limits for part in pair])[F.col(lang)]
+    picked = _known(docs, id, text, lang).where(F.pmod(F.xxhash64(F.col(id)), F.lit(scale)) < limit)
+    return picked.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+
+
 def _sample_counts(
     docs: DataFrame, id: str, text: str, lang: str, turn: int = 0, sizes: list[tuple[str, int]] | None = None
 ) -> list[tuple[str, bytes]]:
     """(language, n-gram counts) of the learning sample of one turn of ``LANGUAGES`` languages."""
-    known = _known(docs, id, text, lang)
     sizes = _language_sizes(docs, id, text, lang) if sizes is None else sizes
     sizes = sizes[turn * LANGUAGES : (turn + 1) * LANGUAGES]
     if not sizes:
         return []
-    scale = 1 << 30
-    limits = [(F.lit(name), F.lit(min(scale, scale * SAMPLE // n))) for name, n in sizes]
-    limit = F.create_map(*[part for pair in limits for part in pair])[F.col(lang)]
-    picked = known.where(F.pmod(F.xxhash64(F.col(id)), F.lit(scale)) < limit)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = letter_table()
@@ -135,11 +153,55 @@ def _sample_counts(
                 [pa.array(names, pa.string()), pa.array(counts, pa.binary())], ["lang", "counts"]
             )
 
-    rows = picked.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    rows = _picked(docs, id, text, lang, sizes)
     found = rows.mapInArrow(count, "lang string, counts binary").collect()
     return sorted((row.lang, bytes(row.counts)) for row in found)
 
 
+def _piece_cosines(rows: DataFrame, model: LanguageModel) -> DataFrame:
+    """(lang, class, cosine): how near pieces of the learning texts, of every length
+    from ``PIECE`` characters to the whole, are to their own language."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters = letter_table()
+        own = {name: [k for k, x in enumerate(model.languages) if x == name] for name in set(model.languages)}
+        for batch in batches:
+            names, classes, cosines = [], [], []
+            for name, said in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sizes = [PIECE << k for k in range(CLASSES) if PIECE << k < len(said)] + [len(said)]
+                for size in sizes:
+                    start = (len(said) - size) // 2
+                    counts = gram_counts(said[start : start + size], letters)
+                    if counts is not None and name in own:
+                        near = vectors(counts[None], model.weights) @ model.centroids[own[name]].T
+                        names.append(name)
+                        classes.append(int(length_classes(counts)))
+                        cosines.append(float(near.max()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()), pa.array(classes, pa.int32()), pa.array(cosines, pa.float64())],
+                ["lang", "class", "cosine"],
+            )
+
+    return rows.mapInArrow(run, "lang string, class int, cosine double")
+
+
+def _limits(pieces: list, floors: dict[str, float]) -> dict[str, np.ndarray]:
+    """Per language the least accepted cosine by length class. A class without pieces
+    has the limit of the next shorter one that has any, the shortest the floor."""
+    by_class: dict[str, dict[int, list[float]]] = {name: {} for name in floors}
+    for row in pieces:
+        by_class[row["lang"]].setdefault(row["class"], []).append(row["cosine"])
+    found = {}
+    for name, floor in floors.items():
+        limits, last = [], floor
+        for k in range(CLASSES):
+            if k in by_class[name]:
+                last = max(floor, SLACK * float(np.quantile(by_class[name][k], QUANTILE)))
+            limits.append(last)
+        found[name] = np.array(limits)
+    return found
+
+
 def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> LanguageModel:
     """A model of the languages in ``lang``; only ``text`` and ``lang`` are learned from."""
     sizes = _language_sizes(docs, id, text, lang)
@@ -152,7 +214,7 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
             present += np.frombuffer(c, np.float32) > 0
     if not texts:
         empty = np.zeros((0, BUCKETS), np.float32)
-        return LanguageModel([], empty, np.ones(BUCKETS, np.float32), np.zeros(0))
+        return LanguageModel([], empty, np.ones(BUCKETS, np.float32), np.zeros((0, CLASSES)))
     weights = (np.log((1 + texts) / (1 + present)) + 1).astype(np.float32)
     learned: dict[str, tuple[np.ndarray, float]] = {}
     for turn in turns:
@@ -166,16 +228,20 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
             own = rows[names == name]
             found = spherical_kmeans(own, CLUSTERS)
             learned[str(name)] = found, REJECT * float(np.median((own @ found.T).max(axis=1)))
-    languages, limits = [], []
-    for name, (found, limit) in sorted(learned.items()):
+    languages, pieces = [], []
+    for name, (found, _) in sorted(learned.items()):
         languages += [name] * len(found)
-        limits += [limit] * len(found)
     centroids = np.concatenate([learned[name][0] for name in sorted(learned)])
-    return LanguageModel(languages, centroids, weights, np.array(limits))
+    model = LanguageModel(languages, centroids, weights, np.zeros((len(languages), CLASSES)))
+    for turn in turns:
+        rows = _picked(docs, id, text, lang, sizes[turn * LANGUAGES : (turn + 1) * LANGUAGES])
+        pieces += _piece_cosines(rows, model).collect()
+    limits = _limits(pieces, {name: floor for name, (_, floor) in learned.items()})
+    return replace(model, limits=np.stack([limits[name] for name in languages]))
 
 
-def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred, score (the cosine, 0 to 1) and rejected."""
+def _nearest(model: LanguageModel):
+    """The Arrow function of a text's language, cosine and rejection."""
 
     @F.arrow_udf(RESULT)
     def nearest(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -192,21 +258,34 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFr
                         counts.append(found)
                         places.append(place)
                 if places and model.languages:
-                    cosines = vectors(np.stack(counts), model.weights) @ model.centroids.T
+                    together = np.stack(counts)
+                    cosines = vectors(together, model.weights) @ model.centroids.T
                     top = cosines.argmax(axis=1)
                     value = np.clip(cosines[np.arange(len(top)), top].astype(float), 0.0, 1.0)
                     best[places], score[places] = top, value
-                    rejected[places] = value < model.limits[top]
+                    rejected[places] = value < model.limits[top, length_classes(together)]
             yield pa.StructArray.from_arrays(
                 [pa.array(names[best], pa.string()), pa.array(score), pa.array(rejected)],
                 ["lang_pred", "score", "rejected"],
             )
 
+    return nearest
+
+
+def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
+    """``docs`` with lang_pred, score (the cosine, 0 to 1) and rejected."""
     added = ["lang_pred", "score", "rejected"]
-    found = docs.drop(*added, "_found").withColumn("_found", nearest(F.col(text)))
+    found = docs.drop(*added, "_found").withColumn("_found", _nearest(model)(F.col(text)))
     return found.withColumns({name: F.col("_found")[name] for name in added}).drop("_found")
 
 
+def accepted(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text is not rejected, with their own columns only."""
+    found = fresh(docs, "_found")
+    judged = docs.withColumn(found, _nearest(model)(F.col(text)))
+    return judged.where(~F.col(found)["rejected"]).drop(found)
+
+
 def op3_langid(spark, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     remainder = crc32_mod("doc_id", 3)

@@ -23,11 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.work import staged, table
+from tripflow.llm.work import fresh, staged, table
 
 MIN_SITES = 5
-#: Word minimum of ``ORACLE_SQL`` only; op8 and the pipeline judge lines of any length.
-MIN_WORDS = 3
 #: log2 of the registers of a sketch; its standard error is about 3 %.
 REGISTERS = 10
 BAND = 0.2
@@ -86,70 +84,99 @@ def spread_lines(lines: DataFrame, min_sites: int) -> DataFrame:
     return staged(above.select(*_HASHES, "first").union(settled.select(*_HASHES, "first")), "spread")
 
 
-def _kept_lines_by_table(rows: DataFrame, spread: DataFrame, id: str) -> DataFrame:
-    """``_left``: the lines of ``_lines`` that stay, looked up in a table sent to
-    every executor. Texts are not shuffled. For at most ``TABLE`` spread lines."""
+def _hashes_of(text):
+    """Both hashes of every line of a text, as ``line_rows`` takes them."""
+    every = F.split(text, "\n")
+    return [
+        F.transform(every, lambda line: F.xxhash64(_trimmed(line))),
+        F.transform(every, lambda line: F.xxhash64(F.lit(1), _trimmed(line))),
+    ]
+
+
+def _marked_by_table(docs: DataFrame, spread: DataFrame, id: str, text: str, into: str) -> DataFrame:
+    """Lines looked up in a table sent to every executor; texts are not shuffled, and
+    only hashes and ids go to the lookup. For at most ``TABLE`` spread lines."""
     found = spread.select(*_HASHES, F.coalesce("first", F.lit(_NO_ID)).alias("first")).toPandas()
-    found = found.sort_values("h1")
+    found = found.sort_values(_HASHES)
     h1, h2, first = (found[c].to_numpy(np.int64) for c in (*_HASHES, "first"))
+    # Lines of one first hash stand side by side.
+    alike = int(np.unique(h1, return_counts=True)[1].max(initial=0))
 
     @F.arrow_udf("array<boolean>")
     def goes(columns: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for one, two, ids in columns:
             ones, twos = one.flatten().to_numpy(), two.flatten().to_numpy()
-            offsets = one.offsets.to_numpy()
+            sizes = one.value_lengths().fill_null(0).to_numpy()
             gone = np.zeros(len(ones), bool)
-            if len(h1):
-                at = np.minimum(np.searchsorted(h1, ones), len(h1) - 1)
-                # A row without an id keeps its lines: it passes for every first.
-                owner = np.repeat(ids.fill_null(_NO_ID).to_numpy(zero_copy_only=False), np.diff(offsets))
-                other = (first[at] != owner) & (owner != _NO_ID)
-                gone = (h1[at] == ones) & (h2[at] == twos) & other
-            yield pa.ListArray.from_arrays(pa.array((offsets - offsets[0]).astype(np.int32)), pa.array(gone))
-
-    hashes = [
-        F.transform("_lines", lambda line: F.xxhash64(_trimmed(line))),
-        F.transform("_lines", lambda line: F.xxhash64(F.lit(1), _trimmed(line))),
-    ]
-    marked = rows.withColumn("_goes", goes(*hashes, F.col(id).cast("long")))
-    return marked.withColumn("_left", F.expr("filter(_lines, (line, k) -> NOT _goes[k])")).drop("_goes")
+            # A row without an id keeps its lines: it passes for every first.
+            owner = np.repeat(ids.fill_null(_NO_ID).to_numpy(zero_copy_only=False), sizes)
+            start = np.searchsorted(h1, ones)
+            for step in range(alike):
+                at = np.minimum(start + step, len(h1) - 1)
+                same = (h1[at] == ones) & (h2[at] == twos)
+                gone |= same & (first[at] != owner) & (owner != _NO_ID)
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(gone))
+
+    return docs.withColumn(into, goes(*_hashes_of(F.col(text)), F.col(id).cast("long")))
 
 
-def _kept_lines_by_join(rows: DataFrame, spread: DataFrame, lines: DataFrame, id: str) -> DataFrame:
+def _marked_by_join(docs: DataFrame, spread: DataFrame, lines: DataFrame, id: str, text: str, into: str) -> DataFrame:
     """The same by a join on the id, for spread lines of any number."""
+    own = fresh(docs, "_id")
     gone = (
         lines.where("id IS NOT NULL")
         .join(spread, _HASHES)
         .where("id <> first OR first IS NULL")
-        .groupBy(F.col("id").alias("_id"))
-        .agg(F.collect_set("h1").alias("_gone"))
+        .groupBy(F.col("id").alias(own))
+        .agg(F.collect_set(F.struct(*_HASHES)).alias(into))
     )
-    joined = rows.join(staged(gone, "gone"), rows[id] == F.col("_id"), "left")
-    stays = F.filter("_lines", lambda line: ~F.array_contains(F.col("_gone"), F.xxhash64(_trimmed(line))))
-    left = F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(stays)
-    return joined.withColumn("_left", left).drop("_id", "_gone")
+    joined = docs.join(staged(gone, "gone"), docs[id] == F.col(own), "left")
+    pairs = F.arrays_zip(*(hashes.alias(name) for hashes, name in zip(_hashes_of(F.col(text)), _HASHES)))
+    goes = F.transform(pairs, lambda pair: F.coalesce(F.array_contains(F.col(into), pair), F.lit(False)))
+    return joined.withColumn(into, goes).drop(own)
 
 
-def dedup_lines(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", site: str = "source",
+def with_marks(
+    docs: DataFrame, into: str, id: str = "doc_id", text: str = "text", site: str = "source",
     min_sites: int = MIN_SITES, min_words: int = 1,
 ) -> DataFrame:
-    """``docs`` with boilerplate deleted from ``text``, and n_lines, n_removed."""
+    """``docs`` with a column that tells of every line of ``text`` whether it goes."""
     lines = line_rows(docs, id, text, site, min_words)
     spread = spread_lines(lines, min_sites)
-    every = F.coalesce(F.split(text, "\n"), F.array().cast("array<string>"))
-    rows = docs.drop("n_lines", "n_removed").withColumn("_lines", every)
     if spread.count() <= TABLE:
-        rows = _kept_lines_by_table(rows, spread, id)
-    else:
-        rows = _kept_lines_by_join(rows, spread, lines, id)
-    return rows.withColumns(
+        return _marked_by_table(docs, spread, id, text, into)
+    return _marked_by_join(docs, spread, lines, id, text, into)
+
+
+def text_left(text: str, marks: str):
+    """What is left of a text without its marked lines."""
+    every = F.split(F.col(text), "\n")
+    left = F.filter(every, lambda line, k: ~F.get(F.col(marks), k))
+    return F.when(F.col(text).isNotNull(), F.array_join(left, "\n"))
+
+
+def removed(marks: str):
+    """The number of marked lines."""
+    return F.coalesce(F.size(F.filter(F.col(marks), lambda goes: goes)), F.lit(0))
+
+
+def dedup_lines(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", site: str = "source",
+    min_sites: int = MIN_SITES, min_words: int = 1,
+) -> DataFrame:
+    """``docs`` with boilerplate deleted from ``text``, and n_lines, n_removed."""
+    docs = docs.drop("n_lines", "n_removed")
+    marks = fresh(docs, "_marks")
+    marked = with_marks(docs, marks, id, text, site, min_sites, min_words)
+    lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(F.split(F.col(text), "\n")))
+    return marked.withColumns(
         {
-            "n_lines": F.size("_lines").cast("long"),
-            "n_removed": (F.size("_lines") - F.size("_left")).cast("long"),
-            text: F.when(F.col(text).isNotNull(), F.array_join("_left", "\n")),
+            "n_lines": lines.cast("long"),
+            "n_removed": F.when(F.col(text).isNull(), 0).otherwise(removed(marks)).cast("long"),
+            text: text_left(text, marks),
         }
-    ).drop("_left", "_lines")
+    ).drop(marks)
 
 
 def op8_linededup(spark, sf_dir: str) -> DataFrame:
@@ -168,16 +195,14 @@ ORACLE_SQL = f"""
       SELECT r, doc_id, source, k, ls[k] AS line,
              trim(ls[k], ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS bare
       FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS k FROM parts)),
-    judged AS (
-      SELECT *, len(regexp_split_to_array(bare, '[ \\t\\r\\x0B\\x0C]+')) >= {MIN_WORDS} AS long FROM lines),
     spread AS (
-      SELECT bare, min(doc_id) AS first FROM judged WHERE long
+      SELECT bare, min(doc_id) AS first FROM lines WHERE bare <> ''
       GROUP BY bare HAVING count(DISTINCT source) >= {MIN_SITES}),
     kept AS (
       SELECT j.r, count(*) AS n_lines,
              count(*) FILTER (s.bare IS NOT NULL AND j.doc_id <> s.first) AS n_removed,
              string_agg(line, chr(10) ORDER BY k) FILTER (s.bare IS NULL OR j.doc_id = s.first) AS t
-      FROM judged j LEFT JOIN spread s ON j.long AND j.bare = s.bare GROUP BY j.r)
+      FROM lines j LEFT JOIN spread s ON j.bare <> '' AND j.bare = s.bare GROUP BY j.r)
     SELECT b.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
            CAST(length(CASE WHEN b.text IS NOT NULL THEN coalesce(t, '') END) AS BIGINT) AS n_chars_left,
            md5(CASE WHEN b.text IS NOT NULL THEN coalesce(t, '') END) AS text_md5

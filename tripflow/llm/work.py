@@ -44,3 +44,11 @@ def partitions(spark: SparkSession) -> int:
 def crc32_mod(column: str, divisor: int):
     """Remainder of the CRC-32 of a column's text; null where the column is null."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` is called so."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
