@@ -18,40 +18,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.llm import decontam, language, lines, near, packing
-from tripflow.llm.work import bounded_batches, staged, table
+from tripflow.llm.work import bounded_batches, fresh, staged, table
 
-_ROW = "_document"
 _KEY = "_key"
 
 
-def _beside(docs: DataFrame, *columns: str) -> DataFrame:
-    """The named columns, and the whole document out of reach of their names."""
-    return docs.select(*columns, F.struct(*docs.columns).alias(_ROW))
-
-
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in no language that could be learned from the labels."""
     bounded_batches(spark)
-    model = language.fit(docs)
-    judged = language.predict(_beside(docs, "text"), model)
-    return judged.where(~F.col("rejected")).select(f"{_ROW}.*")
+    return language.accepted(docs, language.fit(docs))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Deletes lines that stand on many sites from all documents but the first."""
-    found = lines.dedup_lines(_beside(docs, "doc_id", "text", "source"))
-    left = F.translate(F.coalesce("text", F.lit("")), " \t\n\x0b\x0c\r", "") != ""
-    found = found.where((F.col("n_removed") == 0) | left)
-    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    bounded_batches(spark)
+    marks = fresh(docs, "_marks")
+    marked = lines.with_marks(docs, marks)
+    left, gone = lines.text_left("text", marks), lines.removed(marks) > 0
+    bare = F.translate(F.coalesce(left, F.lit("")), " \t\n\x0b\x0c\r", "")
+    new = {"text": left, "n_chars": F.length(left).cast("long")}
     columns = [
-        F.when(F.col("n_removed") > 0, new[c].cast(docs.schema[c].dataType))
-        .otherwise(F.col(_ROW)[c])
-        .alias(c)
-        if c in new
-        else F.col(_ROW)[c].alias(c)
+        F.when(gone, new[c].cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c in new else F.col(c)
         for c in docs.columns
     ]
-    return found.select(*columns)
+    return marked.where(~gone | (bare != "")).select(*columns)
 
 
 def _with_row_keys(docs: DataFrame) -> tuple[DataFrame, bool]:
