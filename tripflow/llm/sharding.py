@@ -10,13 +10,16 @@ the one bin in which the cut lies, until that bin holds one coordinate or next
 to nothing. The driver sees ``BINS`` times the number of nodes, no more.
 
 A coordinate is the metadata value in its upper bits (size, hash of source,
-hash of language) and a hash of the id in the lower ones, so rows of equal
-metadata, or of one huge source, can be cut anywhere. Shard sizes differ by
-about one row.
+hash of language), then a hash of id and text, and last a hash of the row's
+number, which is written once together with the coordinates. So rows of equal
+metadata, of one huge source, without ids or repeated can be cut anywhere, and
+distinct rows are cut alike whatever their order. Shard sizes differ by about one
+row. Equal texts are not kept together: a group of copies may be larger than a
+shard, and the law ``bytes`` holds for any input.
 
 Defined results: a null text has size 1 (no bytes plus one) and a null checksum;
-null metadata is a value like any other; repeated rows share a coordinate and
-stay together; an empty table has no rows in any shard; further columns are
+null metadata is a value like any other; rows without an id and repeated rows are
+rows of their own; an empty table has no rows in any shard; further columns are
 ignored.
 """
 
@@ -35,6 +38,8 @@ BINS = 256
 FINE = 1e-5
 #: Coordinates are below 2 to this power; the lower bits part equal values.
 _BITS, _TIE_BITS = 62, 40
+#: Of the lower bits those that part rows of equal id and text.
+_ROW_BITS = 16
 
 DIMENSIONS = ("by_size", "by_source", "by_lang")
 
@@ -51,8 +56,11 @@ class Node:
 
 
 def coordinates(docs: DataFrame) -> DataFrame:
-    """(doc_id, size, text_crc32, node, one coordinate per dimension)."""
-    tie = F.pmod(F.xxhash64("doc_id"), F.lit(1 << _TIE_BITS))
+    """(doc_id, size, text_crc32, tie, node, one coordinate per dimension)."""
+    own = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << (_TIE_BITS - _ROW_BITS)))
+    row = F.pmod(F.xxhash64("_row"), F.lit(1 << _ROW_BITS))
+    tie = own * F.lit(1 << _ROW_BITS) + row
+    docs = docs.withColumn("_row", F.monotonically_increasing_id())
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
     top = 1 << (_BITS - _TIE_BITS)
 
@@ -66,6 +74,7 @@ def coordinates(docs: DataFrame) -> DataFrame:
         "doc_id",
         size.alias("size"),
         F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
+        tie.alias("tie"),
         F.lit(1).alias("node"),
         coordinate(step).alias("by_size"),
         coordinate(hashed["source"]).alias("by_source"),
@@ -150,7 +159,7 @@ def _on_dimension(nodes: dict[int, Node]):
 
 
 def kd_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """(doc_id, size, text_crc32, shard): the leaves of the tree as shards."""
+    """(doc_id, size, text_crc32, shard, tie): the leaves of the tree as shards."""
     rows = staged(coordinates(docs), "coordinates")
     leaves, nodes = [], [Node(1, 0, shards)]
     while nodes:
@@ -173,24 +182,25 @@ def kd_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
                 rows = staged(rows.withColumn("node", F.coalesce(child, "node")), "level")
     # A leaf that is reached early (one shard beside two) keeps its number.
     shard = _by_node({leaf.number: leaf.first_shard for leaf in leaves}, "int")
-    return rows.select("doc_id", "size", "text_crc32", shard.alias("shard"))
+    return rows.select("doc_id", "size", "text_crc32", shard.alias("shard"), "tie")
 
 
 def with_slots(rows: DataFrame, salts: int | None = None) -> DataFrame:
-    """``rows`` with ``slot``, gapless from 0 in every shard.
+    """``rows`` with ``slot``, gapless from 0 in every shard, instead of ``tie``.
 
     Rows are numbered inside salted parts of a shard, and each part starts where
-    the parts before it end, so no task ever holds a whole shard.
+    the parts before it end, so no task ever holds a whole shard, nor all rows
+    without an id or of one text.
     """
     salts = salts or max(8, partitions(rows.sparkSession))
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("tie"), F.lit(salts)).cast("int"))
     sizes = salted.groupBy("shard", "salt").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("shard", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    order = Window.partitionBy("shard", "salt").orderBy("doc_id", "text_crc32")
+    order = Window.partitionBy("shard", "salt").orderBy("doc_id", "text_crc32", "tie")
     numbered = salted.withColumn("number", F.row_number().over(order) - 1)
     placed = numbered.join(bases, ["shard", "salt"])
-    return placed.withColumn("slot", F.col("base") + F.col("number")).drop("salt", "base", "number")
+    return placed.withColumn("slot", F.col("base") + F.col("number")).drop("salt", "base", "number", "tie")
 
 
 def op9_sharding(spark, sf_dir: str) -> DataFrame:
