@@ -426,7 +426,8 @@ def placed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             found = look_up(plan, lengths.to_numpy().astype(np.int64), numbers.to_numpy())
             yield pa.StructArray.from_arrays([pa.array(f) for f in found], ["sequence_id", "offset"])
 
-    numbered = pieces.join(bases, ["task", "length"])
+    # Tasks times lengths grow with the input: never broadcast, whatever their file's size.
+    numbered = pieces.join(bases.hint("merge"), ["task", "length"])
     found = numbered.withColumn("_at", place(F.col("length"), F.col("base") + F.col("number")))
     return found.withColumns(
         {"sequence_id": F.col("_at.sequence_id"), "offset": F.col("_at.offset")}
