@@ -38,6 +38,7 @@ QUERIES = {
 ORACLES = {
     "op1_minhash": near.ORACLE_SQL,
     "op4_quality": quality.ORACLE_SQL,
+    "op4_ablations": quality.ABLATIONS_SQL,
     "op8_linededup": lines.ORACLE_SQL,
     "op11_runs": runs.ORACLE_SQL,
     "op12_jaccard": sigtree.ORACLE_SQL,

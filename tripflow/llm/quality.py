@@ -1,7 +1,7 @@
 """Quality rules as a bitmask ledger, in DataFrame functions only.
 
 ``ledger`` measures every text once and evaluates every rule once: the rules a
-text fails are the bits of ``failed_bits``. A policy is a mask over the bits,
+text fails are the bits of ``failed_bits``. ``stored_ledger`` writes it. A policy is a mask over the bits,
 so a new policy version, or the cost of one rule within it, is read from the
 ledger without touching the texts (``apply_policy``, ``ablations``).
 
@@ -16,10 +16,10 @@ of a measurement, which then replaces them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm.work import table
+from tripflow.llm.work import stored_once
 
 #: Words are runs of anything but space, tab, newline, vertical tab, form feed, return.
 SPACES = " \t\n\x0b\x0c\r"
@@ -153,8 +153,15 @@ def ablations(rows: DataFrame) -> DataFrame:
     )
 
 
+def stored_ledger(spark: SparkSession, path: str, text: str = "text") -> DataFrame:
+    """The ledger of a stored table without its texts, written once per application:
+    policies and ablations over the same files read it and measure nothing again."""
+    docs = spark.read.parquet(path).select("doc_id", text)
+    return stored_once(ledger(docs, text).drop(text), "ledger", path)
+
+
 def op4_quality(spark, sf_dir: str) -> DataFrame:
-    judged = apply_policy(ledger(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    judged = apply_policy(stored_ledger(spark, f"{sf_dir}/documents.parquet"))
     base = F.col("failed_bits").bitwiseAND(bits(BASE)) != 0
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -164,10 +171,10 @@ def op4_quality(spark, sf_dir: str) -> DataFrame:
 
 def op4_ablations(spark, sf_dir: str) -> DataFrame:
     """The ablations of every policy over all documents."""
-    return ablations(ledger(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return ablations(stored_ledger(spark, f"{sf_dir}/documents.parquet"))
 
 
-def _oracle() -> str:
+def _judged_sql() -> str:
     rule_bits = " + ".join(
         f"CASE WHEN {rule} THEN {1 << k} ELSE 0 END" for k, rule in enumerate(RULES.values())
     )
@@ -190,7 +197,11 @@ def _oracle() -> str:
              len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
              len(ls) AS n_lines
       FROM words LEFT JOIN covered c USING (r)),
-    judged AS (SELECT *, {rule_bits} AS failed_bits FROM measures)
+    judged AS (SELECT *, {rule_bits} AS failed_bits FROM measures)"""
+
+
+def _oracle() -> str:
+    return f"""{_judged_sql()}
     SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
            CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
            CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
@@ -200,4 +211,18 @@ def _oracle() -> str:
     FROM judged"""
 
 
+def _ablations_oracle() -> str:
+    cases = ", ".join(
+        f"('{policy}', '{rule}', {bits(enforced)}, {bits((rule,))})"
+        for policy, enforced in POLICIES.items()
+        for rule in enforced
+    )
+    return f"""{_judged_sql()}
+    SELECT policy, rule, count(*) AS n_rows, count(*) FILTER (failed_bits & mask = 0) AS kept,
+           count(*) FILTER (failed_bits & bit <> 0) AS failed,
+           count(*) FILTER (failed_bits & mask = bit) AS regained
+    FROM judged, (VALUES {cases}) AS cases(policy, rule, mask, bit) GROUP BY policy, rule"""
+
+
 ORACLE_SQL = _oracle()
+ABLATIONS_SQL = _ablations_oracle()
