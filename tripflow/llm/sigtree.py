@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 
 from tripflow.llm.components import components
 from tripflow.llm.links_sql import components_sql
-from tripflow.llm.near import may_hold, shingle_sets
+from tripflow.llm.sets import may_hold, shingle_sets
 from tripflow.llm.words import WordHasher, mixed, shingles
 from tripflow.llm.work import staged, table
 
@@ -335,9 +335,8 @@ def _links(pairs: DataFrame, percent: int) -> DataFrame:
                 trees = [Tree(*part[:3], bits) for part in parts]
                 labels = []
                 for names, _, _, known in parts:
-                    own = np.empty(len(names), np.int64)
-                    own[np.argsort(names)] = known
-                    labels.append(own)
+                    # An id may bear several sets; its label is there once.
+                    labels.append(known[np.unique(names, return_inverse=True)[1]])
                 links += traverse(trees[0], trees[-1], np.concatenate(labels), percent)
             found = np.array(links, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["a", "b"])
@@ -410,10 +409,10 @@ def _roots(rows: DataFrame, names: DataFrame, percent: int) -> DataFrame:
     shared = staged(shared.where("low <> high").select("root"), "roots")
     place = rows.join(names, ["h1", "h2"]).select("key", "name", "n")
     hung = posted.select("key", "root").join(shared, "root").join(place, "key")
-    hung = staged(hung.groupBy("root", "name").agg(F.first("n").alias("n")), "hung")
+    hung = staged(hung.groupBy("root", "name").agg(F.min("n").alias("n")), "hung")
     holders = hung.groupBy("root").agg(F.count("*").alias("holders"))
     by_class = hung.join(holders, "root").groupBy("name").agg(
-        F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("holders", "root"))).alias("found")
+        F.min("n").alias("n"), F.array_sort(F.collect_list(F.struct("holders", "root"))).alias("found")
     )
     least = f"CAST(ceil({percent} * n / 100) AS BIGINT) DIV {EXTRA}"
     enough = by_class.selectExpr("*", f"CAST({least} AS INT) AS extra").where("size(found) > extra")
@@ -455,8 +454,11 @@ def _remaining(hung: DataFrame, nodes: DataFrame, done: DataFrame) -> DataFrame:
     return pairs.join(done, ["a", "b"], "left_anti")
 
 
-def set_links(rows: DataFrame, docs: DataFrame, names: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links (a, b) that join all linked classes of ``signed`` rows to components."""
+def set_links(
+    rows: DataFrame, docs: DataFrame, names: DataFrame, words: int, percent: int, labels: DataFrame | None = None
+) -> DataFrame:
+    """Links (a, b) that join all linked classes of ``signed`` rows to components;
+    ``labels`` (id, component) are components known before."""
     classes = staged(_roots(rows, names, percent), "classes")
     placed = staged(_placed(classes, percent), "placed")
     ids = placed.select(F.col("name").alias("id"))
@@ -467,12 +469,21 @@ def set_links(rows: DataFrame, docs: DataFrame, names: DataFrame, words: int, pe
     hung = placed.select("node", "name", F.explode("posted").alias("root")).groupBy("root", "node")
     hung = staged(hung.agg(F.count("*").alias("sets")), "hung")
     first = staged(_leading(hung), "leading")
-    links = _compared(_with_labels(nodes, placed, None), first, percent, themselves=True)
-    known = _with_labels(nodes, placed, components(links))
+    links = _compared(_with_labels(nodes, placed, labels), first, percent, themselves=True)
+    joined = links if labels is None else links.union(labels.where("id <> component").toDF("a", "b"))
+    known = _with_labels(nodes, placed, components(joined))
     rest = _remaining(hung, known, first)
     return links.union(_compared(known, rest, percent, themselves=False))
 
 
+def tree_links(docs: DataFrame, words: int, percent: int, labels: DataFrame | None = None) -> DataFrame:
+    """Links (a, b) among the sets of (id, text), one text a set, beyond ``labels``."""
+    keyed = docs.select(F.col("id").alias("key"), "text")
+    rows = staged(signed(keyed, words, percent), "signed")
+    names = rows.where("n > 0").groupBy("h1", "h2").agg(F.min("key").alias("name"))
+    return set_links(rows, keyed, names, words, percent, labels)
+
+
 def _with_keys(docs: DataFrame, id: str, text: str) -> tuple[DataFrame, bool]:
     """(key, id, text): the id is the key of a row, unless ids are missing or stand on
     several rows; then the rows are written with keys of their own."""
