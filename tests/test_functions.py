@@ -67,6 +67,24 @@ def test_no_value_is_left_out(spark, values):
         assert one is None or str(one) == str(other) or one == pytest.approx(other, abs=0.005)
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("value", ["8.9E10", "39999.99999999", "40000.0", "-39999.99999999"])
+def test_millions_of_large_values_do_not_wrap(spark, conf, ansi, value):
+    conf(spark__sql__ansi__enabled=ansi)
+    frame = spark.range(0, 2_000_000, 1, 4).selectExpr(f"{value}D AS x")
+    got = frame.agg(*named(t=exact.exact_sum("x"), d=exact.exact_total("x"), m=exact.exact_mean("x"))).first()
+    expected = 2_000_000 * Decimal(value)
+    assert got.t == expected and got.d == float(expected)
+    assert got.m == pytest.approx(float(value), rel=1e-15)
+
+
+def test_limbs_have_room_for_trillions_of_values():
+    """Units below SMALL fill two limbs, each added up in 63 bits."""
+    units = int(float(exact.SMALL.rstrip("D")) * 1e8)
+    assert units < 1 << (2 * exact.LIMB)
+    assert 4 * 10**12 * (1 << exact.LIMB) < 1 << 63
+
+
 def test_eight_places_are_kept(spark):
     frame = spark.createDataFrame([(20.466666666666665,), (1 / 3,), (2.0e11 + 0.25,)], "x double")
     got = [frame.where(test).agg(*named(t=exact.exact_sum("x"))).first()[0] for test in ("x < 1e3", "true")]

@@ -2,13 +2,12 @@
 
 A plain sum of doubles changes with the shuffle order and, past 1e13, loses
 whole cents. Summing DECIMALs is exact but builds one BigDecimal per value
-(about ten times slower than adding doubles). Here every value becomes a
-64-bit count of 1e-8 units, which is added as two plain BIGINT sums: the bits
-above 2^20 and the 20 bits below. Values of 9e10 and more, whose units do not
-fit, are added as DECIMALs behind a filter. All sums combine map-side. The low
-half has room for 8e12 rows in one group, the high half for a group total of
-9e16 of the smaller values, the DECIMALs for 1e28 of the larger; a sum past that
-fails in ANSI mode and is never silently cut.
+(about ten times slower than adding doubles). Here every value below ``SMALL``
+becomes a count of 1e-8 units of at most 42 bits, which is added as two plain
+BIGINT sums, of the upper and of the lower 21 bits. Larger values are added as
+DECIMALs behind a filter. All sums combine map-side. A group has room for 4e12
+rows of the smaller values, whatever they are, so that no BIGINT wraps, and the
+DECIMALs for 1e30 of the larger; a sum past that fails in ANSI mode.
 
 No value is left out: NaN, the infinities and magnitudes of 1e18 and more, for
 which no exact sum is kept, turn the group's result into that of a plain sum.
@@ -19,19 +18,40 @@ parsed text replaces dozens of driver round trips for nested Column objects.
 
 from __future__ import annotations
 
+#: Units of a value below this fit in twice ``LIMB`` bits.
+SMALL = "4.0E4D"
+LIMB = 21
+
+
+def _let(parts: dict[str, str], body: str) -> str:
+    """``body`` over a struct ``s`` of the aggregates ``parts``: each stands in the text
+    once, however often the body uses it."""
+    named = ", ".join(f"{text} AS {name}" for name, text in parts.items())
+    return f"transform(array(struct({named})), s -> {body})[0]"
+
+
+def _parts(value: str) -> dict[str, str]:
+    """The aggregates an exact sum is made of."""
+    units = f"CASE WHEN abs({value}) < {SMALL} THEN CAST(rint(({value}) * 1.0E8D) AS BIGINT) END"
+    # The filters keep these sums out of every row they do not concern.
+    return {
+        "high": f"sum(shiftright({units}, {LIMB}))",
+        "low": f"sum(({units}) & {(1 << LIMB) - 1}L)",
+        "large": f"sum(try_cast({value} AS DECIMAL(26,8))) "
+        f"FILTER (WHERE abs({value}) >= {SMALL} AND abs({value}) < 1.0E18D)",
+    }
+
+
+_UNITS = f"CAST(s.high AS DECIMAL(20,0)) * CAST({1 << LIMB} AS DECIMAL(7,0)) + CAST(s.low AS DECIMAL(20,0))"
+_FEW = f"CAST(({_UNITS}) * CAST('0.00000001' AS DECIMAL(8,8)) AS DECIMAL(37,8))"
+_MANY = "CAST(s.large AS DECIMAL(37,8))"
+#: The sum from its parts, null if there was no value.
+_EXACT = f"CAST(coalesce({_FEW} + {_MANY}, {_FEW}, {_MANY}) AS DECIMAL(38,8))"
+
+
 def exact_sum(value: str) -> str:
     """DECIMAL(38,8) sum of the DOUBLEs below 1e18; null for a group without any."""
-    units = f"CASE WHEN abs({value}) < 9.0E10D THEN CAST(rint(({value}) * 1.0E8D) AS BIGINT) END"
-    high = f"CAST(sum(shiftright({units}, 20)) AS DECIMAL(20,0)) * CAST(1048576 AS DECIMAL(7,0))"
-    low = f"CAST(sum(({units}) & 1048575L) AS DECIMAL(20,0))"
-    # The filter keeps the decimal sum out of every row it does not concern.
-    large = (
-        f"sum(try_cast({value} AS DECIMAL(26,8))) "
-        f"FILTER (WHERE abs({value}) >= 9.0E10D AND abs({value}) < 1.0E18D)"
-    )
-    small = f"CAST(({high} + {low}) * CAST('0.00000001' AS DECIMAL(8,8)) AS DECIMAL(37,8))"
-    large = f"CAST({large} AS DECIMAL(37,8))"
-    return f"CAST(coalesce({small} + {large}, {small}, {large}) AS DECIMAL(38,8))"
+    return _let(_parts(value), _EXACT)
 
 
 def _wild(value: str) -> str:
@@ -45,7 +65,7 @@ def _joined(exact: str, wild: str) -> str:
 
 def exact_total(value: str) -> str:
     """The sum as DOUBLE; that of a plain sum if a value has no exact one."""
-    return _joined(exact_sum(value), _wild(value))
+    return _let(_parts(value) | {"wild": _wild(value)}, _joined(_EXACT, "s.wild"))
 
 
 def exact_mean(value: str) -> str:
@@ -58,12 +78,13 @@ def round_half_up(value: str, places: int = 2) -> str:
 
     Magnitudes of 1e18 and more have no places to round and stay as they are.
     """
-    decimal = f"CAST(round(try_cast({value} AS DECIMAL(28,8)), {places}) AS DOUBLE)"
-    return f"CASE WHEN abs({value}) < 1.0E18D THEN {decimal} ELSE {value} END"
+    decimal = f"CAST(round(try_cast(s.x AS DECIMAL(28,8)), {places}) AS DOUBLE)"
+    return _let({"x": value}, f"CASE WHEN abs(s.x) < 1.0E18D THEN {decimal} ELSE s.x END")
 
 
 def rounded_sum(value: str, places: int = 2) -> str:
-    return _rounded(exact_sum(value), _wild(value), places)
+    parts = _parts(value) | {"wild": _wild(value)}
+    return _let(parts, _rounded(_EXACT, "s.wild", places))
 
 
 def _rounded(exact: str, wild: str, places: int) -> str:
@@ -116,11 +137,13 @@ class Rolled:
 
     @staticmethod
     def rounded_sum(name: str, places: int = 2) -> str:
-        return _rounded(f"sum({name}_sum)", f"sum({name}_wild)", places)
+        parts = {"exact": f"sum({name}_sum)", "wild": f"sum({name}_wild)"}
+        return _let(parts, _rounded("s.exact", "s.wild", places))
 
     @staticmethod
     def rounded_mean(name: str, places: int = 2) -> str:
-        total = _joined(f"sum({name}_sum)", f"sum({name}_wild)")
+        parts = {"exact": f"sum({name}_sum)", "wild": f"sum({name}_wild)"}
+        total = _let(parts, _joined("s.exact", "s.wild"))
         return round_half_up(f"try_divide({total}, CAST(sum({name}_n) AS DOUBLE))", places)
 
     @staticmethod

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.functions.labels import literal, payment_label
@@ -46,6 +46,21 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
+def footer_counts(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """Rows of stored Parquet tables by name, from their footers: no row is read.
+
+    The count is pushed into the version 2 source, in a session of its own, so that
+    the caller's settings stay as they are.
+    """
+    session = spark.newSession()
+    first = session.conf.get("spark.sql.sources.useV1SourceList").split(",")
+    session.conf.set("spark.sql.sources.useV1SourceList", ",".join(x for x in first if x != "parquet"))
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    counted = table_counts({name: session.read.parquet(path) for name, path in paths.items()})
+    # A pushed count of no row groups at all is null.
+    return counted.selectExpr("table_name", "coalesce(n_rows, 0L) AS n_rows")
+
+
 def answer_counts(
     fact: DataFrame, zones: DataFrame, airports: Mapping[int, str], min_trips: int, top: int = 500
 ) -> DataFrame:

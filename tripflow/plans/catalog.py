@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.functions.exact import rounded_sum
 from tripflow.functions.naming import TRIPS, named
 from tripflow.operators import counts, enrich, extensions, questions, reports, serving
 from tripflow.operators import clean as cleaning
+from tripflow.operators.positions import with_position
+from tripflow.plans import jobs
 from tripflow.session import new_folder
-from tripflow.sources import orderbook
+from tripflow.sinks import keyed, tables
+from tripflow.sources import files, orderbook
 from tripflow.streaming import hourly
 
 # The default of 20 suits millions of trips; the check data has few
@@ -125,7 +129,7 @@ def quality_counts(spark, sf_dir):
 
 @query
 def trips_per_zone_hour(spark, sf_dir):
-    return counts.trips_per_zone_hour(enrich.with_text_times(_clean(spark, sf_dir)))
+    return counts.trips_per_zone_hour(_clean(spark, sf_dir))
 
 
 @query
@@ -256,10 +260,28 @@ def kv_zone_lookup(spark, sf_dir):
     return _lookup(spark, sf_dir).select("row_key", "info.*")
 
 
+def _stored_lookup(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
+    """The zone lookup in a stored keyed table: one load of all zones, then one of the
+    puts of some keys (of all if none is named), which touches their buckets only."""
+    path = f"{new_folder(spark, 'keyed')}/zones"
+    keyed.put(spark, path, serving.zone_lookup(orderbook.zones(spark, sf_dir)), buckets=16)
+    puts = orderbook.zone_puts(spark, sf_dir)
+    puts = serving.get(puts, *keys) if keys else puts
+    return keyed.put(spark, path, serving.merge_cells(puts, ["sequence"]))
+
+
+_AIRPORT_KEYS = [str(zone) for zone in orderbook.AIRPORT_ZONES]
+
+
 @query
 def kv_get(spark, sf_dir):
-    keys = [str(zone) for zone in orderbook.AIRPORT_ZONES]
-    return serving.get(_lookup(spark, sf_dir), *keys).select("row_key", "info.*")
+    stored = _stored_lookup(spark, sf_dir)
+    return keyed.get(stored, *_AIRPORT_KEYS).select("row_key", "info.*")
+
+
+@query
+def kv_two_loads(spark, sf_dir):
+    return _stored_lookup(spark, sf_dir, *_AIRPORT_KEYS).select("row_key", "info.*")
 
 
 @query
@@ -346,3 +368,184 @@ def monthly_trend(spark, sf_dir):
 @query
 def duplicate_report(spark, sf_dir):
     return extensions.duplicate_report(_raw(spark, sf_dir))
+
+
+# Files, tables and counts around them -----------------------------------------------
+
+
+def _month_files(spark: SparkSession, trips: DataFrame, label: str) -> str:
+    """Source trips as Parquet, a folder ``file=trips_YYYY-MM`` for each file month."""
+    folder = new_folder(spark, label)
+    name = "concat('trips_', date_format(file_date, 'yyyy-MM'))"
+    trips.withColumn("file", F.expr(name)).drop("file_date").write.mode("overwrite").partitionBy("file").parquet(folder)
+    return folder
+
+
+@query
+def landed_months(spark, sf_dir):
+    """All months landed by one job, one of them landed again with card trips only, and
+    the later years read back."""
+    source = orderbook.source_trips(spark, sf_dir)
+    root = new_folder(spark, "landed")
+    tables.land_files(spark, _month_files(spark, source, "months"), root)
+    again = source.where("payment_type = 1 AND file_date >= '1995-03-01' AND file_date < '1995-04-01'")
+    tables.land_files(spark, _month_files(spark, again, "again"), root)
+    landed = files.read_trips(spark, root).where("year >= 1995")
+    return landed.groupBy("year", "month").agg(*named(**TRIPS, revenue_usd=rounded_sum("total_amount")))
+
+
+#: Faults planted into the text lines of some trips, by a test of the trip.
+FAULTS = {
+    "short": "passenger_count = 3 AND payment_type = 4",
+    "long": "passenger_count = 1 AND pu_loc_id = 5",
+    "value": "rate_code = 99",
+}
+
+
+def _text_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Trips as delimited lines with planted faults; returns the folder."""
+    trips = _raw_text(spark, sf_dir)
+    cells = [f"coalesce(CAST({name} AS STRING), '')" for name in trips.columns]
+    fare = trips.columns.index("fare_amount")
+    short = f"concat_ws(',', {', '.join(cells[:10])})"
+    whole = f"concat_ws(',', {', '.join(cells)})"
+    cells[fare] = "'abc'"
+    value = f"concat_ws(',', {', '.join(cells)})"
+    line = (
+        f"CASE WHEN {FAULTS['short']} THEN {short} WHEN {FAULTS['long']} THEN {whole} || ',\"a,b\",x'"
+        f" WHEN {FAULTS['value']} THEN {value} ELSE {whole} END"
+    )
+    folder = f"{new_folder(spark, 'lines')}/trips"
+    trips.selectExpr(f"{line} AS line").write.mode("overwrite").text(folder)
+    return folder
+
+
+@query
+def text_faults(spark, sf_dir):
+    return files.lines_by_fault(files.read_trips_text_checked(spark, _text_lines(spark, sf_dir)))
+
+
+@query
+def text_reread(spark, sf_dir):
+    """Clean trips exported as headerless text and read again."""
+    folder = f"{new_folder(spark, 'text')}/clean"
+    tables.export_text(enrich.with_text_times(_clean(spark, sf_dir)), folder)
+    return files.read_trips_text(spark, folder)
+
+
+@query
+def observed_counts(spark, sf_dir):
+    """Raw and clean rows observed while the clean trips were stored, from the report."""
+    folder = new_folder(spark, "observed")
+    counted = jobs.run_clean(spark, _raw(spark, sf_dir), f"{folder}/clean")
+    jobs.report_counts(spark, ("1998", "12"), counted, f"{folder}/report")
+    return spark.read.parquet(f"{folder}/report").select("raw_rows", "clean_rows", "kept_pct")
+
+
+@query
+def stored_counts(spark, sf_dir):
+    """Rows of stored tables, told by their footers."""
+    folder = new_folder(spark, "tables")
+    stored = {
+        "fact_trips": _fact(spark, sf_dir),
+        "dim_zone": orderbook.zones(spark, sf_dir),
+        "q1_hotspots": _q1(spark, sf_dir),
+        "q5_payment_share": _q5(spark, sf_dir),
+    }
+    for name, frame in stored.items():
+        tables.store(frame, f"{folder}/{name}")
+    return counts.footer_counts(spark, {name: f"{folder}/{name}" for name in stored})
+
+
+@query
+def month_partitions(spark, sf_dir):
+    """A managed table by month: created, one year and one month dropped, the rest counted."""
+    folder = new_folder(spark, "managed")
+    schema = f"managed_{folder.rsplit('-', 1)[-1]}"
+    tables.create_schema(spark, schema, folder)
+    landed = orderbook.landed_trips(spark, sf_dir)
+    tables.save_table(landed, f"{schema}.trips", "parquet", ("year", "month"))
+    tables.drop_partitions(spark, f"{schema}.trips", year="1992")
+    tables.drop_partitions(spark, f"{schema}.trips", year="1993", month="1")
+    return tables.months_of(spark, f"{schema}.trips").join(
+        spark.table(f"{schema}.trips").groupBy("year", "month").agg(*named(**TRIPS)), ["year", "month"], "left"
+    )
+
+
+@query
+def stream_in_batches(spark, sf_dir):
+    """The hourly counts of a backlog of files, worked off two files a batch."""
+    events = orderbook.table(spark, sf_dir, "events")
+    feed = f"{new_folder(spark, 'feed')}/events"
+    events.repartitionByRange(12, "ts").write.parquet(feed)
+    stream = hourly.read_feed(spark, feed, events.schema, files_per_batch=2)
+    # Files written side by side come in any order: no row may count as late.
+    folder = new_folder(spark, "batches")
+    counted = hourly.run_hourly_counts(stream, "ts", ["event_type"], folder, lateness="3650 days")
+    return counted.withColumn("hour_start", F.col("hour_start").cast("string"))
+
+
+# Orders that can be checked ------------------------------------------------------------
+
+
+@query
+def q1_positions(spark, sf_dir):
+    return with_position(q1_hotspots(spark, sf_dir))
+
+
+@query
+def q2_positions(spark, sf_dir):
+    return with_position(q2_revenue_by_borough(spark, sf_dir))
+
+
+@query
+def q4_positions(spark, sf_dir):
+    return with_position(q4_airports(spark, sf_dir))
+
+
+@query
+def q5_positions(spark, sf_dir):
+    return with_position(q5_payment_share(spark, sf_dir))
+
+
+# Exports read back -----------------------------------------------------------------------
+
+
+def _dressed(fact: DataFrame) -> DataFrame:
+    """The fact with zone names that are hard on delimited text."""
+    names = {"CHINA": "NULL", "FRANCE": "''", "PERU": "'Pe,ru \"x\"'", "IRAN": "' I|ran\t '"}
+    cases = " ".join(f"WHEN '{name}' THEN {text}" for name, text in names.items())
+    dressed = f"CASE pu_zone {cases} ELSE pu_zone END"
+    return fact.withColumn("pu_zone", F.expr(dressed))
+
+
+def _reread(spark: SparkSession, name: str, result: DataFrame, **options) -> DataFrame:
+    folder = f"{new_folder(spark, 'export')}/{name}"
+    tables.export_text(result, folder, **options)
+    return files.read_result(spark, name, folder)
+
+
+@query
+def export_q1(spark, sf_dir):
+    result = questions.q1_hotspots(_dressed(_fact(spark, sf_dir)))
+    return _reread(spark, "q1_hotspots", result, rows_per_file=100)
+
+
+@query
+def export_q2(spark, sf_dir):
+    return _reread(spark, "q2_revenue_by_borough", _q2(spark, sf_dir), one_file=True)
+
+
+@query
+def export_q3(spark, sf_dir):
+    return _reread(spark, "q3_congestion", _q3(spark, sf_dir), rows_per_file=50)
+
+
+@query
+def export_q4(spark, sf_dir):
+    return _reread(spark, "q4_airports", _q4(spark, sf_dir), one_file=True)
+
+
+@query
+def export_q5(spark, sf_dir):
+    return _reread(spark, "q5_payment_share", _q5(spark, sf_dir))

@@ -14,6 +14,7 @@ from tripflow.operators.enrich import fact_trips
 from tripflow.schema import FACT_SCHEMA
 from tripflow.session import written_once
 from tripflow.sinks import tables
+from tripflow.sinks.keyed import upsert_table
 from tripflow.sinks.tables import Month
 from tripflow.sources import files
 
@@ -63,25 +64,6 @@ def answers(
     }
 
 
-def upsert_table(spark: SparkSession, name: str, puts: DataFrame) -> None:
-    """Put keyed rows into a stored table, cell by cell: new keys are added.
-
-    The next version is written in full beside the stored one and then takes
-    its name, so a load that breaks off loses nothing: a version left behind
-    complete is taken up by the next load. Stored sorted by key, so that a
-    point read skips the row groups of other keys.
-    """
-    following = f"{name}__next"
-    stored = spark.catalog.tableExists(name)
-    if not stored and spark.catalog.tableExists(following):
-        tables.rename_table(spark, following, name)
-        stored = True
-    merged = serving.upsert(spark.table(name), puts) if stored else puts
-    tables.save_table(merged.sort("row_key"), following, "parquet")
-    tables.drop_table(spark, name)
-    tables.rename_table(spark, following, name)
-
-
 def run_month(
     spark: SparkSession,
     source_paths: Iterable[str],

@@ -345,6 +345,12 @@ def oracle_sql() -> dict[str, str]:
         ),
         "kv_zone_lookup": _with("zones", _LOOKUP),
         "kv_get": _with("zones", f"SELECT * FROM ({_LOOKUP}) WHERE row_key IN ('1', '13', '21')"),
+        "kv_two_loads": _with(
+            "zones",
+            f"""SELECT l.row_key, l.borough, l.zone_name,
+                       CASE WHEN l.row_key IN ('1', '13', '21') THEN l.service_zone ELSE z.service_zone END AS service_zone
+                FROM ({_LOOKUP}) l JOIN zones z ON CAST(z.location_id AS VARCHAR) = l.row_key""",
+        ),
         "kv_scan_filter": _with(
             "zones", f"SELECT row_key, borough FROM ({_LOOKUP}) WHERE borough = 'EUROPE'"
         ),
@@ -431,6 +437,72 @@ def oracle_sql() -> dict[str, str]:
                                    {_rsum('total_amount')} AS revenue_usd
                             FROM fact GROUP BY 1, 2, 3))""",
         ),
+        "landed_months": _with(
+            "trips",
+            f"""SELECT {month.format('file_date')}, COUNT(*) AS trips, {_rsum('total_amount')} AS revenue_usd
+                FROM trips
+                WHERE year(file_date) >= 1995
+                  AND (strftime(file_date, '%Y-%m') <> '1995-03' OR payment_type = 1)
+                GROUP BY 1, 2""",
+        ),
+        "text_faults": _with(
+            "trips",
+            """SELECT fault, COUNT(*) AS n_lines,
+                      COUNT(*) FILTER (fault IN ('sound', 'too many fields')) AS with_fare,
+                      COUNT(*) AS with_pickup
+               FROM (SELECT CASE WHEN passenger_count = 3 AND payment_type = 4 THEN 'too few fields'
+                                 WHEN passenger_count = 1 AND pu_loc_id = 5 THEN 'too many fields'
+                                 WHEN rate_code = 99 THEN 'value does not fit' ELSE 'sound' END AS fault FROM trips)
+               GROUP BY fault""",
+        ),
+        "text_reread": _with("kept", f"SELECT {_RAW_OUT} FROM kept"),
+        "observed_counts": _with(
+            "kept",
+            f"""SELECT raw_rows, clean_rows,
+                       {_r('CAST(clean_rows AS DOUBLE) * 100 / raw_rows')} AS kept_pct
+                FROM (SELECT COUNT(vendor_id) AS raw_rows FROM trips),
+                     (SELECT COUNT(vendor_id) AS clean_rows FROM kept)""",
+        ),
+        "stored_counts": _with(
+            "fact",
+            "\nUNION ALL ".join(
+                f"SELECT '{name}' AS table_name, COUNT(*) AS n_rows FROM {counted[name]}"
+                for name in ("fact_trips", "dim_zone", "q1_hotspots", "q5_payment_share")
+            ),
+            q1=_Q1, q5=_Q5,
+        ),
+        "month_partitions": _with(
+            "trips",
+            f"""SELECT {month.format('file_date')}, COUNT(*) AS trips FROM trips
+                WHERE year(file_date) <> 1992 AND strftime(file_date, '%Y-%m') <> '1993-01' GROUP BY 1, 2""",
+        ),
+        "stream_in_batches": """
+            SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour_start, event_type,
+                   COUNT(*) AS n_events
+            FROM events WHERE ts IS NOT NULL GROUP BY 1, 2""",
+        **{
+            f"{name}_positions": _with(
+                "fact", f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM ({body})"
+            )
+            for name, body, order in (
+                ("q1", _Q1, "pickup_hour, trips DESC, pu_borough, pu_zone"),
+                ("q2", _Q2, "revenue_usd DESC, pu_borough, payment_method"),
+                ("q4", _Q4, "airport, trips DESC, destination_zone, destination_borough"),
+                ("q5", _Q5, "trips DESC, pu_borough"),
+            )
+        },
+        "export_q1": _with(
+            "fact",
+            """SELECT pickup_hour, pu_borough,
+                      CASE pu_zone WHEN 'CHINA' THEN NULL WHEN 'FRANCE' THEN '' WHEN 'PERU' THEN 'Pe,ru "x"'
+                                   WHEN 'IRAN' THEN ' I|ran' || chr(9) || ' ' ELSE pu_zone END AS pu_zone,
+                      COUNT(*) AS trips
+               FROM fact GROUP BY 1, 2, 3""",
+        ),
+        "export_q2": _with("fact", _Q2),
+        "export_q3": _with("fact", _Q3),
+        "export_q4": _with("fact", _Q4),
+        "export_q5": _with("fact", _Q5),
         "duplicate_report": _with(
             "trips",
             """SELECT CAST(SUM(copies) AS BIGINT) AS trips, COUNT(*) AS distinct_trips,

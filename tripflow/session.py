@@ -132,6 +132,11 @@ def remove_folder(spark: SparkSession, name: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def path_exists(spark: SparkSession, name: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def child_folders(spark: SparkSession, name: str) -> list[str]:
     """Names of the folders in a folder."""
     path = spark._jvm.org.apache.hadoop.fs.Path(name)

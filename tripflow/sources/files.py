@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +17,7 @@ from tripflow.schema import (
     RESULT_SCHEMAS,
     conform,
 )
-
-FOOTERS_AT_ONCE = 16
+from tripflow.sources.footers import files_by_schema
 
 _ZONE_TEXT = T.StructType(
     [
@@ -30,30 +27,21 @@ _ZONE_TEXT = T.StructType(
 )
 
 
-def read_source(spark: SparkSession, path: str) -> DataFrame:
+def read_source(spark: SparkSession, path: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """One source path, every file of it held to the column contract by itself.
 
     Of a folder or glob Spark takes one footer for the schema of all files; a
-    file without a column would turn into nulls. Here each footer is read, by
-    Spark and several at a time, and files of equal schema are scanned together.
+    file without a column would turn into nulls. Here tasks read every footer in
+    one job, and files of equal layout are scanned together. ``keep`` are further
+    expressions over the scan, such as ``_metadata.file_path AS file_path``.
     """
-    files = sorted(spark.read.parquet(path).inputFiles())
-    if not files:
-        return conform(spark.read.parquet(path), path)
-
-    def schema_of(file: str) -> T.StructType:
-        return spark.read.parquet(file).schema
-
-    with ThreadPool(min(len(files), FOOTERS_AT_ONCE)) as pool:
-        schemas = pool.map(schema_of, files)
-    by_schema: dict[str, list[str]] = {}
-    for file, schema in zip(files, schemas):
-        by_schema.setdefault(schema.json(), []).append(file)
+    layouts = files_by_schema(spark, path)
+    if not layouts:
+        return conform(spark.read.parquet(path), path, keep)
     # Checked before anything is read: the error names the first deficient file.
-    parts = []
-    for text, alike in by_schema.items():
-        schema = T.StructType.fromJson(json.loads(text))
-        parts.append(conform(spark.read.schema(schema).parquet(*alike), alike[0]))
+    parts = [
+        conform(spark.read.schema(schema).parquet(*alike), alike[0], keep) for schema, alike in layouts
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -84,6 +72,43 @@ def read_trips_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+#: Causes of a line that does not fit the layout, tested in this order.
+_CAUSES = {
+    "too few fields": f"fields < {len(RAW_COLUMNS)}",
+    "too many fields": f"fields > {len(RAW_COLUMNS)}",
+    "value does not fit": "trip._unread IS NOT NULL",
+}
+
+
+def read_trips_text_checked(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``read_trips_text`` with ``fault``: why a line does not fit the layout, null for
+    a sound line. Trips and faults come from the same scan.
+
+    The CSV reader itself pads short lines and cuts long ones without a word, so the
+    lines are read as text, their fields counted (a separator within quotes is none)
+    and the values parsed by the same rules.
+    """
+    lines = spark.read.text(path).where("value <> ''")
+    bare = """regexp_replace(value, '"[^"]*"', '')"""
+    schema = T.StructType([*RAW_TEXT_SCHEMA, T.StructField("_unread", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_unread"}
+    parsed = lines.select(
+        F.from_csv("value", schema.toDDL(), options).alias("trip"),
+        F.expr(f"size(split({bare}, ','))").alias("fields"),
+    )
+    fault = " ".join(f"WHEN {test} THEN '{cause}'" for cause, test in _CAUSES.items())
+    return parsed.selectExpr(*(f"trip.{name}" for name in RAW_COLUMNS), f"CASE {fault} END AS fault")
+
+
+def lines_by_fault(trips: DataFrame) -> DataFrame:
+    """Per cause (``sound`` for none) the lines, and how many still tell a fare and a pickup."""
+    return trips.groupBy(F.coalesce("fault", F.lit("sound")).alias("fault")).agg(
+        F.count("*").alias("n_lines"),
+        F.count("fare_amount").alias("with_fare"),
+        F.count("pickup_dt").alias("with_pickup"),
+    )
+
+
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The same files as whole lines, with the number of fields in each."""
     lines = spark.read.text(path).withColumnRenamed("value", "line")

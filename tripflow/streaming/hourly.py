@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,16 +13,23 @@ from tripflow.functions.wallclock import from_wall_seconds, wall_seconds
 from tripflow.session import child_folders, remove_folder
 
 
-def read_feed(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+def read_feed(
+    spark: SparkSession, path: str, schema: T.StructType | str, files_per_batch: int | None = None
+) -> DataFrame:
     """A Parquet table as a stream, whether it is one file or a folder of files.
 
     The path is written as a glob that matches only itself, because the file
     source accepts a plain path only for a folder. Without a limit on files
-    per trigger all present files form one micro-batch, so the watermark
-    cannot overtake rows that are merely listed late.
+    per batch all present files form one micro-batch, so the watermark cannot
+    overtake rows that are merely listed late. With ``files_per_batch`` files are
+    taken oldest first, state that the watermark has passed is dropped between the
+    batches, and a backlog of any size is worked off in bounded pieces.
     """
     path = path.rstrip("/")
-    return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
+    reader = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def hourly_counts(
@@ -55,7 +63,8 @@ def run_hourly_counts(
     ``epoch=N`` directory, replacing it if the batch is retried, and a reader
     takes the newest epoch of each hour and key. Calling it again with the
     same folder continues from the checkpoint. Rows later than the watermark
-    are dropped and counted, see ``late_rows``.
+    are dropped and counted, see ``late_rows``: each batch notes the progress of
+    the one before, as a query keeps its last hundred only.
     """
     spark = events.sparkSession
     counted = hourly_counts(events, time, keys, lateness)
@@ -63,23 +72,33 @@ def run_hourly_counts(
     nothing = spark.createDataFrame([], counted.schema)
     nothing.write.mode("ignore").parquet(f"{folder}/counts/epoch=-1")
 
+    late: dict[int, int] = {}  # by batch
+
+    def note(progress) -> None:
+        if progress is not None:
+            late[progress["batchId"]] = sum(
+                state["numRowsDroppedByWatermark"] for state in progress["stateOperators"]
+            )
+
     def write_epoch(changed: DataFrame, epoch: int) -> None:
+        for running in spark.streams.active:
+            if running.name == name:
+                note(running.lastProgress)
         changed.write.mode("overwrite").parquet(f"{folder}/counts/epoch={epoch}")
 
+    name = f"hourly-{uuid.uuid4().hex}"
     query = (
         counted.writeStream.outputMode("update")
+        .queryName(name)
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True)
         .foreachBatch(write_epoch)
         .start()
     )
     query.awaitTermination()
-    late = sum(
-        state["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for state in progress["stateOperators"]
-    )
-    spark.createDataFrame([(late,)], "rows long").write.mode("append").parquet(f"{folder}/late")
+    for progress in query.recentProgress:
+        note(progress)
+    spark.createDataFrame([(sum(late.values()),)], "rows long").write.mode("append").parquet(f"{folder}/late")
     return compacted(spark, folder, keys)
 
 
