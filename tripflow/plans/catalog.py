@@ -31,6 +31,15 @@ def query(function: Query) -> Query:
     return function
 
 
+#: Queries that write files or tables before they read their answer.
+STORING: set[str] = set()
+
+
+def storing(function: Query) -> Query:
+    STORING.add(function.__name__)
+    return query(function)
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
@@ -273,13 +282,13 @@ def _stored_lookup(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
 _AIRPORT_KEYS = [str(zone) for zone in orderbook.AIRPORT_ZONES]
 
 
-@query
+@storing
 def kv_get(spark, sf_dir):
     stored = _stored_lookup(spark, sf_dir)
     return keyed.get(stored, *_AIRPORT_KEYS).select("row_key", "info.*")
 
 
-@query
+@storing
 def kv_two_loads(spark, sf_dir):
     return _stored_lookup(spark, sf_dir, *_AIRPORT_KEYS).select("row_key", "info.*")
 
@@ -381,7 +390,7 @@ def _month_files(spark: SparkSession, trips: DataFrame, label: str) -> str:
     return folder
 
 
-@query
+@storing
 def landed_months(spark, sf_dir):
     """All months landed by one job, one of them landed again with card trips only, and
     the later years read back."""
@@ -420,12 +429,12 @@ def _text_lines(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
-@query
+@storing
 def text_faults(spark, sf_dir):
     return files.lines_by_fault(files.read_trips_text_checked(spark, _text_lines(spark, sf_dir)))
 
 
-@query
+@storing
 def text_reread(spark, sf_dir):
     """Clean trips exported as headerless text and read again."""
     folder = f"{new_folder(spark, 'text')}/clean"
@@ -433,7 +442,7 @@ def text_reread(spark, sf_dir):
     return files.read_trips_text(spark, folder)
 
 
-@query
+@storing
 def observed_counts(spark, sf_dir):
     """Raw and clean rows observed while the clean trips were stored, from the report."""
     folder = new_folder(spark, "observed")
@@ -442,7 +451,7 @@ def observed_counts(spark, sf_dir):
     return spark.read.parquet(f"{folder}/report").select("raw_rows", "clean_rows", "kept_pct")
 
 
-@query
+@storing
 def stored_counts(spark, sf_dir):
     """Rows of stored tables, told by their footers."""
     folder = new_folder(spark, "tables")
@@ -457,7 +466,7 @@ def stored_counts(spark, sf_dir):
     return counts.footer_counts(spark, {name: f"{folder}/{name}" for name in stored})
 
 
-@query
+@storing
 def month_partitions(spark, sf_dir):
     """A managed table by month: created, one year and one month dropped, the rest counted."""
     folder = new_folder(spark, "managed")
@@ -472,7 +481,7 @@ def month_partitions(spark, sf_dir):
     )
 
 
-@query
+@storing
 def stream_in_batches(spark, sf_dir):
     """The hourly counts of a backlog of files, worked off two files a batch."""
     events = orderbook.table(spark, sf_dir, "events")
@@ -488,22 +497,22 @@ def stream_in_batches(spark, sf_dir):
 # Orders that can be checked ------------------------------------------------------------
 
 
-@query
+@storing
 def q1_positions(spark, sf_dir):
     return with_position(q1_hotspots(spark, sf_dir))
 
 
-@query
+@storing
 def q2_positions(spark, sf_dir):
     return with_position(q2_revenue_by_borough(spark, sf_dir))
 
 
-@query
+@storing
 def q4_positions(spark, sf_dir):
     return with_position(q4_airports(spark, sf_dir))
 
 
-@query
+@storing
 def q5_positions(spark, sf_dir):
     return with_position(q5_payment_share(spark, sf_dir))
 
@@ -525,27 +534,27 @@ def _reread(spark: SparkSession, name: str, result: DataFrame, **options) -> Dat
     return files.read_result(spark, name, folder)
 
 
-@query
+@storing
 def export_q1(spark, sf_dir):
     result = questions.q1_hotspots(_dressed(_fact(spark, sf_dir)))
     return _reread(spark, "q1_hotspots", result, rows_per_file=100)
 
 
-@query
+@storing
 def export_q2(spark, sf_dir):
     return _reread(spark, "q2_revenue_by_borough", _q2(spark, sf_dir), one_file=True)
 
 
-@query
+@storing
 def export_q3(spark, sf_dir):
     return _reread(spark, "q3_congestion", _q3(spark, sf_dir), rows_per_file=50)
 
 
-@query
+@storing
 def export_q4(spark, sf_dir):
     return _reread(spark, "q4_airports", _q4(spark, sf_dir), one_file=True)
 
 
-@query
+@storing
 def export_q5(spark, sf_dir):
     return _reread(spark, "q5_payment_share", _q5(spark, sf_dir))
