@@ -80,3 +80,28 @@ def test_ties_repeats_and_null_ids(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert chat.read_back(chat.format_conversations(empty)).count() == 0
+
+
+def test_turns_are_cut_at_their_marks_alone(spark, given):
+    """The whole text of a conversation in one segment, and in segments of three characters."""
+    whole = {}
+    for row in chat.format_conversations(given).collect():
+        whole.setdefault(row.conv_id, []).append(row.text)
+    for size in (None, 3):
+        rows = []
+        for conv, parts in whole.items():
+            text = "".join(parts)
+            if conv == 6 and size:
+                continue
+            pieces = [text[k : k + size] for k in range(0, len(text), size)] if size else [text]
+            rows += [(conv, k, 0, piece, False, "assistant") for k, piece in enumerate(pieces)]
+        segments = spark.createDataFrame(rows, chat.SEGMENTS).coalesce(1).sortWithinPartitions("conv_id", "turn_no")
+        found = {row.conv_id: row for row in chat.read_back(segments).collect()}
+        for conv in {row[0] for row in rows}:
+            assert (found[conv].n_turns, found[conv].turns_sha256) == expected(CASES[conv])[:2], (conv, size)
+
+
+def test_a_text_without_an_end_mark_is_refused(spark):
+    broken = spark.createDataFrame([(1, 0, 0, "[INST] no end", False, "user")], chat.SEGMENTS)
+    with pytest.raises(Exception, match="without its end mark"):
+        chat.read_back(broken).collect()

@@ -7,8 +7,9 @@ is bounded by one turn and never by a conversation.
 
 Defined results: a null text is empty, a null role is the empty role; turns are
 ordered by turn (null first), ties by role, then text; repeated rows are
-repeated turns; rows without conv_id form one conversation with a null id; an
-empty table gives no rows; further columns are ignored.
+repeated turns; rows without conv_id form one conversation with a null id, in one
+task whose sort spills and which holds one turn at a time; an empty table gives
+no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -93,26 +94,32 @@ def unescaper(template: Template):
 
 
 def turn_reader(template: Template):
-    """Reads one formatted turn back into (role, text)."""
+    """Reads the first turn of a formatted text: (role, text, characters read), or None
+    if its end is yet to come. Only the marks tell where a turn ends."""
     unescape = unescaper(template)
     escaped = re.escape(template.escape) + "."
 
     def until(text: str, start: int, mark: str) -> int:
-        for found in re.finditer(f"{escaped}|{re.escape(mark)}", text[start:], re.DOTALL):
+        for found in re.compile(f"{escaped}|{re.escape(mark)}", re.DOTALL).finditer(text, start):
             if found[0] == mark:
-                return start + found.start()
-        raise ValueError("a turn without its end mark")
+                return found.start()
+        return -1
 
-    def read(text: str) -> tuple[str, str]:
+    def read(text: str) -> tuple[str, str, int] | None:
         for role, turn in template.turns.items():
             if text.startswith(turn.begin):
                 start = len(turn.begin)
-                return role, unescape(text[start : until(text, start, turn.end)])
+                end = until(text, start, turn.end)
+                return None if end < 0 else (role, unescape(text[start:end]), end + len(turn.end))
+        if not text.startswith(template.other.begin):
+            return None
         start = len(template.other.begin)
         middle = until(text, start, template.named)
         after = middle + len(template.named)
-        end = until(text, after, template.other.end)
-        return unescape(text[start:middle]), unescape(text[after:end])
+        end = until(text, after, template.other.end) if middle >= 0 else -1
+        if end < 0:
+            return None
+        return unescape(text[start:middle]), unescape(text[after:end]), end + len(template.other.end)
 
     return read
 
@@ -159,7 +166,9 @@ def format_conversations(conversations: DataFrame, template: Template = INSTRUCT
 
 
 def read_back(segments: DataFrame, template: Template = INSTRUCT) -> DataFrame:
-    """One row per conversation, read from the formatted text of its turns.
+    """One row per conversation, read from its formatted text as a whole: turns are cut
+    at the marks alone, wherever the segments end. A text that is not made of whole
+    turns is an error.
 
     ``turns_sha256`` covers role, newline, text, newline of each turn;
     ``loss_sha256`` all unescaped text under the loss flag.
@@ -168,11 +177,13 @@ def read_back(segments: DataFrame, template: Template = INSTRUCT) -> DataFrame:
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = _arrow_schema(DIGESTS)
         read, unescape = turn_reader(template), unescaper(template)
-        conv, turns, learned, counts, state, parts = None, None, None, [0, 0, 0], "", []
+        conv, turns, learned, counts, state, unread = None, None, None, [0, 0, 0], "", ""
         done: list[tuple] = []
 
         def finished() -> tuple:
             n, loss, chars = counts
+            if unread:
+                raise ValueError(f"conversation {conv}: a turn without its end mark")
             return (conv, n, turns.hexdigest(), loss, learned.hexdigest(), chars, state in ACCEPTED)
 
         def flushed() -> pa.RecordBatch:
@@ -188,18 +199,18 @@ def read_back(segments: DataFrame, template: Template = INSTRUCT) -> DataFrame:
                         done.append(finished())
                     conv, counts = conv_id, [0, 0, 0]
                     turns, learned = hashlib.sha256(), hashlib.sha256()
-                parts.append(text)
+                unread += text
                 counts[2] += len(text)
                 state = after
                 if loss:
                     plain = unescape(text)
                     counts[1] += len(plain)
                     learned.update(plain.encode())
-                if segment == 2:
-                    role, said = read("".join(parts))
+                while unread and (found := read(unread)):
+                    role, said, size = found
                     turns.update(f"{role}\n{said}\n".encode())
                     counts[0] += 1
-                    parts = []
+                    unread = unread[size:]
             yield flushed()
         if turns is not None:
             done.append(finished())
