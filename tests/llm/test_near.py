@@ -9,7 +9,7 @@ import pytest
 from brute import Groups, near_duplicates as brute_near
 from brute import words as plain_words
 
-from tripflow.llm import components, near
+from tripflow.llm import components, near, sigtree
 from tripflow.llm import words as hashing
 
 VOCABULARY = [f"w{k}" for k in range(400)]
@@ -57,11 +57,12 @@ def test_against_all_pairs(spark, size):
     assert {tuple(row) for row in found.collect()} == brute_near(rows, size)
 
 
-@pytest.mark.parametrize("rounds, direct", [(0, 10**9), (0, 0), (2, 3)])
-def test_every_way_through_a_posting_list(spark, monkeypatch, rounds, direct):
-    """Without leaders, by shingles only, and with few of both."""
+@pytest.mark.parametrize("rounds, direct, paired", [(0, 10**9, 0), (0, 0, 10**9), (2, 3, 3), (1, 0, 0)])
+def test_every_way_through_a_posting_list(spark, monkeypatch, rounds, direct, paired):
+    """Without leaders, by shingles only, with few of all, and by trees."""
     monkeypatch.setattr(near, "LEADER_ROUNDS", rounds)
     monkeypatch.setattr(near, "DIRECT", direct)
+    monkeypatch.setattr(near, "PAIRED", paired)
     rows = fixture_rows()
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     assert {tuple(row) for row in near.near_duplicates(frame, 2).collect()} == brute_near(rows, 2)
@@ -125,3 +126,30 @@ def test_an_id_has_one_component(spark):
     found = near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(r.doc_id, r.component_id) for r in found} == {(3, 3), (5, 3), (9, 3), (2, 2), (8, 2), (6, 6)}
     assert {r.doc_id for r in found if r.kept} == {2, 3, 6}
+
+
+def test_texts_of_few_words_are_not_paired_with_each_other(spark, monkeypatch):
+    """Unlinked texts of 60 words out of 12: what is emitted grows with the texts, not with their pairs."""
+    emitted = []
+    candidates, compared = near._candidates, sigtree._compared
+
+    def counted(pairs, *more):
+        emitted.append(pairs.count())
+        return candidates(pairs, *more)
+
+    def counted_nodes(nodes, pairs, *more, **named):
+        emitted.append(pairs.count())
+        return compared(nodes, pairs, *more, **named)
+
+    monkeypatch.setattr(near, "_candidates", counted)
+    monkeypatch.setattr(sigtree, "_compared", counted_nodes)
+    rng = random.Random(21)
+    rows = [(k, " ".join(f"w{rng.randrange(12)}" for _ in range(60))) for k in range(2000)]
+    sums = []
+    for count in (500, 1000, 2000):
+        emitted.clear()
+        found = near.near_duplicates(spark.createDataFrame(rows[:count], "doc_id long, text string"), 2)
+        assert {tuple(row) for row in found.collect()} == brute_near(rows[:count], 2)
+        sums.append(sum(emitted))
+    assert sums[1] <= 3 * sums[0] + 1000 and sums[2] <= 3 * sums[1] + 1000
+    assert sums[2] < 2000 * 1999 / 2 / 20

@@ -14,8 +14,10 @@
    pairs left, those across components, are all compared. A list thus costs its
    length per round, not its square, when its members are alike. Members of long
    lists that stay unlike (texts around one common passage, copies that have
-   drifted apart, texts of few words) go to the signature trees of ``sigtree``,
-   which compare blocks of them and return no pair but links between components.
+   drifted apart) are posted anew under the rarest of their shingles, by bands
+   of set sizes, where what all have in common seldom counts. Members of lists
+   that are long even then (texts of few words) go to the signature trees of
+   ``sigtree``, which compare blocks of them and return no pair but links.
 4. A pair is a candidate if its lengths allow the similarity and its signatures
    agree in ``MATCHES`` coordinates and in ``TEST_MATCHES`` of the one-byte test
    coordinates; links are confirmed on the full sets, which are made for the
@@ -48,13 +50,16 @@ from tripflow.llm.links_sql import components_sql
 from tripflow.llm.sets import may_hold, shingle_sets
 from tripflow.llm.sigtree import tree_links
 from tripflow.llm.words import WordHasher, shingles
-from tripflow.llm.work import staged, table
+from tripflow.llm.work import partitions, staged, table
 
 COORDINATES = 48
 MATCHES = 25
 LEADER_ROUNDS = 1
-#: Pairs that may remain in a posting list before its members go to a signature tree.
-DIRECT = 512
+#: Pairs that may remain in a posting list before its members are posted by shingle, and
+#: in a list by shingle before they go to a signature tree.
+DIRECT, PAIRED = 512, 4096
+#: Sizes of one band of shingle sets differ by this factor at most.
+BAND_RATIO = 1.03
 #: Bits of a posted key that name the coordinate.
 _COORDINATE_BITS = 6
 _BLOCK = 2048
@@ -128,7 +133,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, SIGNATURES)
 
 
-_ENTRY = ["key", "id", "n", "common", "rest"]
+_ENTRY = ["key", "id", "n", "common", "rest", "short"]
 
 #: How many others hold what a class holds: the centre of a group of copies leads.
 _COMMON = "aggregate(found, 0L, (total, entry) -> total + entry.n)"
@@ -136,7 +141,8 @@ _COMMON = "aggregate(found, 0L, (total, entry) -> total + entry.n)"
 
 def _postings(classes: DataFrame) -> DataFrame:
     """The prefix of every class that can reach ``MATCHES``, by key: its id, set
-    size n, centrality and keys from this one on (``rest``)."""
+    size n, centrality, keys from this one on (``rest``), and whether a pair
+    counts in this list whatever the other member (``short``)."""
     posted = classes.select("id", "n_shingles", F.explode("keys").alias("key"))
     counts = staged(
         posted.groupBy("key").agg(F.count("*").alias("holders")).where("holders > 1"), "key-counts"
@@ -149,7 +155,48 @@ def _postings(classes: DataFrame) -> DataFrame:
     rows = shared.where(F.size("found") >= MATCHES).selectExpr(
         "id", "n", "size(found) AS shared", f"{_COMMON} AS common", f"posexplode({prefix})"
     )
-    return rows.selectExpr("col.key", "id", "n", "common", "shared - pos AS rest")
+    return rows.selectExpr("col.key", "id", "n", "common", "shared - pos AS rest", "true AS short")
+
+
+def _shingle_postings(sets: DataFrame, percent: int) -> DataFrame:
+    """Like ``_postings``, by shingles within bands of set sizes.
+
+    Sets of sizes m <= n with a link share at least ``percent`` / (100 +
+    ``percent``) of m + n. A set is posted in the bands of all sizes it may be
+    linked with from above, each with the prefix that follows from the smallest
+    size of the band, and is ``short`` in its own band for the prefix that
+    follows from its own size.
+    """
+    # Few small files hold the sets: deal them out before they grow to a row per shingle.
+    sets = sets.repartition(partitions(sets.sparkSession))
+    posted = sets.select("id", "n", F.explode("members").alias("key"))
+    counts = staged(
+        posted.groupBy("key").agg(F.count("*").alias("holders")).where("holders > 1"), "shingle-counts"
+    )
+    shared = posted.join(counts, "key").groupBy("id").agg(
+        F.min("n").alias("n"),
+        F.array_sort(F.collect_list(F.struct(F.col("holders").alias("n"), "key"))).alias("found"),
+    )
+    share = f"{percent} / {100 + percent}"
+    band = "CAST(floor(ln({}) / ln(%s)) AS INT)" % BAND_RATIO
+    least = f"CAST(ceil({percent} * n / 100) AS INT)"
+    low = f"greatest({least}, CAST(floor(pow({BAND_RATIO}D, band)) AS INT))"
+    banded = shared.selectExpr(
+        "id", "n", "found", f"{_COMMON} AS common", f"{band.format('n')} AS own",
+        f"explode(sequence({band.format(least)}, {band.format('n')})) AS band",
+    )
+    # Rounded down a little, for the division is not exact.
+    needed = f"greatest({least}, CAST(ceil((n + {low}) * {share} - 1e-9) AS INT))"
+    prefix = f"slice(found, 1, greatest(0, size(found) - {needed} + 1))"
+    in_short = f"size(found) - CAST(ceil(2 * n * {share} - 1e-9) AS INT)"
+    rows = banded.selectExpr(
+        "id", "n", "common", "band", "own", "size(found) AS shared", f"{in_short} AS last",
+        f"posexplode({prefix})",
+    )
+    return rows.selectExpr(
+        "xxhash64(col.key, band) AS key", "id", "n", "common", "shared - pos AS rest",
+        "band = own AND pos <= last AS short",
+    )
 
 
 def _candidates(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -226,17 +273,19 @@ def _open_lists(lists: DataFrame) -> DataFrame:
     return staged(lists.join(staged(main, "main"), "key"), "open-lists")
 
 
-def _remaining_pairs(open_lists: DataFrame, percent: int) -> DataFrame:
+def _remaining_pairs(open_lists: DataFrame, percent: int, needed: str) -> DataFrame:
     """All pairs across components: members outside a list's largest component
     with every member of another component, if their sizes allow a link and the
     keys that follow this one in both suffice. In the list of the first key two
     linked members share, they do."""
     few = open_lists.where("component <> main").selectExpr(
-        "key", "id AS a", "component AS ca", "n AS na", "rest AS ra"
+        "key", "id AS a", "component AS ca", "n AS na", "rest AS ra", "short AS sa"
+    )
+    other = open_lists.selectExpr(
+        "key", "id AS b", "component AS cb", "n AS nb", "rest AS rb", "short AS sb", "main"
     )
-    other = open_lists.selectExpr("key", "id AS b", "component AS cb", "n AS nb", "rest AS rb", "main")
     across = few.join(other, "key").where(
-        f"ca <> cb AND (cb = main OR a < b) AND least(ra, rb) >= {MATCHES} "
+        f"(sa OR sb) AND ca <> cb AND (cb = main OR a < b) AND least(ra, rb) >= {needed} "
         f"AND 100 * least(na, nb) >= {percent} * greatest(na, nb)"
     )
     return across.select("a", "b")
@@ -304,12 +353,19 @@ def near_links(
     if links is not None:
         linker.links, linker.labels = links, components(links)
     rest = linker.merge(staged(_postings(classes), "postings"))
-    linker.compare(_remaining_pairs(rest.where(f"crossing <= {DIRECT}"), percent))
+    linker.compare(_remaining_pairs(rest.where(f"crossing <= {DIRECT}"), percent, str(MATCHES)))
     # Long lists of unlike members come from a passage that makes up most of the
-    # signature of many texts, or from texts of few words.
-    long = staged(rest.where(f"crossing > {DIRECT}").select("id").distinct(), "long")
+    # signature of many texts. Their pairs are found through the shingles instead.
+    long = staged(rest.where(f"crossing > {DIRECT}").select(F.col("id").alias("a"), F.col("id").alias("b")), "long")
     if not long.isEmpty():
-        linker.compare_by_tree(long)
+        by_shingle = _shingle_postings(_sets_of(long, docs, words), percent)
+        rest = linker.merge(staged(by_shingle, "shingle-postings"))
+        needed = f"{percent} * (na + nb) / {100 + percent} - 1e-9"
+        linker.compare(_remaining_pairs(rest.where(f"crossing <= {PAIRED}"), percent, needed))
+        # What is long even so, texts of few words, is never paired.
+        dense = staged(rest.where(f"crossing > {PAIRED}").select("id").distinct(), "dense")
+        if not dense.isEmpty():
+            linker.compare_by_tree(dense)
     return linker.labels
 
 

@@ -64,6 +64,8 @@ BITS = 4096
 LEAF, BRANCH = 16, 128
 #: Pairs of a branch that are confirmed one by one; more are counted together.
 SINGLY = 48
+#: Tokens of a block whose common sets are counted at a time.
+COLUMNS = 4096
 
 SIGNED = "key long, n long, h1 long, h2 long, roots array<long>"
 PACKED = (
@@ -200,22 +202,30 @@ class _Components:
 
 
 def _overlaps(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
-    """Common tokens of every set of one list with every set of the other."""
+    """Common tokens of every set of one list with every set of the other, counted by
+    products of incidence matrices over ``COLUMNS`` shared tokens at a time."""
     shared = np.intersect1d(np.concatenate(one), np.concatenate(other))
-    if not len(shared):
-        return np.zeros((len(one), len(other)), np.int64)
+    common = np.zeros((len(one), len(other)), np.float64)
 
-    def incidence(sets: list[np.ndarray]) -> np.ndarray:
+    def places(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
         flat = np.concatenate(sets)
         at = np.minimum(np.searchsorted(shared, flat), len(shared) - 1)
         known = shared[at] == flat
-        found = np.zeros((len(sets), len(shared)), np.float32)
-        found[rows[known], at[known]] = 1
+        order = np.argsort(at[known], kind="stable")
+        return rows[known][order], at[known][order]
+
+    def incidence(count: int, rows: np.ndarray, at: np.ndarray, start: int) -> np.ndarray:
+        low, high = np.searchsorted(at, [start, start + COLUMNS])
+        found = np.zeros((count, COLUMNS), np.float32)
+        found[rows[low:high], at[low:high] - start] = 1
         return found
 
-    # Counts below 2^24 are exact as 32-bit floats.
-    return (incidence(one) @ incidence(other).T).astype(np.int64)
+    if len(shared):
+        ours, theirs = places(one), places(other)
+        for start in range(0, len(shared), COLUMNS):
+            common += incidence(len(one), *ours, start) @ incidence(len(other), *theirs, start).T
+    return common.astype(np.int64)
 
 
 def _confirm(one: Tree, i, other: Tree, j, percent: int, groups: _Components, shift: int) -> Iterator[tuple[int, int]]:
