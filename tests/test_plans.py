@@ -101,7 +101,7 @@ def test_a_point_get_reaches_the_puts(spark, tables):
     """Only the puts of the wanted keys are combined and shuffled."""
     from tripflow.plans import catalog
 
-    text = plan(catalog.queries()["kv_get"](spark, tables))
+    text = plan(serving.get(catalog._lookup(spark, tables), "1", "13", "21"))
     filters = re.findall(r"Condition : ([^\n]*)", text)
     assert any("cast(location_id" in f or "IN (1,13,21)" in f for f in filters)
     assert "partial_max" in text
@@ -118,3 +118,13 @@ def test_table_counts_scan_the_fact_once(stored):
     text = plan(counts.answer_counts(stored["fact"], stored["zones"], {1: "EWR"}, 3))
     scans = re.findall(r"ReadSchema: struct<[^\n]*pickup_hour", text)
     assert len(scans) == 1
+
+
+def test_a_point_get_reads_a_stored_table(spark, tables):
+    """Pruned to the buckets of the keys, the keys pushed to their row groups."""
+    from tripflow.plans import catalog
+
+    text = plan(catalog.queries()["kv_get"](spark, tables))
+    assert re.search(r"PartitionFilters: \[bucket_16#\d+ IN \(", text)
+    assert "PushedFilters: [In(row_key, [1,13,21])" in text
+    assert "Exchange" not in text
