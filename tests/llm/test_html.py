@@ -173,3 +173,32 @@ def test_differencing_by_a_plain_version(spark):
                     away |= set(shared)
         expected[page] = "\n".join(line for k, line in enumerate(lines) if k not in away)
     assert texts(spark, [(*row[:3], "") for row in rows]) == expected
+
+
+def marked(number, site="Site menu"):
+    return unmarked(number, site).replace("<div>Paragraph", "<article><div>Paragraph", 1).replace(
+        "<div>All rights", "</article><div>All rights"
+    )
+
+
+def test_unmarked_pages_are_compared_with_marked_ones(spark):
+    """What a page shares with a marked neighbour is the site's, though the neighbour has an article of its own."""
+    rows = [(k, f"http://h/a/{k}", marked(k) if k != 5 else unmarked(k), "") for k in range(10)]
+    assert texts(spark, rows) == {k: "\n".join(f"Paragraph {k} {j}" for j in range(3)) for k in range(10)}
+
+
+def test_differencing_runs_on_pages_that_mark_their_article(spark):
+    shared = "<p>Both say</p>"
+    rows = [(k, f"http://h/a/{k}", marked(k).replace("</article>", f"{shared}</article>")) for k in range(6)]
+    found = html.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    # Menu, greeting and rights are deleted; lines inside the articles stay even if shared.
+    assert {row.n_deleted for row in found} == {3}
+    assert {row.text.split("\n")[-1] for row in found} == {"Both say"}
+
+
+def test_blocks_do_not_part_neighbours(spark, monkeypatch):
+    rows = [(k, f"http://h/a/{k:03d}", unmarked(k), "") for k in range(40)]
+    whole = texts(spark, rows)
+    for size in (1, 2, 3, 7):
+        monkeypatch.setattr(html, "BLOCK", size)
+        assert texts(spark, rows) == whole

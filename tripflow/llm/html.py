@@ -2,21 +2,22 @@
 
 A page becomes text lines, one per block. Lines inside elements that never
 belong to an article (menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles, reader comments) are dropped. If the page marks its
-article (``article`` or ``main``), the lines inside are the main text. Of a page
-that does not, the lines are compared with those of the nearest URLs of the same
-host: pages are sorted by host and path, each looks at its ``NEAR`` neighbours on
-either side; the lines of both are aligned by longest common subsequence, and
-lines shared with a neighbour that is otherwise unlike, being the site's and not
-the page's, are deleted. A neighbour that shares more than half of the characters
-of either page is a copy of it, such as a print view, and tells nothing.
-
-Lines inside a marked article are not deleted by differencing: pages share lines of
-their articles, and copies whole ones (see the README for figures).
+forms, scripts, styles, reader comments) are dropped. The other lines of every
+page are compared with those of the nearest URLs of the same host: pages are sorted
+by host and path, each looks at its ``NEAR`` neighbours on either side; the lines of
+both are aligned by longest common subsequence, and lines shared with a neighbour
+that is otherwise unlike, being the site's and not the page's, are deleted. A
+neighbour that shares more than half of the characters of either page is a copy of
+it, such as a print view, and tells nothing.
+
+The marks of a page (``article`` or ``main``) are the check that follows: lines inside
+a marked article stay even if shared, for pages share lines of their articles, and
+copies whole ones (see the README for figures); of a page that marks its article,
+unshared lines outside are dropped too.
 
 Pages are sorted by range, so a host of any size is spread over many tasks, and
-only line hashes take part in the sort and the joins. When all pages mark their
-article, nothing is shuffled.
+only line hashes take part in the sort and the comparison, which goes by blocks of
+``BLOCK`` pages in that order.
 
 Defined results: a null or empty page has an empty text; a null or relative URL
 belongs to the empty host; repeated rows get the same text; an empty table gives
@@ -99,6 +100,8 @@ _CLOSERS = {"p": {"li", "dt", "dd", "td", "th", "tr"}, "td": {"tr"}, "th": {"tr"
 DROPPED, OPEN, MAIN = 0, 1, 2
 #: Neighbours by URL on either side that a page is compared with.
 NEAR = 2
+#: Pages that are compared in one group, in the order of URLs.
+BLOCK = 500
 
 
 def _is_dropped(name: str, attributes: str) -> bool:
@@ -214,24 +217,23 @@ def _hash(line: str) -> int:
     return xxhash.xxh3_64_intdigest(line.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-_OUTLINE = "page_id long, url string, digest string, host string, path string, marked boolean, lines array<long>, sizes array<int>"
+_OUTLINE = "page_id long, url string, digest string, host string, path string, inside array<boolean>, lines array<long>, sizes array<int>"
 _KEY = ["page_id", "url", "digest"]
 
 
 def outlines(pages: DataFrame) -> DataFrame:
-    """Per page its host, path, whether it marks its article, and the hashes and
-    lengths of its lines that are not dropped."""
+    """Per page its host, path, and of its lines that are not dropped whether they are
+    inside a marked article, their hashes and lengths."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for page, url, html in zip(*(c.to_pylist() for c in batch.columns)):
                 lines = page_lines(html or "")
-                marked = any(kind == MAIN for kind, _ in lines)
-                open_lines = [text for kind, text in lines if kind == OPEN]
-                hashes, sizes = [_hash(text) for text in open_lines], [len(text) for text in open_lines]
-                rows.append((page, url, _digest(html), *host_and_path(url), marked, hashes, sizes))
-            kinds = [pa.int64(), *[pa.string()] * 4, pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+                inside = [kind == MAIN for kind, _ in lines]
+                hashes, sizes = [_hash(text) for _, text in lines], [len(text) for _, text in lines]
+                rows.append((page, url, _digest(html), *host_and_path(url), inside, hashes, sizes))
+            kinds = [pa.int64(), *[pa.string()] * 4, *map(pa.list_, (pa.bool_(), pa.int64(), pa.int32()))]
             columns = list(zip(*rows)) or [()] * len(kinds)
             names = [part.split()[0] for part in _OUTLINE.split(", ")]
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
@@ -265,9 +267,7 @@ def _ranked(rows: DataFrame) -> DataFrame:
     sizes = numbered.groupBy("part").agg(F.count("*").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return staged(
-        numbered.join(bases, "part").withColumn("rank", F.col("base") + F.col("number")), "ranked"
-    )
+    return numbered.join(F.broadcast(bases), "part").withColumn("rank", F.col("base") + F.col("number"))
 
 
 def unlike(shared: int, ours: int, theirs: int) -> bool:
@@ -275,16 +275,21 @@ def unlike(shared: int, ours: int, theirs: int) -> bool:
     return 2 * shared <= min(ours, theirs)
 
 
+def _blocks(ranked: DataFrame) -> DataFrame:
+    """``ranked`` with the blocks a page is compared in; the ``NEAR`` pages on either
+    side of a block are in it too."""
+    first, last = (F.floor((F.col("rank") + step) / BLOCK) for step in (-NEAR, NEAR))
+    return ranked.withColumn("block", F.explode(F.sequence(first, last)))
+
+
 def shared_lines(outline: DataFrame) -> DataFrame:
-    """(page key, gone): places of the lines that a page without a marked article
+    """(page key, gone): places of the lines outside a marked article that a page
     shares with neighbours that are otherwise unlike."""
-    ranked = _ranked(outline.dropDuplicates(_KEY))
-    joined = ranked.where(~F.col("marked"))
-    side = ranked.select("rank", "host", "lines", "sizes")
+    order = Window.partitionBy("block").orderBy("rank")
     steps = [step for step in range(-NEAR, NEAR + 1) if step]
-    for k, step in enumerate(steps):
-        near = side.select((F.col("rank") - step).alias("rank"), F.struct("host", "lines", "sizes").alias(f"near{k}"))
-        joined = joined.join(near, "rank", "left")
+    near = {f"near{k}": F.lead(F.struct("host", "lines", "sizes"), step).over(order) for k, step in enumerate(steps)}
+    compared = _blocks(_ranked(outline.dropDuplicates(_KEY))).withColumns(near)
+    joined = compared.where(F.col("block") == F.floor(F.col("rank") / BLOCK))
 
     kind = pa.list_(pa.int32())
 
@@ -292,17 +297,17 @@ def shared_lines(outline: DataFrame) -> DataFrame:
     def gone(columns: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for batch in columns:
             out = []
-            for host, lines, sizes, *near in zip(*(column.to_pylist() for column in batch)):
+            for host, inside, lines, sizes, *near in zip(*(column.to_pylist() for column in batch)):
                 away: set[int] = set()
                 for other in near:
                     if other and other["host"] == host:
                         shared = common_subsequence(lines, other["lines"])
                         if unlike(sum(sizes[k] for k in shared), sum(sizes), sum(other["sizes"])):
                             away.update(shared)
-                out.append(sorted(away))
+                out.append(sorted(k for k in away if not inside[k]))
             yield pa.array(out, kind)
 
-    found = joined.withColumn("gone", gone("host", "lines", "sizes", *(f"near{k}" for k in range(len(steps)))))
+    found = joined.withColumn("gone", gone("host", "inside", "lines", "sizes", *near))
     return found.select(*_KEY, "gone").where(F.size("gone") > 0)
 
 
@@ -313,27 +318,20 @@ def main_texts(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_deleted) of every page; the last is the number of lines
     that differencing deleted."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    undecided = staged(outlines(rows), "outlines")
-    if undecided.where(~F.col("marked") & (F.size("lines") > 0)).isEmpty():
-        joined = rows.withColumn("gone", F.lit(None).cast("array<int>"))
-    else:
-        gone = staged(shared_lines(undecided), "shared-lines")
-        keyed = rows.withColumn("digest", _digest_column("html"))
-        renamed = gone.select(*[F.col(c).alias(f"_{c}") for c in _KEY], "gone")
-        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _KEY]
-        joined = keyed.join(renamed, same[0] & same[1] & same[2], "left")
+    gone = staged(shared_lines(staged(outlines(rows), "outlines")), "shared-lines")
+    keyed = rows.withColumn("digest", _digest_column("html"))
+    renamed = gone.select(*[F.col(c).alias(f"_{c}") for c in _KEY], "gone")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _KEY]
+    joined = keyed.join(renamed, same[0] & same[1] & same[2], "left")
     joined = joined.select("page_id", "url", "html", "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, deleted = [], []
             for html, places in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                lines = page_lines(html or "")
-                chosen = [text for kind, text in lines if kind == MAIN]
-                away = set() if chosen else set(places or ())
-                if not chosen:
-                    open_lines = [text for kind, text in lines if kind == OPEN]
-                    chosen = [text for k, text in enumerate(open_lines) if k not in away]
+                away = set(places or ())
+                left = [line for k, line in enumerate(page_lines(html or "")) if k not in away]
+                chosen = [text for kind, text in left if kind == MAIN] or [text for _, text in left]
                 texts.append("\n".join(chosen))
                 deleted.append(len(away))
             yield pa.RecordBatch.from_arrays(
