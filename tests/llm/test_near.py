@@ -153,3 +153,15 @@ def test_texts_of_few_words_are_not_paired_with_each_other(spark, monkeypatch):
         sums.append(sum(emitted))
     assert sums[1] <= 3 * sums[0] + 1000 and sums[2] <= 3 * sums[1] + 1000, sums
     assert sums[2] < 2000 * 1999 / 2 / 4, sums
+
+
+def test_texts_of_candidates_need_one_python_worker_a_task(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, f"some words of text {k}") for k in range(200)], "id long, text string")
+    pairs = spark.createDataFrame([(3, 5), (5, 190), (7, None)], "a long, b long")
+    monkeypatch.setattr(near, "staged", lambda df, label: df)
+    sets = near._sets_of(pairs, docs, 2)
+    assert sorted(row.id for row in sets.collect()) == [3, 5, 7, 190]
+    shown = sets._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    )
+    assert "MapInArrow" in shown and "ArrowEvalPython" not in shown

@@ -133,3 +133,13 @@ def test_batches_are_only_lowered(spark, conf):
     bounded_batches(spark)
     assert spark.conf.get(rows.replace("__", ".")) == "1000"
     assert int(spark.conf.get(size.replace("__", ".")).rstrip("b")) == 16 << 20
+
+
+@pytest.mark.parametrize("stage", [stage for _, stage in pipeline.STAGES])
+def test_stages_send_small_batches_to_python(spark, conf, tmp_path, stage):
+    rows, size = (f"spark__sql__execution__arrow__max{k}PerBatch" for k in ("Records", "Bytes"))
+    conf(**{rows: "10000", size: "67108864b"})
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stage(spark, spark.createDataFrame([], SCHEMA), str(tmp_path))
+    assert int(spark.conf.get(rows.replace("__", "."))) <= 256
+    assert int(spark.conf.get(size.replace("__", ".")).rstrip("b")) <= 4 << 20

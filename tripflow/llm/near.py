@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from tripflow.llm.components import components
 from tripflow.llm.links_sql import components_sql
-from tripflow.llm.sets import may_hold, shingle_sets
+from tripflow.llm.sets import held, shingle_sets
 from tripflow.llm.sigtree import tree_links
 from tripflow.llm.words import WordHasher, shingles
 from tripflow.llm.work import partitions, staged, table
@@ -224,12 +224,10 @@ def _candidates(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame
 
 
 def _sets_of(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """Shingle sets of all ids in (a, b). The filter keeps other texts where they
-    are; the semi-join behind it is exact."""
+    """Shingle sets of all ids in (a, b)."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     ids = staged(ids, "wanted")
-    texts = docs.where(may_hold(ids)("id")).join(ids, "id", "left_semi")
-    return staged(shingle_sets(texts, words), "sets")
+    return staged(shingle_sets(held(docs, ids), words), "sets")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -321,8 +319,7 @@ class _Linker:
     def compare_by_tree(self, ids: DataFrame) -> None:
         """Links among some classes, found by signature trees: no pair is emitted that
         is not a link between components."""
-        texts = self.docs.where(may_hold(ids)("id")).join(ids, "id", "left_semi")
-        found = tree_links(texts, self.words, self.percent, self.labels)
+        found = tree_links(held(self.docs, ids), self.words, self.percent, self.labels)
         self.links = found if self.links is None else self.links.union(found)
         self.labels = components(self.links)
 

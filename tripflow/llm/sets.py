@@ -38,15 +38,32 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, SETS)
 
 
+def _filter_words(ids: DataFrame) -> DataFrame:
+    """(word, bits) of a filter of ``FILTER_BITS`` bits: one for the hash of every id."""
+    bit = f"pmod(xxhash64(id), {FILTER_BITS})"
+    return ids.groupBy(F.expr(f"shiftright({bit}, 6) AS word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod({bit}, 64) AS INT))")).alias("bits")
+    )
+
+
+def held(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is in ``ids``. The filter keeps other rows where they
+    are; the semi-join behind it is exact.
+
+    The filter is a broadcast of at most ``FILTER_BITS`` / 64 rows: a Python function here
+    would cost another worker per task beside those that work on the texts.
+    """
+    bit = f"pmod(xxhash64(id), {FILTER_BITS})"
+    meets = f"shiftright({bit}, 6) = word AND shiftright(bits, CAST(pmod({bit}, 64) AS INT)) & 1L = 1L"
+    return docs.join(F.broadcast(_filter_words(ids)), F.expr(meets), "left_semi").join(ids, "id", "left_semi")
+
+
 def may_hold(ids: DataFrame):
     """A test of ids that passes all of ``ids`` and few others: one bit per hash.
 
     Its size is fixed by ``FILTER_BITS``; with very many ids it passes more, never less.
     """
-    bit = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
-    words = ids.groupBy(F.shiftright(bit, 6).alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(pmod(xxhash64(id), {FILTER_BITS}), 64) AS INT))")).alias("bits")
-    )
+    words = _filter_words(ids)
     table = np.zeros(FILTER_BITS // 64, np.int64)
     for row in words.collect():
         table[row.word] = row.bits

@@ -13,13 +13,13 @@ from tripflow.session import new_folder, path_exists, written_once
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Lowers the session's Arrow batches to the bounds above; never raises them."""
+def bounded_batches(spark: SparkSession, most: int = BATCH_ROWS, most_bytes: int = BATCH_BYTES) -> None:
+    """Lowers the session's Arrow batches to the bounds above, or others; never raises them."""
     rows, size = (f"spark.sql.execution.arrow.max{kind}PerBatch" for kind in ("Records", "Bytes"))
-    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
-        spark.conf.set(rows, str(BATCH_ROWS))
-    if not 0 < int(spark.conf.get(size).rstrip("b")) <= BATCH_BYTES:
-        spark.conf.set(size, f"{BATCH_BYTES}b")
+    if not 0 < int(spark.conf.get(rows)) <= most:
+        spark.conf.set(rows, str(most))
+    if not 0 < int(spark.conf.get(size).rstrip("b")) <= most_bytes:
+        spark.conf.set(size, f"{most_bytes}b")
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
