@@ -3,7 +3,7 @@
 import random
 import zlib
 from collections import defaultdict
-from itertools import product
+from itertools import islice, product
 
 import numpy as np
 import pytest
@@ -49,6 +49,23 @@ def test_ids_equal_the_tokenizers(tokenizer, monkeypatch):
             assert found.tolist() + [packing.END] == ids_of(tokenizer, text), text
 
 
+def test_parts_of_words_longer_than_a_part(monkeypatch):
+    monkeypatch.setattr(packing, "PIECE", 8)
+    for text in (b"", b"a", b"a " + b"x" * 30 + b" b c", b"  " + b"x" * 9, b"x" * 30 + b" y", b" " * 20, b"one two three four"):
+        parts = list(islice(packing._parts(text), 50))
+        assert b"".join(parts) == text
+        assert all(b" " in text[at - 1 : at + 1] for at in np.cumsum([len(p) for p in parts])[:-1])
+    assert list(packing._parts(b"one two three four")) == [b"one two", b" three", b" four"]
+
+
+def test_an_encoder_works_on_small_arrays():
+    encoder = packing.Encoder(PATH)
+    text = b"some words of one text " * 80_000
+    (ids,) = encoder.encode([text])
+    assert len(ids) == 5 * 80_000
+    assert len(encoder.hasher.powers) <= 1 << 18
+
+
 def check(rows, texts, tokenizer):
     """Pieces rebuild their documents and fill their sequences without gaps."""
     docs, sequences = defaultdict(list), defaultdict(list)

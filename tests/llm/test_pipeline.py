@@ -85,6 +85,13 @@ def test_stages(spark, folder):
     check_packing(packed, {r[0]: r[1] for r in clean}, tokenizers.Tokenizer.from_file(PATH))
 
 
+def test_line_dedup_calls_python_once_a_task(spark, folder):
+    """Two Python functions in a task start two workers, which stay with the executor."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    plan = pipeline.line_dedup(spark, docs, folder)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython ") == 1
+
+
 def test_run_is_the_stages(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     for _, stage in pipeline.STAGES:

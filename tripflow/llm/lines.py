@@ -118,6 +118,8 @@ def _marked_by_table(docs: DataFrame, spread: DataFrame, id: str, text: str, int
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(gone))
 
+    # Not called anew in a filter on its result, which would take two more workers a task.
+    goes = goes.asNondeterministic()
     return docs.withColumn(into, goes(*_hashes_of(F.col(text)), F.col(id).cast("long")))
 
 

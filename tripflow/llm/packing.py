@@ -47,9 +47,9 @@ VOCABULARY = "word_bpe_49k.json"
 ROUNDS, FALL, STEP = 300, 8.0, 0.25
 #: Words a worker remembers at most, and the ids of words before it starts afresh.
 SLOTS, POOL = 1 << 20, 1 << 23
-#: Bytes encoded at a time.
-PIECE = 1 << 19
-_TOGETHER = 256
+#: Bytes encoded at a time; arrays of several times that size stay with the worker.
+PIECE = 1 << 17
+_TOGETHER = 64
 
 PIECES = (
     "doc_id long, piece int, start long, length int, ids_crc32 long, task int, number long, "
@@ -194,14 +194,15 @@ class Encoder:
 
 def _parts(text: bytes) -> Iterator[bytes]:
     """A long text in parts cut between words."""
-    while len(text) > PIECE:
-        cut = text.rfind(b" ", 0, PIECE)
-        cut = text.find(b" ", PIECE) if cut < 0 else cut
+    start = 0
+    while len(text) - start > PIECE:
+        cut = text.rfind(b" ", start + 1, start + PIECE)
+        cut = text.find(b" ", start + PIECE) if cut < 0 else cut
         if cut < 0:
             break
-        yield text[:cut]
-        text = text[cut:]
-    yield text
+        yield text[start:cut]
+        start = cut
+    yield text[start:]
 
 
 def worker_encoder(path: str) -> Encoder:
